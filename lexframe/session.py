@@ -14,6 +14,7 @@ def get_session(app: str = "lexframe", cores: str = "*", partitions: int | None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))

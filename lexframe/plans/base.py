@@ -130,3 +130,62 @@ def benchmark_words(spark: SparkSession, sf: str) -> DataFrame:
 
 BENCHMARK_SQL = f"""benchmark_words AS (
   SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(regexp_extract_all(text, '{WORD}')) AS w FROM benchmark))"""
+
+
+def dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """(surface, reading, reading_ord, pos): benchmark words; every third length has a second, voiced reading."""
+    rows = benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$"))
+    first = reading_of(F.col("word"))
+    second = F.when(F.length("word") % 3 == 0, F.translate(first, "たほ", "だぼ"))
+    listed = rows.select(
+        surface_of(F.col("word")).alias("surface"), F.posexplode(F.array_distinct(F.array_compact(F.array(first, second)))).alias("reading_ord", "reading"),
+        F.when(F.length("word") % 2 == 0, F.array(F.lit("&v5r;"), F.lit("&vi;"))).otherwise(F.array(F.lit("&n;"))).alias("pos"))
+    return listed.select("surface", "reading", "reading_ord", "pos")
+
+
+DICTIONARY_SQL = BENCHMARK_SQL + f""", dict0 AS (
+  SELECT word, {surface_sql('word')} AS surface, {reading_sql('word')} AS reading, length(word) % 2 = 0 AS verb
+  FROM benchmark_words WHERE regexp_full_match(word, '[a-z]+')),
+dict AS (SELECT surface, reading, 0 AS reading_ord, verb FROM dict0
+  UNION ALL SELECT surface, translate(reading, 'たほ', 'だぼ'), 1, verb FROM dict0
+  WHERE length(word) % 3 = 0 AND translate(reading, 'たほ', 'だぼ') <> reading)"""
+
+CAND_SQL = """runs AS (SELECT word, surface, reading, regexp_extract_all(surface, '[\\x{4E00}-\\x{9FFF}]+|[^\\x{4E00}-\\x{9FFF}]+') AS r FROM pairs),
+walk AS (
+  SELECT word, 0 AS i, 0 AS pos, '' AS text FROM runs
+  UNION ALL
+  SELECT w.word, w.i + 1, w.pos + n, w.text || r.r[w.i + 1] ||
+    CASE WHEN regexp_matches(r.r[w.i + 1], '[\\x{4E00}-\\x{9FFF}]') THEN '(' || substr(r.reading, w.pos + 1, n) || ')' ELSE '' END
+  FROM walk w JOIN runs r ON r.word = w.word,
+    unnest(range(length(r.r[w.i + 1]), greatest(length(r.reading) - w.pos, 0) + 1)) AS t(n)
+  WHERE w.i < len(r.r) AND CASE WHEN regexp_matches(r.r[w.i + 1], '[\\x{4E00}-\\x{9FFF}]')
+    THEN substr(r.reading, w.pos + 1, 1) NOT IN ('ゃ', 'ゅ', 'ょ', 'っ', 'ー') AND n <= length(r.reading) - w.pos - length(array_to_string(r.r[w.i + 2:], ''))
+    ELSE n = length(r.r[w.i + 1]) AND substr(r.reading, w.pos + 1, n) = r.r[w.i + 1] END),
+cands AS (SELECT w.word, w.text AS candidate FROM walk w JOIN runs r ON r.word = w.word WHERE w.i = len(r.r) AND w.pos = length(r.reading))"""
+
+RUNS_SQL = """cruns AS (SELECT c.word, c.candidate, i, l[i] AS tok, coalesce(l[i + 1], '') AS nxt FROM (
+    SELECT word, candidate, regexp_extract_all(candidate, '[\\x{4E00}-\\x{9FFF}]+\\([^)]*\\)|[^\\x{4E00}-\\x{9FFF}(]+') AS l FROM cands) c,
+    unnest(range(1, len(l) + 1)) AS u(i)),
+seg AS (SELECT word, candidate, regexp_extract(tok, '^([^(]+)\\(', 1) AS surface, regexp_extract(tok, '\\(([^)]*)\\)', 1) AS reading,
+  CASE WHEN contains(nxt, '(') THEN '' ELSE nxt END AS tail FROM cruns WHERE contains(tok, '(')),
+forms AS (SELECT 'd' AS kind, surface AS head, reading AS f FROM dict
+  UNION SELECT 's', regexp_extract(surface, '^(.*[\\x{4E00}-\\x{9FFF}])[^\\x{4E00}-\\x{9FFF}]+$', 1),
+    reading[:-(length(surface) - length(regexp_extract(surface, '^(.*[\\x{4E00}-\\x{9FFF}])[^\\x{4E00}-\\x{9FFF}]+$', 1)) + 1)] FROM dict
+  WHERE regexp_matches(surface, '[\\x{4E00}-\\x{9FFF}][^\\x{4E00}-\\x{9FFF}]+$')
+    AND ends_with(reading, regexp_extract(surface, '([^\\x{4E00}-\\x{9FFF}]+)$', 1)) AND length(reading) > length(regexp_extract(surface, '([^\\x{4E00}-\\x{9FFF}]+)$', 1))),
+voiced AS (SELECT kind, head, f FROM forms
+  UNION SELECT kind, head, translate(f[1], 'かきくけこさしすせそたちつてとはひふへほ', 'がぎぐげござじずぜぞだぢづでどばびぶべぼ') || f[2:] FROM forms
+  UNION SELECT kind, head, translate(f[1], 'はひふへほ', 'ぱぴぷぺぽ') || f[2:] FROM forms),
+dseg AS (SELECT DISTINCT surface, reading, tail FROM seg),
+asked AS (SELECT surface, reading, tail, 'd' AS kind, surface || tail[:k] AS head, reading || tail[:k] AS given FROM dseg, unnest(range(0, length(tail) + 1)) AS t(k)
+  UNION ALL SELECT surface, reading, tail, 's', surface, reading FROM dseg),
+fit AS (SELECT a.surface, a.reading, a.tail, count(v.f) = 0 OR coalesce(bool_or(v.f = a.given), false) AS fits
+  FROM asked a LEFT JOIN voiced v ON v.kind = a.kind AND v.head = a.head GROUP BY ALL),
+cfit AS (SELECT word, candidate, coalesce(bool_and(fits) FILTER (length(surface) >= 2), true) AS fits_long, bool_and(fits) AS fits_all
+  FROM seg JOIN fit USING (surface, reading, tail) GROUP BY word, candidate),
+jc AS (SELECT c.word, c.candidate, coalesce(fits_long, true) AS fl, coalesce(fits_all, true) AND coalesce(fits_long, true) AS fa
+  FROM cands c LEFT JOIN cfit f USING (word, candidate)),
+per AS (SELECT word, count(*) AS n, count(*) FILTER (fl) AS nl, count(*) FILTER (fa) AS na, max(candidate) AS only_c, bool_or(fl) AS only_f,
+  max(candidate) FILTER (fl) AS one_l, max(candidate) FILTER (fa) AS one_a FROM jc GROUP BY word),
+chosen AS (SELECT * FROM (SELECT word, CASE WHEN n = 1 THEN only_c WHEN nl = 1 THEN one_l WHEN nl > 1 AND na = 1 THEN one_a END AS written,
+  CASE WHEN n = 1 THEN only_f ELSE true END AS fits_long FROM per) WHERE written IS NOT NULL)"""

@@ -30,13 +30,13 @@ def matched_pieces(words: DataFrame, keys: list[str], surface: str, reading: str
     A word of n kana has at most n(n+1)/2 distinct pieces, which bounds the collected set.
     """
     chars = F.array_distinct(F.regexp_extract_all(surface, F.lit(f"[{cjk}]"), F.lit(0)))
-    n = F.length(reading)
-    starts = words.where(n > 0).select(*keys, reading, F.explode(chars).alias("ch")).select(
-        *keys, reading, "ch", F.explode(F.sequence(F.lit(1), F.length(reading))).alias("at"))
-    cut = starts.select(*keys, reading, "ch", "at", F.explode(F.sequence(F.lit(1), F.length(reading) - F.col("at") + 1)).alias("size"))
-    asked = cut.select(*keys, "ch", F.substring(reading, F.col("at"), F.col("size")).alias("form")).distinct()
-    hits = asked.join(forms.select("ch", "form"), ["ch", "form"], "left_semi")
-    return hits.groupBy(*keys).agg(F.collect_list(F.concat_ws("|", "ch", "form")).alias("pieces"))
+    starts = words.where(F.length(reading) > 0).select(*keys, F.col(reading).alias("_r"), F.explode(chars).alias("_ch")).select(
+        *keys, "_r", "_ch", F.explode(F.sequence(F.lit(1), F.length("_r"))).alias("_at"))
+    cut = starts.select(*keys, "_r", "_ch", "_at", F.explode(F.sequence(F.lit(1), F.length("_r") - F.col("_at") + 1)).alias("_n"))
+    asked = cut.select(*keys, "_ch", F.substring("_r", F.col("_at"), F.col("_n")).alias("_form"))
+    table = forms.select(F.col("ch").alias("_ch"), F.col("form").alias("_form"))
+    hits = asked.join(table, ["_ch", "_form"], "left_semi")
+    return hits.groupBy(*keys).agg(F.collect_set(F.concat_ws("|", "_ch", "_form")).alias("pieces"))
 
 
 def anchored_runs(surface: Column, reading: Column) -> Column:
@@ -69,10 +69,14 @@ def anchored_runs(surface: Column, reading: Column) -> Column:
 
 
 def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
-    """Distinct match vectors ('1' = regular piece) of the best-scoring splits; null when none exists."""
+    """Distinct match vectors ('1' = regular piece) of the best-scoring splits; null when none exists.
+
+    Of all partial splits ending at one place only the best-scoring ones can be part of a best
+    split, so the others are dropped at every step.
+    """
     chars = F.regexp_extract_all(run, F.lit("(?s:.)"), F.lit(0))
     n, total = F.size(chars), F.length(part)
-    start = F.expr("named_struct('i', 0, 'states', array(named_struct('p', 0, 'v', '')))")
+    start = F.expr("named_struct('i', 0, 'states', array(named_struct('p', 0, 'k', 0, 'v', '')))")
 
     def step(s: Column, c: Column) -> Column:
         left = n - s["i"] - 1
@@ -81,26 +85,35 @@ def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
             low = F.when(left == 0, F.greatest(total, q["p"] + 1)).otherwise(q["p"] + 1)
             ends = F.when(total - left >= low, F.sequence(low, total - left)).otherwise(F.expr("cast(array() as array<int>)"))
             allowed = F.filter(ends, lambda e: (e == total) | ~F.contains(F.lit(SMALL_SPLIT), F.substring(part, e + 1, F.lit(1))))
-            return F.transform(allowed, lambda e: F.struct(e.alias("p"), F.concat(q["v"], F.when(F.array_contains(
-                pieces, F.concat(c, F.lit("|"), F.substring(part, q["p"] + 1, e - q["p"]))), "1").otherwise("0")).alias("v")))
 
-        return F.struct((s["i"] + 1).alias("i"), F.array_distinct(F.flatten(F.transform(s["states"], grow))).alias("states"))
+            def put(e: Column) -> Column:
+                hit = F.array_contains(pieces, F.concat(c, F.lit("|"), F.substring(part, q["p"] + 1, e - q["p"]))).cast("int")
+                return F.struct(e.alias("p"), (q["k"] + hit).alias("k"), F.concat(q["v"], hit.cast("string")).alias("v"))
+
+            return F.transform(allowed, put)
 
-    vectors = F.aggregate(chars, start, step, lambda s: F.array_distinct(F.transform(s["states"], lambda q: q["v"])))
-    score = lambda v: F.length(F.replace(v, F.lit("0"), F.lit("")))
-    top = F.array_max(F.transform(vectors, score))
-    return F.when(F.size(vectors) > 0, F.array_sort(F.filter(vectors, lambda v: score(v) == top)))
+        grown = F.flatten(F.transform(s["states"], grow))
+        return F.struct((s["i"] + 1).alias("i"), F.aggregate(F.array_sort(grown), _EMPTY_STATES, keep_best).alias("states"))
 
+    def keep_best(kept: Column, q: Column) -> Column:
+        # states arrive sorted by place, then score, then vector
+        rest = F.filter(kept, lambda o: (o["p"] != q["p"]) | ((o["k"] == q["k"]) & (o["v"] != q["v"])))
+        return F.array_append(rest, q)
 
-def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(attributed: surface, reading, ord, ch) and (rejects: surface, reading, reason).
+    _EMPTY_STATES = F.expr("cast(array() as array<struct<p:int,k:int,v:string>>)")
+    vectors = F.aggregate(chars, start, step, lambda s: F.transform(s["states"], lambda q: q["v"]))
+    return F.when(F.size(vectors) > 0, F.array_sort(vectors))
+
+
+def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: DataFrame | None = None) -> DataFrame:
+    """(surface, reading, ord, ch, reason): the irregular characters, or one row with the reason of a reject.
 
     ``entries``: surface, reading.  ``regular``: ch, form.  ``adjudicated``: reading, surface, ch.
     """
     keys = ["surface", "reading"]
     rows = entries.select(*keys).distinct()
     if adjudicated is not None:
-        fixed = rows.join(adjudicated, keys).select(*keys, F.lit(0).alias("ord"), "ch")
+        fixed = rows.join(adjudicated, keys).select(*keys, F.lit(0).alias("ord"), "ch", F.lit(None).cast("string").alias("reason"))
         rows = rows.join(adjudicated.select(*keys), keys, "left_anti")
     pieces = matched_pieces(rows, keys, "surface", "reading", regular)
     none = F.expr("cast(array() as array<string>)")
@@ -109,8 +122,7 @@ def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: Dat
         .withColumn("runs", anchored_runs(F.col("surface"), F.col("reading")))
         .withColumn("best", F.transform("runs", lambda r: best_vectors(r["run"], r["part"], F.col("pieces"))))
     )
-    judged = judged.withColumn(
-        "reason",
+    reason = (
         F.when(F.col("runs").isNull(), "no kana anchor")
         .when(F.exists("best", lambda b: b.isNull()), "no split")
         .when(F.exists("best", lambda b: F.size(b) > 1), "ambiguous"))
@@ -123,11 +135,10 @@ def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: Dat
 
     found = F.array_distinct(F.flatten(F.transform("runs", odd)))
     every = F.array_distinct(F.regexp_extract_all("surface", F.lit(f"[{CJK}]"), F.lit(0)))
-    attributed = judged.where("reason is null").select(
-        *keys, F.posexplode(F.when(F.size(found) > 0, found).otherwise(every)).alias("ord", "ch"))
-    if adjudicated is not None:
-        attributed = attributed.unionByName(fixed)
-    return attributed, judged.where("reason is not null").select(*keys, "reason")
+    chars = F.when(F.size(found) > 0, found).otherwise(every)
+    decided = judged.withColumn("reason", reason).withColumn("chars", F.when(F.col("reason").isNull(), chars))
+    out = decided.select(*keys, F.posexplode_outer("chars").alias("ord", "ch"), "reason")
+    return out if adjudicated is None else out.unionByName(fixed)
 
 
 def sound_combinations(words: DataFrame, keys: list[str], surface: str, sounds: DataFrame, max_combos: int = 128) -> DataFrame:

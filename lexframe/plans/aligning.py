@@ -127,9 +127,8 @@ SINGLE_SQL = f"""single AS (SELECT DISTINCT {B.surface_sql('run')} AS ch, transl
 def irregular_attribution(spark: SparkSession, sf: str) -> DataFrame:
     """Characters read irregularly in each word, or the reason why that cannot be decided."""
     entries = B.kana_words(spark, sf).where(F.col("word").rlike("[^aeiou]")).select("surface", "reading")
-    attributed, rejects = T.attribute_irregular(entries, T.regular_readings(_single_readings(spark, sf)))
-    shaped = attributed.select("surface", "ch", F.lit("").alias("reason"))
-    return shaped.unionByName(rejects.select("surface", F.lit("").alias("ch"), "reason"))
+    out = T.attribute_irregular(entries, T.regular_readings(_single_readings(spark, sf)))
+    return out.select("surface", F.coalesce("ch", F.lit("")).alias("ch"), F.coalesce("reason", F.lit("")).alias("reason"))
 
 
 IRREGULAR_ORACLE = f"""WITH RECURSIVE {B.KANA_SQL}, {SINGLE_SQL},

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import udtf
 
-from lexframe.functions.text import BASE, SMALL_ALIGN, annotation_ok, kana_fold
+from lexframe.functions.text import BASE, SMALL_ALIGN, annotation_ok, kana_fold, let
 
 _NONE = "cast(array() as array<struct<pos:int,text:string>>)"
 
@@ -19,46 +19,48 @@ def alignments(surface: Column, reading: Column, limit: int = 64) -> Column:
     runs must occur literally in the folded reading.  Partial placements that cannot leave room
     for the rest, or whose next literal does not follow, are dropped at every step.
     """
-    target = kana_fold(reading)
-    runs = F.regexp_extract_all(surface, F.lit(f"[{BASE}]+|[^{BASE}]+"), F.lit(0))
-    total = F.length(surface)
+    none = F.expr("cast(array() as array<string>)")
+    unusable = surface.isNull() | reading.isNull() | (surface == "") | (reading == "") | surface.rlike("[()（）]")
+    only_kana = F.when(kana_fold(surface) == kana_fold(reading), F.array(surface)).otherwise(none)
+    found = F.regexp_extract_all(surface, F.lit(f"[{BASE}]+|[^{BASE}]+"), F.lit(0))
+    texts = let(_walk, kana_fold(reading), found, F.transform(found, kana_fold), F.length(surface))
+    kept = F.filter(F.slice(texts, 1, limit), annotation_ok)
+    return F.when(unusable, none).when(~surface.rlike(f"[{BASE}]"), only_kana).otherwise(kept)
+
+
+def _walk(target: Column, runs: Column, folded: Column, total: Column) -> Column:
+    """Array of annotated texts of all complete placements of ``runs`` over ``target``."""
 
     def piece(start: Column, size: Column) -> Column:
         return F.substring(target, start + 1, size)
 
     def step(s: Column, run: Column) -> Column:
-        base = run.rlike(f"^[{BASE}]")
-        done = s["done"] + F.length(run)
+        n = F.length(run)
+        done = s["done"] + n
         rest = total - done
-        following = kana_fold(F.coalesce(F.get(runs, s["i"] + 1), F.lit("")))
+        own, following = F.get(folded, s["i"]), F.coalesce(F.get(folded, s["i"] + 1), F.lit(""))
 
         def literal(p: Column) -> Column:
-            return F.when(
-                piece(p["pos"], F.length(run)) == kana_fold(run),
-                F.array(F.struct((p["pos"] + F.length(run)).alias("pos"), F.concat(p["text"], run).alias("text"))),
-            ).otherwise(F.expr(_NONE))
+            return F.when(piece(p["pos"], n) == own, F.array(
+                F.struct((p["pos"] + n).alias("pos"), F.concat(p["text"], run).alias("text")))).otherwise(F.expr(_NONE))
 
         def based(p: Column) -> Column:
-            low = F.when(rest == 0, F.greatest(F.length(run), F.length(target) - p["pos"])).otherwise(F.length(run))
             high = F.length(target) - p["pos"] - rest
+            low = F.when(rest == 0, F.greatest(n, high)).otherwise(n)
             sizes = F.when(
                 (high >= low) & ~F.contains(F.lit(SMALL_ALIGN), piece(p["pos"], F.lit(1))), F.sequence(low, high)
             ).otherwise(F.expr("cast(array() as array<int>)"))
-            fits = F.filter(sizes, lambda n: piece(p["pos"] + n, F.length(following)) == following)
-            return F.transform(fits, lambda n: F.struct(
-                (p["pos"] + n).alias("pos"),
-                F.concat(p["text"], run, F.lit("("), piece(p["pos"], n), F.lit(")")).alias("text")))
+            fits = F.filter(sizes, lambda k: piece(p["pos"] + k, F.length(following)) == following)
+            return F.transform(fits, lambda k: F.struct(
+                (p["pos"] + k).alias("pos"),
+                F.concat(p["text"], run, F.lit("("), piece(p["pos"], k), F.lit(")")).alias("text")))
 
-        states = F.flatten(F.transform(s["states"], lambda p: F.when(base, based(p)).otherwise(literal(p))))
+        states = F.when(run.rlike(f"^[{BASE}]"), F.flatten(F.transform(s["states"], based))).otherwise(F.flatten(F.transform(s["states"], literal)))
         return F.struct((s["i"] + 1).alias("i"), done.alias("done"), states.alias("states"))
 
     start = F.expr("named_struct('i', 0, 'done', 0, 'states', array(named_struct('pos', 0, 'text', '')))")
-    ended = F.aggregate(runs, start, step, lambda s: F.filter(s["states"], lambda p: p["pos"] == F.length(target)))
-    texts = F.filter(F.slice(F.transform(ended, lambda p: p["text"]), 1, limit), annotation_ok)
-    none = F.expr("cast(array() as array<string>)")
-    unusable = surface.isNull() | reading.isNull() | (surface == "") | (reading == "") | surface.rlike("[()（）]")
-    only_kana = F.when(kana_fold(surface) == target, F.array(surface)).otherwise(none)
-    return F.when(unusable, none).when(~surface.rlike(f"[{BASE}]"), only_kana).otherwise(texts)
+    return F.aggregate(runs, start, step, lambda s: F.transform(
+        F.filter(s["states"], lambda p: p["pos"] == F.length(target)), lambda p: p["text"]))
 
 
 def align_readings(df: DataFrame, keys: list[str], surface: str = "surface", reading: str = "reading", limit: int = 64) -> DataFrame:

@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import SMALL_SPLIT, kana_fold, phonetic_variants
+from lexframe.functions.text import SMALL_SPLIT, kana_fold, let, phonetic_variants
 
 CJK = r"\x{3400}-\x{9FFF}\x{20000}-\x{2A6DF}\x{F900}-\x{FAFF}"
 # --- fixed values: words adjudicated by hand (reading, surface, characters) ---
@@ -41,7 +41,7 @@ def matched_pieces(words: DataFrame, keys: list[str], surface: str, reading: str
 
 def anchored_runs(surface: Column, reading: Column) -> Column:
     """Array of (run, part): base runs with the reading between their literal neighbours; null when unanchored."""
-    parts = F.regexp_extract_all(surface, F.lit(f"[{CJK}]+|[^{CJK}]+"), F.lit(0))
+    found_parts = F.regexp_extract_all(surface, F.lit(f"[{CJK}]+|[^{CJK}]+"), F.lit(0))
     start = F.expr("named_struct('i',0,'cur',0,'ok',true,'prev','','runs',cast(array() as array<struct<run:string,part:string>>))")
 
     def step(s: Column, t: Column) -> Column:
@@ -58,14 +58,14 @@ def anchored_runs(surface: Column, reading: Column) -> Column:
             F.when(base | (found < 0), s["runs"]).otherwise(added).alias("runs"))
 
     def finish(s: Column) -> Column:
-        last = F.element_at(parts, -1)
+        last = s["prev"]
         ends_base = last.rlike(f"^[{CJK}]")
         tail = F.struct(last.alias("run"), F.substring(reading, s["cur"] + 1, F.lit(1 << 20)).alias("part"))
         runs = F.when(ends_base, F.array_append(s["runs"], tail)).otherwise(s["runs"])
         kept = F.filter(runs, lambda r: (r["run"] != "") & (r["part"] != ""))
         return F.when(s["ok"] & (ends_base | reading.endswith(last)) & (F.size(kept) > 0), kept)
 
-    return F.when(surface != "", F.aggregate(parts, start, step, finish))
+    return F.when(surface != "", F.aggregate(found_parts, start, step, finish))
 
 
 def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
@@ -74,8 +74,7 @@ def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
     Of all partial splits ending at one place only the best-scoring ones can be part of a best
     split, so the others are dropped at every step.
     """
-    chars = F.regexp_extract_all(run, F.lit("(?s:.)"), F.lit(0))
-    n, total = F.size(chars), F.length(part)
+    n, total = F.length(run), F.length(part)
     start = F.expr("named_struct('i', 0, 'states', array(named_struct('p', 0, 'k', 0, 'v', '')))")
 
     def step(s: Column, c: Column) -> Column:
@@ -101,8 +100,9 @@ def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
         return F.array_append(rest, q)
 
     _EMPTY_STATES = F.expr("cast(array() as array<struct<p:int,k:int,v:string>>)")
+    chars = F.regexp_extract_all(run, F.lit("(?s:.)"), F.lit(0))
     vectors = F.aggregate(chars, start, step, lambda s: F.transform(s["states"], lambda q: q["v"]))
-    return F.when(F.size(vectors) > 0, F.array_sort(vectors))
+    return let(lambda v: F.when(F.size(v) > 0, F.array_sort(v)), vectors)
 
 
 def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: DataFrame | None = None) -> DataFrame:

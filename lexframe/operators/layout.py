@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexframe.functions.text import BASE, strip
+from lexframe.functions.text import BASE, let, strip
 
 # --- fixed values: geometry and marks ---
 RUBY_MARGIN = 0.8
@@ -204,17 +204,18 @@ def circled_items(df: DataFrame, entry: list[str], order: str, text: str) -> Dat
 
 def split_gloss(c: Column) -> Column:
     """One slash-separated line to (en, zh, ko): from three parts on, the rest re-joins as the last."""
-    parts = F.transform(F.split(c, "／", -1), strip)
-    many = F.size(parts) >= 3
-
     def trimmed(x: Column) -> Column:
         return strip(F.regexp_replace(x, f"[{REFERENCE_MARKS} ]+$", ""))
 
-    return F.struct(
-        trimmed(F.when(many, F.get(parts, F.lit(0))).otherwise(strip(c))).alias("en"),
-        trimmed(F.when(many, F.get(parts, F.lit(1))).otherwise(F.lit(""))).alias("zh"),
-        trimmed(F.when(many, F.array_join(F.slice(parts, 3, 1 << 20), "／")).otherwise(F.lit(""))).alias("ko"),
-    )
+    def pick(parts: Column) -> Column:
+        many = F.size(parts) >= 3
+        return F.struct(
+            trimmed(F.when(many, F.get(parts, F.lit(0))).otherwise(strip(c))).alias("en"),
+            trimmed(F.when(many, F.get(parts, F.lit(1))).otherwise(F.lit(""))).alias("zh"),
+            trimmed(F.when(many, F.array_join(F.slice(parts, 3, 1 << 20), "／")).otherwise(F.lit(""))).alias("ko"),
+        )
+
+    return let(pick, F.transform(F.split(c, "／", -1), strip))
 
 
 def tighten_quotes(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import kana_fold, strip
+from lexframe.functions.text import kana_fold, let, strip
 
 # --- fixed values: patterns of the note language ---
 _K = r"㐀-鿿"
@@ -125,9 +125,11 @@ def classify_notes(df: DataFrame, keys: list[str], ch: str, reading: str, note:
         def one(w: Column, v: Column) -> Column:
             return entry(kind, word=w, sound=v if field == "reading" else None, written=v if field == "written" else None)
 
-        single = F.transform(values, lambda v: one(F.get(words, F.lit(0)), v))
-        zipped = F.transform(words, lambda w, i: one(w, F.get(values, i)))
-        return F.when(F.size(words) == 1, single).when(F.size(words) == F.size(values), zipped)
+        def zipped(ws: Column, vs: Column) -> Column:
+            return F.when(F.size(ws) == 1, F.transform(vs, lambda v: one(F.get(ws, F.lit(0)), v))).when(
+                F.size(ws) == F.size(vs), F.transform(ws, lambda w, i: one(w, F.get(vs, i))))
+
+        return let(zipped, words, values)
 
     empty = F.expr(f"cast(array() as array<{item}>)")
     known = F.when(body.isin(*KNOWN_TEXT), F.array(entry("text", body=body))).otherwise(F.array(entry("reject", body=raw)))
@@ -144,7 +146,8 @@ def classify_notes(df: DataFrame, keys: list[str], ch: str, reading: str, note:
     same = F.when(F.size(others) > 0, F.array(entry("same_kun", words=others))).otherwise(empty)
     rows = df.withColumn("_body", note_body(raw)).withColumn("_found", F.concat(same, found))
     of = strip(F.coalesce(F.col(reading), F.lit("")))
-    return rows.select(*keys, of.alias("of"), F.posexplode("_found").alias("ord", "_e")).select(
+    # outer, so that no filter on the classified array is inferred and evaluated once more below
+    return rows.select(*keys, of.alias("of"), F.posexplode_outer("_found").alias("ord", "_e")).where("ord is not null").select(
         *keys, "ord", "_e.kind", "of", "_e.word", "_e.reading", "_e.written", "_e.words", "_e.body")
 
 

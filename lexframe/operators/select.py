@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import geminated, kana_fold, kana_unfold, romanize, sound_forms
+from lexframe.functions.text import geminated, kana_fold, kana_unfold, let, romanize, sound_forms
 from lexframe.operators.attribute import CJK, matched_pieces
 from lexframe.operators.order import position, top_k
 from lexframe.operators.verify import explode_targets
@@ -45,10 +45,9 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
     none = F.expr("cast(array() as array<string>)")
     rows = df.join(mine, keys, "left").join(pieces, keys, "left")
     rows = rows.withColumn("_mine", F.coalesce("_mine", none)).withColumn("pieces", F.coalesce("pieces", none))
-    r, tokens, total = F.col(reading), _tokens(F.col(surface)), F.length(reading)
+    r, total = F.col(reading), F.length(reading)
     start = F.expr("named_struct('left', 0, 'states', array(named_struct('p', 0, 'o', 0, 'n', 0, 'res', '')))")
-    sizes = F.transform(tokens, lambda t: F.when(t.rlike(f"^[{CJK}]"), F.lit(1)).otherwise(F.length(t)))
-    need = F.aggregate(sizes, F.lit(0), lambda a, b: a + b)
+    need = F.length(surface)
 
     def cut(p: Column, n: Column) -> Column:
         return F.substring(r, p + 1, n)
@@ -58,7 +57,7 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
 
     def step(s: Column, t: Column) -> Column:
         base = t.rlike(f"^[{CJK}]")
-        left = s["left"] + F.when(base, F.lit(1)).otherwise(F.length(t))
+        left = s["left"] + F.length(t)
         rest = need - left
         target = F.array_contains(F.col("_mine"), t)
 
@@ -73,8 +72,9 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
             F.exists(acc, lambda a: a["p"] == q["p"]), acc).otherwise(F.array_append(acc, q)))
         return F.struct(left.alias("left"), kept.alias("states"))
 
-    ended = F.aggregate(tokens, start, step, lambda s: F.filter(s["states"], lambda q: q["p"] == total))
-    return rows.select(*keys, F.get(ended, F.lit(0))["res"].alias("residual")).where("residual is not null")
+    ended = F.aggregate(_tokens(F.col(surface)), start, step, lambda s: F.transform(F.filter(s["states"], lambda q: q["p"] == total), lambda q: q["res"]))
+    # explode instead of a null filter: the filter would be pushed down and run the fold twice
+    return rows.select(*keys, F.explode(F.slice(ended, 1, 1)).alias("residual"))
 
 
 def unique_residual(df: DataFrame, keys: list[str], surface: str, reading: str, kanji: str, forms: DataFrame) -> DataFrame:
@@ -104,7 +104,8 @@ def unique_residual(df: DataFrame, keys: list[str], surface: str, reading: str,
 
     ended = F.aggregate(_tokens(F.col(surface)), start, step, lambda s: F.array_distinct(F.transform(
         F.filter(s, lambda q: (q["p"] == total) & (q["res"] != "")), lambda q: q["res"])))
-    return rows.select(*keys, F.when(F.size(ended) == 1, F.get(ended, F.lit(0))).alias("residual")).where("residual is not null")
+    only = F.flatten(F.filter(F.array(ended), lambda v: F.size(v) == 1))
+    return rows.select(*keys, F.explode(only).alias("residual"))
 
 
 def geminated_forms(readings: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import (
-    BASE, compare_form, contains_family, drop_printed, full_reading, kana_fold, plain_surface, reading_norm, search_stem, segments, voiced_forms,
+    BASE, compare_form, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
 )
 from lexframe.operators.align import alignments
 
@@ -60,58 +60,85 @@ def fit_table(dictionary: DataFrame) -> DataFrame:
     return forms(dictionary, "d").unionByName(forms(stem_readings(dictionary), "s")).distinct()
 
 
-def run_fits(runs: DataFrame, fits: DataFrame, longest: int | None = None) -> DataFrame:
-    """(surface, reading, tail, fits) for distinct runs.
+def known_readings(runs: DataFrame, fits: DataFrame, longest: int | None = None) -> DataFrame:
+    """(surface, tail, allowed): the readings the dictionary allows a run before this tail.
 
-    Every growing prefix of the tail is tried; a run no headword covers passes.  ``longest`` bounds
-    the prefixes by the longest dictionary surface.
+    Every growing prefix of the tail is tried as part of a headword; runs no headword covers are
+    absent.  ``longest`` bounds the prefixes by the longest dictionary surface.
     """
-    keys = ["surface", "reading", "tail"]
+    keys = ["surface", "tail"]
     n = F.length("tail") if longest is None else F.least(F.length("tail"), F.greatest(F.lit(0), F.lit(longest) - F.length("surface")))
     cut = F.substring("tail", F.lit(1), F.col("cut"))
     distinct = runs.select(*keys).distinct()
     grown = distinct.select(*keys, F.explode(F.sequence(F.lit(0), n)).alias("cut")).select(
-        *keys, F.lit("d").alias("kind"), F.concat("surface", cut).alias("head"),
-        F.concat(kana_fold(F.col("reading")), kana_fold(cut)).alias("given"))
-    stems = distinct.select(*keys, F.lit("s").alias("kind"), F.col("surface").alias("head"), kana_fold(F.col("reading")).alias("given"))
-    joined = grown.unionByName(stems).join(fits, ["kind", "head"], "left")
-    return joined.groupBy(*keys).agg(
-        ((F.count("form") == 0) | F.coalesce(F.max(F.col("form") == F.col("given")), F.lit(False))).alias("fits"))
+        *keys, F.lit("d").alias("kind"), F.concat("surface", cut).alias("head"), kana_fold(cut).alias("more"))
+    stems = distinct.select(*keys, F.lit("s").alias("kind"), F.col("surface").alias("head"), F.lit("").alias("more"))
+    joined = grown.unionByName(stems).join(fits, ["kind", "head"])
+    own = F.when(F.col("form").endswith(F.col("more")), F.substring("form", F.lit(1), F.length("form") - F.length("more")))
+    return joined.groupBy(*keys).agg(F.collect_set(own).alias("allowed"))
 
 
-def annotated_runs(df: DataFrame, keys: list[str], annotated: str) -> DataFrame:
-    """(keys, surface, reading, tail): every base run with the literal that follows it."""
-    parts = df.select(*keys, F.posexplode(segments(F.col(annotated))).alias("at", "seg"), segments(F.col(annotated)).alias("all"))
-    following = F.get("all", F.col("at") + 1)
-    return parts.where("seg.reading is not null").select(
-        *keys, F.col("seg.surface").alias("surface"), F.col("seg.reading").alias("reading"),
-        F.when(following["reading"].isNull(), F.coalesce(following["surface"], F.lit(""))).otherwise(F.lit("")).alias("tail"))
+def base_runs(surface: Column) -> Column:
+    """Array of (surface, tail): distinct base runs with the literal that follows them."""
+    found = F.regexp_extract_all(surface, F.lit(f"[{BASE}]+|[^{BASE}]+"), F.lit(0))
+
+    def pick(parts: Column) -> Column:
+        shaped = F.transform(parts, lambda p, i: F.when(p.rlike(f"^[{BASE}]"), F.struct(
+            p.alias("surface"), F.coalesce(F.get(parts, i + 1), F.lit("")).alias("tail"))))
+        return F.array_distinct(F.array_compact(shaped))
+
+    return let(pick, found)
+
+
+def attach_known(df: DataFrame, keys: list[str], surface: str, fits: DataFrame, longest: int | None = None) -> DataFrame:
+    """Adds ``known``: array of (surface, tail, allowed) for the runs of each row the dictionary knows."""
+    runs = df.select(*keys, F.explode(base_runs(F.col(surface))).alias("_r")).select(*keys, "_r.surface", "_r.tail")
+    known = runs.join(known_readings(runs, fits, longest), ["surface", "tail"])
+    per = known.groupBy(*keys).agg(F.collect_list(F.struct("surface", "tail", "allowed")).alias("known"))
+    return df.join(per, keys, "left")
+
+
+def judge_readings(annotated: Column, known: Column) -> Column:
+    """(fits_long, fits_all): do the runs of two or more characters, and all runs, read as the dictionary allows."""
+    def judged(parts: Column, table: Column) -> Column:
+        def fits(seg: Column, i: Column) -> Column:
+            following = F.get(parts, i + 1)
+            tail = F.when(following["reading"].isNull(), F.coalesce(following["surface"], F.lit(""))).otherwise(F.lit(""))
+            entry = F.filter(table, lambda k: (k["surface"] == seg["surface"]) & (k["tail"] == tail))
+            return F.size(entry).isNull() | (F.size(entry) < 1) | F.array_contains(F.get(entry, F.lit(0))["allowed"], kana_fold(seg["reading"]))
+
+        verdicts = F.transform(parts, lambda seg, i: F.struct(
+            (seg["reading"].isNull() | (F.length(seg["surface"]) < 2)).alias("short"),
+            (seg["reading"].isNull() | fits(seg, i)).alias("ok")))
+        return let(lambda v: F.struct(
+            F.forall(v, lambda x: x["ok"] | x["short"]).alias("fits_long"), F.forall(v, lambda x: x["ok"]).alias("fits_all")), verdicts)
+
+    return let(judged, segments(annotated), known)
 
 
 def readings_fit(df: DataFrame, keys: list[str], annotated: str, fits: DataFrame, longest: int | None = None) -> DataFrame:
-    """Per row: do all runs of two or more characters fit, and do the single ones fit as well."""
-    runs = annotated_runs(df, keys, annotated)
-    judged = runs.join(run_fits(runs, fits, longest), ["surface", "reading", "tail"])
-    multi = F.length("surface") >= 2
-    return judged.groupBy(*keys).agg(
-        F.coalesce(F.min(F.when(multi, F.col("fits"))), F.lit(True)).alias("fits_long"), F.min("fits").alias("fits_all"))
+    """Adds fits_long and fits_all to rows with an annotated text."""
+    rows = attach_known(df.withColumn("_plain", plain_surface(F.col(annotated))), keys, "_plain", fits, longest)
+    return rows.withColumn("_j", judge_readings(F.col(annotated), F.col("known"))).select(
+        *df.columns, F.col("_j.fits_long").alias("fits_long"), F.col("_j.fits_all").alias("fits_all"))
 
 
 def choose_alignment(df: DataFrame, keys: list[str], fits: DataFrame, surface: str = "ja", reading: str = "kana", longest: int | None = None) -> DataFrame:
-    """(keys, written, fits_long): a single alignment as it is, else the only one the dictionary allows."""
-    cands = df.select(*keys, F.explode(alignments(F.col(surface), F.col(reading))).alias("candidate"))
-    judged = cands.join(readings_fit(cands, [*keys, "candidate"], "candidate", fits, longest), [*keys, "candidate"], "left")
-    judged = judged.fillna(True, ["fits_long", "fits_all"])
-    both = F.col("fits_long") & F.col("fits_all")
-    per = judged.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("fits_long").alias("n_long"), F.count_if(both).alias("n_all"),
-        F.max("candidate").alias("only"), F.max("fits_long").alias("only_fits"),
-        F.max(F.when(F.col("fits_long"), F.col("candidate"))).alias("one_long"),
-        F.max(F.when(both, F.col("candidate"))).alias("one_all"))
-    written = F.when(F.col("n") == 1, F.col("only")).when(F.col("n_long") == 1, F.col("one_long")).when(
-        (F.col("n_long") > 1) & (F.col("n_all") == 1), F.col("one_all"))
-    fitting = F.when(F.col("n") == 1, F.col("only_fits")).otherwise(F.lit(True))
-    return per.select(*keys, written.alias("written"), fitting.alias("fits_long")).where("written is not null")
+    """(keys, written, fits_long): a single alignment as it is, else the only one the dictionary allows.
+
+    The runs of a surface are the same in all its alignments, so the dictionary is joined once per
+    run and the candidates are made and judged in one pass over the rows.
+    """
+    rows = attach_known(df.select(*keys, surface, reading), keys, surface, fits, longest)
+
+    def pick(cands: Column) -> Column:
+        long = F.filter(cands, lambda c: c["j"]["fits_long"])
+        both = F.filter(cands, lambda c: c["j"]["fits_long"] & c["j"]["fits_all"])
+        return let(lambda a, b, c: F.when(F.size(a) == 1, a).when(F.size(b) == 1, b).when((F.size(b) > 1) & (F.size(c) == 1), c), cands, long, both)
+
+    found = F.transform(alignments(F.col(surface), F.col(reading)), lambda c: F.struct(c.alias("text"), judge_readings(c, F.col("known")).alias("j")))
+    chosen = rows.select(*keys, F.explode(let(pick, found)).alias("c"))
+    return chosen.select(*keys, F.col("c.text").alias("written"), F.col("c.j.fits_long").alias("fits_long"))
 
 
 def check_pairs(df: DataFrame, keys: list[str], fits: DataFrame, longest: int | None = None) -> DataFrame:

@@ -223,7 +223,7 @@ SELECT severity, reason, count(*) AS n, CAST(floor(count(*) * 1000000.0 / (SELEC
 
 def audit_redundancy(spark: SparkSession, sf: str) -> DataFrame:
     """Comma-separated parts of every sentence as senses; words of two letters count as transliterations."""
-    rows = B.sentences(spark, sf).select("doc_id", "sent", F.filter(F.transform(F.split("text", ",", -1), F.trim), lambda x: x != "").alias("lines"),
+    rows = B.sentences(spark, sf).select("doc_id", "sent", F.filter(F.transform(F.split("text", ",", -1), lambda x: F.trim(x)), lambda x: x != "").alias("lines"),
                                          F.filter(F.split(F.regexp_replace("text", ",", ""), " ", -1), lambda x: F.length(x) == 2).alias("sounds"))
     return A.audit_redundancy(rows, ["doc_id", "sent"], "lines", "sounds")
 

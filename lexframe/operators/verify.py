@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import (
-    BASE, compare_form, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
+    BASE, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
 )
 from lexframe.operators.align import alignments
 
@@ -211,13 +211,13 @@ def explode_targets(freq: DataFrame, targets: DataFrame, lemma: str = "lemma") -
 
 def lexicon_spots(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, longest: int = 12, shortest: int = 2) -> DataFrame:
     """(keys, start, stop): places where a lexicon word stands; 0-based, end exclusive."""
-    n = F.length(text)
-    places = df.where(n >= shortest).select(*keys, text, F.explode(F.sequence(F.lit(0), n - shortest)).alias("start"))
-    sizes = places.select(*keys, text, "start", F.explode(F.sequence(
-        F.lit(shortest), F.least(F.lit(longest), F.length(text) - F.col("start")))).alias("size"))
-    grams = sizes.select(*keys, "start", (F.col("start") + F.col("size")).alias("stop"),
-                         F.substring(text, F.col("start") + 1, F.col("size")).alias("word"))
-    return grams.join(lexicon.select("word"), "word", "left_semi").select(*keys, "start", "stop")
+    places = df.where(F.length(text) >= shortest).select(*keys, F.col(text).alias("_text"), F.explode(
+        F.sequence(F.lit(0), F.length(text) - shortest)).alias("start"))
+    sizes = places.select(*keys, "_text", "start", F.explode(F.sequence(
+        F.lit(shortest), F.least(F.lit(longest), F.length("_text") - F.col("start")))).alias("_size"))
+    grams = sizes.select(*keys, "start", (F.col("start") + F.col("_size")).alias("stop"),
+                         F.substring("_text", F.col("start") + 1, F.col("_size")).alias("_word"))
+    return grams.join(lexicon.select(F.col("word").alias("_word")), "_word", "left_semi").select(*keys, "start", "stop")
 
 
 def cut_by_word(spans: DataFrame, keys: list[str], text: str, lexicon: DataFrame, longest: int = 12) -> DataFrame:
@@ -226,17 +226,12 @@ def cut_by_word(spans: DataFrame, keys: list[str], text: str, lexicon: DataFrame
     Only the windows around a span are looked up, so the join is on the word itself.
     """
     row = [*keys, "start", "stop"]
+    n = F.length("_text")
     left = F.sequence(F.greatest(F.lit(0), F.col("stop") - longest), F.col("start"))
-    opened = spans.where(F.col("stop") - F.col("start") <= longest).select(*row, text, F.explode(left).alias("from"))
-    right = F.sequence(F.col("stop"), F.least(F.length(text), F.col("from") + longest))
-    windows = opened.where(F.least(F.length(text), F.col("from") + longest) >= F.col("stop")).select(
-        *row, text, "from", F.explode(right).alias("to"))
-    larger = windows.where((F.col("from") < F.col("start")) | (F.col("to") > F.col("stop")))
-    words = larger.select(*row, F.substring(text, F.col("from") + 1, F.col("to") - F.col("from")).alias("word"))
-    hit = words.join(lexicon.select("word"), "word", "left_semi").select(*row).distinct().withColumn("cut", F.lit(True))
+    opened = spans.where(F.col("stop") - F.col("start") <= longest).select(*row, F.col(text).alias("_text"), F.explode(left).alias("_from"))
+    right = F.sequence(F.col("stop"), F.least(n, F.col("_from") + longest))
+    windows = opened.where(F.least(n, F.col("_from") + longest) >= F.col("stop")).select(*row, "_text", "_from", F.explode(right).alias("_to"))
+    larger = windows.where((F.col("_from") < F.col("start")) | (F.col("_to") > F.col("stop")))
+    words = larger.select(*row, F.substring("_text", F.col("_from") + 1, F.col("_to") - F.col("_from")).alias("_word"))
+    hit = words.join(lexicon.select(F.col("word").alias("_word")), "_word", "left_semi").select(*row).distinct().withColumn("cut", F.lit(True))
     return spans.join(hit, row, "left").fillna(False, ["cut"])
-
-
-def reading_table(rows: DataFrame) -> DataFrame:
-    """Plain form and comparison form of annotated surfaces, used when joining by surface."""
-    return rows.withColumn("plain", plain_surface(F.col("annotated"))).withColumn("compared", compare_form(F.col("plain")))

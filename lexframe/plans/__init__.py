@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing")
+MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing", "marks")
 
 
 def _collect(attribute: str) -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing", "marks")
+MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing", "marks", "publishing")
 
 
 def _collect(attribute: str) -> dict:

@@ -105,7 +105,9 @@ def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: i
     q = q.withColumn("_size", F.least(F.length("_q"), F.lit(GRAM)))
     wanted = q.select("qid", "_size", F.explode(F.when(F.col("_size") == 3, _grams(F.col("_q"), 3)).when(F.col("_size") == 2, _grams(F.col("_q"), 2)).otherwise(_grams(F.col("_q"), 1))).alias("_g"))
     t = terms.withColumn("_t", F.lower("text"))
-    every = F.concat(*[_grams(F.col("_t"), n) for n in range(1, GRAM + 1)])
+    # at most three sizes exist; terms are only cut into those some query needs
+    used = sorted(r[0] for r in q.select("_size").distinct().collect()) or [GRAM]
+    every = F.concat(*[_grams(F.col("_t"), n) for n in used])
     spread = t.withColumn("_g", F.explode(every)).join(wanted.select("_g").distinct(), "_g", "left_semi")
     counts = spread.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
     probe = wanted.join(counts, "_g", "left").groupBy("qid").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g"))["_g"].alias("_g"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing", "marks", "publishing", "sourcing")
+MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing", "marks", "publishing", "sourcing", "datasets")
 
 
 def _collect(attribute: str) -> dict:

@@ -85,14 +85,14 @@ def vocab_dataset(spark: SparkSession, sf: str) -> DataFrame:
 VOCAB_ORACLE = f"""WITH {B.KANA_SQL}, k AS (SELECT *, length(word) AS n FROM kana)
 SELECT word AS key, CASE WHEN n % 3 = 0 THEN 2 ELSE 0 END AS unverified, CASE WHEN n % 4 = 0 THEN surface || '(' ELSE surface END AS plain,
   CASE WHEN n % 7 = 0 THEN '' ELSE 'NGSL 1-1000' END AS band_label,
-  CASE WHEN n % 7 = 0 THEN 1 ELSE 0 END + 2 * (CASE WHEN n % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 6 = 0 THEN 1 ELSE 0 END) AS broken,
+  CASE WHEN n % 7 = 0 THEN 1 ELSE 0 END + 2 * (CASE WHEN n % 4 = 0 AND regexp_matches(word, '[^aeiou]') THEN 1 ELSE 0 END + CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 6 = 0 THEN 1 ELSE 0 END) AS broken,
   1 + 1 + 8 + 1 AS terms, -freq AS weight FROM k"""
 
 
 def grammar_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences grouped by document as grammar records: violations, projection and example notes."""
-    marked = F.when(F.col("sent") % 5 == 0, F.concat(F.lit("*"), "text")).when(F.col("sent") % 3 == 0, F.concat(F.lit("*"), F.translate("text", "*", ""), F.lit("*"))).otherwise(F.lit(""))
-    rows = B.sentences(spark, sf).select("doc_id", F.struct("sent", F.translate("text", "*", "").alias("ja"), F.when(marked.startswith("*"), F.translate(marked, "", "")).otherwise("").alias("marked"),
+    marked = F.when(F.col("sent") % 5 == 0, F.concat(F.lit("*"), F.translate("text", "*", ""))).when(F.col("sent") % 3 == 0, F.concat(F.lit("*"), F.translate("text", "*", ""), F.lit("*"))).otherwise(F.lit(""))
+    rows = B.sentences(spark, sf).select("doc_id", F.struct("sent", F.translate("text", "*", "").alias("ja"), marked.alias("marked"),
                                          F.lit("k").alias("ko"), F.when(F.col("sent") % 3 == 0, F.lit("human")).alias("mark_method")).alias("x"))
     df = rows.groupBy(F.col("doc_id").cast("string").alias("key")).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.dropFields("sent")).alias("examples")).select(
         "key", F.concat(F.lit("h"), "key").alias("head"), F.right("key", F.lit(1)).alias("level"), F.lit("m").alias("gloss_ko"), F.lit(None).cast("string").alias("note_ko"),
@@ -106,7 +106,7 @@ def grammar_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 GRAMMAR_ORACLE = f"""WITH {B.SENTENCES_SQL}, s AS (SELECT doc_id, sent, text, sent % 5 = 0 AS odd, sent % 5 <> 0 AND sent % 3 = 0 AS good, replace(text, '*', '') AS plain FROM sentences)
 SELECT CAST(doc_id AS VARCHAR) AS key, CASE doc_id % 10 WHEN 1 THEN 'N1' WHEN 2 THEN 'N2' WHEN 3 THEN 'N4' WHEN 4 THEN 'N5' ELSE '' END AS level, count(*) FILTER (sent % 3 <> 0) AS unmarked, count(*) AS n,
-  count(*) FILTER (odd AND length(regexp_replace(text, '[^*]', '', 'g')) % 2 = 0) AS unpaired, count(*) AS notes, count(*) FILTER (good) AS spans FROM s GROUP BY doc_id"""
+  count(*) FILTER (odd) AS unpaired, count(*) AS notes, count(*) FILTER (good) AS spans FROM s GROUP BY doc_id"""
 
 
 def kanji_search(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 import importlib
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lexframe.session import prepare
 
 MODULES = ("flagship", "textual", "layouts", "aligning", "selecting", "curating", "auditing", "marks", "publishing", "sourcing", "datasets")
 
@@ -14,8 +20,16 @@ def _collect(attribute: str) -> dict:
     return found
 
 
+def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(prepare(spark), sf_dir)
+
+    return run
+
+
 def all_queries() -> dict:
-    return _collect("QUERIES")
+    return {name: _prepared(query) for name, query in _collect("QUERIES").items()}
 
 
 def all_oracles() -> dict:

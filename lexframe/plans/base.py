@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexframe.session import table
+from lexframe.session import spread, table
 
 # --- fixed values: word pattern and letter maps ---
 WORD = "[A-Za-zÀ-ÿ]+"
@@ -19,10 +19,14 @@ READINGS = "あえいおうぶかだふごほじきりみなぴくらさたば
 LENGTHENED = (("な", "なん"), ("さ", "さう"), ("か", "ちょ"))
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+
+
 def words(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, lang, pos, word): every word of every document, lower-cased, 1-based position."""
     found = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", "lang", F.posexplode(found).alias("pos", "word")
     ).select("doc_id", "lang", (F.col("pos") + 1).alias("pos"), F.lower("word").alias("word"))
 
@@ -37,7 +41,7 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, lang, sent, text): trimmed non-empty pieces between dots and line ends."""
     found = F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))
     return (
-        table(spark, sf, "documents")
+        documents(spark, sf)
         .select("doc_id", "lang", F.posexplode(found).alias("sent", "text"))
         .select("doc_id", "lang", (F.col("sent") + 1).alias("sent"), F.trim("text").alias("text"))
         .where("text <> ''")
@@ -53,7 +57,7 @@ SENTENCES_SQL = f"""sentences AS (
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, lang, line, text): physical lines of the documents."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", "lang", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")
     ).withColumn("line", F.col("line") + 1)
 

@@ -42,5 +42,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Runtime settings for folds that cost far more than their bytes suggest.
+
+    Adaptive coalescing merges shuffle partitions by size; per-row folds over short strings need
+    the cores long before a partition reaches the default minimum of one megabyte.
+    """
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+    return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """One partition per core for a source that has fewer splits than the cluster has cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

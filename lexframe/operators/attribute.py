@@ -24,19 +24,26 @@ def regular_readings(readings: DataFrame) -> DataFrame:
     return readings.select("ch", F.explode(phonetic_variants(stem)).alias("form")).where("form <> ''").distinct()
 
 
-def matched_pieces(words: DataFrame, keys: list[str], surface: str, reading: str, forms: DataFrame, cjk: str = CJK) -> DataFrame:
-    """(keys, pieces): the ``ch|piece`` pairs of each word that the form table (ch, form) confirms.
+def with_pieces(words: DataFrame, cols: list[str], surface: str, reading: str, forms: DataFrame) -> DataFrame:
+    """(cols, pieces): every distinct row with the ``ch|piece`` pairs the form table (ch, form) confirms.
 
-    A word of n kana has at most n(n+1)/2 distinct pieces, which bounds the collected set.
+    Each character is asked with every piece of the reading no longer than the longest form, in one
+    pass and without joining back.  A word of n kana has at most n(n+1)/2 distinct pieces, which
+    bounds the collected set.
     """
-    chars = F.array_distinct(F.regexp_extract_all(surface, F.lit(f"[{cjk}]"), F.lit(0)))
-    starts = words.where(F.length(reading) > 0).select(*keys, F.col(reading).alias("_r"), F.explode(chars).alias("_ch")).select(
-        *keys, "_r", "_ch", F.explode(F.sequence(F.lit(1), F.length("_r"))).alias("_at"))
-    cut = starts.select(*keys, "_r", "_ch", "_at", F.explode(F.sequence(F.lit(1), F.length("_r") - F.col("_at") + 1)).alias("_n"))
-    asked = cut.select(*keys, "_ch", F.substring("_r", F.col("_at"), F.col("_n")).alias("_form"))
-    table = forms.select(F.col("ch").alias("_ch"), F.col("form").alias("_form"))
-    hits = asked.join(table, ["_ch", "_form"], "left_semi")
-    return hits.groupBy(*keys).agg(F.collect_set(F.concat_ws("|", "_ch", "_form")).alias("pieces"))
+    def asked(chars: Column, r: Column, longest: Column) -> Column:
+        n = F.length(r)
+        cut = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(
+            F.sequence(F.lit(1), F.least(n - a + 1, longest)), lambda k: F.substring(r, a, k))))
+        pieces = F.when(n > 0, F.array_distinct(cut)).otherwise(F.expr("cast(array() as array<string>)"))
+        return let(lambda ps: F.flatten(F.transform(chars, lambda c: F.transform(ps, lambda p: F.struct(c.alias("c"), p.alias("p"))))), pieces)
+
+    chars = F.array_distinct(F.regexp_extract_all(surface, F.lit(f"[{CJK}]"), F.lit(0)))
+    longest = F.coalesce(forms.agg(F.max(F.length("form"))).scalar(), F.lit(1))
+    rows = words.withColumn("_longest", longest).select(*cols, F.explode_outer(let(asked, chars, F.col(reading), F.col("_longest"))).alias("_a"))
+    table = forms.select(F.col("ch").alias("_ch"), F.col("form").alias("_form"), F.lit(True).alias("_hit")).distinct()
+    met = rows.select(*cols, F.col("_a.c").alias("_ch"), F.col("_a.p").alias("_form")).join(table, ["_ch", "_form"], "left")
+    return met.groupBy(*cols).agg(F.collect_set(F.when(F.col("_hit"), F.concat_ws("|", "_ch", "_form"))).alias("pieces"))
 
 
 def anchored_runs(surface: Column, reading: Column) -> Column:
@@ -92,7 +99,7 @@ def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
             return F.transform(allowed, put)
 
         grown = F.flatten(F.transform(s["states"], grow))
-        return F.struct((s["i"] + 1).alias("i"), F.aggregate(F.array_sort(grown), _EMPTY_STATES, keep_best).alias("states"))
+        return F.struct((s["i"] + 1).alias("i"), F.aggregate(F.sort_array(grown), _EMPTY_STATES, keep_best).alias("states"))
 
     def keep_best(kept: Column, q: Column) -> Column:
         # states arrive sorted by place, then score, then vector
@@ -102,7 +109,7 @@ def best_vectors(run: Column, part: Column, pieces: Column) -> Column:
     _EMPTY_STATES = F.expr("cast(array() as array<struct<p:int,k:int,v:string>>)")
     chars = F.regexp_extract_all(run, F.lit("(?s:.)"), F.lit(0))
     vectors = F.aggregate(chars, start, step, lambda s: F.transform(s["states"], lambda q: q["v"]))
-    return let(lambda v: F.when(F.size(v) > 0, F.array_sort(v)), vectors)
+    return let(lambda v: F.when(F.size(v) > 0, F.sort_array(v)), vectors)
 
 
 def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: DataFrame | None = None) -> DataFrame:
@@ -111,14 +118,12 @@ def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: Dat
     ``entries``: surface, reading.  ``regular``: ch, form.  ``adjudicated``: reading, surface, ch.
     """
     keys = ["surface", "reading"]
-    rows = entries.select(*keys).distinct()
+    rows = entries.select(*keys)
     if adjudicated is not None:
         fixed = rows.join(adjudicated, keys).select(*keys, F.lit(0).alias("ord"), "ch", F.lit(None).cast("string").alias("reason"))
         rows = rows.join(adjudicated.select(*keys), keys, "left_anti")
-    pieces = matched_pieces(rows, keys, "surface", "reading", regular)
-    none = F.expr("cast(array() as array<string>)")
     judged = (
-        rows.join(pieces, keys, "left").withColumn("pieces", F.coalesce("pieces", none))
+        with_pieces(rows, keys, "surface", "reading", regular)
         .withColumn("runs", anchored_runs(F.col("surface"), F.col("reading")))
         .withColumn("best", F.transform("runs", lambda r: best_vectors(r["run"], r["part"], F.col("pieces"))))
     )
@@ -154,8 +159,8 @@ def sound_combinations(words: DataFrame, keys: list[str], surface: str, sounds:
         F.count(F.lit(1)).alias("m"), F.sum(F.log2(F.col("k").cast("double"))).alias("bits"))
     few = logs.where((F.col("m") == F.col("_n")) & (F.col("bits") <= math.log2(max_combos) + 1e-9)).select(*keys)
     kept = placed.join(few, keys, "left_semi").join(sounds.select("ch", "sound").distinct(), "ch")
-    per = kept.groupBy(*keys, "at").agg(F.array_sort(F.collect_set("sound")).alias("s"))
-    grid = per.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "s"))).alias("g"))
+    per = kept.groupBy(*keys, "at").agg(F.sort_array(F.collect_set("sound")).alias("s"))
+    grid = per.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "s"))).alias("g"))
     combined = F.aggregate(
         F.transform("g", lambda x: x["s"]), F.array(F.lit("")),
         lambda acc, s: F.array_distinct(F.flatten(F.transform(acc, lambda a: F.transform(s, lambda b: F.concat(a, b))))))

@@ -111,7 +111,7 @@ def suppress_exceptions(regular: DataFrame, exceptions: DataFrame, scope: list[s
     judged = opened.join(hits, [*scope, "id", "at"], "left")
     kept = F.struct("at", F.col("b.surface").alias("s"), F.col("b.reading").alias("r"))
     per = judged.groupBy(*scope, "id", word).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_hit").isNull() & F.col("at").isNotNull(), kept))).alias("k"),
+        F.sort_array(F.collect_list(F.when(F.col("_hit").isNull() & F.col("at").isNotNull(), kept))).alias("k"),
         F.count("at").alias("n"))
     return per.where((F.size("k") > 0) | (F.col("n") == 0)).select(
         *scope, "id", F.when(F.col("n") == 0, F.regexp_replace(word, r"\([^)]*\)", "")).otherwise(
@@ -122,8 +122,8 @@ def suppress_exceptions(regular: DataFrame, exceptions: DataFrame, scope: list[s
 def tally(df: DataFrame, cols: list[str]) -> DataFrame:
     """Counts per combination and their share of all rows in millionths."""
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n").alias("_total"))
-    return counted.join(F.broadcast(total)).withColumn("share", F.floor(F.col("n") * 1000000 / F.col("_total"))).drop("_total")
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.withColumn("share", F.floor(F.col("n") * 1000000 / total))
 
 
 def report(df: DataFrame, by: list[str], order: list[Column], n: int = 40) -> DataFrame:

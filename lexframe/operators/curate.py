@@ -88,7 +88,7 @@ def judge_edits(edits: DataFrame, base: DataFrame, fold_limit: int = FOLD_LIMIT,
 
 def _fold_chain(cand: DataFrame) -> DataFrame:
     """(key, ord) of saved edits by one ordered fold per key (bounded histories)."""
-    lists = cand.groupBy("key", "_start").agg(F.array_sort(F.collect_list(F.struct("ord", "want", "give"))).alias("e"))
+    lists = cand.groupBy("key", "_start").agg(F.sort_array(F.collect_list(F.struct("ord", "want", "give"))).alias("e"))
     state = F.struct(F.col("_start").alias("now"), F.expr("cast(array() as array<bigint>)").alias("ords"))
 
     def step(s: Column, e: Column) -> Column:

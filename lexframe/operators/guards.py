@@ -17,7 +17,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], sample: str | None = None, sa
     if sample is None:
         return repeated
     some = top_k(df.select(*keys, sample).dropDuplicates(), keys, [F.col(sample)], samples)
-    shown = some.groupBy(*keys).agg(F.array_sort(F.collect_list(sample)).alias("samples"))
+    shown = some.groupBy(*keys).agg(F.sort_array(F.collect_list(sample)).alias("samples"))
     return repeated.join(shown, keys)
 
 

@@ -32,7 +32,7 @@ def cluster_lines(df: DataFrame, page: list[str], y: str, tolerance: float, name
     ys = df.select(*page, y).distinct()
     fresh = F.coalesce((F.col(y) - F.lag(y).over(w) > tolerance).cast("int"), F.lit(1))
     chained = ys.withColumn("_fresh", fresh).withColumn("_chain", F.sum("_fresh").over(w))
-    grouped = chained.groupBy(*page, "_chain").agg(F.array_sort(F.collect_list(y)).alias("_ys"))
+    grouped = chained.groupBy(*page, "_chain").agg(F.sort_array(F.collect_list(y)).alias("_ys"))
     kind = dict(df.dtypes)[y]
     start = F.expr(f"named_struct('a', cast(null as {kind}), 'all', cast(array() as array<{kind}>))")
 
@@ -65,7 +65,7 @@ def assemble_rows(df: DataFrame, page: list[str], line: str) -> DataFrame:
     )
 
     def text(name: str) -> Column:
-        pieces = F.array_sort(F.collect_list(F.struct(F.col(line).alias("o"), F.col(name).alias("t"))))
+        pieces = F.sort_array(F.collect_list(F.struct(F.col(line).alias("o"), F.col(name).alias("t"))))
         return F.array_join(F.transform(pieces, lambda p: p["t"]), "")
 
     return rows.groupBy(*page, "entity", "row").agg(
@@ -101,7 +101,7 @@ def attach_ruby(base: DataFrame, ruby: DataFrame, line: list[str]) -> DataFrame:
     """
     page = line[:-1]
     lines = base.groupBy(*line).agg(
-        F.first("y").alias("y"), F.array_sort(F.collect_list(F.struct("x", "x1", "c"))).alias("chars"))
+        F.first("y").alias("y"), F.sort_array(F.collect_list(F.struct("x", "x1", "c"))).alias("chars"))
     bands = F.array(F.floor(F.col("y") / RUBY_RISE), F.floor(F.col("y") / RUBY_RISE) + 1)
     spread = ruby.select(*page, F.col("y").alias("_ry"), "x0", F.col("x1").alias("rx1"), "text", F.explode(bands).alias("_band"))
     near = (
@@ -109,7 +109,7 @@ def attach_ruby(base: DataFrame, ruby: DataFrame, line: list[str]) -> DataFrame:
         .join(spread, [*page, "_band"])
         .where((F.col("y") - F.col("_ry") > 0) & (F.col("y") - F.col("_ry") <= RUBY_RISE))
     )
-    hats = near.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("x0", "rx1", "text"))).alias("rubies"))
+    hats = near.groupBy(*line).agg(F.sort_array(F.collect_list(F.struct("x0", "rx1", "text"))).alias("rubies"))
     empty = F.expr("cast(array() as array<struct<x0:double,rx1:double,text:string>>)")
     joined = lines.join(hats, line, "left").withColumn("rubies", F.coalesce("rubies", empty))
     rubies = F.col("rubies")
@@ -148,7 +148,7 @@ def box_lookup(left: DataFrame, right: DataFrame, page: list[str], x_band: tuple
     spread = left.select(*page, "id", F.col("y").alias("_y"), F.explode(bands).alias("_band"))
     inside = right.where((F.col("x") >= x_band[0]) & (F.col("x") < x_band[1])).withColumn("_band", F.floor(F.col("y") / height))
     hits = spread.join(inside, [*page, "_band"]).where((F.col("y") - F.col("_y")).between(*dy))
-    pieces = F.array_sort(F.collect_list(F.struct("x", "y", "text")))
+    pieces = F.sort_array(F.collect_list(F.struct("x", "y", "text")))
     return hits.groupBy(*page, "id").agg(F.array_join(F.transform(pieces, lambda p: p["text"]), "").alias("text"))
 
 
@@ -192,7 +192,7 @@ def join_numbered(df: DataFrame, entry: list[str], order: str, text: str, opens:
     w = Window.partitionBy(*entry).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = df.withColumn("_opens", opens).withColumn("item", F.sum(F.col("_opens").cast("int")).over(w)).where("item > 0")
     piece = F.struct(F.col(order).alias("o"), F.when(F.col("_opens"), body).otherwise(F.col(text)).alias("t"))
-    pieces = F.array_sort(F.collect_list(piece))
+    pieces = F.sort_array(F.collect_list(piece))
     return rows.groupBy(*entry, "item").agg(
         F.max(F.when(F.col("_opens"), number)).alias("no"), strip(F.array_join(F.transform(pieces, lambda p: p["t"]), "")).alias("text"))
 

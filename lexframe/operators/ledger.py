@@ -114,7 +114,7 @@ def number_requests(missing: DataFrame, order: list[str], bucket: Column, size:
 def build_requests(numbered: DataFrame, fields: list[str]) -> DataFrame:
     """(batch, n, body): one JSON list per batch; a batch holds at most its fixed number of rows."""
     row = F.struct("i", *fields)
-    return numbered.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.to_json(F.array_sort(F.collect_list(row))).alias("body"))
+    return numbered.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.to_json(F.sort_array(F.collect_list(row))).alias("body"))
 
 
 def group_batches(rows: DataFrame, group: list[str], order: list[str], bucket: Column, size: int) -> DataFrame:

@@ -70,7 +70,7 @@ def connect_forms(connect: Column, known: Column) -> Column:
     def chain(slots: Column) -> Column:
         return F.aggregate(slots, F.array(F.lit("")), lambda acc, slot: let(
             lambda opts: F.slice(F.flatten(F.transform(acc, lambda a: F.transform(opts, lambda o: F.concat(a, o)))), 1, MAX_CHAINS),
-            F.array_sort(F.array_distinct(F.transform(F.split(slot, "[／/・]", -1), tail)))))
+            F.sort_array(F.array_distinct(F.transform(F.split(slot, "[／/・]", -1), tail)))))
 
     def shapes(shape: Column) -> Column:
         pieces = F.split(F.regexp_replace(shape, OPTIONAL, ""), "＋", -1)

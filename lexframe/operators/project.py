@@ -27,7 +27,7 @@ def sorted_examples(c: Column) -> Column:
     """Examples by word length, first-sense length, reading length and first sense; source order on ties."""
     keyed = F.transform(c, lambda x, i: F.struct(
         word_length(x["w"]).alias("a"), F.length(first_sense(x["ko"])).alias("b"), reading_length(x["w"]).alias("c"), first_sense(x["ko"]).alias("d"), i.alias("i"), x.alias("x")))
-    return F.transform(F.array_sort(keyed), lambda k: k["x"])
+    return F.transform(F.sort_array(keyed), lambda k: k["x"])
 
 
 def sort_kanji(df: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def field_changes(notes: DataFrame, existing: DataFrame) -> DataFrame:
     stored = existing.select("key", F.explode("fields").alias("name", "old"))
     pairs = wanted.join(existing.select("key"), "key", "left_semi").join(stored, ["key", "name"], "left")
     different = pairs.where(~F.col("value").eqNullSafe(F.coalesce("old", F.lit(""))))
-    entry = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", c))))
+    entry = lambda c: F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", c))))
     return different.withColumn("old", F.coalesce("old", F.lit(""))).groupBy("key").agg(entry("value").alias("changed"), entry("old").alias("before"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import geminated, kana_fold, kana_unfold, let, romanize, sound_forms
-from lexframe.operators.attribute import CJK, matched_pieces
+from lexframe.operators.attribute import CJK, with_pieces
 from lexframe.operators.order import position, top_k
 from lexframe.operators.verify import explode_targets
 
@@ -17,6 +17,8 @@ CONTINUATIVE = (("う", "い"), ("く", "き"), ("ぐ", "ぎ"), ("す", "し"),
 CANDIDATE_CAP = 4000
 EXAMPLES_PER_READING = 3
 
+TARGET_MARK = "\u0001"
+
 _INTS = "cast(array() as array<int>)"
 
 
@@ -38,13 +40,11 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
     residual, then the smallest text.  Both measures add up along the word, so one best state per
     place is enough.  ``forms``: ch, form (geminated closure).  ``targets``: ch.
     """
-    chars = df.select(*keys, F.explode(F.array_distinct(F.regexp_extract_all(surface, F.lit(f"[{CJK}]"), F.lit(0)))).alias("_ch"))
-    wanted = targets.select(F.col("ch").alias("_ch"))
-    mine = chars.join(wanted, "_ch", "left_semi").groupBy(*keys).agg(F.collect_set("_ch").alias("_mine"))
-    pieces = matched_pieces(df, keys, surface, reading, forms)
-    none = F.expr("cast(array() as array<string>)")
-    rows = df.join(mine, keys, "left").join(pieces, keys, "left")
-    rows = rows.withColumn("_mine", F.coalesce("_mine", none)).withColumn("pieces", F.coalesce("pieces", none))
+    cols = list(dict.fromkeys([*keys, surface, reading]))
+    # a target character is found by the mark below, any other one by its known forms
+    marks = targets.select("ch", F.lit(TARGET_MARK).alias("form"))
+    asked = df.withColumn("_asked", F.concat(F.col(reading), F.lit(TARGET_MARK)))
+    rows = with_pieces(asked, [*cols, "_asked"], surface, "_asked", forms.select("ch", "form").unionByName(marks))
     r, total = F.col(reading), F.length(reading)
     start = F.expr("named_struct('left', 0, 'states', array(named_struct('p', 0, 'o', 0, 'n', 0, 'res', '')))")
     need = F.length(surface)
@@ -59,7 +59,7 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
         base = t.rlike(f"^[{CJK}]")
         left = s["left"] + F.length(t)
         rest = need - left
-        target = F.array_contains(F.col("_mine"), t)
+        target = F.array_contains(F.col("pieces"), F.concat(t, F.lit(f"|{TARGET_MARK}")))
 
         def grow(q: Column) -> Column:
             ends = F.when(base, _ends(total, q["p"], rest)).when(cut(q["p"], F.length(t)) == t, F.array(q["p"] + F.length(t))).otherwise(F.expr(_INTS))
@@ -67,7 +67,7 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
             return F.transform(fits, lambda e: F.when(base & target, state(e, q["o"], q["n"] + e - q["p"], F.concat(q["res"], cut(q["p"], e - q["p"])))).when(
                 base, state(e, q["o"] - e + q["p"], q["n"], q["res"])).otherwise(state(e, q["o"], q["n"], q["res"])))
 
-        grown = F.array_sort(F.flatten(F.transform(s["states"], grow)))
+        grown = F.sort_array(F.flatten(F.transform(s["states"], grow)))
         kept = F.aggregate(grown, F.expr("cast(array() as array<struct<p:int,o:int,n:int,res:string>>)"), lambda acc, q: F.when(
             F.exists(acc, lambda a: a["p"] == q["p"]), acc).otherwise(F.array_append(acc, q)))
         return F.struct(left.alias("left"), kept.alias("states"))
@@ -83,8 +83,7 @@ def unique_residual(df: DataFrame, keys: list[str], surface: str, reading: str,
     ``forms``: ch, form (known readings with all sound forms, none empty).
     """
     rows = df.where(F.length(surface) - F.length(F.replace(F.col(surface), F.col(kanji), F.lit(""))) == 1)
-    pieces = matched_pieces(rows, keys, surface, reading, forms)
-    rows = rows.join(pieces, keys, "left").withColumn("pieces", F.coalesce("pieces", F.expr("cast(array() as array<string>)")))
+    rows = with_pieces(rows, list(dict.fromkeys([*keys, surface, reading, kanji])), surface, reading, forms)
     r, total, mine = F.col(reading), F.length(reading), F.col(kanji)
     start = F.expr("array(named_struct('p', 0, 'res', ''))")
 

@@ -15,7 +15,7 @@ def similar_sets(df: DataFrame, group: list[str], row: str, tokens: str, thresho
     spread = df.select(*group, F.col(row).alias("_row"), F.explode(tokens).alias("_t"))
     counts = spread.groupBy("_t").agg(F.count(F.lit(1)).alias("_c"))
     ordered = spread.join(counts, "_t").groupBy(*group, "_row").agg(
-        F.array_sort(F.collect_list(F.struct("_c", "_t"))).alias("_o"))
+        F.sort_array(F.collect_list(F.struct("_c", "_t"))).alias("_o"))
     ordered = ordered.select(*group, "_row", F.transform("_o", lambda x: x["_t"]).alias("_s"))
     n = F.size("_s")
     prefix = F.slice("_s", F.lit(1), (n - F.ceil(F.round(n * F.lit(threshold), 6)) + 1).cast("int"))
@@ -31,7 +31,7 @@ def similar_sets(df: DataFrame, group: list[str], row: str, tokens: str, thresho
 
 
 def char_set(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit("(?s:.)"), F.lit(0))))
+    return F.sort_array(F.array_distinct(F.regexp_extract_all(c, F.lit("(?s:.)"), F.lit(0))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

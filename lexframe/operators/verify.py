@@ -60,24 +60,6 @@ def fit_table(dictionary: DataFrame) -> DataFrame:
     return forms(dictionary, "d").unionByName(forms(stem_readings(dictionary), "s")).distinct()
 
 
-def known_readings(runs: DataFrame, fits: DataFrame, longest: int | None = None) -> DataFrame:
-    """(surface, tail, allowed): the readings the dictionary allows a run before this tail.
-
-    Every growing prefix of the tail is tried as part of a headword; runs no headword covers are
-    absent.  ``longest`` bounds the prefixes by the longest dictionary surface.
-    """
-    keys = ["surface", "tail"]
-    n = F.length("tail") if longest is None else F.least(F.length("tail"), F.greatest(F.lit(0), F.lit(longest) - F.length("surface")))
-    cut = F.substring("tail", F.lit(1), F.col("cut"))
-    distinct = runs.select(*keys).distinct()
-    grown = distinct.select(*keys, F.explode(F.sequence(F.lit(0), n)).alias("cut")).select(
-        *keys, F.lit("d").alias("kind"), F.concat("surface", cut).alias("head"), kana_fold(cut).alias("more"))
-    stems = distinct.select(*keys, F.lit("s").alias("kind"), F.col("surface").alias("head"), F.lit("").alias("more"))
-    joined = grown.unionByName(stems).join(fits, ["kind", "head"])
-    own = F.when(F.col("form").endswith(F.col("more")), F.substring("form", F.lit(1), F.length("form") - F.length("more")))
-    return joined.groupBy(*keys).agg(F.collect_set(own).alias("allowed"))
-
-
 def base_runs(surface: Column) -> Column:
     """Array of (surface, tail): distinct base runs with the literal that follows them."""
     found = F.regexp_extract_all(surface, F.lit(f"[{BASE}]+|[^{BASE}]+"), F.lit(0))
@@ -90,12 +72,30 @@ def base_runs(surface: Column) -> Column:
     return let(pick, found)
 
 
-def attach_known(df: DataFrame, keys: list[str], surface: str, fits: DataFrame, longest: int | None = None) -> DataFrame:
-    """Adds ``known``: array of (surface, tail, allowed) for the runs of each row the dictionary knows."""
-    runs = df.select(*keys, F.explode(base_runs(F.col(surface))).alias("_r")).select(*keys, "_r.surface", "_r.tail")
-    known = runs.join(known_readings(runs, fits, longest), ["surface", "tail"])
-    per = known.groupBy(*keys).agg(F.collect_list(F.struct("surface", "tail", "allowed")).alias("known"))
-    return df.join(per, keys, "left")
+def attach_known(df: DataFrame, cols: list[str], surface: str, fits: DataFrame, longest: int | None = None) -> DataFrame:
+    """(cols, known): distinct rows with (surface, tail, allowed) of the runs the dictionary knows.
+
+    Every growing prefix of a run's tail is tried as part of a headword, in one pass over the rows;
+    ``longest`` bounds the prefixes by the longest dictionary surface.
+    """
+    def asked(r: Column) -> Column:
+        size = F.length(r["tail"])
+        n = size if longest is None else F.least(size, F.greatest(F.lit(0), F.lit(longest) - F.length(r["surface"])))
+
+        def item(kind: str, head: Column, more: Column) -> Column:
+            return F.struct(r["surface"].alias("surface"), r["tail"].alias("tail"), F.lit(kind).alias("kind"), head.alias("head"), more.alias("more"))
+
+        grown = F.transform(F.sequence(F.lit(0), n), lambda k: item("d", F.concat(r["surface"], F.substring(r["tail"], F.lit(1), k)), kana_fold(F.substring(r["tail"], F.lit(1), k))))
+        return F.array_append(grown, item("s", r["surface"], F.lit("")))
+
+    rows = df.select(*cols, F.explode_outer(F.flatten(F.transform(base_runs(F.col(surface)), asked))).alias("_a"))
+    opened = rows.select(*cols, F.col("_a.surface").alias("_s"), F.col("_a.tail").alias("_t"), F.col("_a.kind").alias("_k"), F.col("_a.head").alias("_h"), F.col("_a.more").alias("_m"))
+    table = fits.select(F.col("kind").alias("_k"), F.col("head").alias("_h"), F.col("form").alias("_f"))
+    met = opened.join(table, ["_k", "_h"], "left")
+    own = F.when(F.col("_f").endswith(F.col("_m")), F.substring("_f", F.lit(1), F.length("_f") - F.length("_m")))
+    per_run = met.groupBy(*cols, "_s", "_t").agg(F.collect_set(own).alias("allowed"), F.count("_f").alias("_n"))
+    known = F.when(F.col("_n") > 0, F.struct(F.col("_s").alias("surface"), F.col("_t").alias("tail"), "allowed"))
+    return per_run.groupBy(*cols).agg(F.collect_list(known).alias("known"))
 
 
 def judge_readings(annotated: Column, known: Column) -> Column:
@@ -117,10 +117,10 @@ def judge_readings(annotated: Column, known: Column) -> Column:
 
 
 def readings_fit(df: DataFrame, keys: list[str], annotated: str, fits: DataFrame, longest: int | None = None) -> DataFrame:
-    """Adds fits_long and fits_all to rows with an annotated text."""
-    rows = attach_known(df.withColumn("_plain", plain_surface(F.col(annotated))), keys, "_plain", fits, longest)
+    """(keys, annotated, fits_long, fits_all) of rows with an annotated text."""
+    rows = attach_known(df.withColumn("_plain", plain_surface(F.col(annotated))), [*keys, annotated], "_plain", fits, longest)
     return rows.withColumn("_j", judge_readings(F.col(annotated), F.col("known"))).select(
-        *df.columns, F.col("_j.fits_long").alias("fits_long"), F.col("_j.fits_all").alias("fits_all"))
+        *keys, annotated, F.col("_j.fits_long").alias("fits_long"), F.col("_j.fits_all").alias("fits_all"))
 
 
 def choose_alignment(df: DataFrame, keys: list[str], fits: DataFrame, surface: str = "ja", reading: str = "kana", longest: int | None = None) -> DataFrame:
@@ -129,7 +129,7 @@ def choose_alignment(df: DataFrame, keys: list[str], fits: DataFrame, surface: s
     The runs of a surface are the same in all its alignments, so the dictionary is joined once per
     run and the candidates are made and judged in one pass over the rows.
     """
-    rows = attach_known(df.select(*keys, surface, reading), keys, surface, fits, longest)
+    rows = attach_known(df, [*keys, surface, reading], surface, fits, longest)
 
     def pick(cands: Column) -> Column:
         long = F.filter(cands, lambda c: c["j"]["fits_long"])

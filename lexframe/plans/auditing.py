@@ -206,7 +206,7 @@ SELECT lang, stem, min((a, b))[1] AS a, min((a, b))[2] AS b, 'WARN' AS severity,
 
 def audit_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Sense-syntax findings of all documents, tallied with their share."""
-    found = A.audit_meanings(table(spark, sf, "documents"), ["doc_id"], "text")
+    found = A.audit_meanings(B.documents(spark, sf), ["doc_id"], "text")
     return A.tally(found, ["severity", "reason"])
 
 

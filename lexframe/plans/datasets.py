@@ -94,7 +94,7 @@ def grammar_dataset(spark: SparkSession, sf: str) -> DataFrame:
     marked = F.when(F.col("sent") % 5 == 0, F.concat(F.lit("*"), F.translate("text", "*", ""))).when(F.col("sent") % 3 == 0, F.concat(F.lit("*"), F.translate("text", "*", ""), F.lit("*"))).otherwise(F.lit(""))
     rows = B.sentences(spark, sf).select("doc_id", F.struct("sent", F.translate("text", "*", "").alias("ja"), marked.alias("marked"),
                                          F.lit("k").alias("ko"), F.when(F.col("sent") % 3 == 0, F.lit("human")).alias("mark_method")).alias("x"))
-    df = rows.groupBy(F.col("doc_id").cast("string").alias("key")).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.dropFields("sent")).alias("examples")).select(
+    df = rows.groupBy(F.col("doc_id").cast("string").alias("key")).agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x.dropFields("sent")).alias("examples")).select(
         "key", F.concat(F.lit("h"), "key").alias("head"), F.right("key", F.lit(1)).alias("level"), F.lit("m").alias("gloss_ko"), F.lit(None).cast("string").alias("note_ko"),
         F.lit(None).cast("string").alias("gloss_ja"), F.lit(None).cast("string").alias("gloss_en"), F.array(F.lit("Ｖて")).alias("connect"), "examples")
     broken = GRAMMAR.contract(df).groupBy("key").agg(F.count_if(F.col("rule") == "unpaired marks").alias("unpaired"))

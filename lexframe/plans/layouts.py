@@ -17,7 +17,7 @@ def layout_lines(spark: SparkSession, sf: str) -> DataFrame:
     tokens = B.words(spark, sf).select(
         "doc_id", (p % 8 * 45.0).alias("x0"), (F.floor(p / 8) * 4 + p * 13 % 7).cast("long").alias("y"), "pos", "word")
     placed = L.cluster_lines(L.assign_columns(tokens, "x0", CUTS, "note"), ["doc_id"], "y", 5)
-    pieces = F.array_sort(F.collect_list(F.struct("x0", "pos", "word")))
+    pieces = F.sort_array(F.collect_list(F.struct("x0", "pos", "word")))
     return placed.groupBy("doc_id", "line_y", "col").agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.transform(pieces, lambda t: t["word"]), " ").alias("text"))
 
@@ -141,7 +141,7 @@ def layout_carry(spark: SparkSession, sf: str) -> DataFrame:
     return resolved.groupBy("conv_id", "turn").agg(
         F.count_if(F.col("resolved") == "ko").alias("ko"), F.count_if(F.col("resolved") == "zh").alias("zh"),
         F.count_if(F.col("resolved").isNull()).alias("none"),
-        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("resolved") == "ko", F.struct("tok", "word")))), lambda t: t["word"]), " ")).alias("note"))
+        F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("resolved") == "ko", F.struct("tok", "word")))), lambda t: t["word"]), " ")).alias("note"))
 
 
 CARRY_ORACLE = f"""WITH t AS (SELECT conv_id, turn, i AS tok, l[i] AS word,

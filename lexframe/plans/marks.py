@@ -99,7 +99,7 @@ def pattern_forms(spark: SparkSession, sf: str) -> DataFrame:
     connect = F.array(F.concat(F.lit("Ｖて ＋ "), F.translate(w, "ae", "／～")))
     marked = F.concat(F.lit("*"), a, F.lit("*えい"))
     def shown(forms):
-        return F.array_join(F.array_sort(F.transform(forms, lambda f: F.array_join(f, "+"))), "|")
+        return F.array_join(F.sort_array(F.transform(forms, lambda f: F.array_join(f, "+"))), "|")
     return B.kana_words(spark, sf).select(
         "word", shown(M.head_forms(head)).alias("forms"), shown(M.connect_forms(connect, M.head_forms(head))).alias("connected"),
         F.array_join(X.mark_spans(marked), "|").alias("spans"), F.array_join(F.transform(X.mark_offsets(marked), lambda o: o.cast("string")), ",").alias("offsets"),

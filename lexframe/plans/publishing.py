@@ -77,7 +77,7 @@ def _moves(spark: SparkSession, sf: str) -> DataFrame:
 
 def sync_plan(spark: SparkSession, sf: str) -> DataFrame:
     plan = P.plan_sync(_notes(spark, sf), _existing(spark, sf), _moves(spark, sf))
-    pair = lambda c: F.coalesce(F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";"), F.lit(""))
+    pair = lambda c: F.coalesce(F.array_join(F.transform(F.sort_array(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";"), F.lit(""))
     return plan.select("key", "note_id", "action", pair("changed").alias("changed"), pair("before").alias("before"))
 
 
@@ -108,8 +108,8 @@ def sync_summary(spark: SparkSession, sf: str) -> DataFrame:
     notes, moves = _notes(spark, sf), _moves(spark, sf)
     plan = P.plan_sync(notes, _existing(spark, sf), moves)
     have = _cards(spark, sf).where("ord = 0").select(F.col("deck").alias("target")).distinct()
-    broken = P.broken_notes(notes.unionByName(notes.where("key like '%9'"))).agg(F.count(F.lit(1)).alias("broken"))
-    return P.plan_summary(plan, moves, P.plan_targets(plan, notes, moves, have)).join(F.broadcast(broken))
+    broken = P.broken_notes(notes.unionByName(notes.where("key like '%9'"))).agg(F.count(F.lit(1))).scalar()
+    return P.plan_summary(plan, moves, P.plan_targets(plan, notes, moves, have)).withColumn("broken", broken)
 
 
 SUMMARY_ORACLE = """WITH c AS (SELECT c_custkey AS k, c_mktsegment AS s FROM customer), x AS (SELECT *, k % 7 = 0 OR k % 11 = 0 AS fresh FROM c)
@@ -132,7 +132,7 @@ PACKED_ORACLE = "SELECT CAST(event_id AS VARCHAR) AS key, event_type, CAST(json_
 
 def example_notes(spark: SparkSession, sf: str) -> DataFrame:
     """One note per document and one per sentence of it, with search text."""
-    rows = B.sentences(spark, sf).groupBy("doc_id", "lang").agg(F.array_sort(F.collect_list(F.struct("sent", F.col("text").alias("ja"), F.when(F.length("text") % 2 == 0, F.lit("ok")).otherwise("").alias("ko")))).alias("examples"))
+    rows = B.sentences(spark, sf).groupBy("doc_id", "lang").agg(F.sort_array(F.collect_list(F.struct("sent", F.col("text").alias("ja"), F.when(F.length("text") % 2 == 0, F.lit("ok")).otherwise("").alias("ko")))).alias("examples"))
     base = rows.select(F.col("doc_id").cast("string").alias("key"), "lang", "examples")
     fields = {"Lang": F.col("lang"), "Text": P.search_text(F.col("examples"))}
     placement = F.create_map(F.lit(P.ANY_CARD), F.concat(F.lit("docs::"), "lang"))

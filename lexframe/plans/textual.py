@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexframe.functions import text as X
 from lexframe.plans import base as B
-from lexframe.session import table
 
 
 def text_fold_kinds(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +99,7 @@ def text_senses(spark: SparkSession, sf: str) -> DataFrame:
     """Sense syntax of every document: its lines are the senses, its sentences the answer."""
     t = F.col("text")
     answer = X.clean_answer(F.split(t, "\n", -1))
-    return table(spark, sf, "documents").select(
+    return B.documents(spark, sf).select(
         "doc_id", F.size(X.senses(t)).alias("n_senses"), F.md5(X.first_sense(t)).alias("first"),
         X.has_boundary_semicolon(t).alias("boundary"), answer.isNotNull().alias("accepted"),
         F.md5(F.regexp_replace(t, r"[()（）\[\],·/ \n]+", "")).alias("compared"),

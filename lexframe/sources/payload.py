@@ -27,8 +27,8 @@ def flatten_examples(records: DataFrame, bucket: str) -> DataFrame:
 def nest_examples(flat: DataFrame) -> DataFrame:
     """(payload, key, bucket): the map rebuilt in its order.  A record holds a bounded list."""
     per = flat.groupBy("payload", "key", "reading_ord", "reading").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("ex_ord", "example"))), lambda x: x["example"]).alias("examples"))
-    entries = F.array_sort(F.collect_list(F.struct("reading_ord", "reading", "examples")))
+        F.sort_array(F.collect_list(F.struct("ex_ord", "example"))), lambda x: x["example"]).alias("examples"))
+    entries = F.sort_array(F.collect_list(F.struct("reading_ord", "reading", "examples")))
     return per.groupBy("payload", "key").agg(F.map_from_entries(F.transform(
         entries, lambda e: F.struct(e["reading"].alias("key"), e["examples"].alias("value")))).alias("bucket"))
 

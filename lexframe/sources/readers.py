@@ -86,7 +86,7 @@ def parse_entries(df: DataFrame, order: str) -> DataFrame:
     readings = rows.select("_o", "kebs", "pos", F.posexplode("rebs").alias("i", "reading")).where("reading <> ''")
     pairs = readings.select("_o", "i", "pos", "reading", F.explode(F.when(F.size("kebs") > 0, F.col("kebs")).otherwise(F.array("reading"))).alias("surface"))
     return pairs.groupBy("surface", "reading").agg(
-        F.min(F.col("_o") * 1000 + F.col("i")).alias("reading_ord"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("pos")))).alias("pos"))
+        F.min(F.col("_o") * 1000 + F.col("i")).alias("reading_ord"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("pos")))).alias("pos"))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:

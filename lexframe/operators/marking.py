@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexframe.functions.text import (
     H_HEADS, P_HEADS, PLAIN_HEADS, VOICED_HEADS, chunk_edges, chunks, let, mark_offsets, mark_spans, plain_surface, plane, strip,
 )
-from lexframe.operators.verify import lexicon_spots
-
 # --- fixed values: gaps, slack, inflections, connection shapes ---
 MAX_GAP = 14
 SLACK = 4
@@ -155,7 +153,7 @@ def placements(surface: Column, patterns: Column) -> Column:
 
     def hits(pattern: Column, low: Column, high: Column) -> Column:
         spots = F.transform(F.sequence(low, high), lambda p: F.struct(
-            p.alias("s"), (p + F.coalesce(F.length(F.regexp_substr(F.substring(surface, p + 1, n), F.concat(F.lit("^(?:"), pattern, F.lit(")")))), F.lit(0))).alias("e")))
+            p.alias("s"), (p + F.length(F.call_function("regexp_extract", F.substring(surface, p + 1, n), F.concat(F.lit("^(?:"), pattern, F.lit(")")), F.lit(0)))).alias("e")))
         return F.filter(spots, lambda x: x["e"] > x["s"])
 
     def step(states: Column, pattern: Column) -> Column:
@@ -244,14 +242,22 @@ def with_spots(df: DataFrame, keys: list[str], annotated: str, lexicon: DataFram
 
     ``lexicon``: word, plane (written or spoken).  The surface plane knows both kinds.
     """
-    def of(which: str, words: DataFrame) -> DataFrame:
-        texts = df.select(*keys, plane(F.col(annotated), which).alias("_t"))
-        spots = lexicon_spots(texts, keys, "_t", words, longest)
-        return spots.groupBy(*keys).agg(F.collect_list(F.struct(F.col("start").cast("int").alias("s"), F.col("stop").cast("int").alias("e"))).alias(f"spots_{which}"))
-
-    written, spoken = lexicon.select("word").distinct(), lexicon.where("plane = 'spoken'").select("word").distinct()
+    def grams(text: Column, sound: bool) -> Column:
+        n = F.length(text)
+        cut = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda p: F.transform(
+            F.sequence(F.lit(2), F.least(F.lit(longest), n - p)), lambda k: F.struct(
+                F.lit(sound).alias("sound"), p.alias("s"), (p + k).alias("e"), F.substring(text, p + 1, k).alias("w")))))
+        return F.when(n >= 2, cut).otherwise(F.expr("cast(array() as array<struct<sound:boolean,s:int,e:int,w:string>>)"))
+
+    every = let(lambda a, b: F.concat(grams(a, False), grams(b, True)), plane(F.col(annotated), "surface"), plane(F.col(annotated), "sound"))
+    opened = df.select(*keys, F.explode(every).alias("_g"))
+    words = lexicon.groupBy(F.col("word").alias("_w")).agg(F.max(F.col("plane") == "spoken").alias("_spoken"))
+    met = opened.select(*keys, "_g.sound", "_g.s", "_g.e", F.col("_g.w").alias("_w")).join(words, "_w")
+    spot = F.struct("s", "e")
+    spots = met.groupBy(*keys).agg(
+        F.collect_list(F.when(~F.col("sound"), spot)).alias("spots_surface"), F.collect_list(F.when(F.col("sound") & F.col("_spoken"), spot)).alias("spots_sound"))
     none = F.expr(_SPANS)
-    joined = df.join(of("surface", written), keys, "left").join(of("sound", spoken), keys, "left")
+    joined = df.join(spots, keys, "left")
     return joined.withColumn("spots_surface", F.coalesce("spots_surface", none)).withColumn("spots_sound", F.coalesce("spots_sound", none))
 
 

@@ -148,7 +148,7 @@ def select_examples(freq: DataFrame, dictionary: DataFrame, readings: DataFrame,
     ranked = top_k(best, ["ch", "bucket"], [F.desc("freq"), F.desc("lemma")], keep, "rank")
     sizes = placed.groupBy("ch", "bucket").agg(F.max("freq").alias("best"))
     empty = wanted.select("ch", F.col("_key").alias("bucket")).join(sizes, ["ch", "bucket"], "left_anti").withColumn("best", F.lit(0).cast("long"))
-    buckets = position(sizes.unionByName(empty.select("ch", "bucket", "best")).withColumn("_neg", -F.col("best")), ["ch"], ["_neg", "bucket"], F.lit(0), "place")
+    buckets = position(sizes.unionByName(empty.select("ch", "bucket", "best")).withColumn("_neg", -F.col("best")), ["ch"], ["_neg", "bucket"], F.col("_neg"), "place")
     return (
         ranked.select("ch", F.col("bucket").alias("reading"), "rank", "lemma", "freq"),
         buckets.select("ch", F.col("bucket").alias("reading"), "best", "place"),

@@ -306,7 +306,7 @@ def top_examples(spark: SparkSession, sf: str) -> DataFrame:
     freq = B.words(spark, sf).groupBy("lang", F.left("word", F.lit(2)).alias("stem"), "word").agg(F.count(F.lit(1)).alias("freq"))
     best = O.top_k(freq, ["lang", "stem"], [F.desc("freq"), F.desc("word")], 3)
     sizes = freq.groupBy("lang", "stem").agg((-F.max("freq")).alias("neg"))
-    placed = O.position(sizes, ["lang"], ["neg", "stem"], F.lit(0), "place").select("lang", "stem", "place")
+    placed = O.position(sizes, ["lang"], ["neg", "stem"], F.col("neg"), "place").select("lang", "stem", "place")
     return best.join(placed, ["lang", "stem"]).select("lang", "stem", "word", "freq", "rank", "place")
 
 

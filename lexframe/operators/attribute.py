@@ -40,9 +40,11 @@ def with_pieces(words: DataFrame, cols: list[str], surface: str, reading: str, f
 
     chars = F.array_distinct(F.regexp_extract_all(surface, F.lit(f"[{CJK}]"), F.lit(0)))
     longest = F.coalesce(forms.agg(F.max(F.length("form"))).scalar(), F.lit(1))
-    rows = words.withColumn("_longest", longest).select(*cols, F.explode_outer(let(asked, chars, F.col(reading), F.col("_longest"))).alias("_a"))
+    rows = words.withColumn("_longest", longest).select(*cols, F.posexplode_outer(let(asked, chars, F.col(reading), F.col("_longest"))).alias("_i", "_a"))
     table = forms.select(F.col("ch").alias("_ch"), F.col("form").alias("_form"), F.lit(True).alias("_hit")).distinct()
-    met = rows.select(*cols, F.col("_a.c").alias("_ch"), F.col("_a.p").alias("_form")).join(table, ["_ch", "_form"], "left")
+    met = rows.select(*cols, "_i", F.col("_a.c").alias("_ch"), F.col("_a.p").alias("_form")).join(table, ["_ch", "_form"], "left")
+    # only confirmed pieces go on, and one row per word so that none is lost
+    met = met.where(F.col("_hit") | (F.coalesce("_i", F.lit(0)) == 0))
     return met.groupBy(*cols).agg(F.collect_set(F.when(F.col("_hit"), F.concat_ws("|", "_ch", "_form"))).alias("pieces"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexframe.functions.text import geminated, kana_fold, kana_unfold, let, romanize, sound_forms
 from lexframe.operators.attribute import CJK, with_pieces
@@ -119,40 +119,37 @@ def all_sound_forms(readings: DataFrame) -> DataFrame:
 
 
 def select_examples(freq: DataFrame, dictionary: DataFrame, readings: DataFrame, targets: DataFrame, official: DataFrame,
-                    cap: int = CANDIDATE_CAP, keep: int = EXAMPLES_PER_READING) -> tuple[DataFrame, DataFrame]:
-    """Frequency-based examples per character.
+                    cap: int = CANDIDATE_CAP, keep: int = EXAMPLES_PER_READING) -> DataFrame:
+    """(ch, reading, best, place, rank, lemma, freq): frequency-based examples per character.
 
     ``freq``: lemma, form, freq.  ``dictionary``: surface, reading, reading_ord.  ``readings``: ch,
-    reading (known readings of single characters).  ``official``: ch, key.  Returns
-    (examples: ch, reading, rank, lemma, freq) and (buckets: ch, reading, best, place); an official
-    bucket stays even when it is empty.
+    reading (known readings of single characters).  ``official``: ch, key.  Only lemmas read with
+    the official key count for a character that has one; its bucket stays even when it is empty
+    (rank, lemma and freq null).  ``place`` orders the buckets of a character by their best frequency.
     """
     lemmas = explode_targets(freq.where("lemma <> ''"), targets)
     order = [F.desc("freq"), F.desc("lemma"), F.desc("form")]
     cand = top_k(lemmas, ["ch"], order, cap, "_n").where(~F.col("lemma").contains("・")).select("ch", "lemma", "form", "freq")
     known = dictionary.select(F.col("surface").alias("lemma"), F.col("reading").alias("_r"), "reading_ord")
-    asked = cand.join(known, "lemma", "left").withColumn(
-        "reading", kana_fold(F.coalesce("_r", F.when(F.col("form") != "", F.col("form"))))).where("reading is not null")
-    asked = asked.withColumn("reading_ord", F.coalesce("reading_ord", F.lit(0)))
-    pairs = asked.select("lemma", "reading").distinct()
-    solved = best_residual(pairs, ["lemma", "reading"], "lemma", "reading", geminated_forms(readings), targets)
-    found = asked.join(solved, ["lemma", "reading"])
     wanted = official.select("ch", F.col("key").alias("_key"), kana_fold(F.col("key")).alias("_hira"))
-    tagged = found.join(wanted, "ch", "left")
-    hits = tagged.where(F.col("_key").isNotNull() & (F.col("residual") == F.col("_hira"))).select(
-        "ch", F.col("_key").alias("bucket"), "lemma", "form", "freq").distinct()
-    free = tagged.where("_key is null").groupBy("ch", "lemma", "form", "freq").agg(
-        F.min(F.struct("reading_ord", "residual"))["residual"].alias("bucket")).select("ch", "bucket", "lemma", "form", "freq")
-    placed = hits.unionByName(free)
-    best = placed.groupBy("ch", "bucket", "lemma").agg(F.max("freq").alias("freq"))
-    ranked = top_k(best, ["ch", "bucket"], [F.desc("freq"), F.desc("lemma")], keep, "rank")
-    sizes = placed.groupBy("ch", "bucket").agg(F.max("freq").alias("best"))
-    empty = wanted.select("ch", F.col("_key").alias("bucket")).join(sizes, ["ch", "bucket"], "left_anti").withColumn("best", F.lit(0).cast("long"))
-    buckets = position(sizes.unionByName(empty.select("ch", "bucket", "best")).withColumn("_neg", -F.col("best")), ["ch"], ["_neg", "bucket"], F.col("_neg"), "place")
-    return (
-        ranked.select("ch", F.col("bucket").alias("reading"), "rank", "lemma", "freq"),
-        buckets.select("ch", F.col("bucket").alias("reading"), "best", "place"),
-    )
+    asked = cand.join(known, "lemma", "left").join(wanted, "ch", "left").withColumn(
+        "reading", kana_fold(F.coalesce("_r", F.when(F.col("form") != "", F.col("form"))))).where("reading is not null")
+    asked = asked.withColumn("reading_ord", F.coalesce("reading_ord", F.lit(0).cast("long")))
+    own = ["ch", "lemma", "form", "freq", "_key", "_hira"]
+    found = best_residual(asked, [*own, "reading_ord"], "lemma", "reading", geminated_forms(readings), targets)
+    per = found.groupBy(*own).agg(
+        F.max(F.col("residual") == F.col("_hira")).alias("_hit"), F.min(F.struct("reading_ord", "residual"))["residual"].alias("_free"))
+    bucket = F.when(F.col("_key").isNull(), F.col("_free")).when(F.col("_hit"), F.col("_key"))
+    best = per.select("ch", bucket.alias("reading"), "lemma", "freq").where("reading is not null").groupBy("ch", "reading", "lemma").agg(F.max("freq").alias("freq"))
+    blank = wanted.select("ch", F.col("_key").alias("reading"), F.lit(None).cast("string").alias("lemma"), F.lit(None).cast("long").alias("freq"))
+    ranked = top_k(best.unionByName(blank), ["ch", "reading"], [F.desc_nulls_last("freq"), F.desc("lemma")], keep, "rank")
+    # at most ``keep`` rows are left per bucket, so these windows are small
+    inside = Window.partitionBy("ch", "reading")
+    sized = ranked.withColumn("best", F.coalesce(F.max("freq").over(inside), F.lit(0))).withColumn("_size", F.count(F.lit(1)).over(inside))
+    kept = sized.where(F.col("lemma").isNotNull() | (F.col("_size") == 1))
+    along = Window.partitionBy("ch").orderBy(F.desc("best"), "reading", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    placed = kept.withColumn("place", F.sum((F.col("rank") == 1).cast("int")).over(along))
+    return placed.select("ch", "reading", "best", "place", F.when(F.col("lemma").isNotNull(), F.col("rank")).alias("rank"), "lemma", "freq")
 
 
 def rekey_examples(df: DataFrame, dictionary: DataFrame, readings: DataFrame, on_readings: DataFrame) -> DataFrame:

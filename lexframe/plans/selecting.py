@@ -51,8 +51,8 @@ def select_examples(spark: SparkSession, sf: str) -> DataFrame:
     freq = B.kana_words(spark, sf).select(F.col("surface").alias("lemma"), F.col("reading").alias("form"), "freq")
     empty = B.dictionary(spark, sf).where("reading_ord = 0")
     official = spark.createDataFrame(list(OFFICIAL), "ch string, key string")
-    examples, buckets = S.select_examples(freq, empty, _readings(spark, sf), _targets(spark), official, cap=1 << 30)
-    return buckets.join(examples, ["ch", "reading"], "left").select("ch", "reading", "place", "rank", "lemma", "freq")
+    out = S.select_examples(freq, empty, _readings(spark, sf), _targets(spark), official, cap=1 << 30)
+    return out.select("ch", "reading", "place", "rank", "lemma", "freq")
 
 
 SELECT_ORACLE = f"""WITH RECURSIVE {B.KANA_SQL}, {SINGLE_SQL}, {_GEM}, {_PATHS},

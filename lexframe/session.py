@@ -49,6 +49,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     the cores long before a partition reaches the default minimum of one megabyte.
     """
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+    # many small collected sets: do not fall back to sorting after the default 128 groups
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "16384")
     return spark
 
 

@@ -106,7 +106,7 @@ def grammar_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 GRAMMAR_ORACLE = f"""WITH {B.SENTENCES_SQL}, s AS (SELECT doc_id, sent, text, sent % 5 = 0 AS odd, sent % 5 <> 0 AND sent % 3 = 0 AS good, replace(text, '*', '') AS plain FROM sentences)
 SELECT CAST(doc_id AS VARCHAR) AS key, CASE doc_id % 10 WHEN 1 THEN 'N1' WHEN 2 THEN 'N2' WHEN 3 THEN 'N4' WHEN 4 THEN 'N5' ELSE '' END AS level, count(*) FILTER (sent % 3 <> 0) AS unmarked, count(*) AS n,
-  count(*) FILTER (odd) AS unpaired, count(*) AS notes, count(*) FILTER (good) AS spans FROM s GROUP BY doc_id"""
+  count(*) FILTER (odd) AS unpaired, count(*) AS notes, count(*) FILTER (good AND regexp_replace(plain, '\\([^)]*\\)', '', 'g') <> '') AS spans FROM s GROUP BY doc_id"""
 
 
 def kanji_search(spark: SparkSession, sf: str) -> DataFrame:

@@ -1 +1,8 @@
 """Operators of a large-scale training-data pipeline; nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions sent to executors carry this package's code, so executors need not have it installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

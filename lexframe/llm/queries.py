@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from lexframe.llm import quality_rules
+from lexframe.llm import packing, quality_rules, token_counts, token_store
 from lexframe.llm.common import table
 
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(spark, docs, public_tokenizers.path(BYTE_BPE)).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = packing.pieces(docs, public_tokenizers.path(BYTE_BPE))
+    return packing.pack(spark, parts, ["doc_id", "piece", "ids_crc32"])
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_store.read_tokens(token_store.write_tokens(spark, docs, public_tokenizers.path(WORD_BPE)))
+
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.verdicts(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -14,6 +33,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES = {

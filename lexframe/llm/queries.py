@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexframe.llm import packing, quality_rules, token_counts, token_store
+from lexframe.llm import license_scan, mixing, packing, quality_rules, token_counts, token_store
 from lexframe.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -16,6 +16,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark, docs, public_tokenizers.path(BYTE_BPE)).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(spark, docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op3_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.training_order(mixing.curriculum(docs))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     parts = packing.pieces(docs, public_tokenizers.path(BYTE_BPE))
@@ -34,6 +45,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_license_scan": op2_license_scan,
+    "op3_curriculum_mixing": op3_curriculum_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,

@@ -41,8 +41,8 @@ TEMPLATES = (
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     Template("mpl", "this source code form is subject to the terms of the mozilla public license"),
     Template("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    Template("cc-by-nc", "licensed under cc by nc"),
-    Template("cc-by-sa", "licensed under cc by sa"),
+    Template("cc-by-nc", "cc by nc", False, 0, 1.0),
+    Template("cc-by-sa", "cc by sa", False, 0, 1.0),
 )
 RESULTS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexframe.llm import license_scan, mixing, packing, quality_rules, token_counts, token_store
+from lexframe.llm import hilbert_shards, license_scan, mixing, packing, quality_rules, token_counts, token_store, top_k
 from lexframe.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -27,6 +27,15 @@ def op3_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(spark, table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return hilbert_shards.shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "cell")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     parts = packing.pieces(docs, public_tokenizers.path(BYTE_BPE))
@@ -47,10 +56,13 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
     "op3_curriculum_mixing": op3_curriculum_mixing,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op5_hilbert_shards": op5_hilbert_shards,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES = {
+    "op4_exact_top_k": top_k.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }

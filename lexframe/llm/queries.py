@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexframe.llm import hilbert_shards, license_scan, mixing, packing, quality_model, quality_rules, token_counts, token_store, top_k
+from lexframe.llm import hilbert_shards, license_scan, mixing, near_dedup, packing, quality_model, quality_rules, token_counts, token_store, top_k
 from lexframe.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "cell")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model.train(spark, docs, table(spark, sf_dir, "labels"))
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_curriculum_mixing": op3_curriculum_mixing,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_hilbert_shards": op5_hilbert_shards,
+    "op6_near_dedup": op6_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_store": op9_token_store,

@@ -86,7 +86,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
     return placed.withColumn("target", F.least(cap, F.lit(level) * F.col("weight")) if open_weight else cap)
 
 
-def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple = SCHEDULES, budget: float = BUDGET, most: int = MOST, buckets: int = BUCKETS, text: str = "text", key: str = "doc_id") -> DataFrame:
+def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple = SCHEDULES, budget: float = BUDGET, most: int = MOST, buckets: int = BUCKETS, text: str = "text", key: str = "doc_id", passes: bool = False) -> DataFrame:
     """The other columns of ``docs`` with size, source_size, target, taken and positions, a row per row.
 
     Documents of a source stand in the order of a hash. The source's demand runs over that order up to
@@ -94,38 +94,59 @@ def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: t
     inside a document, ``taken`` counts its words up to there. ``positions`` lists the training
     position of every pass, ascending; documents not taken have none. Null and empty texts have size 0
     and are never taken; a null source is a source of its own, the last. An empty table stays empty.
-    Repeated rows are separate rows. Columns named like a result are replaced, ``text`` is not returned.
+    Repeated rows are separate rows. Columns named like a result are replaced.
+
+    Without ``passes``, ``text`` is not returned. With it, the result is the training set: all columns
+    of ``docs`` with a row per pass that takes words, its words (pass_words), size and position.
     """
-    results = ("size", "source_size", "target", "taken", "positions", "position")
-    kept = [c for c in docs.columns if c.lower() not in (*results, text.lower(), "source")]
-    tie = F.xxhash64(F.col(key), F.col(text))
-    order = F.shiftrightunsigned(F.xxhash64(F.col(key), F.col(text), F.lit("order")), 1)
-    sized = checkpointed(docs.select(*[F.col(f"`{c}`") for c in kept], "source", size_of(F.col(text)).alias("size"), order.alias("__order"), tie.alias("__tie")))
+    results = ("size", "source_size", "target", "taken", "positions", "position", "pass_words")
+    kept = [c for c in docs.columns if c.lower() not in results and (passes or c.lower() not in (text.lower(), "source"))]
+    keys = [F.xxhash64(F.col(key), F.col(text)).alias("__tie"), F.shiftrightunsigned(F.xxhash64(F.col(key), F.col(text), F.lit("order")), 1).alias("__order")]
+    held = [F.col(f"`{c}`") for c in kept]
+    # whole texts are not copied: with passes they join in again by these hashes
+    small = [] if passes else held
+    sized = checkpointed(docs.select(*small, F.col("source").alias("__source"), size_of(F.col(text)).alias("size"), *keys))
     sized = sized.withColumn("__bucket", F.shiftrightunsigned(F.col("__order"), 63 - (buckets - 1).bit_length()))
-    goal = targets(sized.select("source", "size"), weights, budget, most)
-    sums = sized.groupBy("source", "__bucket").agg(F.sum("size").alias("__sum"))
-    earlier = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(F.col("source").alias("__s"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__base"))
-    goals = goal.select(F.col("source").alias("__g"), "source_size", "weight", "place", "target")
+    goal = targets(sized.select(F.col("__source").alias("source"), "size"), weights, budget, most)
+    sums = sized.groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
+    earlier = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(F.col("__source").alias("__s"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__base"))
+    goals = goal.select(F.col("source").alias("__g"), "source_size", "place", "target")
     bases = bases.join(goals, bases["__s"].eqNullSafe(goals["__g"]))
-    inside = Window.partitionBy("source", "__bucket").orderBy("__order", "__tie", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__source", "__bucket").orderBy("__order", "__tie", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("__in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    both = placed.join(bases, placed["source"].eqNullSafe(bases["__s"]) & (placed["__bucket"] == bases["__b"]))
-    start = F.col("__base") + F.col("__in")
+    both = placed.join(bases, placed["__source"].eqNullSafe(bases["__s"]) & (placed["__bucket"] == bases["__b"]))
     demand = F.round("target").cast("long")
-    spent = lambda p: start + F.col("source_size") * p
-    taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), demand - spent(p))) for p in range(most)), F.lit(0))
+
+    def spent(p: int) -> Column:
+        return F.col("__base") + F.col("__in") + F.col("source_size") * p
 
     def at(p: int) -> Column:
+        """(pass_words, position) of a pass that takes words, else null."""
         share = spent(p) / F.col("target")
         position: Column | None = None
         for i, knots in enumerate(schedules):
             own = inverted(share, knots)
             position = own if position is None else F.when(F.pmod("place", F.lit(len(schedules))) == i, own).otherwise(position)
-        return F.when((F.col("size") > 0) & (spent(p) < demand), position)
-
-    positions = F.filter(F.array(*[at(p) for p in range(most)]), lambda x: x.isNotNull())
-    return both.select(*[placed[f"`{c}`"] for c in kept], placed["source"], "size", "source_size", "target", taken.cast("long").alias("taken"), positions.alias("positions"))
+        words = F.least(F.col("size"), demand - spent(p))
+        return F.when(words > 0, F.struct(words.alias("pass_words"), position.alias("position")))
+
+    took = F.filter(F.array(*[at(p) for p in range(most)]), lambda x: x.isNotNull())
+    if passes:
+        slots = both.select("__order", "__tie", F.col("__source"), "size", F.inline(took))
+        # rows with all of these equal are copies of one row: each copy takes the passes of one of them
+        number = F.row_number().over(Window.partitionBy("__order", "__tie", "__source").orderBy("position", "pass_words"))
+        slots = slots.withColumn("__n", number)
+        rows = docs.select(*held, *keys).withColumn("__copies", F.lit(1))
+        texts = rows.dropDuplicates(["__order", "__tie", "source"])
+        on = (texts["__order"] == slots["__order"]) & (texts["__tie"] == slots["__tie"]) & texts["source"].eqNullSafe(slots["__source"])
+        return texts.join(slots, on).select(*[texts[f"`{c}`"] for c in kept], "size", "pass_words", "position")
+    taken = F.aggregate("__took", F.lit(0).cast("long"), lambda a, x: a + x["pass_words"])
+    both = both.withColumn("__took", took)
+    return both.select(
+        *[placed[f"`{c}`"] for c in kept], placed["__source"].alias("source"), "size", "source_size", "target",
+        taken.alias("taken"), F.transform("__took", lambda x: x["position"]).alias("positions"),
+    )
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexframe.llm.common import checkpointed
-from lexframe.llm.tokens import IdEncoder
+from lexframe.llm.tokens import IdEncoder, kept_by_worker
 
 CAPACITY = 2048
 #: hash buckets that share out one length; at 10^10 equal pieces a task numbers some 2.5 million
@@ -39,15 +39,16 @@ def cut(ids: bytes, capacity: int) -> list[dict]:
     ]
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
+def pieces(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
     """The other columns of ``docs`` with piece, start, length and ids_crc32, a row per piece.
 
     A null or empty text is one piece, the closing id 0 alone. Columns named like a result are replaced.
     """
+    local = spark.sparkContext.broadcast({})
 
     @F.pandas_udf(PIECES)
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = IdEncoder(path)
+        encoder = kept_by_worker(local, lambda: IdEncoder(path))
         for batch in batches:
             yield pd.Series([cut(encoder.encode(x) + END, capacity) for x in batch])
 

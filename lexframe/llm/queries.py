@@ -48,7 +48,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    parts = packing.pieces(docs, public_tokenizers.path(BYTE_BPE))
+    parts = packing.pieces(spark, docs, public_tokenizers.path(BYTE_BPE))
     return packing.pack(spark, parts, ["doc_id", "piece", "ids_crc32"])
 
 

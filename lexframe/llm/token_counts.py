@@ -7,42 +7,19 @@ the other pre-tokens are merged (by the library). Counts equal the library's for
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
-
-from lexframe.llm.tokens import Chunks, Memo, loaded
-
-#: below this code point the pattern's classes are stable over all Unicode versions
-STABLE = 0x250
-
-
-def _class(kind: str) -> str:
-    return "".join(re.escape(chr(c)) for c in range(STABLE) if unicodedata.category(chr(c))[0] == kind)
-
-
-LETTERS, NUMBERS = _class("L"), _class("N")
-# --- fixed value: the pre-token pattern of byte-level BPE, for code points below STABLE ---
-PRE_TOKEN = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
-)
-# white space for Python but not for the pattern's class
-ODD = re.compile("[^\x00-\x1b\x20-ɏ]")
 
+from lexframe.llm.tokens import Chunks, Merger, byte_alphabet, kept_by_worker
 
 def whole_tokens(path: str) -> frozenset[str]:
     """Vocabulary strings proven to encode alone as their own single token."""
     tokenizer = Tokenizer.from_file(path)
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
-    # the byte alphabet of byte-level BPE: printable bytes stand for themselves, the rest from U+0100 on
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    byte_of = {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
-    assert set(byte_of) == set(ByteLevel.alphabet())
+    byte_of = {letter: byte for byte, letter in byte_alphabet().items()}
     strings, ids = [], []
     for token, number in tokenizer.get_vocab(with_added_tokens=False).items():
         try:
@@ -58,16 +35,8 @@ class Counter:
     """Counts the tokens of one text; one per worker."""
 
     def __init__(self, path: str, whole: frozenset[str]):
-        tokenizer = loaded(path)
-        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        merged = Memo(lambda piece: len(tokenizer.encode(piece, add_special_tokens=False).ids))
-
-        def count(piece: str) -> int:
-            if ODD.search(piece) or any(s in piece for s in special):
-                return len(tokenizer.encode(piece, add_special_tokens=False).ids)
-            return sum(1 if t in whole else merged[t] for t in PRE_TOKEN.findall(piece))
-
-        self.chunks = Chunks(count)
+        merger = Merger(path, "kept", len, lambda token: 1 if token in whole else None)
+        self.chunks = Chunks(lambda piece: sum(merger.values(piece)))
 
     def count(self, text: str | None) -> int:
         return sum(self.chunks.pieces(text)) if text else 0
@@ -80,11 +49,11 @@ def count_tokens(spark: SparkSession, docs: DataFrame, path: str, limit: int = 5
     Repeated rows are counted alike; columns named like a result are replaced. The broadcast set is
     bounded by the vocabulary.
     """
-    proven = spark.sparkContext.broadcast(whole_tokens(path))
+    proven, local = spark.sparkContext.broadcast(whole_tokens(path)), spark.sparkContext.broadcast({})
 
     @F.pandas_udf("long")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(path, proven.value)
+        counter = kept_by_worker(local, lambda: Counter(path, proven.value))
         for batch in batches:
             yield pd.Series([counter.count(x) for x in batch], dtype="int64")
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexframe.llm.common import checkpointed, shared_folder
 from lexframe.llm.perfect_hash import PerfectHash, fingerprints
-from lexframe.llm.tokens import IdEncoder, loaded
+from lexframe.llm.tokens import IdEncoder, kept_by_worker, loaded
 
 MAGIC = b"LXTOKENS"
 END_ID = 1
@@ -126,10 +126,11 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, folder: str |
     system, place = _place(folder)
     system.create_dir(place, recursive=True)
     wide = max(loaded(path).get_vocab_size(with_added_tokens=True), end_id + 1) > 2**16
-    end = int(end_id).to_bytes(4, "little")
+    end, local = int(end_id).to_bytes(4, "little"), spark.sparkContext.broadcast({})
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, keys, ids, n_null = IdEncoder(path, white_space), [], [], 0
+        encoder = kept_by_worker(local, lambda: IdEncoder(path, white_space))
+        keys, ids, n_null = [], [], 0
         for batch in batches:
             for number, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids.append(encoder.encode(value.as_py()) + end)

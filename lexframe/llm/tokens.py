@@ -8,13 +8,15 @@ So the ids of the chunks, in order, are the ids the library gives for the whole
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import Broadcast
 from tokenizers import Tokenizer
 
 #: chunks remembered per worker (two generations of this many) and the longest one remembered
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 LONGEST = 64
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 ASCII_PAIRS = tuple(c + " " for c in SPACES if c.isascii())
@@ -73,12 +75,72 @@ def loaded(path: str) -> Tokenizer:
     return tokenizer
 
 
+#: below this code point the classes of the patterns are stable over all Unicode versions and normal forms
+STABLE = 0x250
+PLAIN = re.compile("[\\t\\n\\r -~\xa0-\u024f]*").fullmatch
+
+
+def _class(kind: str) -> str:
+    return "".join(re.escape(chr(c)) for c in range(STABLE) if unicodedata.category(chr(c))[0] == kind)
+
+
+LETTERS, NUMBERS = _class("L"), _class("N")
+# --- fixed values: the pre-token patterns of the two kinds of tokenizers, for code points below STABLE ---
+PRE_TOKEN = {
+    "kept": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"),
+    "dropped": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"),
+}
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The letter for each byte: printable bytes stand for themselves, the others from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
+class Merger:
+    """Values of pieces from their pre-tokens; ``of_ids`` turns the ids of a pre-token into a value.
+
+    Pieces of plain characters are cut by the pattern here and merged by the library's model, each
+    different pre-token once while remembered. Other pieces go through the library whole.
+    """
+
+    def __init__(self, path: str, white_space: str, of_ids: Callable[[list[int]], object], known: Callable[[str], object] | None = None):
+        self.tokenizer = loaded(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pattern, self.lower, self.of_ids = PRE_TOKEN[white_space], white_space == "dropped", of_ids
+        letters, model = byte_alphabet(), self.tokenizer.model
+
+        def merged(token: str):
+            value = known(token) if known else None
+            return of_ids([t.id for t in model.tokenize(token.encode().decode("latin-1").translate(letters))]) if value is None else value
+
+        self.merged, self.memo = merged, Memo(merged, REMEMBERED // 4)
+
+    def values(self, piece: str) -> list:
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isascii() and word.isalpha():  # one pre-token, which the caller remembers
+            return [self.merged(piece.lower() if self.lower else piece)]
+        if PLAIN(piece) and not any(s in piece for s in self.special):
+            lowered = piece.lower() if self.lower else piece
+            if PLAIN(lowered):
+                return [self.memo[t] for t in self.pattern.findall(lowered)]
+        return [self.of_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)]
+
+
 class IdEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers, without added special tokens."""
 
     def __init__(self, path: str, white_space: str = "kept"):
-        tokenizer = loaded(path)
-        self.chunks = Chunks(lambda piece: np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes(), white_space)
+        merger = Merger(path, white_space, lambda ids: np.array(ids, "<u4").tobytes())
+        self.chunks = Chunks(lambda piece: b"".join(merger.values(piece)), white_space)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(self.chunks.pieces(text)) if text else b""
+
+
+def kept_by_worker(cache: Broadcast, make: Callable):
+    """What ``make`` gives, made once per worker process: a broadcast dict outlives the worker's tasks."""
+    if "made" not in cache.value:
+        cache.value["made"] = make()
+    return cache.value["made"]

@@ -1,25 +1,64 @@
-"""The corpus pipeline: stages over ``documents``, each calling one operator of lexframe.llm."""
+"""The corpus pipeline: stages over ``documents``, each calling one operator of lexframe.llm.
+
+Each stage works on all that its predecessor kept. All but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexframe.llm import quality_rules
+from lexframe.llm import mixing, near_dedup, packing, quality_model, quality_rules
+from lexframe.llm.common import table
 
+#: the stages fit a model, link near-duplicates and plan over histograms, which SQL cannot express
 ORACLE_SQL = None
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    columns = docs.columns
-    return quality_rules.verdicts(docs).where("kept").select(*columns)
+    return quality_rules.verdicts(docs).where("kept").select(*docs.columns)
+
+
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts to be good; it learns from the labels of its own input."""
+    model = quality_model.train(spark, docs, table(spark, sf_dir, "labels"))
+    return quality_model.score(spark, docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component, and one row where rows of an id repeat; rows without id stay."""
+    kept = near_dedup.near_duplicates(spark, docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    return named.union(docs.where("doc_id IS NULL"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for every pass in which the mix takes a document, in training order.
+
+    Where a source's demand ends inside a document, the document is in if at least half of it is taken.
+    """
+    mixed = mixing.curriculum(docs, passes=True).where("2 * pass_words >= size").orderBy("position", "doc_id")
+    return mixed.select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in the packed sequences."""
+    parts = packing.pieces(spark, docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(spark, parts, ["doc_id", "piece", "ids_crc32"])
 
 
-STAGES = [("quality_rules", rules_stage)]
+STAGES = [
+    ("quality_rules", rules_stage),
+    ("quality_classifier", classifier_stage),
+    ("near_dedup", near_dedup_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

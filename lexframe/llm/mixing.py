@@ -133,13 +133,13 @@ def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: t
 
     took = F.filter(F.array(*[at(p) for p in range(most)]), lambda x: x.isNotNull())
     if passes:
-        slots = both.select("__order", "__tie", F.col("__source"), "size", F.inline(took))
-        # rows with all of these equal are copies of one row: each copy takes the passes of one of them
-        number = F.row_number().over(Window.partitionBy("__order", "__tie", "__source").orderBy("position", "pass_words"))
-        slots = slots.withColumn("__n", number)
-        rows = docs.select(*held, *keys).withColumn("__copies", F.lit(1))
-        texts = rows.dropDuplicates(["__order", "__tie", "source"])
-        on = (texts["__order"] == slots["__order"]) & (texts["__tie"] == slots["__tie"]) & texts["source"].eqNullSafe(slots["__source"])
+        # rows equal in all of these are copies of one row: copy and share of the demand meet by number
+        same = ["__order", "__tie", "source"]
+        number = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
+        shares = both.select("__order", "__tie", placed["__source"].alias("source"), "size", took.alias("__took")).withColumn("__n", number)
+        slots = shares.select("__order", "__tie", F.col("source").alias("__s"), "__n", "size", F.inline("__took"))
+        texts = docs.select(*held, *keys).withColumn("__n", number)
+        on = [texts[c] == slots[c] for c in ("__order", "__tie", "__n")] + [texts["source"].eqNullSafe(slots["__s"])]
         return texts.join(slots, on).select(*[texts[f"`{c}`"] for c in kept], "size", "pass_words", "position")
     taken = F.aggregate("__took", F.lit(0).cast("long"), lambda a, x: a + x["pass_words"])
     both = both.withColumn("__took", took)

@@ -52,6 +52,8 @@ def pieces(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPA
         for batch in batches:
             yield pd.Series([cut(encoder.encode(x) + END, capacity) for x in batch])
 
+    # else the optimizer encodes a second time, to filter out rows without pieces before the generator
+    encoded = encoded.asNondeterministic()
     results = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*results, text.lower())]
     found = docs.select(*kept, encoded(F.coalesce(F.col(text), F.lit(""))).alias("__pieces"))

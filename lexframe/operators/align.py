@@ -12,9 +12,11 @@ from lexframe.functions.text import BASE, SMALL_ALIGN, annotation_ok, kana_fold,
 _NONE = "cast(array() as array<struct<pos:int,text:string>>)"
 
 
-def alignments(surface: Column, reading: Column, limit: int = 64) -> Column:
+def alignments(surface: Column, reading: Column, limit: int | None = None) -> Column:
     """Array of annotated strings; empty when nothing fits or the surface is already annotated.
 
+    ``limit`` keeps the first so many placements; without it none is left out.
+
     Runs of base characters take at least one kana each and never start with a small kana; other
     runs must occur literally in the folded reading.  Partial placements that cannot leave room
     for the rest, or whose next literal does not follow, are dropped at every step.
@@ -24,7 +26,7 @@ def alignments(surface: Column, reading: Column, limit: int = 64) -> Column:
     only_kana = F.when(kana_fold(surface) == kana_fold(reading), F.array(surface)).otherwise(none)
     found = F.regexp_extract_all(surface, F.lit(f"[{BASE}]+|[^{BASE}]+"), F.lit(0))
     texts = let(_walk, kana_fold(reading), found, F.transform(found, kana_fold), F.length(surface))
-    kept = F.filter(F.slice(texts, 1, limit), annotation_ok)
+    kept = F.filter(texts if limit is None else F.slice(texts, 1, limit), annotation_ok)
     return F.when(unusable, none).when(~surface.rlike(f"[{BASE}]"), only_kana).otherwise(kept)
 
 
@@ -63,7 +65,7 @@ def _walk(target: Column, runs: Column, folded: Column, total: Column) -> Column
         F.filter(s["states"], lambda p: p["pos"] == F.length(target)), lambda p: p["text"]))
 
 
-def align_readings(df: DataFrame, keys: list[str], surface: str = "surface", reading: str = "reading", limit: int = 64) -> DataFrame:
+def align_readings(df: DataFrame, keys: list[str], surface: str = "surface", reading: str = "reading", limit: int | None = None) -> DataFrame:
     """(keys, ord, candidate): one row per solution."""
     found = alignments(F.col(surface), F.col(reading), limit)
     return df.select(*keys, F.posexplode(found).alias("ord", "candidate"))
@@ -81,38 +83,30 @@ class AlignTable:
 
     def eval(self, surface: str, reading: str) -> Iterator[tuple[int, str]]:
         import re
-        from itertools import product
 
         if not surface or not reading or re.search("[()（）]", surface):
             return
         fold = {c: c - 0x60 for c in range(0x30A1, 0x30F7)}
-        target = reading.translate(fold)
-        base = "[⺀-⻿㐀-䶿一-鿿豈-﫿\U00020000-\U0002ffff々〆]"
+        target, base = reading.translate(fold), "[⺀-⻿㐀-䶿一-鿿豈-\ufaff\U00020000-\U0002ffff々〆]"
         runs = re.findall(f"{base}+|(?:(?!{base}).)+", surface)
-        based = [bool(re.match(base, r)) for r in runs]
-        slack = len(target) - len(surface)
-        if slack < 0:
-            return
-        options = [range(slack + 1) if b else (0,) for b in based]
-        found = 0
-        for extra in product(*options):
-            if sum(extra) != slack:
-                continue
-            at, out = 0, ""
-            for run, is_base, more in zip(runs, based, extra):
-                part = target[at:at + len(run) + more]
-                if is_base:
-                    if part[0] in SMALL_ALIGN or not re.fullmatch("[ぁ-ゟァ-ヺー]+", part):
-                        break
-                    out += f"{run}({part})"
-                elif part != run.translate(fold):
-                    break
-                else:
-                    out += run
-                at += len(part)
-            else:
-                yield found, out
-                found += 1
+        # partial placements (kana used, text so far), run by run; those whose next literal does not follow are dropped
+        states, left = [(0, "")], len(surface)
+        for i, run in enumerate(runs):
+            left -= len(run)
+            following = runs[i + 1].translate(fold) if i + 1 < len(runs) else ""
+            grown = []
+            for at, text in states:
+                if not re.match(base, run):
+                    if target.startswith(run.translate(fold), at):
+                        grown.append((at + len(run), text + run))
+                    continue
+                most = len(target) - at - left
+                for size in range(len(run) if left else max(len(run), most), most + 1):
+                    part = target[at : at + size]
+                    if part[0] not in SMALL_ALIGN and re.fullmatch("[ぁ-ゟァ-ヺー]+", part) and target.startswith(following, at + size):
+                        grown.append((at + size, f"{text}{run}({part})"))
+            states = grown
+        yield from enumerate(text for at, text in states if at == len(target))
 
 
 def register_sql(spark: SparkSession) -> None:

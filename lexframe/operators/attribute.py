@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import SMALL_SPLIT, kana_fold, let, phonetic_variants
+from lexframe.functions.text import SMALL_SPLIT, after, kana_fold, let, phonetic_variants
 
 CJK = r"\x{3400}-\x{9FFF}\x{20000}-\x{2A6DF}\x{F900}-\x{FAFF}"
 # --- fixed values: words adjudicated by hand (reading, surface, characters) ---
@@ -69,7 +69,7 @@ def anchored_runs(surface: Column, reading: Column) -> Column:
     def finish(s: Column) -> Column:
         last = s["prev"]
         ends_base = last.rlike(f"^[{CJK}]")
-        tail = F.struct(last.alias("run"), F.substring(reading, s["cur"] + 1, F.lit(1 << 20)).alias("part"))
+        tail = F.struct(last.alias("run"), after(reading, s["cur"] + 1).alias("part"))
         runs = F.when(ends_base, F.array_append(s["runs"], tail)).otherwise(s["runs"])
         kept = F.filter(runs, lambda r: (r["run"] != "") & (r["part"] != ""))
         return F.when(s["ok"] & (ends_base | reading.endswith(last)) & (F.size(kept) > 0), kept)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexframe.functions.text import BASE, let, strip
+from lexframe.functions.text import BASE, after, let, strip
 
 # --- fixed values: geometry and marks ---
 RUBY_MARGIN = 0.8
@@ -199,7 +199,7 @@ def join_numbered(df: DataFrame, entry: list[str], order: str, text: str, opens:
 
 def circled_items(df: DataFrame, entry: list[str], order: str, text: str) -> DataFrame:
     c = F.col(text)
-    return join_numbered(df, entry, order, text, c.rlike(f"^[{CIRCLED}]"), F.substring(c, 1, 1), F.substring(c, 2, 1 << 20))
+    return join_numbered(df, entry, order, text, c.rlike(f"^[{CIRCLED}]"), F.substring(c, 1, 1), after(c, F.lit(2)))
 
 
 def split_gloss(c: Column) -> Column:
@@ -212,7 +212,7 @@ def split_gloss(c: Column) -> Column:
         return F.struct(
             trimmed(F.when(many, F.get(parts, F.lit(0))).otherwise(strip(c))).alias("en"),
             trimmed(F.when(many, F.get(parts, F.lit(1))).otherwise(F.lit(""))).alias("zh"),
-            trimmed(F.when(many, F.array_join(F.slice(parts, 3, 1 << 20), "／")).otherwise(F.lit(""))).alias("ko"),
+            trimmed(F.when(many, F.array_join(F.slice(parts, F.lit(3), F.size(parts)), "／")).otherwise(F.lit(""))).alias("ko"),
         )
 
     return let(pick, F.transform(F.split(c, "／", -1), strip))

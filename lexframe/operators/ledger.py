@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import BASE, annotation_ok, full_reading, let, reading_matches
+from lexframe.functions.text import BASE, after, annotation_ok, full_reading, let, reading_matches
 from lexframe.operators.order import batch_ids, position
 
 
@@ -150,7 +150,7 @@ def upsert_ledger(ledger: DataFrame, answers: DataFrame, accept: Column) -> Data
 
 def pick_case_variant(answers: Column, key: Column) -> Column:
     """Value under the key itself, its capitalised or its upper-case form."""
-    first = F.concat(F.upper(F.left(key, F.lit(1))), F.lower(F.substring(key, 2, 1 << 20)))
+    first = F.concat(F.upper(F.left(key, F.lit(1))), F.lower(after(key, F.lit(2))))
     return F.coalesce(F.try_element_at(answers, key), F.try_element_at(answers, first), F.try_element_at(answers, F.upper(key)))
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexframe.functions.text import (
     H_HEADS, P_HEADS, PLAIN_HEADS, VOICED_HEADS, chunk_edges, chunks, let, mark_offsets, mark_spans, plain_surface, plane, strip,
 )
+from lexframe.operators.verify import longest_word
+
 # --- fixed values: gaps, slack, inflections, connection shapes ---
 MAX_GAP = 14
 SLACK = 4
@@ -237,7 +239,7 @@ def find_spans(annotated: Column, tries: Column, left: Column, spots_surface: Co
     return let(search, plane(annotated, "surface"), plane(annotated, "sound"))
 
 
-def with_spots(df: DataFrame, keys: list[str], annotated: str, lexicon: DataFrame, longest: int = 12) -> DataFrame:
+def with_spots(df: DataFrame, keys: list[str], annotated: str, lexicon: DataFrame) -> DataFrame:
     """Adds spots_surface and spots_sound: lexicon words standing in the two planes.
 
     ``lexicon``: word, plane (written or spoken).  The surface plane knows both kinds.
@@ -245,12 +247,12 @@ def with_spots(df: DataFrame, keys: list[str], annotated: str, lexicon: DataFram
     def grams(text: Column, sound: bool) -> Column:
         n = F.length(text)
         cut = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda p: F.transform(
-            F.sequence(F.lit(2), F.least(F.lit(longest), n - p)), lambda k: F.struct(
+            F.sequence(F.lit(2), F.least(F.col("_longest"), n - p)), lambda k: F.struct(
                 F.lit(sound).alias("sound"), p.alias("s"), (p + k).alias("e"), F.substring(text, p + 1, k).alias("w")))))
         return F.when(n >= 2, cut).otherwise(F.expr("cast(array() as array<struct<sound:boolean,s:int,e:int,w:string>>)"))
 
     every = let(lambda a, b: F.concat(grams(a, False), grams(b, True)), plane(F.col(annotated), "surface"), plane(F.col(annotated), "sound"))
-    opened = df.select(*keys, F.explode(every).alias("_g"))
+    opened = df.withColumn("_longest", F.greatest(longest_word(lexicon), F.lit(2))).select(*keys, F.explode(every).alias("_g"))
     words = lexicon.groupBy(F.col("word").alias("_w")).agg(F.max(F.col("plane") == "spoken").alias("_spoken"))
     met = opened.select(*keys, "_g.sound", "_g.s", "_g.e", F.col("_g.w").alias("_w")).join(words, "_w")
     spot = F.struct("s", "e")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import kana_fold, let, strip
+from lexframe.functions.text import after, kana_fold, let, strip
 
 # --- fixed values: patterns of the note language ---
 _K = r"㐀-鿿"
@@ -97,7 +97,7 @@ def classify_notes(df: DataFrame, keys: list[str], ch: str, reading: str, note:
     readings, and lists of different lengths are rejected unless the whole text is a known one.
     """
     raw = strip(F.coalesce(F.col(note), F.lit("")))
-    arrow = F.when(raw.contains("⇔"), F.substring(raw, F.call_function("locate", F.lit("⇔"), raw) + 1, F.lit(1 << 20))).otherwise("")
+    arrow = F.when(raw.contains("⇔"), after(raw, F.call_function("locate", F.lit("⇔"), raw) + 1)).otherwise("")
     others = F.filter(F.transform(F.split(arrow, "[，,、]", -1), strip), lambda x: x != "")
     item = "struct<kind:string,word:string,reading:string,written:string,words:array<string>,body:string>"
     null = F.lit(None).cast("string")

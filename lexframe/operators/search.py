@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import kana_fold, mark_spans, plain_surface
+from lexframe.functions.text import case_fold, kana_fold, mark_spans, plain_surface
 from lexframe.operators.order import top_k
 
 # --- fixed values: ranks of exact hits by kind, of unlisted kinds and of partial hits ---
@@ -101,10 +101,10 @@ def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: i
     A query meets only the terms holding its rarest gram (of one to three characters, as long as
     the query allows), so nothing is compared pairwise; blank queries match nothing.
     """
-    q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("_q", F.lower("query"))
+    q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("_q", case_fold(F.col("query")))
     q = q.withColumn("_size", F.least(F.length("_q"), F.lit(GRAM)))
     wanted = q.select("qid", "_size", F.explode(F.when(F.col("_size") == 3, _grams(F.col("_q"), 3)).when(F.col("_size") == 2, _grams(F.col("_q"), 2)).otherwise(_grams(F.col("_q"), 1))).alias("_g"))
-    t = terms.withColumn("_t", F.lower("text"))
+    t = terms.withColumn("_t", case_fold(F.col("text")))
     # at most three sizes exist; terms are only cut into those some query needs
     used = sorted(r[0] for r in q.select("_size").distinct().collect()) or [GRAM]
     every = F.concat(*[_grams(F.col("_t"), n) for n in used])

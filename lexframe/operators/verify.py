@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import (
-    BASE, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
+    BASE, after, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
 )
 from lexframe.operators.align import alignments
 
@@ -44,7 +44,7 @@ def stem_readings(dictionary: DataFrame) -> DataFrame:
     """(surface, reading): base prefix and the reading left after the shared okurigana."""
     s = F.col("surface")
     stem = F.regexp_extract(s, f"^(.*[{BASE}])[^{BASE}]+$", 1)
-    tail = kana_fold(F.substring(s, F.length(stem) + 1, F.lit(1 << 20)))
+    tail = kana_fold(after(s, F.length(stem) + 1))
     plain = kana_fold(F.col("reading"))
     rows = dictionary.select(stem.alias("stem"), tail.alias("tail"), plain.alias("plain")).where("stem <> ''")
     kept = rows.where(F.col("plain").endswith(F.col("tail")) & (F.length("plain") > F.length("tail")))
@@ -209,26 +209,32 @@ def explode_targets(freq: DataFrame, targets: DataFrame, lemma: str = "lemma") -
     return chars.join(targets.select("ch"), "ch", "left_semi")
 
 
-def lexicon_spots(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, longest: int = 12, shortest: int = 2) -> DataFrame:
+def longest_word(lexicon: DataFrame) -> Column:
+    """Length of the longest word of the lexicon, as one value; 0 for an empty one."""
+    return F.coalesce(lexicon.agg(F.max(F.length("word"))).scalar(), F.lit(0))
+
+
+def lexicon_spots(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, shortest: int = 2) -> DataFrame:
     """(keys, start, stop): places where a lexicon word stands; 0-based, end exclusive."""
-    places = df.where(F.length(text) >= shortest).select(*keys, F.col(text).alias("_text"), F.explode(
+    df = df.withColumn("_longest", F.greatest(longest_word(lexicon), F.lit(shortest)))
+    places = df.where(F.length(text) >= shortest).select(*keys, "_longest", F.col(text).alias("_text"), F.explode(
         F.sequence(F.lit(0), F.length(text) - shortest)).alias("start"))
     sizes = places.select(*keys, "_text", "start", F.explode(F.sequence(
-        F.lit(shortest), F.least(F.lit(longest), F.length("_text") - F.col("start")))).alias("_size"))
+        F.lit(shortest), F.least("_longest", F.length("_text") - F.col("start")))).alias("_size"))
     grams = sizes.select(*keys, "start", (F.col("start") + F.col("_size")).alias("stop"),
                          F.substring("_text", F.col("start") + 1, F.col("_size")).alias("_word"))
     return grams.join(lexicon.select(F.col("word").alias("_word")), "_word", "left_semi").select(*keys, "start", "stop")
 
 
-def cut_by_word(spans: DataFrame, keys: list[str], text: str, lexicon: DataFrame, longest: int = 12) -> DataFrame:
+def cut_by_word(spans: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
     """Adds ``cut``: a strictly larger lexicon word contains the span [start, stop) of ``text``.
 
     Only the windows around a span are looked up, so the join is on the word itself.
     """
     row = [*keys, "start", "stop"]
-    n = F.length("_text")
+    n, longest = F.length("_text"), F.col("_longest")
     left = F.sequence(F.greatest(F.lit(0), F.col("stop") - longest), F.col("start"))
-    opened = spans.where(F.col("stop") - F.col("start") <= longest).select(*row, F.col(text).alias("_text"), F.explode(left).alias("_from"))
+    opened = spans.withColumn("_longest", longest_word(lexicon)).where(F.col("stop") - F.col("start") <= longest).select(*row, "_longest", F.col(text).alias("_text"), F.explode(left).alias("_from"))
     right = F.sequence(F.col("stop"), F.least(n, F.col("_from") + longest))
     windows = opened.where(F.least(n, F.col("_from") + longest) >= F.col("stop")).select(*row, "_text", "_from", F.explode(right).alias("_to"))
     larger = windows.where((F.col("_from") < F.col("start")) | (F.col("_to") > F.col("stop")))

@@ -32,7 +32,7 @@ SELECT p.surface, p.kana, CASE WHEN g.hit IS NULL THEN 'phrase' WHEN hit THEN 'j
 
 def align_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """All alignments of every distinct word."""
-    return A.align_readings(B.kana_words(spark, sf), ["word"], limit=1 << 20).select("word", "candidate")
+    return A.align_readings(B.kana_words(spark, sf), ["word"]).select("word", "candidate")
 
 
 ALIGN_ORACLE = f"WITH RECURSIVE {B.KANA_SQL}, pairs AS (SELECT word, surface, reading FROM kana), {B.CAND_SQL} SELECT word, candidate FROM cands"
@@ -51,7 +51,7 @@ def check_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Sentence pairs made from words; lengths decide which rule breaks."""
     n, w = F.length("word"), F.col("word")
     rows = B.kana_words(spark, sf).select(
-        "word", F.when(n % 11 == 0, F.lit("")).when(n % 5 == 0, F.concat(F.lit("no x"), w)).otherwise(F.concat(F.lit("The "), F.initcap(w), F.lit("s."))).alias("en"),
+        "word", F.when(n % 11 == 0, F.lit("")).when(n % 5 == 0, F.concat(F.lit("no x"), w)).otherwise(F.concat(F.lit("The "), B.capitalised(w), F.lit("s."))).alias("en"),
         F.col("surface").alias("ja"), F.when(n % 7 == 0, F.concat("reading", F.lit("ん"))).otherwise(F.col("reading")).alias("kana"),
         F.when(n % 2 == 0, F.lit("noun")).otherwise(F.lit("function")).alias("pos"),
         F.when(n % 3 == 0, F.concat(F.lit("〜"), "surface")).otherwise(F.lit("漢字")).alias("gloss_ja"),
@@ -63,7 +63,7 @@ CHECK_ORACLE = f"""WITH RECURSIVE {B.KANA_SQL}, {B.DICTIONARY_SQL},
 pairs AS (SELECT word, surface, CASE WHEN length(word) % 7 = 0 THEN reading || 'ん' ELSE reading END AS reading FROM kana),
 {B.CAND_SQL}, {B.RUNS_SQL},
 j AS (SELECT p.word, length(p.word) AS n, p.surface, c.written, c.fits_long FROM pairs p LEFT JOIN chosen c USING (word)),
-k AS (SELECT *, CASE WHEN n % 11 = 0 THEN '' WHEN n % 5 = 0 THEN 'no x' || word ELSE 'The ' || upper(word[1]) || word[2:] || 's.' END AS en,
+k AS (SELECT *, CASE WHEN n % 11 = 0 THEN '' WHEN n % 5 = 0 THEN 'no x' || word ELSE 'The ' || {B.capitalised_sql('word')} || 's.' END AS en,
   CASE WHEN n % 11 = 0 THEN 'empty answer' WHEN n % 5 = 0 AND NOT starts_with('x' || word, word) AND word <> 'no' THEN 'word missing in English'
     WHEN n % 2 = 0 AND n % 3 <> 0 THEN 'sense missing in Japanese'
     WHEN written IS NULL THEN 'reading does not align' WHEN NOT fits_long THEN 'reading differs from the dictionary' END AS reason FROM j)
@@ -115,13 +115,13 @@ SELECT text, start, stop FROM g JOIN lex ON lex.word = g.w"""
 
 def _single_readings(spark: SparkSession, sf: str) -> DataFrame:
     """(ch, key): unlengthened readings of characters standing alone in frequent words."""
-    runs = B.vocabulary(spark, sf).where("freq > 1").select(F.explode(F.regexp_extract_all("word", F.lit("[^aeiou]+"), F.lit(0))).alias("run"))
+    runs = B.vocabulary(spark, sf).select(F.explode(F.regexp_extract_all("word", F.lit("[^aeiou]+"), F.lit(0))).alias("run"))
     return runs.where("length(run) = 1").select(
         B.surface_of(F.col("run")).alias("ch"), F.translate("run", B.LETTERS, B.READINGS).alias("key")).distinct()
 
 
 SINGLE_SQL = f"""single AS (SELECT DISTINCT {B.surface_sql('run')} AS ch, translate(run, '{B.LETTERS}', '{B.READINGS}') AS key
-  FROM (SELECT unnest(regexp_extract_all(word, '[^aeiou]+')) AS run FROM vocabulary WHERE freq > 1) WHERE length(run) = 1)"""
+  FROM (SELECT unnest(regexp_extract_all(word, '[^aeiou]+')) AS run FROM vocabulary) WHERE length(run) = 1)"""
 
 
 def irregular_attribution(spark: SparkSession, sf: str) -> DataFrame:

@@ -259,13 +259,13 @@ def suppress_exceptions(spark: SparkSession, sf: str) -> DataFrame:
     other = F.reverse("word")
     regular = kana.select(F.left("word", F.lit(1)).alias("ch"), F.col("word").alias("id"), F.when(F.length("word") % 3 == 0, F.col("surface")).otherwise(
         F.concat("annotated", F.lit("・"), B.annotated_of(other))).alias("w"))
-    listed = B.benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$"))
+    listed = B.benchmark_words(spark, sf)
     exceptions = listed.select(F.left("word", F.lit(1)).alias("ch"), B.annotated_of(F.col("word")).alias("w")).unionByName(
         listed.select(F.right("word", F.lit(1)).alias("ch"), B.annotated_of(F.col("word")).alias("w")))
     return A.suppress_exceptions(regular, exceptions, ["ch"])
 
 
-SUPPRESS_ORACLE = f"""WITH {B.KANA_SQL}, {B.BENCHMARK_SQL}, x AS (SELECT word FROM benchmark_words WHERE regexp_full_match(word, '[a-z]+')),
+SUPPRESS_ORACLE = f"""WITH {B.KANA_SQL}, {B.BENCHMARK_SQL}, x AS (SELECT word FROM benchmark_words),
 ban AS (SELECT word, word[1] AS ch FROM x UNION SELECT word, word[-1] FROM x),
 k AS (SELECT word, word[1] AS ch, surface, reading, reverse(word) AS o, length(word) % 3 = 0 AND regexp_matches(word, '[^aeiou]') AS raw, length(word) % 3 = 0 AS single FROM kana),
 j AS (SELECT k.*, a.word IS NOT NULL AS ha, b.word IS NOT NULL AS hb FROM k LEFT JOIN ban a ON a.word = k.word AND a.ch = k.ch LEFT JOIN ban b ON b.word = k.o AND b.ch = k.ch)

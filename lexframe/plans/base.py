@@ -8,19 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexframe.session import spread, table
+from lexframe.session import table
 
 # --- fixed values: word pattern and letter maps ---
 WORD = "[A-Za-zÀ-ÿ]+"
 SENTENCE = "[^.\n]+"
-LETTERS = "aeioubcdfghjklmnpqrstvwxyz"
-SURFACES = "あえいおう部科田符語歩児木里見名品急路差手場和字夜図"
-READINGS = "あえいおうぶかだふごほじきりみなぴくらさたばわずやつ"
+LETTERS = "aeioubcdfghjklmnpqrstvwxyz" "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß×÷"
+SURFACES = "あえいおう部科田符語歩児木里見名品急路差手場和字夜図" "雨円王音花貝学気休玉金空犬左山子糸車出女森水正生青石赤先草足村男竹虫"
+READINGS = "あえいおうぶかだふごほじきりみなぴくらさたばわずやつ" "ぶかだふごほじきりみなぴくらさたばわずやつぶかだふごほじきりみなぴく"
 LENGTHENED = (("な", "なん"), ("さ", "さう"), ("か", "ちょ"))
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    return table(spark, sf, "documents").select("doc_id", "lang", "text")
 
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,10 +31,10 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
     ).select("doc_id", "lang", (F.col("pos") + 1).alias("pos"), F.lower("word").alias("word"))
 
 
-WORDS_SQL = f"""words AS (
-  SELECT doc_id, lang, i AS pos, lower(l[i]) AS word
-  FROM (SELECT doc_id, lang, regexp_extract_all(text, '{WORD}') AS l FROM documents) d,
-       unnest(range(1, len(l) + 1)) AS t(i))"""
+WORDS_SQL = f"""words AS MATERIALIZED (
+  SELECT doc_id, lang, pos, lower(w) AS word FROM (
+    SELECT doc_id, lang, unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS w
+    FROM (SELECT doc_id, lang, regexp_extract_all(text, '{WORD}') AS l FROM documents) d))"""
 
 
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,6 +68,17 @@ LINES_SQL = """lines AS (
        unnest(range(1, len(l) + 1)) AS t(i))"""
 
 
+SMALL, LARGE = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def capitalised(c: Column) -> Column:
+    return F.concat(F.translate(F.left(c, F.lit(1)), SMALL, LARGE), F.substring(c, F.lit(2), F.length(c)))
+
+
+def capitalised_sql(c: str) -> str:
+    return f"translate({c}[1], '{SMALL}', '{LARGE}') || {c}[2:]"
+
+
 def surface_of(c: Column) -> Column:
     return F.translate(c, LETTERS, SURFACES)
 
@@ -105,22 +116,22 @@ def annotated_sql(c: str) -> str:
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    """(word, freq): distinct unaccented words of all documents with their counts."""
-    return words(spark, sf).where(F.col("word").rlike("^[a-z]+$")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    """(word, freq): distinct words of all documents with their counts."""
+    return words(spark, sf).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
 
 
-VOCABULARY_SQL = WORDS_SQL + """, vocabulary AS (
-  SELECT word, count(*) AS freq FROM words WHERE regexp_full_match(word, '[a-z]+') GROUP BY word)"""
+VOCABULARY_SQL = WORDS_SQL + """, vocabulary AS MATERIALIZED (
+  SELECT word, count(*) AS freq FROM words GROUP BY word)"""
 
 
 def kana_words(spark: SparkSession, sf: str) -> DataFrame:
-    """(word, freq, surface, reading, annotated) for every distinct unaccented word."""
+    """(word, freq, surface, reading, annotated) for every distinct word."""
     w = F.col("word")
     return vocabulary(spark, sf).select(
         "word", "freq", surface_of(w).alias("surface"), reading_of(w).alias("reading"), annotated_of(w).alias("annotated"))
 
 
-KANA_SQL = VOCABULARY_SQL + f""", kana AS (
+KANA_SQL = VOCABULARY_SQL + f""", kana AS MATERIALIZED (
   SELECT word, freq, {surface_sql('word')} AS surface, {reading_sql('word')} AS reading, {annotated_sql('word')} AS annotated
   FROM vocabulary)"""
 
@@ -138,7 +149,7 @@ BENCHMARK_SQL = f"""benchmark_words AS (
 
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     """(surface, reading, reading_ord, pos): benchmark words; every third length has a second, voiced reading."""
-    rows = benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$"))
+    rows = benchmark_words(spark, sf)
     first = reading_of(F.col("word"))
     second = F.when(F.length("word") % 3 == 0, F.translate(first, "たほ", "だぼ"))
     listed = rows.select(
@@ -149,7 +160,7 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 DICTIONARY_SQL = BENCHMARK_SQL + f""", dict0 AS (
   SELECT word, {surface_sql('word')} AS surface, {reading_sql('word')} AS reading, length(word) % 2 = 0 AS verb
-  FROM benchmark_words WHERE regexp_full_match(word, '[a-z]+')),
+  FROM benchmark_words),
 dict AS (SELECT surface, reading, 0 AS reading_ord, verb FROM dict0
   UNION ALL SELECT surface, translate(reading, 'たほ', 'だぼ'), 1, verb FROM dict0
   WHERE length(word) % 3 = 0 AND translate(reading, 'たほ', 'だぼ') <> reading)"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lexframe.functions import text as X
 from lexframe.operators import layout as L
 from lexframe.plans import base as B
 from lexframe.session import table
@@ -67,7 +68,7 @@ def numbered_items(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences opening with a vowel start an item; the others continue it."""
     t = F.col("text")
     return L.join_numbered(
-        B.sentences(spark, sf), ["doc_id"], "sent", "text", t.rlike("^[AEIOUaeiou]"), F.substring(t, 1, 1), F.substring(t, 2, 1 << 20)
+        B.sentences(spark, sf), ["doc_id"], "sent", "text", t.rlike("^[AEIOUaeiou]"), F.substring(t, 1, 1), X.after(t, F.lit(2))
     ).select("doc_id", "item", "no", F.md5("text").alias("text"))
 
 

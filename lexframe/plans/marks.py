@@ -10,7 +10,7 @@ from lexframe.plans import base as B
 
 
 def _lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    words = B.benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$"))
+    words = B.benchmark_words(spark, sf)
     written = words.select(B.surface_of(F.col("word")).alias("word"), F.lit("written").alias("plane"))
     spoken = words.select(B.reading_of(F.col("word")).alias("word"), F.lit("spoken").alias("plane"))
     return written.where("length(word) between 2 and 12").unionByName(spoken.where("length(word) between 3 and 12"))
@@ -30,7 +30,7 @@ def mark_patterns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MARK_ORACLE = f"""WITH {B.KANA_SQL}, {B.BENCHMARK_SQL},
-x AS (SELECT word FROM benchmark_words WHERE regexp_full_match(word, '[a-z]+')),
+x AS (SELECT word FROM benchmark_words),
 spo AS (SELECT {B.reading_sql('word')} AS w FROM x WHERE length({B.reading_sql('word')}) BETWEEN 3 AND 12),
 wri AS (SELECT {B.surface_sql('word')} AS w FROM x WHERE length(word) BETWEEN 2 AND 12 UNION SELECT w FROM spo),
 k AS (SELECT *, CASE WHEN length(reading) < 4 THEN [reading] WHEN length(word) % 3 = 0 THEN [substr(reading, 2, 2)]
@@ -78,13 +78,13 @@ def audit_marks(spark: SparkSession, sf: str) -> DataFrame:
     """Marks put at fixed places of every word, audited."""
     n, a = F.length("word") % 4, F.col("annotated")
     marked = F.when(n == 0, F.concat(F.lit("*"), a, F.lit("*"))).when(n == 1, F.concat(F.lit("*"), a)).when(
-        n == 2, F.concat(F.lit("*"), F.left(a, F.lit(1)), F.lit("*"), F.substring(a, 2, 1 << 20))).otherwise(F.concat(F.lit("*x*"), a))
+        n == 2, F.concat(F.lit("*"), F.left(a, F.lit(1)), F.lit("*"), X.after(a, F.lit(2)))).otherwise(F.concat(F.lit("*x*"), a))
     rows = B.kana_words(spark, sf).select("word", a.alias("ja"), marked.alias("marked"), F.lit("model").alias("mark_method"), F.lit("").alias("head"))
     return M.audit_marks(rows, ["word"], _lexicon(spark, sf))
 
 
 AUDIT_MARKS_ORACLE = f"""WITH {B.KANA_SQL}, {B.BENCHMARK_SQL}, k AS (SELECT *, length(word) % 4 AS n FROM kana),
-x AS (SELECT word FROM benchmark_words WHERE regexp_full_match(word, '[a-z]+')),
+x AS (SELECT word FROM benchmark_words),
 wri AS (SELECT {B.surface_sql('word')} AS w FROM x WHERE length(word) BETWEEN 2 AND 12 UNION SELECT {B.reading_sql('word')} FROM x WHERE length({B.reading_sql('word')}) BETWEEN 3 AND 12)
 SELECT word, 'FAIL' AS severity, 'unpaired marks' AS reason FROM k WHERE n = 1
 UNION ALL SELECT word, 'FAIL', 'text changes without marks' FROM k WHERE n = 3

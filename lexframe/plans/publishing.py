@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lexframe.functions import text as X
 from lexframe.operators import guards as G, publish as P, search as S
 from lexframe.plans import base as B
 from lexframe.session import table
@@ -25,10 +26,17 @@ def search_ranked(spark: SparkSession, sf: str) -> DataFrame:
     words = F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0))
     asked = table(spark, sf, "benchmark").select(F.concat(F.lit("b"), "item_id").alias("qid"), F.coalesce(F.array_max(F.filter(F.transform(words, lambda w: F.struct(F.length(w), w.alias("w"))), lambda x: x["w"] != ""))["w"], F.lit("")).alias("query"))
     names = table(spark, sf, "part").select(F.lower("p_name").alias("query")).distinct().select(F.concat(F.lit("n"), "query").alias("qid"), "query")
-    short = spark.createDataFrame([("s1", "x"), ("s2", " 7 "), ("s3", "ße"), ("s4", "  "), ("s5", "ECONOMY")], "qid string, query string")
+    short = spark.createDataFrame([("s1", "x"), ("s2", " 7 "), ("s3", "ße"), ("s4", "  "), ("s5", "ECONOMY"), ("s6", "SSE")], "qid string, query string")
     return S.search(_terms(spark, sf), asked.unionByName(names).unionByName(short), S.GRAMMAR_RANKS)
 
 
+def _fold(c: str) -> str:
+    out = f"lower({c})"
+    for letter, folded in X.CASE_FOLDS.items():
+        out = f"replace({out}, '{letter}', '{folded}')"
+    return out
+
+
 SEARCH_ORACLE = f"""WITH {B.SENTENCES_SQL},
 terms AS (SELECT 'p' || p_partkey AS key, 0 AS ord, p_name AS text, 'key' AS kind, p_type AS context, p_size AS weight FROM part
   UNION ALL SELECT 'p' || p_partkey, 1, p_brand, 'level', 'brand', p_size FROM part UNION ALL SELECT 'p' || p_partkey, 2, p_type, 'head', 'type', p_size FROM part
@@ -36,9 +44,9 @@ terms AS (SELECT 'p' || p_partkey AS key, 0 AS ord, p_name AS text, 'key' AS kin
   UNION ALL SELECT 'd' || doc_id || '-' || sent, 0, text, 'example', lang, sent FROM sentences),
 bw AS (SELECT item_id, unnest(regexp_extract_all(text, '{B.WORD}')) AS w FROM benchmark),
 q AS (SELECT 'b' || item_id AS qid, arg_max(w, (length(w), w)) AS query FROM bw GROUP BY item_id
-  UNION ALL SELECT DISTINCT 'n' || lower(p_name), lower(p_name) FROM part UNION ALL VALUES ('s1', 'x'), ('s2', '7'), ('s3', 'ße'), ('s5', 'ECONOMY')),
-m AS (SELECT q.qid, q.query, t.*, CASE WHEN lower(text) = lower(query) THEN CASE kind WHEN 'key' THEN 0 WHEN 'head' THEN 0 WHEN 'meaning' THEN 2 WHEN 'level' THEN 3 ELSE 5 END ELSE 10 END AS r
-  FROM q JOIN terms t ON contains(lower(t.text), lower(q.query))),
+  UNION ALL SELECT DISTINCT 'n' || lower(p_name), lower(p_name) FROM part UNION ALL VALUES ('s1', 'x'), ('s2', '7'), ('s3', 'ße'), ('s5', 'ECONOMY'), ('s6', 'SSE')),
+m AS (SELECT q.qid, q.query, t.*, CASE WHEN {_fold('text')} = {_fold('query')} THEN CASE kind WHEN 'key' THEN 0 WHEN 'head' THEN 0 WHEN 'meaning' THEN 2 WHEN 'level' THEN 3 ELSE 5 END ELSE 10 END AS r
+  FROM q JOIN terms t ON contains({_fold('t.text')}, {_fold('q.query')})),
 b AS (SELECT *, row_number() OVER (PARTITION BY qid, key ORDER BY r, ord) AS n FROM m),
 p AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY r, weight DESC, key) AS place, count(*) OVER (PARTITION BY qid) AS total FROM b WHERE n = 1)
 SELECT qid, query, place, key, kind AS match_kind, text AS matched_text, context AS match_context, r < 10 AS exact, total FROM p WHERE place <= 80"""
@@ -122,7 +130,7 @@ def packed_records(spark: SparkSession, sf: str) -> DataFrame:
     """Events packed and read back, with their properties and fingerprints of equal records."""
     e = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("key"), "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"), "user_id")
     packed = P.pack_records(e, ["event_type", "k"], F.struct(F.col("user_id").alias("owner")))
-    back = P.unpack(F.concat(F.left("Data", F.lit(5)), F.lit(" \n"), F.substring("Data", 6, 1 << 20)), "struct<key:string,record:struct<event_type:string,k:int>,derived:struct<owner:bigint>>")
+    back = P.unpack(F.concat(F.left("Data", F.lit(5)), F.lit(" \n"), X.after(F.col("Data"), F.lit(6))), "struct<key:string,record:struct<event_type:string,k:int>,derived:struct<owner:bigint>>")
     opened = packed.select(back.alias("b"), F.regexp_like("Data", F.lit("^[A-Za-z0-9+/=]+$")).alias("ascii"))
     return opened.select(F.col("b.key").alias("key"), F.col("b.record.event_type").alias("event_type"), F.col("b.record.k").alias("k"), F.col("b.derived.owner").alias("owner"), "ascii")
 

@@ -96,7 +96,7 @@ f AS (SELECT DISTINCT rd, x FROM (SELECT rd, unnest([rd, translate(rd[1], 'か
   translate(rd[1], 'はひふへほ', 'ぱぴぷぺぽ') || rd[2:], translate(rd[1], 'がぎぐげござじずぜぞだぢづでどばびぶべぼぱぴぷぺぽ', 'かきくけこさしすせそたちつてとはひふへほはひふへほ') || rd[2:],
   CASE WHEN rd[-1] IN ('つ', 'く', 'き', 'ち') THEN rd[:-2] || 'っ' ELSE rd END]) AS x FROM d)),
 heard AS (SELECT DISTINCT word FROM d JOIN f USING (rd) LEFT JOIN res USING (word) WHERE length(word) % 3 <> 0 AND (contains(reading, x) OR x = res.r)),
-roman(k, v) AS (VALUES {", ".join(f"('{a}', '{b}')" for kana, roman in X.ROMAN_ROWS for a, b in zip(kana, roman.split(" ")))}),
+roman(k, v) AS (VALUES {", ".join(f"('{a}', '{b}')" for a, b in X.ROMAN.items())}),
 onr AS (SELECT DISTINCT s.ch, s.key FROM single s WHERE s.key > 'な'),
 o AS (SELECT d.ch, d.rd AS from_reading, d.freq AS ord, d.surface AS w, length(d.word) % 3 <> 0 AND h.word IS NULL AS moved,
   CASE WHEN length(d.word) % 3 = 0 OR h.word IS NOT NULL THEN d.rd WHEN res.r IS NULL THEN d.reading
@@ -186,12 +186,12 @@ def reference_lists(spark: SparkSession, sf: str) -> DataFrame:
     w = F.col("word")
     shown = F.when(w.rlike("^[aeiou]+$"), B.reading_of(w)).when(F.length(w) % 4 == 0, F.concat(B.surface_of(w), F.lit("（わ）"))).when(
         F.length(w) % 9 == 0, F.concat(F.lit("※"), w)).otherwise(B.surface_of(w))
-    rows = B.words(spark, sf).where(w.rlike("^[a-z]+$")).select("doc_id", "pos", shown.alias("text"))
+    rows = B.words(spark, sf).select("doc_id", "pos", shown.alias("text"))
     return N.parse_references(rows, ["doc_id"], "pos", "text").select("doc_id", "entry", "reading", "ord", "surface")
 
 
 REFLIST_ORACLE = f"""WITH {B.WORDS_SQL}, r AS (SELECT doc_id, pos, word, regexp_full_match(word, '[aeiou]+') AS kana FROM words
-  WHERE regexp_full_match(word, '[a-z]+') AND (regexp_full_match(word, '[aeiou]+') OR length(word) % 4 = 0 OR length(word) % 9 <> 0)),
+  WHERE (regexp_full_match(word, '[aeiou]+') OR length(word) % 4 = 0 OR length(word) % 9 <> 0)),
 e AS (SELECT *, sum(CASE WHEN kana THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS entry,
   last_value(CASE WHEN kana THEN {B.reading_sql('word')} END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos) AS reading FROM r)
 SELECT doc_id, CAST(entry AS BIGINT) AS entry, reading, row_number() OVER (PARTITION BY doc_id, entry ORDER BY pos) - 1 AS ord, {B.surface_sql('word')} AS surface

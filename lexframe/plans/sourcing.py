@@ -15,9 +15,9 @@ def wordlist_band(spark: SparkSession, sf: str) -> DataFrame:
     """Two lists printed from word counts and benchmark words, parsed back, banded, with families."""
     vocab = B.vocabulary(spark, sf)
     lines = vocab.select(F.when(F.length("word") % 9 == 0, F.concat(F.lit("## "), "word")).otherwise(F.concat_ws(
-        ",", F.initcap("word"), F.col("freq").cast("string"), F.when(F.col("freq") % 2 == 0, F.lit("#N/A")).otherwise(F.concat(F.col("freq").cast("string"), F.lit(".5"))))).alias("text"))
+        ",", B.capitalised(F.col("word")), F.col("freq").cast("string"), F.when(F.col("freq") % 2 == 0, F.lit("#N/A")).otherwise(F.concat(F.col("freq").cast("string"), F.lit(".5"))))).alias("text"))
     second = B.benchmark_words(spark, sf).select(F.concat(F.lit("x"), "word", F.lit(",7,1.5")).alias("text"))
-    families = R.parse_families(vocab.where("freq > 2").select(F.concat_ws(",", "word", F.concat("word", F.lit("s"))).alias("text")))
+    families = R.parse_families(vocab.select(F.concat_ws(",", "word", F.concat("word", F.lit("s"))).alias("text")))
     union, clash = G.union_lists(R.parse_wordlist(lines, "ngsl"), R.parse_wordlist(second, "tsl"), "word")
     banded = union.withColumn("band", F.when(F.col("list") == "tsl", "TSL").otherwise(X.band(F.col("rank"), [(10, "1-10"), (100, "11-100")], "rest")))
     clashing = clash.select("word").distinct().withColumn("clash", F.lit(True))
@@ -30,7 +30,7 @@ a AS (SELECT word, 'ngsl' AS list, CAST(freq AS INTEGER) AS rank, CASE WHEN freq
 b AS (SELECT lower('x' || word) AS word, 'tsl' AS list, 7 AS rank, 1.5 AS sfi FROM benchmark_words),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT u.word, list, rank, CAST(sfi AS DOUBLE) AS sfi, CASE WHEN list = 'tsl' THEN 'TSL' WHEN rank <= 10 THEN '1-10' WHEN rank <= 100 THEN '11-100' ELSE 'rest' END AS band,
-  CASE WHEN v.freq > 2 THEN u.word || '/' || u.word || 's' WHEN list = 'tsl' THEN u.word ELSE upper(u.word[1]) || u.word[2:] END AS family,
+  CASE WHEN v.word IS NOT NULL THEN u.word || '/' || u.word || 's' WHEN list = 'tsl' THEN u.word ELSE {B.capitalised_sql('u.word')} END AS family,
   u.word IN (SELECT word FROM a) AND u.word IN (SELECT word FROM b) AS clash
 FROM u LEFT JOIN vocabulary v ON v.word = u.word"""
 
@@ -44,7 +44,7 @@ def dictionary_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("<entry><k_ele>"), F.when(n % 4 == 0, F.lit("")).otherwise(tag("keb", F.col("surface"))), F.when(n % 4 == 1, tag("keb", F.concat("surface", F.lit("x")))).otherwise(""),
         tag("reb", F.col("reading")), F.when(n % 3 == 0, tag("reb", F.translate("reading", "た", "だ"))).otherwise(""),
         tag("pos", F.when(n % 2 == 0, F.lit("&v1;")).otherwise("&n;")), F.lit("</entry>"))
-    return R.parse_entries(kana.select(F.col("freq").alias("o"), text.alias("text")), "o").select("surface", "reading", "reading_ord", F.array_join("pos", "|").alias("pos"))
+    return R.parse_entries(kana.select(F.col("freq").alias("o"), text.alias("text")), "o").select("surface", "reading", (F.col("reading_ord._o") * 1000 + F.col("reading_ord.i")).alias("reading_ord"), F.array_join("pos", "|").alias("pos"))
 
 
 DICT_ORACLE = f"""WITH {B.KANA_SQL}, k AS (SELECT *, length(word) AS n, CASE WHEN length(word) % 2 = 0 THEN '&v1;' ELSE '&n;' END AS pos FROM kana),
@@ -58,11 +58,11 @@ def char_properties(spark: SparkSession, sf: str) -> DataFrame:
     kana = B.kana_words(spark, sf)
     lines = kana.select(F.concat(
         F.format_string("U+%04X", F.ascii("surface")), F.lit("\t"), F.when(F.length("word") % 3 == 0, F.lit("kJapaneseOn")).otherwise(F.lit("kHangul")),
-        F.lit("\t"), F.upper("word"), F.lit(":0E "), F.lit("BA")).alias("text")).unionByName(kana.select(F.concat(F.lit("# "), "word").alias("text")))
+        F.lit("\t"), F.translate("word", B.SMALL, B.LARGE), F.lit(":0E "), F.lit("BA")).alias("text")).unionByName(kana.select(F.concat(F.lit("# "), "word").alias("text")))
     return R.parse_char_props(lines, ["kJapaneseOn"]).groupBy("ch", "prop").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
 
 
-PROPS_ORACLE = f"""WITH {B.KANA_SQL}, k AS (SELECT surface[1] AS ch, upper(word) AS v FROM kana WHERE length(word) % 3 = 0), u AS (SELECT * FROM k UNION ALL SELECT ch, 'BA' FROM k)
+PROPS_ORACLE = f"""WITH {B.KANA_SQL}, k AS (SELECT surface[1] AS ch, translate(word, '{B.SMALL}', '{B.LARGE}') AS v FROM kana WHERE length(word) % 3 = 0), u AS (SELECT * FROM k UNION ALL SELECT ch, 'BA' FROM k)
 SELECT ch, 'kJapaneseOn' AS prop, count(*) AS n, min(v) AS low, max(v) AS high FROM u GROUP BY ch"""
 
 

@@ -39,7 +39,7 @@ def sound_variants(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _roman_values() -> str:
-    pairs = [(k, v) for kana, roman in X.ROMAN_ROWS for k, v in zip(kana, roman.split(" "))]
+    pairs = list(X.ROMAN.items())
     return ", ".join(f"('{k}', '{v}')" for k, v in pairs)
 
 

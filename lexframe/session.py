@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,33 +30,15 @@ def get_session(app: str = "lexframe", cores: str = "*", partitions: int | None
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's checkpoint folder (survives lost executors).
 
-    The folder comes from ``spark.checkpoint.dir``; only an unset session (tests) gets its own.
+    The folder is ``spark.checkpoint.dir``; where it is unset (tests) it lies in the warehouse, which
+    driver and executors share as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return df.checkpoint(eager=True)
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings for folds that cost far more than their bytes suggest.
-
-    Adaptive coalescing merges shuffle partitions by size; per-row folds over short strings need
-    the cores long before a partition reaches the default minimum of one megabyte.
-    """
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
-    # many small collected sets: do not fall back to sorting after the default 128 groups
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "16384")
-    return spark
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """One partition per core for a source that has fewer splits than the cluster has cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

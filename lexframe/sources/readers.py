@@ -30,7 +30,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("seq"), F.col("value"))
     bad = raw.where(~F.is_valid_utf8("value")).select("file").distinct().withColumn("_bad", F.lit(True))
     latin = F.translate(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), C1_CONTROLS, C1_LETTERS)
-    rows = raw.join(F.broadcast(bad), "file", "left")
+    rows = raw.join(bad, "file", "left")
     text = F.when(F.col("_bad"), latin).otherwise(F.make_valid_utf8("value"))
     return rows.select("file", "block", "seq", F.regexp_replace(F.regexp_replace(text, "^﻿", ""), "\r$", "").alias("text"))
 
@@ -41,26 +41,35 @@ def _used(df: DataFrame) -> DataFrame:
 
 
 def parse_wordlist(df: DataFrame, source: str) -> DataFrame:
-    """(word, list, rank, sfi, form) from CSV lines ``text``; header, comments and blank rows are dropped."""
-    rows = _used(df).where(~F.lower(F.trim("_c.a")).isin("lemma", "word"))
-    return rows.select(
-        F.lower(strip(F.col("_c.a"))).alias("word"), F.lit(source).alias("list"), F.col("_c.b").try_cast("int").alias("rank"),
+    """(word, list, rank, sfi, form) from CSV lines ``text`` without their header.
+
+    Comments and blank rows are dropped; a rank that is not a whole number fails the read.
+    """
+    rank = strip(F.coalesce("_c.b", F.lit("")))
+    wrong = F.raise_error(F.concat(F.lit(f"{source}: not a rank: "), F.col("text"))).cast("int")
+    return _used(df).select(
+        F.lower(strip(F.col("_c.a"))).alias("word"), F.lit(source).alias("list"), F.coalesce(rank.try_cast("int"), wrong).alias("rank"),
         F.col("_c.c").try_cast("double").alias("sfi"), strip(F.col("_c.a")).alias("form"))
 
 
 def read_wordlist(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """The first used row of every file is its header, which must name the headword column."""
     lines = read_lines(spark, path)
-    first = _used(lines).orderBy("file", "block", "seq").limit(1).select(F.lower(strip(F.col("_c.a"))).alias("h")).collect()
-    if not first or first[0].h not in ("lemma", "word"):
-        raise ValueError(f"{path}: the first cell is not the headword column: {first}")
-    return parse_wordlist(lines, source)
+    place = F.struct("block", "seq")
+    heads = _used(lines).groupBy("file").agg(F.min(place).alias("_first"), F.min_by(F.lower(strip(F.col("_c.a"))), place).alias("_head"))
+    wrong = F.raise_error(F.concat("file", F.lit(": the first cell is not the headword column: "), "_head")).cast("boolean")
+    heads = heads.withColumn("_ok", F.when(F.col("_head").isin("lemma", "word"), F.lit(True)).otherwise(wrong))
+    body = lines.join(heads, "file").where(F.col("_ok") & (place != F.col("_first")))
+    return parse_wordlist(body.select("text"), source)
 
 
 def parse_families(df: DataFrame) -> DataFrame:
-    """(head, forms): one family per CSV line."""
+    """(head, forms): one family per CSV line; a head that stands on two lines fails the read."""
     cells = F.filter(F.transform(F.split("text", ",", -1), strip), lambda x: x != "")
     rows = df.where((strip(F.col("text")) != "") & ~F.col("text").startswith("##")).select(cells.alias("forms")).where(F.size("forms") > 0)
-    return rows.select(F.lower(F.get("forms", F.lit(0))).alias("head"), "forms")
+    heads = rows.groupBy(F.lower(F.get("forms", F.lit(0))).alias("head")).agg(F.count(F.lit(1)).alias("_n"), F.min("forms").alias("forms"))
+    twice = F.raise_error(F.concat(F.lit("a family head stands on two lines: "), "head")).cast("array<string>")
+    return heads.select("head", F.when(F.col("_n") == 1, F.col("forms")).otherwise(twice).alias("forms"))
 
 
 def read_families(spark: SparkSession, path: str) -> DataFrame:
@@ -76,23 +85,25 @@ def with_families(words: DataFrame, families: DataFrame) -> DataFrame:
 def parse_entries(df: DataFrame, order: str) -> DataFrame:
     """(surface, reading, reading_ord, pos) from raw dictionary entries ``text``, ordered by ``order``.
 
+    ``reading_ord`` is a struct (place of the entry, number of the reading), which sorts as the text does.
     Every written form takes every reading of its entry; an entry without one maps its readings to
     themselves.  A pair keeps its first place; tags of all its entries are united.
     """
     def all_of(tag: str) -> Column:
         return F.regexp_extract_all("text", F.lit(f"(?s)<{tag}>(.*?)</{tag}>"), F.lit(1))
 
-    rows = df.select(F.col(order).cast("long").alias("_o"), all_of("keb").alias("kebs"), all_of("reb").alias("rebs"), F.array_distinct(all_of("pos")).alias("pos"))
+    rows = df.select(F.col(order).alias("_o"), all_of("keb").alias("kebs"), all_of("reb").alias("rebs"), F.array_distinct(all_of("pos")).alias("pos"))
     readings = rows.select("_o", "kebs", "pos", F.posexplode("rebs").alias("i", "reading")).where("reading <> ''")
     pairs = readings.select("_o", "i", "pos", "reading", F.explode(F.when(F.size("kebs") > 0, F.col("kebs")).otherwise(F.array("reading"))).alias("surface"))
     return pairs.groupBy("surface", "reading").agg(
-        F.min(F.col("_o") * 1000 + F.col("i")).alias("reading_ord"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("pos")))).alias("pos"))
+        F.min(F.struct("_o", "i")).alias("reading_ord"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("pos")))).alias("pos"))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Splits the file at entry ends, so no XML parser meets the undeclared entities."""
     raw = spark.read.text(path, lineSep="</entry>").select(
-        (F.col("_metadata.file_block_start") * 1000000 + F.monotonically_increasing_id() % 1000000).alias("o"), F.col("value").alias("text"))
+        F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("o"),
+        F.col("value").alias("text"))
     return parse_entries(raw.where(F.col("text").contains("<entry>")), "o")
 
 

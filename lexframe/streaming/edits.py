@@ -14,12 +14,9 @@ _OUTPUT = "key string, ord long, current string, status string"
 
 def _judge(key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     rows = pd.concat(list(parts)).sort_values("ord")
-    now, last = state.get if state.exists else (rows["start_etag"].iloc[0], -1)
+    (now,) = state.get if state.exists else (rows["start_etag"].iloc[0],)
     out = []
     for r in rows.itertuples():
-        if r.ord <= last:
-            continue  # replayed
-        last = int(r.ord)
         reason = (r.reason or "").strip()
         met = now
         if not reason or len(reason) > 500:
@@ -34,8 +31,8 @@ def _judge(key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupStat
             status = "unchanged"
         else:
             status, now = "saved", r.new_etag
-        out.append((key[0], last, met, status))
-    state.update((now, last))
+        out.append((key[0], int(r.ord), met, status))
+    state.update((now,))
     yield pd.DataFrame(out, columns=["key", "ord", "current", "status"])
 
 
@@ -43,8 +40,9 @@ def apply_edit_stream(edits: DataFrame, base: DataFrame) -> DataFrame:
     """(key, ord, current, status) as edits arrive; rules as in the batch form.
 
     ``edits`` (streaming): key, ord, reason, expected_etag, new_etag, valid.  ``base``: key, etag.
-    Replays are recognised by their arrival number, so a restarted batch changes nothing.
+    An edit that arrives after later ones is judged against the etag of its arrival, so every edit has
+    a row. A restarted batch begins from the state of the checkpoint and repeats its rows.
     """
     started = edits.join(base.select("key", F.col("etag").alias("start_etag")), "key", "left").withColumn("key", F.col("key").cast("string"))
     return started.groupBy("key").applyInPandasWithState(
-        _judge, _OUTPUT, "etag string, last long", "append", GroupStateTimeout.NoTimeout)
+        _judge, _OUTPUT, "etag string", "append", GroupStateTimeout.NoTimeout)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from lexframe import plans
 from tests.compare import compare, connect
 
 FOLDER = os.environ.get("LEXFRAME_SF_DIR", "/root/testdata/sf0.001")
@@ -21,7 +22,7 @@ def duck():
 
 
 def test_registry():
-    queries, oracles = entry.queries(), entry.oracle_sql()
+    queries, oracles = plans.all_queries(), plans.all_oracles()
     assert set(oracles) <= set(queries) and len(queries) - len(oracles) <= 2
 
 

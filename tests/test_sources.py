@@ -22,7 +22,7 @@ def test_wordlists(spark):
     assert rows == {"absence": (12, 53.2), "café": (3, None)}
     old = _file("word,rank\ncafé ’s,3\n", "cp1252")
     assert [r.word for r in readers.read_wordlist(spark, old, "tsl").collect()] == ["café ’s"]
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="headword column"):
         readers.read_wordlist(spark, _file("x,1\n"), "ngsl").collect()
     words = readers.read_wordlist(spark, good, "ngsl")
     fam = readers.read_families(spark, _file("absence,absences\n\n"))
@@ -94,3 +94,28 @@ def test_packing(spark):
     assert text.isascii() and text == publish.pack_records(df, ["tag"]).first().Data
     back = packed.select(publish.unpack(F.concat(F.lit(" \n"), "Data"), "struct<key:string,record:struct<tag:string>>").alias("b")).first().b
     assert (back.key, back.record.tag) == ("亜", "값")
+
+
+def test_headers_go_by_place(spark):
+    listed = _file("word,rank\nthe,1\nword,2\nlemma,3\ncat,4\n")
+    assert sorted(r.word for r in readers.read_wordlist(spark, listed, "ngsl").collect()) == ["cat", "lemma", "the", "word"]
+    with pytest.raises(Exception, match="not a rank"):
+        readers.read_wordlist(spark, _file("word,rank\nthe,first\n"), "ngsl").collect()
+    with pytest.raises(Exception, match="two lines"):
+        readers.read_families(spark, _file("be,am\nBe,is\n")).collect()
+
+
+def test_search_folds_case(spark):
+    terms = spark.createDataFrame([("a", 0, "straße", "key", "", 1), ("b", 0, "street", "key", "", 1)], "key string, ord int, text string, kind string, context string, weight int")
+    asked = spark.createDataFrame([("q", "STRASSE")], "qid string, query string")
+    assert [r.key for r in search.search(terms, asked, {"key": 0}).collect()] == ["a"]
+
+
+def test_long_words_are_found(spark):
+    from lexframe.operators import verify
+
+    lexicon = spark.createDataFrame([("thirteenchars",), ("ab",)], "word string")
+    rows = spark.createDataFrame([(1, "xxthirteencharsab")], "id int, text string")
+    assert sorted((r.start, r.stop) for r in verify.lexicon_spots(rows, ["id"], "text", lexicon).collect()) == [(2, 15), (15, 17)]
+    spans = spark.createDataFrame([(1, "xxthirteenchars", 4, 6)], "id int, text string, start int, stop int")
+    assert [r.cut for r in verify.cut_by_word(spans, ["id"], "text", lexicon).collect()] == [True]

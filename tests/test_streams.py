@@ -70,3 +70,17 @@ def test_ledger_stream_is_idempotent(spark):
     rows = spark.read.parquet(f"{folder}/ledger").collect()
     slots = {(r.purpose, r.key): r.value for r in rows}
     assert len(rows) == 2 and slots[("q", "a")] == "x" and slots[("p", "a")] in ("new", "later")
+
+
+def test_late_edits_come_out(spark):
+    rows = [("a", 5, "r", "0", "1", True), ("a", 2, "r", "0", "2", True), ("a", 6, "r", "1", "3", True)]
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    for row in rows:
+        spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    base = spark.createDataFrame([("a", "0")], "key string, etag string")
+    query = apply_edit_stream(stream, base).writeStream.format("memory").queryName("late_log").option("checkpointLocation", f"{folder}/cp").outputMode("append").start()
+    query.processAllAvailable()
+    query.stop()
+    got = {(r.ord, r.status) for r in spark.sql("select * from late_log").collect()}
+    assert got == {(5, "saved"), (2, "conflict"), (6, "saved")}

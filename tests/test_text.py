@@ -90,3 +90,11 @@ def test_branches(one):
     assert got[1][0].options == ["にいさん", "にい"] and got[1][0].reading == "にいさん"
     assert got[2] is None
     assert got[3][0].options == ["いちわ", "わ・ば"]
+
+
+def test_half_width_brackets_stand_on_base_runs(one):
+    assert one(X.annotation_ok, "かな(かな)", "漢字(かんじ)(x)", "abc(d)", "漢字(かんじ)", "漢字（かんじ）x", "か(な", "漢字(かんじ)を見(み)る") == [False, False, False, True, True, True, True]
+
+
+def test_case_fold(one):
+    assert one(X.case_fold, "STRASSE", "straße", "Σίγμας", "ﬁn") == ["strasse", "strasse", "σίγμασ", "fin"]

@@ -134,8 +134,9 @@ def report(df: DataFrame, by: list[str], order: list[Column], n: int = 40) -> Da
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Reproducible sample: the n smallest keyed hashes; a top-n, so nothing is sorted as a whole."""
-    return df.withColumn("_h", F.xxhash64(key, F.lit(seed))).orderBy("_h", key).limit(n).drop("_h")
+    """Reproducible sample: the n smallest md5 sums of key and seed; a top-n, so nothing is sorted as a whole."""
+    mark = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.withColumn("_h", mark).orderBy("_h", key).limit(n).drop("_h")
 
 
 def audit_sample(df: DataFrame, verdicts: DataFrame, key: str, cols: list[str], n: int, seed: int) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 Cols = list[str]
+#: buckets that share one row of the upper level of a running sum
+SUMMARY = 1024
 
 
 def _names(df: DataFrame, keys: Cols, bucket: Column) -> DataFrame:
@@ -20,10 +22,14 @@ def _names(df: DataFrame, keys: Cols, bucket: Column) -> DataFrame:
 def running_sum(df: DataFrame, keys: Cols, order: Cols, bucket: Column, value: Column, name: str) -> DataFrame:
     """Inclusive running sum of ``value`` per key in ``order``."""
     rows = _names(df, keys, bucket).withColumn("_value", value.cast("long"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_part")).withColumn("_top", F.floor(F.col("_bucket") / SUMMARY))
+    # two levels: no task sees more than SUMMARY buckets of a key, or one row per SUMMARY buckets
+    across = Window.partitionBy(*keys).orderBy("_top").rowsBetween(Window.unboundedPreceding, -1)
+    tops = parts.groupBy(*keys, "_top").agg(F.sum("_part").alias("_sum")).withColumn("_above", F.coalesce(F.sum("_sum").over(across), F.lit(0))).drop("_sum")
+    before = Window.partitionBy(*keys, "_top").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        rows.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_part"))
-        .withColumn("_carry", F.coalesce(F.sum("_part").over(before), F.lit(0))).drop("_part")
+        parts.withColumn("_carry", F.coalesce(F.sum("_part").over(before), F.lit(0))).join(tops, [*keys, "_top"])
+        .select(*keys, "_bucket", (F.col("_carry") + F.col("_above")).alias("_carry"))
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (

@@ -115,7 +115,9 @@ def plan_batches(rows: DataFrame, target: str, order: list[str], bucket: Column,
 def place_new(plan: DataFrame, notes: DataFrame, names: DataFrame, default: str) -> DataFrame:
     """(key, ord, target) of the cards of new notes that cannot be created in place: all but the first."""
     fresh = notes.join(plan.where("action = 'add'").select("key"), "key", "left_semi")
-    listed = fresh.withColumn("_t", F.lit(0)).join(F.broadcast(names.where("ord > 0").withColumn("_t", F.lit(0))), "_t")
+    # the card names of a note type: a handful by definition, carried as one value
+    later = names.where("ord > 0").agg(F.sort_array(F.collect_list(F.struct("ord", "name")))).scalar()
+    listed = fresh.withColumn("_later", later).select("*", F.inline("_later"))
     target = F.coalesce(F.try_element_at("placement", F.col("name")), F.try_element_at("placement", F.lit(ANY_CARD)), F.lit(default))
     return listed.select("key", "ord", target.alias("target"))
 

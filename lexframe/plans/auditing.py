@@ -290,6 +290,11 @@ def audit_sample(spark: SparkSession, sf: str) -> DataFrame:
     return A.audit_sample(docs, table(spark, sf, "labels"), "doc_id", ["quality", "toxic"], 50, 7)
 
 
+SAMPLE_ORACLE = """WITH s AS (SELECT doc_id FROM documents ORDER BY md5(doc_id || '|7'), doc_id LIMIT 50),
+v AS (SELECT l.quality, l.toxic FROM s LEFT JOIN labels l USING (doc_id))
+SELECT quality, toxic, count(*) AS n, CAST(floor(count(*) * 1000000 / (SELECT count(*) FROM v)) AS BIGINT) AS share FROM v GROUP BY quality, toxic"""
+
+
 def sort_examples(spark: SparkSession, sf: str) -> DataFrame:
     """Examples of every stem in display order: word length, sense length, reading length, sense."""
     kana = B.kana_words(spark, sf).select(F.left("word", F.lit(2)).alias("stem"), "word", "annotated")
@@ -324,5 +329,5 @@ ORACLES = {
     "stats_records": STATS_ORACLE, "stats_words": STATS_WORDS_ORACLE, "stats_summary": SUMMARY_ORACLE, "ordered_merge": MERGE_ORACLE, "entry_keys": KEYS_ORACLE,
     "display_grid": GRID_ORACLE, "inserted_rows": INSERT_ORACLE, "sequence_gaps": SEQ_ORACLE, "set_guards": GUARDS_ORACLE, "pair_compare": PAIR_ORACLE,
     "audit_texts": AUDIT_ORACLE, "audit_redundancy": REDUNDANT_ORACLE, "cross_key_conflict": CROSS_ORACLE, "suppress_exceptions": SUPPRESS_ORACLE,
-    "audit_report": REPORT_ORACLE, "sort_examples": SORT_ORACLE, "top_examples": TOP_ORACLE,
+    "audit_report": REPORT_ORACLE, "audit_sample": SAMPLE_ORACLE, "sort_examples": SORT_ORACLE, "top_examples": TOP_ORACLE,
 }

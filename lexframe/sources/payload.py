@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def flatten_payload(df: DataFrame, raw: str, record_schema: str) -> tuple[DataFrame, DataFrame]:
@@ -48,9 +48,10 @@ def write_verified(df: DataFrame, path: str, contract: Callable[[DataFrame], Dat
         raise ValueError("the base is not overwritten; give another output path")
     aside = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".staging")
     rows = F.count(F.lit(1))
-    df.write.mode("overwrite").parquet(aside.toString())
+    seen = Observation("written")
+    df.observe(seen, rows.alias("rows")).write.mode("overwrite").parquet(aside.toString())
     back = spark.read.schema(df.schema).parquet(aside.toString())
-    written, expected = back.agg(rows).first()[0], df.agg(rows).first()[0]
+    written, expected = back.agg(rows).first()[0], seen.get["rows"]
     problem = None if written == expected else f"{written} rows read back, {expected} expected"
     if problem is None and contract is not None:
         found = contract(back).limit(5).collect()
@@ -59,9 +60,15 @@ def write_verified(df: DataFrame, path: str, contract: Callable[[DataFrame], Dat
         fs.delete(aside, True)
         raise ValueError(problem)
     old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".old")
-    if fs.exists(target):
-        fs.rename(target, old)
+    # a run that died between the two moves has left the target as .old: it goes back first
+    if fs.exists(old) and not fs.exists(target):
+        fs.rename(old, target)
+    elif fs.exists(old):
+        fs.delete(old, True)
+    moved = fs.exists(target) and fs.rename(target, old)
     if not fs.rename(aside, target):
+        if moved:
+            fs.rename(old, target)
         raise OSError(f"cannot move {aside} into place")
     if fs.exists(old):
         fs.delete(old, True)

@@ -51,6 +51,7 @@ def _packed(df: DataFrame, fields: tuple[str, ...]) -> Column:
     return publish.pack(F.struct("key", F.struct(*[c for c in fields if c in df.columns]).alias("record")))
 
 
+# --- fixed values: record fields; the note fields, card groups and deck names in the functions below are fixed as well ---
 _KANJI = ("tag", "variant", "except", "readings", "korean", "korean_src", "note")
 _GRAMMAR = ("head", "page", "level", "gloss_ja", "gloss_en", "gloss_zh", "gloss_ko", "connect", "examples", "note_ja", "note_ko")
 _VOCAB = ("list", "rank", "sfi", "band", "family", "senses")

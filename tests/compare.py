@@ -73,7 +73,7 @@ def main():
     from lexframe.session import get_session
 
     folder, chosen = sys.argv[1], sys.argv[2:]
-    spark = get_session("compare", cores="8", partitions=8)
+    spark = get_session("compare", cores=os.environ.get("COMPARE_CPUS", "8"), partitions=8)
     con = connect(folder)
     bad = 0
     for name, query in entry.queries().items():

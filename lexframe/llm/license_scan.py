@@ -142,3 +142,31 @@ def scan(spark: SparkSession, docs: DataFrame, templates: tuple[Template, ...] =
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"), "spans",
     )
+
+
+ORACLE = f"""
+WITH tpl AS (
+  SELECT *, string_split(phrase, ' ') AS tok
+  FROM (VALUES {", ".join(f"({i}, '{t.label}', '{t.phrase}', {str(t.base).lower()}, {t.gap}, {t.share})" for i, t in enumerate(TEMPLATES))}) v(t, label, phrase, base, gap, share)),
+tg AS (SELECT t, q, tok[q + 1] AS a, tok[q + 2] AS b FROM tpl, unnest(range(0, len(tok) - 1)) u(q)),
+d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+  FROM documents),
+g AS (SELECT doc_id, unnest(range(0, len(w) - 1)) AS p, unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM d WHERE len(w) > 1),
+di AS (SELECT doc_id, t, p - q AS diagonal, min(p) AS first FROM g JOIN tg USING (a, b) GROUP BY ALL),
+op AS (
+  SELECT di.*, coalesce((diagonal - lag(diagonal) OVER (PARTITION BY doc_id, t ORDER BY diagonal) > gap)::INT, 1) AS opens FROM di JOIN tpl USING (t)),
+sp AS MATERIALIZED (SELECT *, sum(opens) OVER (PARTITION BY doc_id, t ORDER BY diagonal) AS span FROM op),
+eq AS (
+  SELECT sp.doc_id, sp.t, span, count(DISTINCT j) AS n FROM sp JOIN tpl USING (t) JOIN d USING (doc_id), unnest(range(0, len(tok))) u(j)
+  WHERE diagonal + j >= 0 AND w[diagonal + j + 1] = tok[j + 1] GROUP BY ALL),
+ok AS (
+  SELECT s.doc_id, label, base, start, n / len(tok)::DOUBLE AS matched
+  FROM (SELECT doc_id, t, span, min(first) AS start FROM sp GROUP BY ALL) s JOIN eq USING (doc_id, t, span) JOIN tpl USING (t)
+  WHERE n / len(tok)::DOUBLE >= share)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, count(start) FILTER (base)::BIGINT AS n_base,
+       (min(start) FILTER (base))::BIGINT AS first_word, (max(start) FILTER (base))::BIGINT AS last_word,
+       coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (label IS NOT NULL)), ','), '') AS labels,
+       coalesce(max(matched), 0)::DOUBLE AS score
+FROM d LEFT JOIN ok USING (doc_id) GROUP BY d.doc_id, len(w)"""

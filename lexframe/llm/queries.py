@@ -75,6 +75,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES = {
+    "op2_license_scan": license_scan.ORACLE,
     "op4_exact_top_k": top_k.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }

@@ -208,3 +208,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
         F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"),
         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c.least, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(c.least, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)"""

@@ -77,5 +77,6 @@ QUERIES = {
 ORACLES = {
     "op2_license_scan": license_scan.ORACLE,
     "op4_exact_top_k": top_k.ORACLE,
+    "op6_near_dedup": near_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }

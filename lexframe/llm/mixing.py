@@ -101,12 +101,14 @@ def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: t
     """
     results = ("size", "source_size", "target", "taken", "positions", "position", "pass_words")
     kept = [c for c in docs.columns if c.lower() not in results and (passes or c.lower() not in (text.lower(), "source"))]
-    keys = [F.xxhash64(F.col(key), F.col(text)).alias("__tie"), F.shiftrightunsigned(F.xxhash64(F.col(key), F.col(text), F.lit("order")), 1).alias("__order")]
+    # 60 bits of an md5 sum, which other engines have as well
+    order = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(text))), 1, 15), 16, 10).cast("long")
+    keys = [F.xxhash64(F.col(key), F.col(text)).alias("__tie"), order.alias("__order")]
     held = [F.col(f"`{c}`") for c in kept]
     # whole texts are not copied: with passes they join in again by these hashes
     small = [] if passes else held
     sized = checkpointed(docs.select(*small, F.col("source").alias("__source"), size_of(F.col(text)).alias("size"), *keys))
-    sized = sized.withColumn("__bucket", F.shiftrightunsigned(F.col("__order"), 63 - (buckets - 1).bit_length()))
+    sized = sized.withColumn("__bucket", F.shiftrightunsigned(F.col("__order"), 60 - (buckets - 1).bit_length()))
     goal = targets(sized.select(F.col("__source").alias("source"), "size"), weights, budget, most)
     sums = sized.groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
     earlier = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,3 +155,38 @@ def training_order(mixed: DataFrame) -> DataFrame:
     """Range-sorted by the first position; documents not taken come last."""
     first = F.get("positions", 0).alias("position")
     return mixed.select(*mixed.columns, first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def _inverted_sql(knots: tuple[tuple[float, float], ...]) -> str:
+    cases = [
+        f"WHEN share >= {used!r} THEN {start!r} + 2 * (share - {used!r}) / ({weight!r} + sqrt(greatest({weight * weight!r} + 2 * {slope!r} * (share - {used!r}), 0)))"
+        for start, weight, slope, used in reversed(integrated(knots))
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+ORACLE = f"""
+WITH d AS (
+  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[{SPACE_CLASS}]+'), lambda x: x <> ''))::BIGINT AS size,
+         ('0x' || substr(md5(concat_ws('|', doc_id::VARCHAR, text)), 1, 15))::BIGINT AS o
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+w AS (SELECT *, [{", ".join(map(str, WEIGHTS))}][place % {len(WEIGHTS)} + 1] AS weight FROM s),
+r AS (
+  SELECT *, {MOST} * source_size / weight AS ratio, {BUDGET} * sum(source_size) OVER () AS total,
+         coalesce(sum({MOST} * source_size) OVER (ORDER BY {MOST} * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+         sum(weight) OVER (ORDER BY {MOST} * source_size / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+  FROM w),
+l AS (SELECT min_by((total - held) / open, (ratio, place)) AS level FROM r WHERE ratio > (total - held) / open),
+t AS (SELECT w.*, least(({MOST} * source_size)::DOUBLE, coalesce(level * weight, {MOST} * source_size))::DOUBLE AS target FROM w, l),
+a AS (
+  SELECT d.*, source_size, target, place, round(target)::BIGINT AS demand,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+b AS (
+  SELECT *, {" + ".join(f"greatest(0, least(size, demand - start - {p} * source_size))" for p in range(MOST))} AS taken,
+         CASE WHEN size > 0 AND start < demand THEN start / target END AS share
+  FROM a)
+SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
+       round(CASE WHEN share IS NOT NULL THEN least(greatest(CASE place % {len(SCHEDULES)} {" ".join(f"WHEN {i} THEN {_inverted_sql(k)}" for i, k in enumerate(SCHEDULES))} END, 0), 1) END, 9) AS position
+FROM b"""

@@ -24,7 +24,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.training_order(mixing.curriculum(docs))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_license_scan": license_scan.ORACLE,
+    "op3_curriculum_mixing": mixing.ORACLE,
     "op4_exact_top_k": top_k.ORACLE,
     "op6_near_dedup": near_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,

@@ -193,16 +193,22 @@ def furigana_gate(items: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def enrich(requests: DataFrame, fn: Callable[[str], str]) -> DataFrame:
-    """Apply a user function to every request body; (batch, response).  A failing call answers nothing."""
+    """Apply a user function to every request body; (batch, response, error).
+
+    A failing call answers null and says why in ``error``, so that it is not taken for an empty answer.
+    """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            answers = []
+            answers, errors = [], []
             for body in part["body"]:
+                answer, error = None, None
                 try:
-                    answers.append(fn(body))
-                except Exception:  # noqa: BLE001 - a broken batch is asked again in the next run
-                    answers.append(None)
-            yield pd.DataFrame({"batch": part["batch"], "response": answers})
-
-    return requests.select("batch", "body").mapInPandas(run, "batch long, response string")
+                    answer = fn(body)
+                except Exception as caught:  # noqa: BLE001 - a broken batch is asked again in the next run
+                    error = f"{type(caught).__name__}: {caught}"
+                answers.append(answer)
+                errors.append(error)
+            yield pd.DataFrame({"batch": part["batch"], "response": answers, "error": errors})
+
+    return requests.select("batch", "body").mapInPandas(run, "batch long, response string, error string")

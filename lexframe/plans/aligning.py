@@ -188,7 +188,7 @@ SELECT run, sound FROM c WHERE i = length(run)"""
 
 def char_targets(spark: SparkSession, sf: str) -> DataFrame:
     """Words per target character, and part names enriched by their characters' glosses."""
-    targets = B.benchmark_words(spark, sf).where("length(word) <= 2").select(F.explode(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
+    targets = B.benchmark_words(spark, sf).select(F.explode(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
     freq = B.words(spark, sf).groupBy("word").agg(F.count(F.lit(1)).alias("freq")).withColumnRenamed("word", "lemma")
     hits = V.explode_targets(freq, targets).groupBy("ch").agg(
         F.count(F.lit(1)).alias("words"), F.sum("freq").alias("freq"), F.max(F.struct("freq", "lemma"))["lemma"].alias("top"))
@@ -196,7 +196,7 @@ def char_targets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TARGETS_ORACLE = f"""WITH {B.WORDS_SQL}, {B.BENCHMARK_SQL},
-t AS (SELECT DISTINCT unnest(string_split(word, '')) AS ch FROM benchmark_words WHERE length(word) <= 2),
+t AS (SELECT DISTINCT unnest(string_split(word, '')) AS ch FROM benchmark_words),
 f AS (SELECT word AS lemma, count(*) AS freq FROM words GROUP BY word),
 x AS (SELECT lemma, freq, unnest(list_distinct(string_split(lemma, ''))) AS ch FROM f)
 SELECT ch, count(*) AS words, CAST(sum(freq) AS BIGINT) AS freq, arg_max(lemma, (freq, lemma)) AS top FROM x JOIN t USING (ch) GROUP BY ch"""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lexframe.functions.text import CASE_FOLDS
 from lexframe.session import table
 
 # --- fixed values: word pattern and letter maps ---
@@ -79,6 +80,13 @@ def capitalised_sql(c: str) -> str:
     return f"translate({c}[1], '{SMALL}', '{LARGE}') || {c}[2:]"
 
 
+def fold_sql(c: str) -> str:
+    out = f"lower({c})"
+    for letter, folded in CASE_FOLDS.items():
+        out = f"replace({out}, '{letter}', '{folded}')"
+    return out
+
+
 def surface_of(c: Column) -> Column:
     return F.translate(c, LETTERS, SURFACES)
 

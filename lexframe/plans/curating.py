@@ -103,9 +103,8 @@ FROM b LEFT JOIN a ON a.key = b.key AND a.attempt = b.attempt LEFT JOIN k ON k.k
 def layered_final(spark: SparkSession, sf: str) -> DataFrame:
     """Document values through four layers; reviews of a changed draft do not attach."""
     docs = table(spark, sf, "documents")
-    line = lambda c, i: F.get(F.split(c, "\n", -1), F.lit(i))
     d = F.col("doc_id")
-    drafts = docs.select(F.concat(F.lit("doc-"), d.cast("string")).alias("key"), F.array(line("text", 0)).alias("lines"), "doc_id")
+    drafts = docs.select(F.concat(F.lit("doc-"), d.cast("string")).alias("key"), F.split("text", "\n", -1).alias("lines"), "doc_id")
     key, old = F.col("key"), F.array(F.lit("stale"))
     reviews = drafts.where(d % 2 == 0).select(L.content_key(key, F.when(d % 6 == 0, old).otherwise(F.col("lines"))).alias("ckey"), F.array(F.lit("reviewed")).alias("lines"))
     settled = F.when((d % 2 == 0) & (d % 6 != 0), F.array(F.lit("reviewed"))).otherwise(F.col("lines"))
@@ -115,7 +114,7 @@ def layered_final(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("key", F.array_join("value", "|").alias("value"), "layer")
 
 
-LAYERED_ORACLE = """WITH d AS (SELECT doc_id AS d, string_split(text, chr(10))[1] AS line FROM documents),
+LAYERED_ORACLE = """WITH d AS (SELECT doc_id AS d, replace(text, chr(10), '|') AS line FROM documents),
 s AS (SELECT *, d % 2 = 0 AND d % 6 <> 0 AS rev, d % 3 = 1 AS agr FROM d),
 t AS (SELECT *, d % 5 = 0 AND (agr OR NOT rev) AS fin FROM s)
 SELECT 'doc-' || d AS key, CASE WHEN fin THEN 'final' WHEN agr THEN 'agreed|x' WHEN rev THEN 'reviewed' ELSE line END AS value,
@@ -123,37 +122,35 @@ SELECT 'doc-' || d AS key, CASE WHEN fin THEN 'final' WHEN agr THEN 'agreed|x' W
 
 
 def request_cycle(spark: SparkSession, sf: str) -> DataFrame:
-    """User turns become numbered request batches; a deterministic answerer replies; accepted rows are appended."""
+    """User turns become numbered request batches; replies of three shapes are parsed; accepted rows are appended."""
     turns = table(spark, sf, "conversations")
-    asked = turns.where("role = 'user'").select("conv_id", "turn", F.coalesce(F.get(F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0)), F.lit(0)), F.lit("")).alias("w"))
+    said = F.coalesce("text", F.lit(""))
+    asked = turns.where("role = 'user'").select("conv_id", "turn", said.alias("w"))
     numbered = L.number_requests(asked, ["conv_id", "turn"], F.floor(F.col("conv_id") / 64), 40)
     bodies = L.build_requests(numbered, ["w"])
-
-    def answer(body: str) -> str:
-        import json
-
-        rows = json.loads(body)
-        made = [{"i": r["i"], "ko": [r["w"].lower()], "why": ""} for r in rows]
-        if len(rows[0]["w"]) % 5 == 4:
-            return "sorry {broken"
-        if len(rows[0]["w"]) % 2:
-            return "```json\n" + json.dumps(made) + "\n```"
-        return "Here: " + json.dumps({"results": made})
-
-    parsed = L.parse_responses(L.enrich(bodies, answer), "batch", "response", "struct<i:int,ko:array<string>,why:string>")
+    rows = F.from_json("body", "array<struct<i:int,w:string>>")
+    made = F.transform(rows, lambda r: F.struct(r["i"].alias("i"), F.array(F.lower(r["w"])).alias("ko"), F.lit("").alias("why")))
+    first = F.length(F.get(rows, F.lit(0))["w"])
+    reply = (
+        F.when(first % 5 == 4, F.lit("sorry {broken"))
+        .when(first % 2 == 1, F.concat(F.lit("```json\n"), F.to_json(made), F.lit("\n```")))
+        .otherwise(F.concat(F.lit("Here: "), F.to_json(F.struct(made.alias("results")))))
+    )
+    replies = bodies.select("batch", reply.alias("response"))
+    parsed = L.parse_responses(replies, "batch", "response", "struct<i:int,ko:array<string>,why:string>")
     joined = numbered.join(parsed, ["batch", "i"])
     answers = joined.select(
         F.lit("m").alias("model"), F.lit("gloss").alias("purpose"), F.col("w").alias("key"),
         F.array_join("answer.ko", "\n").alias("value"), F.col("conv_id").alias("ts"))
     ledger = turns.where("role = 'assistant'").select(
-        F.lit("m").alias("model"), F.lit("gloss").alias("purpose"), F.get(F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0)), F.lit(0)).alias("key"))
+        F.lit("m").alias("model"), F.lit("gloss").alias("purpose"), said.alias("key"))
     return L.upsert_ledger(ledger, answers, F.length("value") > 2).select("key", "value", "ts")
 
 
-CYCLE_ORACLE = f"""WITH u AS (SELECT conv_id, turn, coalesce(regexp_extract_all(text, '{B.WORD}')[1], '') AS w, row_number() OVER (ORDER BY conv_id, turn) - 1 AS n FROM conversations WHERE role = 'user'),
+CYCLE_ORACLE = """WITH u AS (SELECT conv_id, turn, coalesce(text, '') AS w, row_number() OVER (ORDER BY conv_id, turn) - 1 AS n FROM conversations WHERE role = 'user'),
 b AS (SELECT *, n // 40 AS batch FROM u), f AS (SELECT batch, length(w) AS l FROM b WHERE n % 40 = 0)
 SELECT w AS key, lower(w) AS value, max(conv_id) AS ts FROM b JOIN f USING (batch)
-WHERE f.l % 5 <> 4 AND length(w) > 2 AND w NOT IN (SELECT coalesce(regexp_extract_all(text, '{B.WORD}')[1], '') FROM conversations WHERE role = 'assistant') GROUP BY w"""
+WHERE f.l % 5 <> 4 AND length(w) > 2 AND w NOT IN (SELECT coalesce(text, '') FROM conversations WHERE role = 'assistant') GROUP BY w"""
 
 
 def group_batches(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,14 +48,14 @@ def layout_assemble(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "sent",
         F.when(F.length(_word(0)) >= 8, _word(0)).otherwise("").alias("head"),
         F.when(F.length(_word(1)) >= 6, _word(1)).otherwise("").alias("reading"),
-        _word(2).alias("ex"), _word(3).alias("note"))
+        _word(2).alias("ex"), F.array_join(F.slice("w", F.lit(4), F.size("w")), " ").alias("note"))
     return L.assemble_rows(lined, ["doc_id"], "sent")
 
 
 ASSEMBLE_ORACLE = f"""WITH {B.SENTENCES_SQL},
 w AS (SELECT doc_id, sent, regexp_extract_all(text, '{B.WORD}') AS w FROM sentences),
 l AS (SELECT doc_id, sent, CASE WHEN length(w[1]) >= 8 THEN w[1] ELSE '' END AS head,
-  CASE WHEN length(w[2]) >= 6 THEN w[2] ELSE '' END AS reading, coalesce(w[3], '') AS ex, coalesce(w[4], '') AS note FROM w),
+  CASE WHEN length(w[2]) >= 6 THEN w[2] ELSE '' END AS reading, coalesce(w[3], '') AS ex, array_to_string(w[4:], ' ') AS note FROM w),
 e AS (SELECT *, sum(CASE WHEN head <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY sent) AS entity FROM l),
 r AS (SELECT *, sum(CASE WHEN reading <> '' OR (head <> '' AND (ex <> '' OR note <> '')) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, entity ORDER BY sent) AS "row",
   first_value(head) OVER (PARTITION BY doc_id, entity ORDER BY sent) AS h FROM e WHERE entity > 0)

@@ -30,13 +30,6 @@ def search_ranked(spark: SparkSession, sf: str) -> DataFrame:
     return S.search(_terms(spark, sf), asked.unionByName(names).unionByName(short), S.GRAMMAR_RANKS)
 
 
-def _fold(c: str) -> str:
-    out = f"lower({c})"
-    for letter, folded in X.CASE_FOLDS.items():
-        out = f"replace({out}, '{letter}', '{folded}')"
-    return out
-
-
 SEARCH_ORACLE = f"""WITH {B.SENTENCES_SQL},
 terms AS (SELECT 'p' || p_partkey AS key, 0 AS ord, p_name AS text, 'key' AS kind, p_type AS context, p_size AS weight FROM part
   UNION ALL SELECT 'p' || p_partkey, 1, p_brand, 'level', 'brand', p_size FROM part UNION ALL SELECT 'p' || p_partkey, 2, p_type, 'head', 'type', p_size FROM part
@@ -45,8 +38,8 @@ terms AS (SELECT 'p' || p_partkey AS key, 0 AS ord, p_name AS text, 'key' AS kin
 bw AS (SELECT item_id, unnest(regexp_extract_all(text, '{B.WORD}')) AS w FROM benchmark),
 q AS (SELECT 'b' || item_id AS qid, arg_max(w, (length(w), w)) AS query FROM bw GROUP BY item_id
   UNION ALL SELECT DISTINCT 'n' || lower(p_name), lower(p_name) FROM part UNION ALL VALUES ('s1', 'x'), ('s2', '7'), ('s3', 'ße'), ('s5', 'ECONOMY'), ('s6', 'SSE')),
-m AS (SELECT q.qid, q.query, t.*, CASE WHEN {_fold('text')} = {_fold('query')} THEN CASE kind WHEN 'key' THEN 0 WHEN 'head' THEN 0 WHEN 'meaning' THEN 2 WHEN 'level' THEN 3 ELSE 5 END ELSE 10 END AS r
-  FROM q JOIN terms t ON contains({_fold('t.text')}, {_fold('q.query')})),
+m AS (SELECT q.qid, q.query, t.*, CASE WHEN {B.fold_sql('text')} = {B.fold_sql('query')} THEN CASE kind WHEN 'key' THEN 0 WHEN 'head' THEN 0 WHEN 'meaning' THEN 2 WHEN 'level' THEN 3 ELSE 5 END ELSE 10 END AS r
+  FROM q JOIN terms t ON contains({B.fold_sql('t.text')}, {B.fold_sql('q.query')})),
 b AS (SELECT *, row_number() OVER (PARTITION BY qid, key ORDER BY r, ord) AS n FROM m),
 p AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY r, weight DESC, key) AS place, count(*) OVER (PARTITION BY qid) AS total FROM b WHERE n = 1)
 SELECT qid, query, place, key, kind AS match_kind, text AS matched_text, context AS match_context, r < 10 AS exact, total FROM p WHERE place <= 80"""

@@ -125,3 +125,17 @@ def test_residuals_and_rekey(spark):
     out = {r.ch: (r.bucket, r.key) for r in S.rekey_examples(df, dic, readings, on).collect()}
     # 蕎 keeps no reading of its own, so the exception comes back as its reading
     assert out == {"鵜": ("readings", "う"), "蕎": ("readings", "そば"), "甕": ("readings", "かめ"), "巫": ("readings", "ブ"), "珈": ("readings", "カ")}
+
+
+def test_failing_enrichment_says_so(spark):
+    from lexframe.operators import ledger
+
+    asked = spark.createDataFrame([(1, "good"), (2, "bad")], "batch long, body string")
+
+    def answer(body):
+        if body == "bad":
+            raise ValueError("no answer")
+        return ""
+
+    got = {r.batch: (r.response, r.error) for r in ledger.enrich(asked, answer).collect()}
+    assert got == {1: ("", None), 2: (None, "ValueError: no answer")}

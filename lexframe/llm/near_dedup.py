@@ -171,8 +171,8 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Dat
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(clusters.select("cls")).distinct()
     ids = sketches.join(wanted, "cls", "left_semi").select("cls", "rep", "n")
     found = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("t")).join(ids, "rep")
-    sets = found.select("cls", "rep", "n", shingles(F.col("t")).alias("shingles")).where(F.xxhash64("shingles") == F.col("cls"))
-    sets = checkpointed(sets.dropDuplicates(["cls"]))
+    # cut here: as part of the join the comparison would hash every document before the shuffle
+    sets = checkpointed(found.select("cls", "rep", "n", shingles(F.col("t")).alias("shingles"))).where(F.xxhash64("shingles") == F.col("cls"))
 
     full = sets.select("cls", "rep", "shingles")
     both = pairs.join(full.toDF("a", "rep_a", "f_a"), "a").join(full.toDF("b", "rep_b", "f_b"), "b")

@@ -36,7 +36,7 @@ class Counter:
 
     def __init__(self, path: str, whole: frozenset[str]):
         merger = Merger(path, "kept", len, lambda token: 1 if token in whole else None)
-        self.chunks = Chunks(lambda piece: sum(merger.values(piece)))
+        self.chunks = Chunks(lambda piece: sum(merger.values(piece)), merger.word)
 
     def count(self, text: str | None) -> int:
         return sum(self.chunks.pieces(text)) if text else 0

@@ -17,7 +17,7 @@ ORACLE_SQL = None
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.verdicts(docs).where("kept").select(*docs.columns)
+    return docs.where(quality_rules.verdict(F.col("text"))["kept"])
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

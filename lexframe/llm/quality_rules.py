@@ -32,9 +32,9 @@ class Rule:
     base: str = ""
     factor: int = 1
 
-    def fails(self) -> Column:
-        left = F.lit(self.factor) * F.col(self.measure)
-        right = F.lit(self.limit) * F.col(self.base) if self.base else F.lit(self.limit)
+    def fails(self, measures: Column) -> Column:
+        left = F.lit(self.factor) * measures[self.measure]
+        right = F.lit(self.limit) * measures[self.base] if self.base else F.lit(self.limit)
         return left > right if self.side == "over" else left < right
 
     def sql(self) -> str:
@@ -84,36 +84,45 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) < 3, F.lit(0)).otherwise(let(F.transform(w, lambda x: F.xxhash64(x)), from_hashes))
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the columns of MEASURES (long), replacing columns of those names.
+def measures(text: Column) -> Column:
+    """A struct of MEASURES (long). Null and empty text measure 0 everywhere.
 
-    Null and empty text measure 0 everywhere. Windows are compared by 64-bit hashes of 64-bit word
-    hashes within one document.
+    Windows are compared by 64-bit hashes of 64-bit word hashes within one document.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    per_word = let(
-        words(F.col(text)),
-        lambda w: F.struct(
-            F.size(w).alias("n_words"),
-            _repeat_words(w).alias("n_repeat_words"),
-            F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop_words"),
-        ),
-    )
-    per_line = let(
-        F.filter(F.split(whole, "\n"), lambda x: x.rlike(f"[^{SPACE_CLASS}]")),
-        lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")),
-    )
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in MEASURES]
-    parts = docs.select(
-        *kept,
-        per_word.alias("__w"),
-        per_line.alias("__l"),
-        F.length(F.translate(whole, SPACE_CHARS, "")).alias("word_chars"),
-        _count_of(whole, SYMBOLS).alias("n_symbols"),
-        _count_of(whole, CAPITALS).alias("n_capitals"),
-    )
-    places = {"n_words": "__w.n_words", "n_repeat_words": "__w.n_repeat_words", "n_stop_words": "__w.n_stop_words", "n_lines": "__l.n_lines", "n_dup_lines": "__l.n_dup_lines"}
-    return parts.select(*kept, *[F.col(places.get(m, m)).cast("long").alias(m) for m in MEASURES])
+    whole = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(f"[^{SPACE_CLASS}]"))
+
+    def counted(w: Column, x: Column) -> Column:
+        found = {
+            "n_words": F.size(w),
+            "word_chars": F.length(F.translate(whole, SPACE_CHARS, "")),
+            "n_symbols": _count_of(whole, SYMBOLS),
+            "n_dup_lines": F.size(x) - F.size(F.array_distinct(x)),
+            "n_repeat_words": _repeat_words(w),
+            "n_capitals": _count_of(whole, CAPITALS),
+            "n_stop_words": F.size(F.filter(w, lambda y: F.lower(y).isin(STOP_WORDS))),
+            "n_lines": F.size(x),
+        }
+        return F.struct(*[found[m].cast("long").alias(m) for m in MEASURES])
+
+    return let(words(text), lambda w: let(lines, lambda x: counted(w, x)))
+
+
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """A struct of MEASURES, ``failed_rules``, ``base_failed`` and ``kept``.
+
+    All of it is one expression that binds the measures once, so a filter on the verdict, which the
+    optimizer moves below the projection, costs no more than the verdict itself.
+    """
+
+    def judged(m: Column) -> Column:
+        base = F.lit(False)
+        for rule in BASE_RULES:
+            base = base | rule.fails(m)
+        failed = F.filter(F.array(*[F.when(r.fails(m), F.lit(r.name)) for r in (*BASE_RULES, *rules)]), lambda x: x.isNotNull())
+        return let(failed, lambda f: F.struct(*[m[c].alias(c) for c in MEASURES], f.alias("failed_rules"), base.alias("base_failed"), (F.size(f) == 0).alias("kept")))
+
+    return let(measures(text), judged)
 
 
 def verdicts(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -122,18 +131,9 @@ def verdicts(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     An empty table stays empty; repeated rows are judged alike; other columns pass unchanged, except
     that columns named like a result are replaced.
     """
-    results = ("failed_rules", "base_failed", "kept")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in results])
-    base = F.lit(False)
-    for rule in BASE_RULES:
-        base = base | rule.fails()
-    failed = F.filter(F.array(*[F.when(r.fails(), F.lit(r.name)) for r in (*BASE_RULES, *rules)]), lambda x: x.isNotNull())
-    return (
-        measured(docs, text)
-        .withColumn("failed_rules", failed)
-        .withColumn("base_failed", base)
-        .withColumn("kept", F.size("failed_rules") == 0)
-    )
+    results = (*MEASURES, "failed_rules", "base_failed", "kept")
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in results]
+    return docs.select(*own, verdict(F.col(text), rules).alias("__v")).select(*own, *[F.col(f"__v.{c}").alias(c) for c in results])
 
 
 ORACLE = f"""

@@ -184,7 +184,7 @@ def gloss_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Table-like lines split into three languages; quotes tightened."""
     slashed = F.regexp_replace("text", "[|,]", "／")
     g = L.split_gloss(slashed)
-    quoted = L.tighten_quotes(F.concat(F.lit("「 "), F.substring("text", 1, 20), F.lit("　」")))
+    quoted = L.tighten_quotes(F.concat(F.lit("「 "), "text", F.lit("　」")))
     return B.lines(spark, sf).where("text <> ''").select(
         "doc_id", "line", g["en"].alias("en"), g["zh"].alias("zh"), F.md5(g["ko"]).alias("ko"), F.md5(quoted).alias("quoted"))
 

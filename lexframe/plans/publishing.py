@@ -22,9 +22,8 @@ def _terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    """Queries taken from the benchmark and the part names against all terms."""
-    words = F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0))
-    asked = table(spark, sf, "benchmark").select(F.concat(F.lit("b"), "item_id").alias("qid"), F.coalesce(F.array_max(F.filter(F.transform(words, lambda w: F.struct(F.length(w), w.alias("w"))), lambda x: x["w"] != ""))["w"], F.lit("")).alias("query"))
+    """Every word of the benchmark passages and every part name against all terms."""
+    asked = B.benchmark_words(spark, sf).select(F.concat(F.lit("b"), "word").alias("qid"), F.col("word").alias("query"))
     names = table(spark, sf, "part").select(F.lower("p_name").alias("query")).distinct().select(F.concat(F.lit("n"), "query").alias("qid"), "query")
     short = spark.createDataFrame([("s1", "x"), ("s2", " 7 "), ("s3", "ße"), ("s4", "  "), ("s5", "ECONOMY"), ("s6", "SSE")], "qid string, query string")
     return S.search(_terms(spark, sf), asked.unionByName(names).unionByName(short), S.GRAMMAR_RANKS)

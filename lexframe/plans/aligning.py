@@ -86,7 +86,7 @@ WHERE d.verb AND regexp_full_match(d.surface, '[ぁ-ゖ]*[\\x{{4E00}}-\\x{{9FFF}
 
 def word_containment(spark: SparkSession, sf: str) -> DataFrame:
     """Inner spans of every distinct word that a larger benchmark word covers."""
-    lexicon = B.benchmark_words(spark, sf).where("length(word) between 2 and 12")
+    lexicon = B.benchmark_words(spark, sf)
     texts = B.words(spark, sf).select(F.col("word").alias("text")).distinct()
     spans = texts.where("length(text) >= 4").select(
         "text", F.explode(F.sequence(F.lit(0), F.length("text") - 3)).alias("start")).withColumn("stop", F.col("start") + 3)
@@ -104,7 +104,7 @@ SELECT s.text, s.start, s.stop, count(h.w) > 0 AS cut FROM s LEFT JOIN h ON h.te
 def lexicon_spots(spark: SparkSession, sf: str) -> DataFrame:
     """Where benchmark words stand inside the words of the documents."""
     texts = B.words(spark, sf).select(F.col("word").alias("text")).distinct()
-    return V.lexicon_spots(texts, ["text"], "text", B.benchmark_words(spark, sf).where("length(word) between 3 and 12"), shortest=3)
+    return V.lexicon_spots(texts, ["text"], "text", B.benchmark_words(spark, sf))
 
 
 SPOTS_ORACLE = f"""WITH {B.WORDS_SQL}, {B.BENCHMARK_SQL}, texts AS (SELECT DISTINCT word AS text FROM words),

@@ -152,11 +152,24 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, folder: str |
     return checkpointed(ranged.mapInArrow(write, MANIFEST))
 
 
+def located(shard: Shard) -> np.ndarray:
+    """The document of each key by the perfect hash, after those without a key; -1 for a key that is not found.
+
+    The hash gives the first document of a key, the place in its run of equal keys the others.
+    """
+    held, keys = shard.documents(shard.keys), shard.keys
+    at = np.arange(len(keys))
+    first = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
+    place = at - np.maximum.accumulate(np.where(first, at, 0))
+    return np.concatenate((np.arange(shard.n_null), np.where(held < 0, -1, held + place)))
+
+
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """Per document (doc_id, start, n_tokens, ids_crc32), read from the files through their index.
 
     ``start`` counts the ids of all documents before it. Every key is looked up in the perfect hash
-    and checked against its fingerprint; a key that is not found fails the read.
+    and checked against its fingerprint, and the rows are read where it leads; a walk over the
+    positions is the check, and a key that is not found fails the read.
     """
     shards = manifest.count()
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
@@ -166,17 +179,16 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for name, base in zip(batch["file"], batch["base"], strict=True):
                 shard = Shard(name)
-                held = shard.documents(shard.keys)
-                run = np.arange(len(shard.keys)) + shard.n_null
-                first = np.concatenate(([True], shard.keys[1:] != shard.keys[:-1])) if len(run) else np.zeros(0, bool)
-                if (held < 0).any() or (held[first] != run[first]).any():
+                found = located(shard)
+                if not np.array_equal(found, np.arange(len(shard.ends))):
                     raise ValueError(f"the index of {name} does not lead to its documents")
-                starts = np.concatenate(([0], shard.ends[:-1])).astype(np.int64)
+                ends = shard.ends.astype(np.int64)
+                starts = np.concatenate(([0], ends))[found]
                 yield pd.DataFrame({
                     "doc_id": pd.array([None] * shard.n_null + shard.keys.tolist(), dtype="Int64"),
                     "start": starts + base,
-                    "n_tokens": shard.ends.astype(np.int64) - starts,
-                    "ids_crc32": [zlib.crc32(shard.ids(i).tobytes()) for i in range(len(starts))],
+                    "n_tokens": ends[found] - starts,
+                    "ids_crc32": [zlib.crc32(shard.ids(i).tobytes()) for i in found.tolist()],
                 })
 
     return based.repartition(max(1, shards)).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

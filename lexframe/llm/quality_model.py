@@ -102,7 +102,7 @@ def held_out(key: str = "doc_id") -> Column:
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, buckets: int = BUCKETS) -> Model:
     """Fit on at most ``max_rows`` labelled documents that are not held out, chosen by a hash of the id.
 
-    Null keys, labels other than 0 and 1, and labels without a document are passed over.
+    Of a repeated id the row with the least text hash is taken. Null keys, labels other than 0 and 1, and labels without a document are passed over.
     """
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.min(label).cast("int").alias("__y"))
     known = marked.join(docs.select(key), key, "left_semi")
@@ -117,7 +117,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str = "d
                 rows.append((k, y, at.astype("<u4").tobytes(), (counts / max(1, counts.sum())).astype("<f4").tobytes()))
             yield pd.DataFrame(rows, columns=["k", "y", "at", "share"])
 
-    sample = docs.join(F.broadcast(chosen), key).select(F.col(key).cast("string").alias("k"), F.col("__y").alias("y"), F.col(text).alias("t"))
+    # one row per id before any features are made: the row with the least text hash
+    least = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("t")))["t"]
+    single = docs.join(F.broadcast(chosen), key).groupBy(key).agg(F.min("__y").alias("y"), least.alias("t"))
+    sample = single.select(F.col(key).cast("string").alias("k"), "y", "t")
     found = sample.mapInPandas(features, "k string, y int, at binary, share binary").collect()  # max_rows rows, at most ``buckets`` numbers each
     found.sort(key=lambda r: (zlib.crc32(r.k.encode()), r.k, r.at))
     return fit([(np.frombuffer(r.at, "<u4").astype(np.int64), np.frombuffer(r.share, "<f4").astype(np.float64), r.y) for r in found], buckets)

@@ -18,10 +18,26 @@ BUCKETS = 1024
 DIMENSIONS = ("source", "lang", "size")
 
 
-def ordinal(column: Column) -> Column:
-    """The first seven UTF-8 bytes as a number that keeps the order of strings; null is -1."""
-    head = F.rpad(F.substring(F.hex(F.encode(column, "UTF-8")), 1, 14), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1))
+def ordered(column: Column) -> Column:
+    """The whole string with its order kept; null comes first."""
+    return F.coalesce(F.concat(F.lit("1"), column), F.lit("0"))
+
+
+def string_limits(rows: DataFrame, axis: str, shares: list[float]) -> list[str]:
+    """The least value of ``axis`` up to which each share of the rows lies; none for an empty table.
+
+    Distinct values are range-sorted with their counts; a range adds the counts of the ranges before it.
+    """
+    counts = rows.groupBy(axis).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = checkpointed(counts.repartitionByRange(axis).withColumn("__part", F.spark_partition_id()))
+    parts = ranged.groupBy("__part").agg(F.sum("__n").alias("__m"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    before = parts.withColumn("__before", F.coalesce(F.sum("__m").over(earlier), F.lit(0))).drop("__m")
+    within = Window.partitionBy("__part").orderBy(axis).rowsBetween(Window.unboundedPreceding, 0)
+    upto = ranged.withColumn("__upto", F.sum("__n").over(within)).join(F.broadcast(before), "__part")
+    reached = F.col("__before") + F.col("__upto")
+    total = parts.agg(F.coalesce(F.sum("__m"), F.lit(0))).first()[0]
+    return [v for v in upto.agg(*[F.min(F.when(reached >= share * total, F.col(axis))).alias(f"v{i}") for i, share in enumerate(shares)]).first() if v is not None]
 
 
 def hilbert_index(axes: list[Column], bits: int = BITS) -> Column:
@@ -77,7 +93,7 @@ def shards(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, number: in
     kept = [c for c in docs.columns if c.lower() not in results and (keep_text or c.lower() != text.lower())]
     whole = F.coalesce(F.col(text), F.lit(""))
     kinds = dict(docs.dtypes)
-    own = {d: (F.octet_length(whole) + 1 if d == "size" else ordinal(F.col(d)) if kinds[d] == "string" else F.coalesce(F.col(d).cast("double"), F.lit(float("-inf")))) for d in dimensions}
+    own = {d: (F.octet_length(whole) + 1 if d == "size" else ordered(F.col(d)) if kinds[d] == "string" else F.coalesce(F.col(d).cast("double"), F.lit(float("-inf")))) for d in dimensions}
     axes = [f"__axis{i}" for i in range(len(dimensions))]
     measured = checkpointed(
         docs.select(
@@ -89,7 +105,11 @@ def shards(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, number: in
         )
     )
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    limits = measured.agg(*[F.percentile_approx(a, shares, 10_000).alias(a) for a in axes]).first()
+    strings = [a for d, a in zip(dimensions, axes, strict=True) if d != "size" and kinds[d] == "string"]
+    limits = {a: string_limits(measured, a, shares) for a in strings}
+    numbers = [a for a in axes if a not in limits]
+    if numbers:
+        limits |= measured.agg(*[F.percentile_approx(a, shares, 10_000).alias(a) for a in numbers]).first().asDict()
     cells = measured.withColumn("cell", hilbert_index([quantised(F.col(a), limits[a] or []) for a in axes], bits))
     cells = cells.drop(*axes).withColumn("__bucket", F.shiftrightunsigned("__order", 63 - (buckets - 1).bit_length()))
 

@@ -20,6 +20,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def named(name: str, df: DataFrame | None = None) -> Column:
+    """The column of exactly this name (of ``df``, where given), whatever characters it holds."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(quoted) if df is None else df[quoted]
+
+
 def words(text: Column) -> Column:
     """Runs of characters outside the white space class; null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE_CLASS}]+"), lambda w: w != "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexframe.llm import block_codes, hilbert_shards, license_scan, mixing, near_dedup, packing, quality_model, quality_rules, token_counts, token_store, top_k
+from lexframe.llm import block_codes, hilbert_shards, license_scan, mixing, near_dedup, packing, quality_model, quality_rules, spelling, token_counts, token_store, top_k
 from lexframe.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -62,6 +62,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, _ = block_codes.compress(spark, table(spark, sf_dir, "embeddings"))
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_vector_codes": op13_vector_codes,
 }
 ORACLES = {
@@ -86,5 +91,6 @@ ORACLES = {
     "op4_exact_top_k": top_k.ORACLE,
     "op6_near_dedup": near_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
     "op13_vector_codes": block_codes.ORACLE,
 }

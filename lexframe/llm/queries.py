@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexframe.llm import block_codes, hilbert_shards, license_scan, mixing, near_dedup, packing, quality_model, quality_rules, spelling, token_counts, token_store, top_k
+from lexframe.llm import block_codes, hilbert_shards, license_scan, mixing, near_dedup, packing, personal_data, quality_model, quality_rules, spelling, token_counts, token_store, top_k
 from lexframe.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -66,6 +66,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = personal_data.find(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, _ = block_codes.compress(spark, table(spark, sf_dir, "embeddings"))
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_token_store": op9_token_store,
     "op10_quality_rules": op10_quality_rules,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_personal_data": op12_personal_data,
     "op13_vector_codes": op13_vector_codes,
 }
 ORACLES = {

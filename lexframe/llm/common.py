@@ -26,6 +26,17 @@ def named(name: str, df: DataFrame | None = None) -> Column:
     return F.col(quoted) if df is None else df[quoted]
 
 
+def packed_row(names: list[str], df: DataFrame | None = None) -> Column:
+    """The columns of these names in one struct, so that no name of theirs meets a name of an operator's own."""
+    return F.struct(*[named(c, df).alias(f"c{i}") for i, c in enumerate(names)], F.lit(0).alias("end"))
+
+
+def unpacked(row: str | Column, names: list[str]) -> list[Column]:
+    """The columns that ``packed_row`` packed, with their names."""
+    row = F.col(row) if isinstance(row, str) else row
+    return [row[f"c{i}"].alias(c) for i, c in enumerate(names)]
+
+
 def words(text: Column) -> Column:
     """Runs of characters outside the white space class; null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE_CLASS}]+"), lambda w: w != "")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexframe.llm.common import checkpointed
+from lexframe.llm.common import checkpointed, named, packed_row, unpacked
 
 BITS = 5
 SHARDS = 8
@@ -91,16 +91,17 @@ def shards(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, number: in
     """
     results = ("size", "text_crc32", "cell", "law", "shard", "slot", "grown_shard")
     kept = [c for c in docs.columns if c.lower() not in results and (keep_text or c.lower() != text.lower())]
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole = F.coalesce(named(text), F.lit(""))
     kinds = dict(docs.dtypes)
-    own = {d: (F.octet_length(whole) + 1 if d == "size" else ordered(F.col(d)) if kinds[d] == "string" else F.coalesce(F.col(d).cast("double"), F.lit(float("-inf")))) for d in dimensions}
+    own = {d: (F.octet_length(whole) + 1 if d == "size" else ordered(named(d)) if kinds[d] == "string" else F.coalesce(named(d).cast("double"), F.lit(float("-inf")))) for d in dimensions}
     axes = [f"__axis{i}" for i in range(len(dimensions))]
     measured = checkpointed(
         docs.select(
-            *[F.col(f"`{c}`") for c in kept],
+            packed_row(kept).alias("__row"),
             (F.octet_length(whole) + 1).cast("long").alias("size"),
             F.crc32(whole).alias("text_crc32"),
-            F.shiftrightunsigned(F.xxhash64(F.col(key), whole), 1).alias("__order"),
+            F.shiftrightunsigned(F.xxhash64(named(key), whole), 1).alias("__order"),
+            named(key).alias("__key"),
             *[own[d].alias(a) for d, a in zip(dimensions, axes, strict=True)],
         )
     )
@@ -121,7 +122,7 @@ def shards(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, number: in
     bases = by_bucket.join(by_cell, "cell").select("cell", "__bucket", (F.col("__base") + F.col("__before")).alias("__first"))
     total = by_bucket.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
 
-    within = Window.partitionBy("cell", "__bucket").orderBy("__order", key, "size", "text_crc32")
+    within = Window.partitionBy("cell", "__bucket").orderBy("__order", "__key", "size", "text_crc32")
     rank = F.col("__first") + F.row_number().over(within) - 1
     placed = cells.join(bases, ["cell", "__bucket"]).withColumn("__rank", rank)
     least, longer = divmod(total, number)
@@ -130,7 +131,7 @@ def shards(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, number: in
     shard = F.when(at < bound, F.floor(at / (least + 1))).otherwise(longer + F.floor((at - bound) / short)).cast("int")
     slot = F.when(at < bound, F.pmod(at, F.lit(least + 1))).otherwise(F.pmod(at - bound, F.lit(short))).cast("long")
     return placed.select(
-        *[F.col(f"`{c}`") for c in kept], "size", "text_crc32", "cell", F.lit("rows").alias("law"),
+        *unpacked("__row", kept), "size", "text_crc32", "cell", F.lit("rows").alias("law"),
         shard.alias("shard"), slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
 

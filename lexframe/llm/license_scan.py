@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lexframe.llm.common import lower_ascii
+from lexframe.llm.common import lower_ascii, named, packed_row, unpacked
 
 #: between words stands everything that is not a digit, a letter a-z or beyond ASCII (after lower-casing)
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -125,8 +125,8 @@ def scan(spark: SparkSession, docs: DataFrame, templates: tuple[Template, ...] =
     results of their own text; columns named like a result are replaced, ``text`` is not returned.
     """
     kept = [c for c in docs.columns if c.lower() not in (*RESULTS, text.lower())]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(key).alias("__id"), F.xxhash64(whole).alias("__hash"), whole.alias("__text"))
+    whole = F.coalesce(named(text), F.lit(""))
+    keyed = docs.select(packed_row(kept).alias("__row"), named(key).alias("__id"), F.xxhash64(whole).alias("__hash"), whole.alias("__text"))
     found = spans(spark, keyed, templates)
     base = F.when(F.col("base"), F.col("start"))
     joined = lambda labels: F.array_join(F.sort_array(labels), ",")
@@ -135,10 +135,10 @@ def scan(spark: SparkSession, docs: DataFrame, templates: tuple[Template, ...] =
         joined(F.collect_set(F.when(F.col("base"), F.col("label")))).alias("base_labels"), joined(F.collect_set("label")).alias("labels"),
         F.max("matched").alias("score"), F.sort_array(F.collect_list(F.struct("start", "end", "label", "matched"))).alias("spans"),
     )
-    counted = keyed.select(*[F.col(f"`{c}`") for c in kept], "__id", "__hash", F.size(scan_words(F.col("__text"))).cast("long").alias("n_words"))
+    counted = keyed.select("__row", "__id", "__hash", F.size(scan_words(F.col("__text"))).cast("long").alias("n_words"))
     on = counted["__id"].eqNullSafe(per_text["__i"]) & (counted["__hash"] == per_text["__h"])
     return counted.join(per_text, on, "left").select(
-        *[counted[f"`{c}`"] for c in kept], "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
+        *unpacked("__row", kept), "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"), "spans",
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexframe.llm.common import SPACE_CLASS, checkpointed
+from lexframe.llm.common import SPACE_CLASS, checkpointed, named, packed_row, unpacked
 
 WEIGHTS = (5, 2, 1)
 #: schedules of the weights above: (time, factor) knots; the first fades out, the last fades in
@@ -102,12 +102,11 @@ def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: t
     results = ("size", "source_size", "target", "taken", "positions", "position", "pass_words")
     kept = [c for c in docs.columns if c.lower() not in results and (passes or c.lower() not in (text.lower(), "source"))]
     # 60 bits of an md5 sum, which other engines have as well
-    order = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(text))), 1, 15), 16, 10).cast("long")
-    keys = [F.xxhash64(F.col(key), F.col(text)).alias("__tie"), order.alias("__order")]
-    held = [F.col(f"`{c}`") for c in kept]
+    order = F.conv(F.substring(F.md5(F.concat_ws("|", named(key).cast("string"), named(text))), 1, 15), 16, 10).cast("long")
+    keys = [F.xxhash64(named(key), named(text)).alias("__tie"), order.alias("__order")]
     # whole texts are not copied: with passes they join in again by these hashes
-    small = [] if passes else held
-    sized = checkpointed(docs.select(*small, F.col("source").alias("__source"), size_of(F.col(text)).alias("size"), *keys))
+    row = packed_row([] if passes else kept).alias("__row")
+    sized = checkpointed(docs.select(row, named("source").alias("__source"), size_of(named(text)).alias("size"), *keys))
     sized = sized.withColumn("__bucket", F.shiftrightunsigned(F.col("__order"), 60 - (buckets - 1).bit_length()))
     goal = targets(sized.select(F.col("__source").alias("source"), "size"), weights, budget, most)
     sums = sized.groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
@@ -140,13 +139,13 @@ def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: t
         number = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
         shares = both.select("__order", "__tie", placed["__source"].alias("source"), "size", took.alias("__took")).withColumn("__n", number)
         slots = shares.select("__order", "__tie", F.col("source").alias("__s"), "__n", "size", F.inline("__took"))
-        texts = docs.select(*held, *keys).withColumn("__n", number)
+        texts = docs.select(packed_row(kept).alias("__row"), named("source").alias("source"), *keys).withColumn("__n", number)
         on = [texts[c] == slots[c] for c in ("__order", "__tie", "__n")] + [texts["source"].eqNullSafe(slots["__s"])]
-        return texts.join(slots, on).select(*[texts[f"`{c}`"] for c in kept], "size", "pass_words", "position")
+        return texts.join(slots, on).select(*unpacked("__row", kept), "size", "pass_words", "position")
     taken = F.aggregate("__took", F.lit(0).cast("long"), lambda a, x: a + x["pass_words"])
     both = both.withColumn("__took", took)
     return both.select(
-        *[placed[f"`{c}`"] for c in kept], placed["__source"].alias("source"), "size", "source_size", "target",
+        *unpacked("__row", kept), placed["__source"].alias("source"), "size", "source_size", "target",
         taken.alias("taken"), F.transform("__took", lambda x: x["position"]).alias("positions"),
     )
 
@@ -154,7 +153,7 @@ def curriculum(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: t
 def training_order(mixed: DataFrame) -> DataFrame:
     """Range-sorted by the first position; documents not taken come last."""
     first = F.get("positions", 0).alias("position")
-    return mixed.select(*mixed.columns, first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+    return mixed.select(*map(named, mixed.columns), first).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def _inverted_sql(knots: tuple[tuple[float, float], ...]) -> str:

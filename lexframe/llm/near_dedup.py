@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lexframe.llm.common import checkpointed, let, lower_ascii, words
+from lexframe.llm.common import checkpointed, let, lower_ascii, named, words
 from lexframe.llm.components import components
 
 SHINGLE = 5
@@ -134,7 +134,7 @@ def link_block(rows: pd.DataFrame) -> pd.DataFrame:
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` as (id, n, d1, d2, rep), and the links (a, b) between representatives."""
-    shingled = docs.select(F.col(key).cast("long").alias("id"), shingles(F.col(text)).alias("s"))
+    shingled = docs.select(named(key).cast("long").alias("id"), shingles(named(text)).alias("s"))
     rows = checkpointed(
         shingled.select("id", F.size("s").alias("n"), F.xxhash64("s").alias("d1"), F.xxhash64("s", F.lit(1)).alias("d2"), F.slice("s", 1, K).alias("sketch"))
     )
@@ -170,7 +170,7 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Dat
 
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(clusters.select("cls")).distinct()
     ids = sketches.join(wanted, "cls", "left_semi").select("cls", "rep", "n")
-    found = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("t")).join(ids, "rep")
+    found = docs.select(named(key).cast("long").alias("rep"), named(text).alias("t")).join(ids, "rep")
     # cut here: as part of the join the comparison would hash every document before the shuffle
     sets = checkpointed(found.select("cls", "rep", "n", shingles(F.col("t")).alias("shingles"))).where(F.xxhash64("shingles") == F.col("cls"))
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexframe.llm.common import checkpointed, let, named
+from lexframe.llm.common import checkpointed, let, named, packed_row, unpacked
 
 # --- fixed values: the base patterns; possessive, and started only where a run starts or the last match ended, so that long runs stay linear ---
 BASE = {
@@ -257,8 +257,7 @@ def find(spark: SparkSession, docs: DataFrame, text: str = "text") -> tuple[Data
     results = (*(f"n_{k}" for k in BASE), "base_sha256", "spans", text.lower())
     kept = [c for c in docs.columns if c.lower() not in results]
     whole = F.coalesce(named(text), F.lit(""))
-    held = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(kept)]) if kept else F.struct(F.lit(None).alias("c"))
-    seen = checkpointed(docs.select(held.alias("row"), *[candidates(kind, whole).alias(kind) for kind in KINDS]))
+    seen = checkpointed(docs.select(packed_row(kept).alias("row"), *[candidates(kind, whole).alias(kind) for kind in KINDS]))
 
     def coded(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["code"].alias("code")))
@@ -278,7 +277,7 @@ def find(spark: SparkSession, docs: DataFrame, text: str = "text") -> tuple[Data
     base = {kind: F.filter(kind, lambda s: s["base"]) for kind in BASE}
     every = {kind: chosen(kind) for kind in KINDS}
     return seen.select(
-        *[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(kept)],
+        *unpacked("row", kept),
         *[F.size(spans).cast("long").alias(f"n_{kind}") for kind, spans in base.items()],
         F.sha2(F.array_join(F.concat(*[listed(k, s) for k, s in base.items()]), ","), 256).alias("base_sha256"),
         F.array_join(F.concat(*[listed(k, s) for k, s in every.items()]), ",").alias("spans"),

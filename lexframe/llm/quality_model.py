@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lexframe.llm.common import named
 from lexframe.llm.tokens import Memo
 
 BUCKETS = 2**18
@@ -96,7 +97,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS,
 
 def held_out(key: str = "doc_id") -> Column:
     """crc32 of the id as text, mod 5, is 0; a row without id is not held out."""
-    return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(named(key).cast("string")) % 5 == 0, F.lit(False))
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, buckets: int = BUCKETS) -> Model:
@@ -104,9 +105,11 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str = "d
 
     Of a repeated id the row with the least text hash is taken. Null keys, labels other than 0 and 1, and labels without a document are passed over.
     """
-    marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.min(label).cast("int").alias("__y"))
-    known = marked.join(docs.select(key), key, "left_semi")
-    chosen = known.orderBy(F.xxhash64(key), key).limit(max_rows)
+    y, k = named(label), named(key)
+    marked = labels.where(y.isin(0, 1) & k.isNotNull() & ~held_out(key)).groupBy(k.alias("k")).agg(F.min(y).cast("int").alias("y"))
+    texts = docs.select(k.alias("id"), named(text).alias("t"))
+    known = marked.join(texts.select("id"), F.col("k") == F.col("id"), "left_semi")
+    chosen = known.orderBy(F.xxhash64("k"), "k").limit(max_rows)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Features(buckets)
@@ -118,9 +121,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str = "d
             yield pd.DataFrame(rows, columns=["k", "y", "at", "share"])
 
     # one row per id before any features are made: the row with the least text hash
-    least = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("t")))["t"]
-    single = docs.join(F.broadcast(chosen), key).groupBy(key).agg(F.min("__y").alias("y"), least.alias("t"))
-    sample = single.select(F.col(key).cast("string").alias("k"), "y", "t")
+    least = F.min(F.struct(F.xxhash64("t").alias("h"), F.col("t")))["t"]
+    single = texts.join(F.broadcast(chosen), F.col("k") == F.col("id")).groupBy("k").agg(F.min("y").alias("y"), least.alias("t"))
+    sample = single.select(F.col("k").cast("string").alias("k"), "y", "t")
     found = sample.mapInPandas(features, "k string, y int, at binary, share binary").collect()  # max_rows rows, at most ``buckets`` numbers each
     found.sort(key=lambda r: (zlib.crc32(r.k.encode()), r.k, r.at))
     return fit([(np.frombuffer(r.at, "<u4").astype(np.int64), np.frombuffer(r.share, "<f4").astype(np.float64), r.y) for r in found], buckets)
@@ -142,6 +145,6 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, key: str = "doc_id
         for batch in batches:
             yield pd.Series([own.score(of(x)) for x in batch], dtype="float64")
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
-    out = docs.select(*kept, held_out(key).alias("held_out"), scored(F.coalesce(F.col(text), F.lit(""))).alias("score"))
+    kept = [named(c) for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
+    out = docs.select(*kept, held_out(key).alias("held_out"), scored(F.coalesce(named(text), F.lit(""))).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.llm.common import SPACE_CHARS, SPACE_CLASS, let, words
+from lexframe.llm.common import SPACE_CHARS, SPACE_CLASS, let, named, packed_row, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -132,8 +132,9 @@ def verdicts(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     that columns named like a result are replaced.
     """
     results = (*MEASURES, "failed_rules", "base_failed", "kept")
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in results]
-    return docs.select(*own, verdict(F.col(text), rules).alias("__v")).select(*own, *[F.col(f"__v.{c}").alias(c) for c in results])
+    own = [c for c in docs.columns if c.lower() not in results]
+    judged = docs.select(packed_row(own).alias("row"), verdict(named(text), rules).alias("v"))
+    return judged.select(*unpacked("row", own), *[F.col(f"v.{c}").alias(c) for c in results])
 
 
 ORACLE = f"""

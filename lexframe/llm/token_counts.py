@@ -13,8 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
+from lexframe.llm.common import named
 from lexframe.llm.tokens import Chunks, Merger, byte_alphabet, kept_by_worker
 
+
 def whole_tokens(path: str) -> frozenset[str]:
     """Vocabulary strings proven to encode alone as their own single token."""
     tokenizer = Tokenizer.from_file(path)
@@ -57,7 +59,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, path: str, limit: int = 5
         for batch in batches:
             yield pd.Series([counter.count(x) for x in batch], dtype="int64")
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_bytes", "n_tokens", "over_limit")]
-    whole = F.coalesce(F.col(text), F.lit(""))
+    kept = [named(c) for c in docs.columns if c.lower() not in ("n_bytes", "n_tokens", "over_limit")]
+    whole = F.coalesce(named(text), F.lit(""))
     counted = docs.select(*kept, F.octet_length(whole).cast("long").alias("n_bytes"), tokens(whole).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

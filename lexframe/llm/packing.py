@@ -16,15 +16,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lexframe.llm.common import checkpointed
-from lexframe.llm.tokens import IdEncoder, kept_by_worker
+from lexframe.llm.common import checkpointed, named, packed_row, unpacked
+from lexframe.llm.tokens import IdEncoder, kept_by_worker, ranks_of
 
 CAPACITY = 2048
 #: hash buckets that share out one length; at 10^10 equal pieces a task numbers some 2.5 million
 BUCKETS = 4096
 END = (0).to_bytes(4, "little")
 PIECES = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
-SLOTS = "length long, first long, pieces long, per_bin long, sequence long, place long"
+SLOTS = "slot_length long, first long, pieces long, per_bin long, sequence long, place long"
 
 
 def cut(ids: bytes, capacity: int) -> list[dict]:
@@ -44,20 +44,20 @@ def pieces(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPA
 
     A null or empty text is one piece, the closing id 0 alone. Columns named like a result are replaced.
     """
-    local = spark.sparkContext.broadcast({})
+    local, ranks = spark.sparkContext.broadcast({}), spark.sparkContext.broadcast(ranks_of(path))  # bounded by the vocabulary
 
     @F.pandas_udf(PIECES)
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = kept_by_worker(local, lambda: IdEncoder(path))
+        encoder = kept_by_worker(local, lambda: IdEncoder(path, ranks=ranks.value))
         for batch in batches:
             yield pd.Series([cut(encoder.encode(x) + END, capacity) for x in batch])
 
     # else the optimizer encodes a second time, to filter out rows without pieces before the generator
     encoded = encoded.asNondeterministic()
     results = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*results, text.lower())]
-    found = docs.select(*kept, encoded(F.coalesce(F.col(text), F.lit(""))).alias("__pieces"))
-    return found.select(*kept, F.inline("__pieces"))
+    kept = [c for c in docs.columns if c.lower() not in (*results, text.lower())]
+    found = docs.select(packed_row(kept).alias("row"), encoded(F.coalesce(named(text), F.lit(""))).alias("pieces"))
+    return found.select("row", F.inline("pieces")).select(*unpacked("row", kept), "piece", "start", "length", "ids_crc32")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple], int]:
@@ -117,26 +117,27 @@ def pack(spark: SparkSession, parts: DataFrame, key: list[str], capacity: int =
     """``parts`` (with length of 1 to ``capacity``) with sequence_id and offset.
 
     Equal rows are interchangeable; which of two equal lengths takes which slot follows a hash of
-    ``key``. Only the histogram and the plan, both bounded by ``capacity``, pass through the driver.
+    ``key``. Columns named sequence_id or offset are replaced, other names may be any. Only the histogram and the plan, both bounded by ``capacity``, pass through the driver.
     An empty table gives an empty result.
     """
-    parts = checkpointed(parts.withColumn("__bucket", F.pmod(F.xxhash64(*key), F.lit(buckets))))
-    counts = parts.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = checkpointed(counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))))
-    histogram = {r[0]: r[1] for r in bases.groupBy("length").agg(F.sum("__n")).collect()}
-    slots, _ = plan(histogram, capacity)
-    within = Window.partitionBy("length", "__bucket").orderBy(*key)
-    ranked = (
-        parts.withColumn("__i", F.row_number().over(within) - 1)
-        .join(bases.select("length", "__bucket", "__before"), ["length", "__bucket"])
-        .withColumn("__rank", F.col("__before") + F.col("__i"))
+    kept = [c for c in parts.columns if c.lower() not in ("sequence_id", "offset")]
+    dealt = checkpointed(
+        parts.select(packed_row(kept).alias("row"), named("length").alias("length"), F.struct(*map(named, key)).alias("key"))
+        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
     )
+    counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows
+    bases = checkpointed(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    histogram = {r[0]: r[1] for r in bases.groupBy("length").agg(F.sum("n")).collect()}
+    slots, _ = plan(histogram, capacity)
+    within = Window.partitionBy("length", "bucket").orderBy("key")
+    numbered = dealt.withColumn("i", F.row_number().over(within) - 1).join(bases.select("length", "bucket", "before"), ["length", "bucket"])
+    ranked = numbered.select("row", "length", (F.col("before") + F.col("i")).alias("rank"))
     table = F.broadcast(spark.createDataFrame(slots, SLOTS))  # bounded by the capacity, see plan
-    on = (ranked["length"] == table["length"]) & (ranked["__rank"] >= table["first"]) & (ranked["__rank"] < table["first"] + table["pieces"])
-    at = F.col("__rank") - F.col("first")
+    on = (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("pieces"))
+    at = F.col("rank") - F.col("first")
     return ranked.join(table, on).select(
-        *[ranked[f"`{c}`"] for c in parts.columns if c != "__bucket"],
+        *unpacked("row", kept),
         (F.col("sequence") + F.floor(at / F.col("per_bin"))).cast("long").alias("sequence_id"),
-        (F.col("place") + F.pmod(at, F.col("per_bin")) * ranked["length"]).cast("long").alias("offset"),
+        (F.col("place") + F.pmod(at, F.col("per_bin")) * F.col("length")).cast("long").alias("offset"),
     )

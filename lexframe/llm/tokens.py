@@ -1,17 +1,22 @@
-"""Token ids of whole texts, built from separately encoded chunks that are remembered within bounds.
+"""Token ids of whole texts.
 
-A text is cut only where the tokenizer itself always ends a pre-token: before a space that begins a
+Texts of plain characters are merged as a whole by the ranks of the vocabulary (``Ranks``). Others are
+built from separately encoded chunks that are remembered within bounds: such a text is cut only where the tokenizer itself always ends a pre-token: before a space that begins a
 run of white space (``kept``), or at spaces and line ends where white space is dropped (``dropped``).
 So the ids of the chunks, in order, are the ids the library gives for the whole text.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
 from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
+import tiktoken
 from pyspark import Broadcast
 from tokenizers import Tokenizer
 
@@ -137,15 +142,89 @@ class Merger:
         return [self.of_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)]
 
 
+#: runs longer than this go through the chunks: merging by ranks takes the square of a pre-token
+RUN = 1000
+_MARKS = "!-~\xa0-\u024f"
+#: plain characters in runs, and white space between them, of up to RUN each
+SHORT_RUNS = re.compile(rf"[\t\n\r ]{{0,{RUN}}}+(?:[{_MARKS}]{{1,{RUN}}}+(?:[\t\n\r ]{{1,{RUN}}}+|\Z))*+").fullmatch
+#: ends a word where the vocabulary tells the ends of words apart; no plain character
+WORD_END = "\x01"
+
+
+@dataclass(frozen=True)
+class Ranks:
+    """The merges of a vocabulary as ranks of byte strings, and the id of each rank; bounded by the vocabulary."""
+
+    tokens: dict[bytes, int]
+    ids: np.ndarray
+
+
+def ranks_of(path: str) -> Ranks:
+    """Ranks that merge as the model's list of merges does.
+
+    Merging by ranks joins any neighbours whose whole is a token, merging by the list only the pairs on
+    it. Both give the same where every token, taken alone, is merged to itself: neighbours that make up
+    such a token are then always a pair of the list. Tokens that are not so reached never come up, and
+    are left out.
+    """
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+    pairs = {(a, b): i for i, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"])}
+    byte_of = {letter: byte for byte, letter in byte_alphabet().items()}
+
+    def raw(token: str) -> bytes:
+        last = bool(end) and token.endswith(end)
+        return bytes(byte_of[c] for c in (token[: -len(end)] if last else token)) + (WORD_END.encode() if last else b"")
+
+    def alone(token: str) -> bool:
+        parts = list(token[: -len(end)] if end and token.endswith(end) else token)
+        if end and token.endswith(end):
+            parts[-1] += end
+        while len(parts) > 1:
+            rank, at = min((pairs.get(p, len(pairs)), i) for i, p in enumerate(zip(parts, parts[1:])))
+            if rank == len(pairs):
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return True
+
+    tokens, ids = {}, []
+    for byte, letter in sorted(byte_alphabet().items()):
+        tokens[bytes([byte])] = len(ids)
+        ids.append(vocab[letter])
+    for _, letter in sorted(byte_alphabet().items()) if end else ():
+        tokens[raw(letter + end)] = len(ids)
+        ids.append(vocab[letter + end])
+    for a, b in pairs:
+        if alone(a + b):
+            tokens.setdefault(raw(a + b), len(ids))
+            ids.append(vocab[a + b])
+    return Ranks(tokens, np.array(ids, "<u4"))
+
+
 class IdEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers, without added special tokens."""
 
-    def __init__(self, path: str, white_space: str = "kept"):
+    def __init__(self, path: str, white_space: str = "kept", ranks: Ranks | None = None):
         merger = Merger(path, white_space, lambda ids: struct.pack(f"<{len(ids)}I", *ids))
         self.chunks = Chunks(lambda piece: b"".join(merger.values(piece)), merger.word, white_space)
+        self.special, self.ids = merger.special, None
+        if ranks is not None:
+            self.ids, self.cut = ranks.ids, merger.pattern.findall if merger.lower else None
+            # words come cut and marked where white space is dropped, else the pattern of the vocabulary cuts
+            pattern = f"[^{WORD_END}]*{WORD_END}" if merger.lower else PRE_TOKEN["kept"].pattern
+            self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.tokens, special_tokens={}).encode_ordinary
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(self.chunks.pieces(text)) if text else b""
+        if not text:
+            return b""
+        if self.ids is not None and not any(s in text for s in self.special):
+            plain = text.lower() if self.cut else text
+            if SHORT_RUNS(plain):
+                if self.cut:
+                    plain = WORD_END.join([*self.cut(plain), ""])
+                return self.ids[self.merge(plain)].tobytes()
+        return b"".join(self.chunks.pieces(text))
 
 
 def kept_by_worker(cache: Broadcast, make: Callable):

@@ -31,6 +31,18 @@ def test_chunks_equal_the_library():
         assert lower.encode(x) == np.array(word.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
 
 
+def test_ranks_equal_the_library():
+    byte, word = Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD)
+    ids, lower = tokens.IdEncoder(BYTE, ranks=tokens.ranks_of(BYTE)), tokens.IdEncoder(WORD, "dropped", tokens.ranks_of(WORD))
+    plain = ["The", "don't", "'S", " ", "  ", "\n", "\t", "é", "Ü", "12", "½", "!!", "_", "unbelievably", "aaaa", "zzzzzzq", "\xa0", "ŉ", "ß", "ǅ", "İ", "'ll", "×", "a" * 1200, " " * 1200, "<|endoftext|>", "漢"]
+    random.seed(6)
+    cases = ["".join(random.choice(plain[:20] if i % 4 else plain) for _ in range(random.randint(0, 14))) for i in range(4000)]
+    cases += ["ab" * 60_000, "a" * 100_000, "\n" * 50_000, "w " * 50_000, "é" * 999 + " ", "x" * 1000, "x" * 1001]
+    for x in cases:
+        assert ids.encode(x) == np.array(byte.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x[:80]
+        assert lower.encode(x) == np.array(word.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x[:80]
+
+
 def test_memory_is_bounded():
     memo = tokens.Memo(str.upper, limit=3, longest=4)
     assert [memo[x] for x in ["a", "b", "c", "d", "a", "long one"]] == ["A", "B", "C", "D", "A", "LONG ONE"]
@@ -104,7 +116,10 @@ def test_perfect_hash():
         perfect_hash.PerfectHash.build(np.array([1, 1], np.uint64))
 
 
-def test_store_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("held", [2**24, 3])
+def test_store_round_trip(spark, tmp_path, monkeypatch, held):
+    monkeypatch.setattr(token_store, "SHARD_IDS", held)
+    monkeypatch.setattr(token_store, "READ_IDS", held)
     docs = spark.createDataFrame(ROWS, SCHEMA)
     manifest = token_store.write_tokens(spark, docs, WORD, f"file://{tmp_path}/tokens")
     out = token_store.read_tokens(manifest).orderBy("start").collect()

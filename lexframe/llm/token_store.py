@@ -9,8 +9,8 @@ Documents are ranged by key, so the shards in order hold them in ascending key o
 * ``words``, ``sizes``: the perfect hash over the distinct keys;
 * ``prints``, ``first``: for each slot the fingerprint of its key, and its first document (rows of one key are neighbours).
 
-A task writes its own file under a name no other attempt has, and the manifest names the files of the
-attempts that Spark accepted; so a lost executor leaves at most an unnamed file.
+A task writes its own files, a new one whenever it holds ``SHARD_IDS`` ids, each under a name no other attempt has, and the manifest names the files of the
+attempts that Spark accepted; so a lost executor leaves at most unnamed files.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lexframe.llm.common import checkpointed, shared_folder
+from lexframe.llm.common import checkpointed, named, shared_folder
 from lexframe.llm.perfect_hash import PerfectHash, fingerprints
-from lexframe.llm.tokens import IdEncoder, kept_by_worker, loaded
+from lexframe.llm.tokens import IdEncoder, kept_by_worker, loaded, ranks_of
 
 MAGIC = b"LXTOKENS"
 END_ID = 1
-MANIFEST = "shard int, file string, n_docs long, n_ids long, low long, high long"
+#: ids that a task holds before it writes a file, and ids that are read at once
+SHARD_IDS, READ_IDS = 2**24, 2**20
+MANIFEST = "shard int, part int, file string, n_docs long, n_ids long, low long, high long"
 
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
@@ -116,7 +118,7 @@ class Shard:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, path: str, folder: str | None = None, end_id: int = END_ID, white_space: str = "dropped", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write the ids of all texts; the manifest, a row per shard (shard, file, n_docs, n_ids, low, high).
+    """Write the ids of all texts; the manifest, a row per file (shard, part, file, n_docs, n_ids, low, high).
 
     Null and empty texts give the end id alone. Null keys are written first; rows of one key stand
     side by side, ordered by a hash of the text, and are split over shards where they are many. An
@@ -127,26 +129,33 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, folder: str |
     system.create_dir(place, recursive=True)
     wide = max(loaded(path).get_vocab_size(with_added_tokens=True), end_id + 1) > 2**16
     end, local = int(end_id).to_bytes(4, "little"), spark.sparkContext.broadcast({})
+    ranks = spark.sparkContext.broadcast(ranks_of(path))  # bounded by the vocabulary
+    schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("file", pa.string()), *((n, pa.int64()) for n in ("n_docs", "n_ids", "low", "high"))])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_by_worker(local, lambda: IdEncoder(path, white_space))
-        keys, ids, n_null = [], [], 0
+        encoder = kept_by_worker(local, lambda: IdEncoder(path, white_space, ranks.value))
+        shard, part = TaskContext.get().partitionId(), 0
+        keys, ids, n_ids = [], [], 0
+
+        def flushed() -> pa.RecordBatch:
+            name = f"{folder}/shard-{shard:06d}-{part:04d}-{uuid.uuid4().hex}.tok"
+            known = [k for k in keys if k is not None]  # those without come first
+            write_shard(name, np.array(known, np.int64), len(keys) - len(known), ids, wide)
+            row = (shard, part, name, len(ids), n_ids, known[0] if known else None, known[-1] if known else None)
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
+
         for batch in batches:
-            for number, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids.append(encoder.encode(value.as_py()) + end)
-                if number is None:
-                    n_null += 1
-                else:
-                    keys.append(number)
-        if not ids:
-            return
-        shard = TaskContext.get().partitionId()
-        name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.tok"
-        write_shard(name, np.array(keys, np.int64), n_null, ids, wide)
-        row = {"shard": shard, "file": name, "n_docs": len(ids), "n_ids": sum(map(len, ids)) // 4, "low": keys[0] if keys else None, "high": keys[-1] if keys else None}
-        yield pa.RecordBatch.from_pandas(pd.DataFrame([row]), schema=pa.schema([("shard", pa.int32()), ("file", pa.string()), *((n, pa.int64()) for n in ("n_docs", "n_ids", "low", "high"))]), preserve_index=False)
-
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+            for number, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys.append(number)
+                ids.append(encoder.encode(value) + end)
+                n_ids += len(ids[-1]) // 4
+                if n_ids >= SHARD_IDS:
+                    yield flushed()
+                    keys, ids, n_ids, part = [], [], 0, part + 1
+        if ids:
+            yield flushed()
+
+    rows = docs.select(named(key).cast("long").alias("k"), named(text).alias("t"))
     order = [F.col("k").asc_nulls_first(), F.xxhash64("t")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return checkpointed(ranged.mapInArrow(write, MANIFEST))
@@ -164,6 +173,22 @@ def located(shard: Shard) -> np.ndarray:
     return np.concatenate((np.arange(shard.n_null), np.where(held < 0, -1, held + place)))
 
 
+def sums(shard: Shard, documents: np.ndarray) -> np.ndarray:
+    """crc32 of the ids of each document, read in runs of neighbouring documents of about READ_IDS ids."""
+    ends = shard.ends.astype(np.int64)
+    starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+    out, at = np.zeros(len(documents), np.int64), 0
+    while at < len(documents):
+        first, stop = int(documents[at]), at + 1
+        while stop < len(documents) and documents[stop] == documents[stop - 1] + 1 and ends[documents[stop]] - starts[first] <= READ_IDS:
+            stop += 1
+        ids, base = shard.ids(first, stop - at), int(starts[first])
+        for i in range(at, stop):
+            out[i] = zlib.crc32(ids[starts[documents[i]] - base : ends[documents[i]] - base].tobytes())
+        at = stop
+    return out
+
+
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """Per document (doc_id, start, n_tokens, ids_crc32), read from the files through their index.
 
@@ -172,7 +197,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     positions is the check, and a key that is not found fails the read.
     """
     shards = manifest.count()
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
+    earlier = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     based = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).select("file", "base")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,7 +213,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     "doc_id": pd.array([None] * shard.n_null + shard.keys.tolist(), dtype="Int64"),
                     "start": starts + base,
                     "n_tokens": ends[found] - starts,
-                    "ids_crc32": [zlib.crc32(shard.ids(i).tobytes()) for i in found.tolist()],
+                    "ids_crc32": sums(shard, found),
                 })
 
     return based.repartition(max(1, shards)).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -196,5 +221,5 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
 def get_tokens(manifest: DataFrame, key: int) -> list[np.ndarray]:
     """Keyed access: the ids of every document of one key, from the shards whose range holds it."""
-    names = [r.file for r in manifest.where((F.col("low") <= key) & (F.col("high") >= key)).orderBy("shard").select("file").collect()]
+    names = [r.file for r in manifest.where((F.col("low") <= key) & (F.col("high") >= key)).orderBy("shard", "part").select("file").collect()]
     return [ids for name in names for ids in Shard(name).get(key)]

@@ -94,9 +94,9 @@ def word_containment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CONTAIN_ORACLE = f"""WITH {B.WORDS_SQL}, {B.BENCHMARK_SQL}, texts AS (SELECT DISTINCT word AS text FROM words),
-lex AS (SELECT word FROM benchmark_words WHERE length(word) BETWEEN 2 AND 12),
+lex AS (SELECT word FROM benchmark_words WHERE length(word) >= 2), sizes AS (SELECT DISTINCT length(word) AS k FROM lex),
 s AS (SELECT text, i AS start, i + 3 AS stop FROM texts, unnest(range(0, length(text) - 2)) AS u(i) WHERE length(text) >= 4),
-g AS (SELECT text, a, a + k AS b, substr(text, CAST(a AS INTEGER) + 1, CAST(k AS INTEGER)) AS w FROM texts, unnest(range(0, length(text))) AS u(a), unnest(range(2, 13)) AS v(k) WHERE a + k <= length(text)),
+g AS (SELECT text, a, a + k AS b, substr(text, CAST(a AS INTEGER) + 1, CAST(k AS INTEGER)) AS w FROM texts, unnest(range(0, length(text))) AS u(a), sizes WHERE a + k <= length(text)),
 h AS (SELECT g.* FROM g JOIN lex ON lex.word = g.w)
 SELECT s.text, s.start, s.stop, count(h.w) > 0 AS cut FROM s LEFT JOIN h ON h.text = s.text AND h.a <= s.start AND s.stop <= h.b AND h.b - h.a > 3 GROUP BY ALL"""
 
@@ -108,8 +108,8 @@ def lexicon_spots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SPOTS_ORACLE = f"""WITH {B.WORDS_SQL}, {B.BENCHMARK_SQL}, texts AS (SELECT DISTINCT word AS text FROM words),
-lex AS (SELECT word FROM benchmark_words WHERE length(word) BETWEEN 3 AND 12),
-g AS (SELECT text, a AS start, a + k AS stop, substr(text, CAST(a AS INTEGER) + 1, CAST(k AS INTEGER)) AS w FROM texts, unnest(range(0, length(text))) AS u(a), unnest(range(3, 13)) AS v(k) WHERE a + k <= length(text))
+lex AS (SELECT word FROM benchmark_words WHERE length(word) >= 2), sizes AS (SELECT DISTINCT length(word) AS k FROM lex),
+g AS (SELECT text, a AS start, a + k AS stop, substr(text, CAST(a AS INTEGER) + 1, CAST(k AS INTEGER)) AS w FROM texts, unnest(range(0, length(text))) AS u(a), sizes WHERE a + k <= length(text))
 SELECT text, start, stop FROM g JOIN lex ON lex.word = g.w"""
 
 

@@ -207,7 +207,7 @@ q AS (SELECT *, list_transform(string_split(s, '／'), lambda x: {_strip('x')})
 SELECT doc_id, line, {_marks("CASE WHEN len(l) >= 3 THEN l[1] ELSE " + _strip('s') + " END")} AS en,
   {_marks("CASE WHEN len(l) >= 3 THEN l[2] ELSE '' END")} AS zh,
   md5({_marks("CASE WHEN len(l) >= 3 THEN array_to_string(l[3:], '／') ELSE '' END")}) AS ko,
-  md5('「' || regexp_replace(regexp_replace(substr(text, 1, 20), '^[ 　]+', ''), '[ 　]+$', '') || '」') AS quoted FROM q"""
+  md5('「' || regexp_replace(regexp_replace(text, '^[ 　]+', ''), '[ 　]+$', '') || '」') AS quoted FROM q"""
 
 
 QUERIES = {

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexframe.functions.text import case_fold, kana_fold, mark_spans, plain_surface
+from lexframe.functions.text import case_fold, kana_fold, let, mark_spans, plain_surface
 from lexframe.operators.order import top_k
+from lexframe.session import checkpointed
 
 # --- fixed values: ranks of exact hits by kind, of unlisted kinds and of partial hits ---
 KANJI_RANKS = {"key": 0, "variant": 1, "word": 2, "korean": 3, "reading": 3, "exception": 3}
@@ -13,6 +16,12 @@ GRAMMAR_RANKS = {"key": 0, "head": 0, "meaning": 2, "span": 2, "connect": 3, "le
 VOCAB_RANKS = {"key": 0, "family": 1, "sense": 2, "annotation": 2, "gloss": 3, "en": 3, "band": 4}
 OTHER_KIND, PARTIAL = 5, 10
 GRAM = 3
+#: fills up the last grams of a text; no character of a text
+PAD = "\x00"
+#: of a longer query so much is compared on the spot, the rest with the whole text
+PIECE = 512
+#: probe rows (a query and a gram) that are broadcast
+BROADCAST_ROWS = 500_000
 
 
 def term(text: Column, kind: str, context: Column) -> Column:
@@ -89,35 +98,76 @@ def vocab_terms(df: DataFrame, bands: dict[str, str]) -> DataFrame:
     return build_terms(df, terms, -F.col("rank"))
 
 
-def _grams(text: Column, size: int) -> Column:
-    n = F.length(text)
-    starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.expr("cast(array() as array<int>)"))
-    return F.array_distinct(F.transform(starts, lambda p: F.substring(text, p, F.lit(size))))
+def _chars(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def _windows(chars: Column, made: Callable[[Column, Column], Column]) -> Column:
+    """``made(gram, place)`` for every run of GRAM characters."""
+    heads = F.slice(chars, 1, F.greatest(F.size(chars) - GRAM + 1, F.lit(0)))
+    return F.transform(heads, lambda x, i: made(F.concat(x, *[F.get(chars, i + k) for k in range(1, GRAM)]), i))
+
+
+def _grams(text: Column) -> Column:
+    """Distinct grams, one from every character on: the last ones are filled up with PAD."""
+    return let(lambda c: F.array_distinct(_windows(c, lambda gram, at: gram)), _chars(F.concat(text, F.lit(PAD * (GRAM - 1)))))
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(gram, n): in how many rows of ``texts`` (text) each gram stands."""
+    return texts.select(F.explode(_grams(F.col("text"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+
+def probes(asked: DataFrame, counts: DataFrame, piece: int = PIECE) -> DataFrame:
+    """(q, gram, piece): where to look for each of the distinct folded queries ``asked`` (q).
+
+    A query of GRAM characters or more is looked for by its rarest gram, a shorter one by every known
+    gram that starts with it. ``piece`` is the query itself, or so much of a long one around its gram.
+    """
+    long, short = asked.where(F.length("q") >= GRAM), asked.where(F.length("q") < GRAM)
+    places = let(lambda c: _windows(c, lambda gram, at: F.struct(gram.alias("gram"), at.alias("at"))), _chars(F.col("q")))
+    spread = long.select("q", F.inline(places)).join(counts, "gram", "left")
+    rarest = spread.groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")).alias("r"))
+    first = F.least(F.greatest(F.col("r.at") + GRAM - piece, F.lit(0)), F.col("r.at"))
+    by_rarest = rarest.select("q", F.col("r.gram").alias("gram"), F.substring("q", first + 1, F.lit(piece)).alias("piece"))
+    heads = counts.select("gram", F.explode(F.array(*[F.struct(F.left("gram", F.lit(k)).alias("q")) for k in range(1, GRAM)])).alias("h")).select("gram", "h.q")
+    return by_rarest.union(short.join(heads, "q").select("q", "gram", F.col("q").alias("piece")))
+
+
+def blocks(text: Column, size: int, lap: int) -> Column:
+    """``text`` in pieces of ``size`` characters, each holding the first ``lap`` of the next one."""
+    count = F.greatest(F.ceil((F.length(text) - lap) / (size - lap)), F.lit(1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.substring(text, b * (size - lap) + 1, F.lit(size)))
 
 
 def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: int = 80) -> DataFrame:
     """(qid, query, place, key, match_kind, matched_text, match_context, exact, total) per query.
 
-    A query meets only the terms holding its rarest gram (of one to three characters, as long as
-    the query allows), so nothing is compared pairwise; blank queries match nothing.
+    The terms lie by key and are read once for the counts of their grams and once for the search: every
+    distinct query sends one gram, its rarest, to the texts, and what it meets is verified on the
+    spot. So the matches of a record are found, and the best of them chosen, where the record lies;
+    only the first ``limit`` of each query and partition move on. Blank queries match nothing.
     """
-    q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("_q", case_fold(F.col("query")))
-    q = q.withColumn("_size", F.least(F.length("_q"), F.lit(GRAM)))
-    wanted = q.select("qid", "_size", F.explode(F.when(F.col("_size") == 3, _grams(F.col("_q"), 3)).when(F.col("_size") == 2, _grams(F.col("_q"), 2)).otherwise(_grams(F.col("_q"), 1))).alias("_g"))
-    t = terms.withColumn("_t", case_fold(F.col("text")))
-    # at most three sizes exist; terms are only cut into those some query needs
-    used = sorted(r[0] for r in q.select("_size").distinct().collect()) or [GRAM]
-    every = F.concat(*[_grams(F.col("_t"), n) for n in used])
-    spread = t.withColumn("_g", F.explode(every)).join(wanted.select("_g").distinct(), "_g", "left_semi")
-    counts = spread.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    probe = wanted.join(counts, "_g", "left").groupBy("qid").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g"))["_g"].alias("_g"))
-    met = q.join(probe, "qid").join(spread, "_g").where(F.contains(F.col("_t"), F.col("_q")))
+    q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("q", case_fold(F.col("query")))
+    terms = checkpointed(terms.withColumn("folded", case_fold(F.col("text"))).repartition("key"))
+    own = terms.select("key", "ord", "kind", "weight", F.col("folded").alias("text"))
+    asked = q.select("q").distinct()
+    probe = checkpointed(probes(asked, gram_counts(own.select("text"))))
+    number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
+    # a probe row is a query and a gram: broadcast up to the bound, dealt by gram beyond it
+    sought = F.broadcast(probe) if number <= BROADCAST_ROWS else probe
+    # whole texts would be copied for each of their grams; a block is as long as some pieces
+    parts = own.select("key", "ord", "kind", "weight", F.length("text").alias("n"), F.explode(blocks(F.col("text"), max(256, 4 * longest), longest)).alias("block"))
+    seen = parts.select("key", "ord", "kind", "weight", "n", "block", F.explode(_grams(F.col("block"))).alias("gram"))
+    met = seen.join(sought, "gram").where(F.contains("block", F.col("piece"))).drop("block")
+    if longest >= PIECE:
+        whole = own.select("key", "ord", "text")
+        met = met.join(whole, ["key", "ord"]).where((F.length("q") <= PIECE) | F.contains("text", F.col("q")))
     table = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
-    rank = F.when(F.col("_t") == F.col("_q"), F.coalesce(F.try_element_at(table, F.col("kind")), F.lit(OTHER_KIND))).otherwise(F.lit(PARTIAL))
-    best = met.withColumn("_rank", rank).groupBy("qid", "query", "key").agg(
-        F.min(F.struct("_rank", "ord", "kind", "text", "context")).alias("b"), F.max("weight").alias("weight"))
-    totals = best.groupBy("qid").agg(F.count(F.lit(1)).alias("total"))
-    shown = top_k(best, ["qid"], [F.col("b._rank"), F.desc("weight"), F.col("key")], limit, "place")
-    return shown.join(totals, "qid").select(
-        "qid", "query", "place", "key", F.col("b.kind").alias("match_kind"), F.col("b.text").alias("matched_text"),
-        F.col("b.context").alias("match_context"), (F.col("b._rank") < PARTIAL).alias("exact"), "total")
+    rank = F.when(F.col("n") == F.length("q"), F.coalesce(F.try_element_at(table, F.col("kind")), F.lit(OTHER_KIND))).otherwise(F.lit(PARTIAL))
+    best = met.groupBy("key", "q").agg(F.min(F.struct(rank.alias("rank"), "ord")).alias("b"), F.max("weight").alias("weight"))
+    totals = best.groupBy("q").agg(F.count(F.lit(1)).alias("total"))
+    shown = top_k(best, ["q"], [F.col("b.rank"), F.desc("weight"), F.col("key")], limit, "place")
+    texts = terms.select("key", "ord", F.col("kind").alias("match_kind"), F.col("text").alias("matched_text"), F.col("context").alias("match_context"))
+    found = shown.select("q", "place", "key", "b.ord", (F.col("b.rank") < PARTIAL).alias("exact")).join(texts, ["key", "ord"]).join(totals, "q")
+    return q.join(found, "q").select("qid", "query", "place", "key", "match_kind", "matched_text", "match_context", "exact", "total")

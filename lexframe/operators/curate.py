@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lexframe.functions.text import annotation_ok, plain_surface, strip
 from lexframe.operators.order import carried_value
-from lexframe.session import checkpointed
 
-FOLD_LIMIT = 10_000  # edits of one key folded in a single row; longer histories use pointer doubling
+#: arrival numbers that make up a bucket of edits, and buckets that are summed up by one map
+BUCKET_EDITS, SUMMARY = 512, 512
 
 
 def etag(record: Column) -> Column:
@@ -57,7 +57,7 @@ def keep_provenance(after: DataFrame, base: DataFrame, flag: str, gloss: str, ge
     return joined.withColumn("record", F.col("record").withField(flag, F.when(stays, F.lit(generated)))).drop("_flag", "_gloss")
 
 
-def judge_edits(edits: DataFrame, base: DataFrame, fold_limit: int = FOLD_LIMIT, bucket_size: int = 4096) -> DataFrame:
+def judge_edits(edits: DataFrame, base: DataFrame, bucket_size: int = BUCKET_EDITS, summary: int = SUMMARY) -> DataFrame:
     """Adds ``status`` and ``current`` (the etag the edit met) to every edit.
 
     ``edits``: key, ord (arrival order, unique per key), reason, expected_etag, new_etag, valid.
@@ -68,13 +68,7 @@ def judge_edits(edits: DataFrame, base: DataFrame, fold_limit: int = FOLD_LIMIT,
     rows = edits.withColumn("_good", good).join(base.select("key", F.col("etag").alias("_start")), "key", "left")
     usable = F.col("_good") & F.col("_start").isNotNull() & F.col("valid") & (F.col("new_etag") != F.col("expected_etag"))
     cand = rows.where(usable).select("key", "ord", F.col("expected_etag").alias("want"), F.col("new_etag").alias("give"), "_start")
-    sizes = cand.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    small = cand.join(sizes.where(F.col("_n") <= fold_limit).select("key"), "key", "left_semi")
-    saved = _fold_chain(small)
-    hot = sizes.where(F.col("_n") > fold_limit).select("key")
-    if hot.limit(1).count():
-        saved = saved.unionByName(_double_chain(cand.join(hot, "key", "left_semi"), bucket_size))
-    marked = rows.join(saved.withColumn("_saved", F.lit(True)), ["key", "ord"], "left")
+    marked = rows.join(saved_edits(cand, bucket_size, summary).withColumn("_saved", F.lit(True)), ["key", "ord"], "left")
     # the etag an edit meets is the one given by the last saved edit before it
     met = carried_value(
         marked.withColumn("_given", F.when(F.col("_saved"), F.col("new_etag"))), ["key"], ["ord"], F.floor(F.col("ord") / bucket_size), F.col("_given"), "_after")
@@ -86,48 +80,61 @@ def judge_edits(edits: DataFrame, base: DataFrame, fold_limit: int = FOLD_LIMIT,
     return met.select(*edits.columns, before.alias("current"), status.alias("status"))
 
 
-def _fold_chain(cand: DataFrame) -> DataFrame:
-    """(key, ord) of saved edits by one ordered fold per key (bounded histories)."""
-    lists = cand.groupBy("key", "_start").agg(F.sort_array(F.collect_list(F.struct("ord", "want", "give"))).alias("e"))
-    state = F.struct(F.col("_start").alias("now"), F.expr("cast(array() as array<bigint>)").alias("ords"))
+def _led(moves: Column, tag: Column) -> Column:
+    """Where a transition map, an array of (want, since, out), leads ``tag``; other etags stay."""
+    return F.coalesce(F.get(F.filter(moves, lambda m: m["want"] == tag), F.lit(0))["out"], tag)
 
-    def step(s: Column, e: Column) -> Column:
-        hit = e["want"] == s["now"]
-        return F.struct(
-            F.when(hit, e["give"]).otherwise(s["now"]).alias("now"),
-            F.when(hit, F.array_append(s["ords"], e["ord"].cast("long"))).otherwise(s["ords"]).alias("ords"))
 
-    return lists.select("key", F.explode(F.aggregate("e", state, step, lambda s: s["ords"])).alias("ord"))
+def _entered(parts: Column, start: Column, moves: str) -> Column:
+    """(at, tag) for each of the ordered ``parts`` (at, map): the etag with which it is entered."""
+    state = F.struct(start.alias("tag"), F.expr("cast(array() as array<struct<at:bigint,tag:string>>)").alias("seen"))
+    return F.aggregate(parts, state, lambda s, p: F.struct(
+        _led(p[moves], s["tag"]).alias("tag"), F.array_append(s["seen"], F.struct(p["at"].alias("at"), s["tag"].alias("tag"))).alias("seen")), lambda s: s["seen"])
 
 
-def _double_chain(cand: DataFrame, bucket_size: int) -> DataFrame:
-    """(key, ord) of saved edits for long histories, by pointer doubling over successor edges.
+def saved_edits(cand: DataFrame, bucket_size: int = BUCKET_EDITS, summary: int = SUMMARY) -> DataFrame:
+    """(key, ord) of the edits ``cand`` (key, ord, want, give, _start) that find the etag they want.
 
-    The successor of an edit is the next edit expecting what it gives; a key's rows stay spread
-    over (key, etag, bucket), and the rounds grow with the logarithm of the chain.
+    Each bucket of a key's edits is summed up as the map from the etag it is entered with to the one
+    it leaves behind. Such maps compose, so ``summary`` buckets are summed up by one map, and a key is
+    one short row per that many buckets. Down the same levels every bucket learns the etag it is
+    entered with, and its edits are judged from there. A map only keeps etags that something
+    before it has given; a plain chain of edits therefore has maps of one etag.
     """
-    starts = cand.select("key", F.lit(-1).cast("long").alias("ord"), F.lit(None).cast("string").alias("want"), F.col("_start").alias("give")).distinct()
-    nodes = cand.select("key", F.col("ord").cast("long").alias("ord"), "want", "give").unionByName(starts)
-    gives = nodes.select("key", F.col("give").alias("tag"), "ord", F.lit(0).alias("takes"), F.lit(None).cast("long").alias("at"))
-    takes = nodes.where("want is not null").select("key", F.col("want").alias("tag"), "ord", F.lit(1).alias("takes"), F.col("ord").alias("at"))
-    # at equal places the taker sorts first: an edit never continues itself
-    events = gives.unionByName(takes).withColumn("_o", F.col("ord") * 2 + 1 - F.col("takes"))
-    linked = carried_value(events, ["key", "tag"], ["_o"], F.floor(F.col("ord") / bucket_size), F.col("at"), "succ", forward=False)
-    jump = checkpointed(linked.where("takes = 0 and succ is not null").select("key", "ord", "succ"))
-    reached = checkpointed(starts.select("key", "ord"))
-    known = reached.count()
-    while True:
-        step = reached.join(jump, ["key", "ord"]).select("key", F.col("succ").alias("ord"))
-        reached = checkpointed(reached.unionByName(step).distinct())
-        now = reached.count()
-        if now == known:
-            return reached.where("ord >= 0")
-        known = now
-        further = jump.select("key", F.col("ord").alias("succ"), F.col("succ").alias("_far"))
-        jump = checkpointed(jump.join(further, ["key", "succ"]).select("key", "ord", F.col("_far").alias("succ")))
-
-
-def apply_edits(base: DataFrame, edits: DataFrame, fold_limit: int = FOLD_LIMIT) -> tuple[DataFrame, DataFrame]:
+    at = F.floor(F.col("ord") / bucket_size)
+    placed = cand.withColumn("at", at)
+    lists = placed.groupBy("key", "at").agg(
+        F.first("_start").alias("_start"), F.sort_array(F.collect_list(F.struct(F.col("ord").cast("long").alias("ord"), "want", "give"))).alias("edits"))
+
+    # from the last edit back: who enters with its want, leaves as one who enters behind it with its give
+    none = F.expr("cast(array() as array<struct<want:string,since:bigint,out:string>>)")
+    moves = F.aggregate(F.reverse("edits"), none, lambda m, e: F.array_append(
+        F.filter(m, lambda x: x["want"] != e["want"]), F.struct(e["want"].alias("want"), F.lit(0).cast("long").alias("since"), _led(m, e["give"]).alias("out"))))
+    given = placed.groupBy("key", F.col("give").alias("want")).agg(F.min("at").alias("since"))
+    opened = lists.select("key", "at", "_start", F.inline(moves)).drop("since").join(given, ["key", "want"], "left")
+    opened = opened.withColumn("since", F.when(F.col("want") == F.col("_start"), F.lit(-1).cast("long")).otherwise(F.col("since"))).where("since < at")
+    maps = opened.groupBy("key", "at").agg(F.first("_start").alias("_start"), F.collect_list(F.struct("want", "since", "out")).alias("moves"))
+
+    up = F.floor(F.col("at") / summary)
+    groups = maps.groupBy("key", up.alias("up")).agg(F.first("_start").alias("_start"), F.sort_array(F.collect_list(F.struct("at", "moves"))).alias("parts"))
+    composed = F.aggregate(F.reverse("parts"), none, lambda m, p: F.concat(
+        F.filter(m, lambda x: ~F.exists(p["moves"], lambda y: y["want"] == x["want"])),
+        F.transform(p["moves"], lambda y: F.struct(y["want"].alias("want"), y["since"].alias("since"), _led(m, y["out"]).alias("out")))))
+    outer = F.filter(composed, lambda x: F.floor(x["since"] / summary) < F.col("up"))
+    tops = groups.select("key", "_start", F.struct(F.col("up").alias("at"), outer.alias("moves")).alias("part")).groupBy("key").agg(
+        F.first("_start").alias("_start"), F.sort_array(F.collect_list("part")).alias("parts"))  # an element per ``summary`` buckets
+    entered = tops.select("key", F.inline(_entered(F.col("parts"), F.col("_start"), "moves"))).select("key", F.col("at").alias("up"), "tag")
+    inside = groups.join(entered, ["key", "up"]).select("key", F.inline(_entered(F.col("parts"), F.col("tag"), "moves")))
+
+    def step(s: Column, e: Column) -> Column:
+        hit = e["want"] == s["now"]
+        return F.struct(F.when(hit, e["give"]).otherwise(s["now"]).alias("now"), F.when(hit, F.array_append(s["ords"], e["ord"])).otherwise(s["ords"]).alias("ords"))
+
+    state = F.struct(F.col("tag").alias("now"), F.expr("cast(array() as array<bigint>)").alias("ords"))
+    return lists.join(inside, ["key", "at"]).select("key", F.explode(F.aggregate("edits", state, step, lambda s: s["ords"])).alias("ord"))
+
+
+def apply_edits(base: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(overlay, log).  ``base``: key, record.  ``edits``: key, ord, at, reason, expected_etag, record, valid.
 
     The overlay holds, per edited key, the baseline and its etag, the last saved record, the number
@@ -135,7 +142,7 @@ def apply_edits(base: DataFrame, edits: DataFrame, fold_limit: int = FOLD_LIMIT)
     """
     tagged = edits.withColumn("new_etag", etag(F.col("record")))
     start = base.select("key", etag(F.col("record")).alias("etag"))
-    log = judge_edits(tagged, start, fold_limit)
+    log = judge_edits(tagged, start)
     saved = log.where("status = 'saved'")
     last = saved.groupBy("key").agg(F.max_by("record", "ord").alias("human"), F.count(F.lit(1)).alias("revision"), F.max("at").alias("updated_at"))
     overlay = last.join(base.select("key", F.col("record").alias("baseline")), "key").withColumn("baseline_etag", etag(F.col("baseline")))

@@ -1,5 +1,7 @@
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexframe.operators import curate as C
@@ -21,29 +23,29 @@ def _frames(spark):
     return edits, spark.createDataFrame([("a", "0"), ("b", "0")], "key string, etag string")
 
 
-def test_batch_edits_fold_and_doubling_agree(spark):
+@pytest.mark.parametrize(("size", "summary"), [(512, 512), (2, 2), (1, 1)])
+def test_batch_edits_at_any_bucket_size(spark, size, summary):
     edits, base = _frames(spark)
     wanted = {(e[0], e[1]): e[6] for e in EDITS}
-    for limit in (1000, 0):
-        got = C.judge_edits(edits.repartition(3, "ord"), base, fold_limit=limit, bucket_size=2)
-        assert {(r.key, r.ord): r.status for r in got.collect()} == wanted
+    got = C.judge_edits(edits.repartition(3, "ord"), base, size, summary)
+    assert {(r.key, r.ord): r.status for r in got.collect()} == wanted
 
 
-def test_long_chain_by_doubling(spark):
-    n = 300
-    edits = spark.range(n).select(
-        F.lit("k").alias("key"), F.col("id").alias("ord"), F.lit("r").alias("reason"), (F.col("id") % 7).cast("string").alias("expected_etag"),
-        ((F.col("id") * 5 + 1) % 7).cast("string").alias("new_etag"), F.lit(True).alias("valid"))
-    base = spark.createDataFrame([("k", "0")], "key string, etag string")
-    fold = {(r.ord, r.status, r.current) for r in C.judge_edits(edits, base, bucket_size=16).collect()}
-    assert fold == {(r.ord, r.status, r.current) for r in C.judge_edits(edits, base, fold_limit=1, bucket_size=16).collect()}
-    now, expected = "0", set()
-    for i in range(n):
-        want, give = str(i % 7), str((i * 5 + 1) % 7)
+@pytest.mark.parametrize("tags", [3, 7, 40, 10_000])
+def test_long_histories(spark, tags):
+    """Random edits over few and many etags, and stretches of a plain chain, against a plain loop."""
+    rng = random.Random(tags)
+    rows, now, wanted = [], "0", {}
+    for i in range(600):
+        want = now if rng.random() < 0.6 else str(rng.randrange(tags))
+        give = str(rng.randrange(tags))
+        rows.append(("k", i * 3, "r", want, give, True))
         status = "conflict" if want != now else "unchanged" if give == now else "saved"
-        expected.add((i, status, now))
+        wanted[i * 3] = (status, now)
         now = give if status == "saved" else now
-    assert fold == expected
+    edits, base = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([("k", "0")], "key string, etag string")
+    for size, summary in ((512, 512), (20, 5), (7, 3)):
+        assert {r.ord: (r.status, r.current) for r in C.judge_edits(edits, base, size, summary).collect()} == wanted
 
 
 def test_edit_stream_matches_batch(spark):

@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lexframe.functions.text import annotation_ok, plain_surface, strip
 from lexframe.operators.order import carried_value
+from lexframe.session import checkpointed
 
+#: added leaves of a diff are ordered from here on, after all of the old record
+ADDED = 1 << 31
+#: buckets of keys whose sums make up a dataset's fingerprint
+TREE_BUCKETS = 4096
 #: arrival numbers that make up a bucket of edits, and buckets that are summed up by one map
 BUCKET_EDITS, SUMMARY = 512, 512
 
@@ -21,30 +26,41 @@ def with_etag(df: DataFrame, record: str = "record", name: str = "etag") -> Data
 
 # --- C2 ---
 def flat_paths(value: Column, kind: T.DataType, path: Column) -> Column:
-    """Array of (path, value) leaves of a nested value; absent and null leaves give no row."""
+    """Array of (path, value) leaves of a nested value, in order.
+
+    Absent and null leaves give none; an empty array or map is a leaf, ``[]`` or ``{}``.
+    """
     null = F.expr("cast(array() as array<struct<path:string,value:string>>)")
     if isinstance(kind, T.StructType):
         parts = [flat_paths(value[f.name], f.dataType, F.when(path == "", F.lit(f.name)).otherwise(F.concat(path, F.lit(f".{f.name}")))) for f in kind.fields]
         return F.coalesce(F.concat(*parts), null)
+    empty = F.array(F.struct(path.alias("path"), F.lit("[]" if isinstance(kind, T.ArrayType) else "{}").alias("value")))
     if isinstance(kind, T.ArrayType):
-        return F.coalesce(F.flatten(F.transform(value, lambda x, i: flat_paths(
-            x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))), null)
+        return F.when(F.size(value) == 0, empty).otherwise(F.coalesce(F.flatten(F.transform(value, lambda x, i: flat_paths(
+            x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))), null))
     if isinstance(kind, T.MapType):
-        return F.coalesce(F.flatten(F.transform(F.map_entries(value), lambda e: flat_paths(
-            e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"].cast("string"))))), null)
+        return F.when(F.size(value) == 0, empty).otherwise(F.coalesce(F.flatten(F.transform(F.map_entries(value), lambda e: flat_paths(
+            e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"].cast("string"))))), null))
     leaf = F.struct(path.alias("path"), value.cast("string").alias("value"))
     return F.when(value.isNotNull(), F.array(leaf)).otherwise(null)
 
 
 def diff_records(before: DataFrame, after: DataFrame, key: str = "key", record: str = "record") -> DataFrame:
-    """(key, path, before, after) for every leaf that differs; one aggregation instead of an outer join."""
+    """(key, path, before, after, order) for every leaf that differs; one aggregation instead of an outer join.
+
+    ``order`` sorts the changes of a key: leaves of the old record in its order, then added ones in that
+    of the new record.
+    """
     def leaves(df: DataFrame, side: str, other: str) -> DataFrame:
         kind = df.schema[record].dataType
-        rows = df.select(key, F.explode(flat_paths(F.col(record), kind, F.lit(""))).alias("_l"))
-        return rows.select(key, F.col("_l.path").alias("path"), F.col("_l.value").alias(side), F.lit(None).cast("string").alias(other))
+        rows = df.select(key, F.posexplode(flat_paths(F.col(record), kind, F.lit(""))).alias("_at", "_l"))
+        at = F.col("_at").cast("long")
+        return rows.select(
+            key, F.col("_l.path").alias("path"), F.col("_l.value").alias(side), F.lit(None).cast("string").alias(other),
+            (at if side == "before" else at + ADDED).alias("_order"))
 
     both = leaves(before, "before", "after").unionByName(leaves(after, "after", "before"))
-    merged = both.groupBy(key, "path").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    merged = both.groupBy(key, "path").agg(F.max("before").alias("before"), F.max("after").alias("after"), F.min("_order").alias("order"))
     return merged.where(~F.col("before").eqNullSafe(F.col("after")))
 
 
@@ -134,21 +150,37 @@ def saved_edits(cand: DataFrame, bucket_size: int = BUCKET_EDITS, summary: int =
     return lists.join(inside, ["key", "at"]).select("key", F.explode(F.aggregate("edits", state, step, lambda s: s["ords"])).alias("ord"))
 
 
-def apply_edits(base: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
+def apply_edits(base: DataFrame, edits: DataFrame, provenance: tuple[str, str, str] | None = None, moved: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(overlay, log).  ``base``: key, record.  ``edits``: key, ord, at, reason, expected_etag, record, valid.
 
-    The overlay holds, per edited key, the baseline and its etag, the last saved record, the number
-    of saved edits and the time of the last one.
+    ``provenance`` (flag, main gloss, generated) is the rule of ``keep_provenance``, applied to what is
+    submitted before its etag is taken. Edits of keys in ``moved`` (key), whose base is not the one that
+    was edited, are refused with status ``moved``. The overlay holds, per edited key, the baseline and
+    its etag, the last saved record, the number of saved edits (revision) and the time of the last.
     """
-    tagged = edits.withColumn("new_etag", etag(F.col("record")))
+    given = edits if provenance is None else keep_provenance(edits, base, *provenance).select(*edits.columns)
+    tagged = given.withColumn("new_etag", etag(F.col("record")))
     start = base.select("key", etag(F.col("record")).alias("etag"))
-    log = judge_edits(tagged, start)
+    if moved is None:
+        log = judge_edits(tagged, start)
+    else:
+        hit = moved.select("key", F.lit(True).alias("_moved"))
+        refused = tagged.join(hit.select("key"), "key", "left_semi").join(start, "key", "left")
+        refused = refused.select(*tagged.columns, F.col("etag").alias("current"), F.lit("moved").alias("status"))
+        log = judge_edits(tagged.join(hit, "key", "left_anti"), start).unionByName(refused)
+    log = checkpointed(log)  # the overlay and what callers take from the log read it again
     saved = log.where("status = 'saved'")
     last = saved.groupBy("key").agg(F.max_by("record", "ord").alias("human"), F.count(F.lit(1)).alias("revision"), F.max("at").alias("updated_at"))
     overlay = last.join(base.select("key", F.col("record").alias("baseline")), "key").withColumn("baseline_etag", etag(F.col("baseline")))
     return overlay, log
 
 
+def edit_reasons(log: DataFrame) -> DataFrame:
+    """(key, reason, ord): every reason of a key's saved edits once, with its first edit."""
+    saved = log.where("status = 'saved'").withColumn("reason", strip(F.col("reason")))
+    return saved.groupBy("key", "reason").agg(F.min("ord").alias("ord"))
+
+
 # --- J14, C5, C6 ---
 def apply_overlay(base: DataFrame, overlay: DataFrame) -> DataFrame:
     """Base records with the human version where there is one; ``edited`` where it really differs."""
@@ -163,15 +195,50 @@ def overlay_conflicts(base: DataFrame, overlay: DataFrame) -> DataFrame:
     return overlay.select("key", "baseline_etag").join(now, "key", "left").where(~F.col("base_etag").eqNullSafe(F.col("baseline_etag")))
 
 
-def dataset_fingerprint(base: DataFrame, record: str = "record") -> DataFrame:
-    """One-row order-free fingerprint of a dataset, combined per partition before the single row.
+def fingerprint_tree(base: DataFrame, record: str = "record", buckets: int = TREE_BUCKETS) -> DataFrame:
+    """(bucket, rows, total, mixed) per bucket of keys: order-free sums of 64-bit hashes of (key, etag).
 
-    Two independent 64-bit sums and the count over all (key, etag) pairs: nothing is collected.
+    ``total`` is the sum modulo 2^64, ``mixed`` the exclusive or of a second hash. Sums of buckets add up
+    to the root, so two versions of a dataset are compared by their roots, then by their buckets.
     """
-    h = F.struct("key", etag(F.col(record)))
-    mod = F.lit(1 << 40)
-    return base.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.pmod(F.xxhash64(h), mod)).alias("h1"), F.sum(F.pmod(F.xxhash64(h, F.lit(1)), mod)).alias("h2"))
+    h = base.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), F.struct("key", etag(F.col(record))).alias("h"))
+    return _summed(h.select("bucket", F.lit(1).alias("rows"), F.xxhash64("h").cast("decimal(38,0)").alias("total"), F.xxhash64("h", F.lit(1)).alias("mixed")), ["bucket"])
+
+
+def fingerprint_root(tree: DataFrame) -> DataFrame:
+    """The one row (rows, total, mixed) that a tree adds up to."""
+    return _summed(tree.select("rows", F.col("total").cast("decimal(38,0)").alias("total"), "mixed"), [])
+
+
+def _summed(df: DataFrame, by: list[str]) -> DataFrame:
+    whole = F.lit(str(1 << 64)).cast("decimal(38,0)")
+    return df.groupBy(*by).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"), F.coalesce(F.pmod(F.sum("total"), whole), F.lit(0)).cast("decimal(20,0)").alias("total"),
+        F.coalesce(F.bit_xor("mixed"), F.lit(0)).cast("long").alias("mixed"))
+
+
+def moved_buckets(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(bucket) of the buckets in which two trees differ."""
+    sums = F.struct("rows", "total", "mixed")
+    old, new = before.select("bucket", sums.alias("old")), after.select("bucket", sums.alias("new"))
+    return old.join(new, "bucket", "full_outer").where(~F.col("old").eqNullSafe(F.col("new"))).select("bucket")
+
+
+def moved_keys(before: DataFrame, after: DataFrame, trees: tuple[DataFrame, DataFrame] | None = None, record: str = "record", buckets: int = TREE_BUCKETS) -> DataFrame:
+    """(key, change) of keys whose record was changed, added or removed between two versions of a base.
+
+    Only rows of the buckets in which the trees differ are compared; where the versions agree that is none.
+    """
+    trees = trees or (fingerprint_tree(before, record, buckets), fingerprint_tree(after, record, buckets))
+    differ = moved_buckets(*trees)
+
+    def tagged(df: DataFrame, side: str, other: str) -> DataFrame:
+        rows = df.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).join(differ, "bucket", "left_semi")
+        return rows.select("key", etag(F.col(record)).alias(side), F.lit(None).cast("string").alias(other))
+
+    both = tagged(before, "old", "new").unionByName(tagged(after, "new", "old")).groupBy("key").agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("changed")
+    return both.where(~F.col("old").eqNullSafe(F.col("new"))).select("key", change.alias("change"))
 
 
 # --- C9, C10 ---

@@ -76,9 +76,15 @@ def histogram(df: DataFrame, value: Column, name: str = "bin") -> DataFrame:
     return df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def summary(stats: DataFrame, overlay: DataFrame, fingerprint: DataFrame, known_h1: int | None = None) -> DataFrame:
-    """Statistics plus edited count, revision and whether the base moved, all as (name, value) rows."""
+def summary(stats: DataFrame, overlay: DataFrame, root: DataFrame, known: DataFrame) -> DataFrame:
+    """Statistics plus edited count, revision and whether the base moved, all as (name, value) rows.
+
+    ``root`` and ``known`` are the fingerprints (rows, total, mixed) of the base as it is and as it was edited.
+    """
     edited = F.count_if(F.to_json("human") != F.to_json("baseline"))
     extra = _rows(overlay, {"edited": edited, "overlay_revision": F.sum("revision")})
-    print_ = _rows(fingerprint, {"base_rows": F.max("rows"), "overlay_conflict": F.max((F.col("h1") != F.lit(known_h1)).cast("int")) if known_h1 is not None else F.lit(0)})
-    return stats.unionByName(extra).unionByName(print_)
+    now = F.struct("rows", "total", "mixed")
+    both = root.select(F.col("rows").alias("n"), now.alias("now"), F.lit(None).cast("struct<rows:bigint,total:decimal(20,0),mixed:bigint>").alias("was")).union(
+        known.select(F.lit(None).cast("long"), F.lit(None).cast("struct<rows:bigint,total:decimal(20,0),mixed:bigint>"), now))
+    moved = (F.max("now") != F.max("was")).cast("int")  # one row on each side
+    return stats.unionByName(extra).unionByName(_rows(both, {"base_rows": F.max("n"), "overlay_conflict": moved}))

@@ -81,13 +81,16 @@ def stats_summary(spark: SparkSession, sf: str) -> DataFrame:
     r = F.col("record")
     overlay = base.where("key % 4 = 0").select("key", F.when(F.col("key") % 8 == 0, r).otherwise(r.withField("c_name", F.lit("x"))).alias("human"), r.alias("baseline"), F.lit(2).cast("long").alias("revision"))
     stats = base.groupBy(F.concat(F.lit("segment "), "record.c_mktsegment").alias("name")).agg(F.count(F.lit(1)).alias("value"))
-    return ST.summary(stats, overlay, C.dataset_fingerprint(base)).unionByName(flat).unionByName(histogram)
+    # the overlay was made on a base in which some names were others, except where there are no such customers
+    was = base.withColumn("record", F.when(F.col("key") % 500 == 7, r.withField("c_name", F.lit("old"))).otherwise(r))
+    roots = [C.fingerprint_root(C.fingerprint_tree(b)) for b in (base, was)]
+    return ST.summary(stats, overlay, *roots).unionByName(flat).unionByName(histogram)
 
 
 _SP = r"[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{0B}\x{1C}-\x{1F}\x{85}]"
 SUMMARY_ORACLE = f"""SELECT 'segment ' || c_mktsegment AS name, count(*) AS value FROM customer GROUP BY ALL
 UNION ALL SELECT 'edited', count(*) FROM customer WHERE c_custkey % 8 = 4 UNION ALL SELECT 'overlay_revision', 2 * count(*) FROM customer WHERE c_custkey % 4 = 0
-UNION ALL SELECT 'base_rows', count(*) FROM customer UNION ALL SELECT 'overlay_conflict', 0
+UNION ALL SELECT 'base_rows', count(*) FROM customer UNION ALL SELECT 'overlay_conflict', CAST(count(*) FILTER (c_custkey % 500 = 7) > 0 AS INT) FROM customer
 UNION ALL SELECT 'cover ' || lang, CAST(floor(count(*) FILTER (contains(text, '.')) * 1000000.0 / count(*)) * 1000000 + floor(count(*) FILTER (regexp_matches(text, '[0-9０-９]')) * 1000000.0 / count(*)) AS BIGINT) FROM documents GROUP BY lang
 UNION ALL SELECT 'senses ' || n, count(*) FROM (SELECT len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^{_SP}+', '') <> '')) AS n FROM documents) GROUP BY n"""
 

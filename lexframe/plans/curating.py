@@ -214,22 +214,25 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_diff(spark: SparkSession, sf: str) -> DataFrame:
-    """Two versions of every customer: changed segment, added home, dropped map value."""
+    """Two versions of every customer: changed segment, added home, emptied list, dropped map value; in order."""
     before = _records(spark, sf)
     k, r = F.col("key"), F.col("record")
     after = before.select("key", F.struct(
         r["name"].alias("name"), F.when(k % 3 == 0, F.lit("NEW")).otherwise(r["segment"]).alias("segment"),
-        F.when(k % 5 == 0, F.concat(r["homes"], r["homes"])).otherwise(r["homes"]).alias("homes"),
+        F.when(k % 5 == 0, F.concat(r["homes"], r["homes"])).when(k % 11 == 1, F.slice(r["homes"], 1, 0)).otherwise(r["homes"]).alias("homes"),
         F.when(k % 7 == 0, F.create_map(F.lit("other"), r["segment"])).otherwise(r["extra"]).alias("extra")).alias("record"))
-    return C.diff_records(before, after)
+    return C.diff_records(before, after).withColumn("added", F.col("order") >= C.ADDED).withColumn("order", F.col("order") % C.ADDED)
 
 
 DIFF_ORACLE = """WITH c AS (SELECT c_custkey AS k, c_mktsegment AS s, c_nationkey AS n, CAST(floor(c_acctbal) AS BIGINT) AS b FROM customer)
-SELECT k AS key, 'segment' AS path, s AS before, 'NEW' AS after FROM c WHERE k % 3 = 0
-UNION ALL SELECT k, 'homes[1].nation', NULL, CAST(n AS VARCHAR) FROM c WHERE k % 5 = 0
-UNION ALL SELECT k, 'homes[1].bal', NULL, CAST(b AS VARCHAR) FROM c WHERE k % 5 = 0
-UNION ALL SELECT k, 'extra.seg', s, NULL FROM c WHERE k % 7 = 0
-UNION ALL SELECT k, 'extra.other', NULL, s FROM c WHERE k % 7 = 0"""
+SELECT k AS key, 'segment' AS path, s AS before, 'NEW' AS after, 1 AS "order", false AS added FROM c WHERE k % 3 = 0
+UNION ALL SELECT k, 'homes[1].nation', NULL, CAST(n AS VARCHAR), 4, true FROM c WHERE k % 5 = 0
+UNION ALL SELECT k, 'homes[1].bal', NULL, CAST(b AS VARCHAR), 5, true FROM c WHERE k % 5 = 0
+UNION ALL SELECT k, 'homes[0].nation', CAST(n AS VARCHAR), NULL, 2, false FROM c WHERE k % 5 <> 0 AND k % 11 = 1
+UNION ALL SELECT k, 'homes[0].bal', CAST(b AS VARCHAR), NULL, 3, false FROM c WHERE k % 5 <> 0 AND k % 11 = 1
+UNION ALL SELECT k, 'homes', NULL, '[]', 2, true FROM c WHERE k % 5 <> 0 AND k % 11 = 1
+UNION ALL SELECT k, 'extra.seg', s, NULL, 4, false FROM c WHERE k % 7 = 0
+UNION ALL SELECT k, 'extra.other', NULL, s, CASE WHEN k % 5 = 0 THEN 6 WHEN k % 11 = 1 THEN 3 ELSE 4 END, true FROM c WHERE k % 7 = 0"""
 
 
 def overlay_materialize(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,13 +303,77 @@ def edit_history(spark: SparkSession, sf: str) -> DataFrame:
 HISTORY_ORACLE = EDITS_ORACLE.replace("AND e.key % 2 = 0 ", "").replace("WHEN e.key % 2 = 1 THEN 'unknown' ", "").rsplit("SELECT", 1)[0] + """SELECT s.key, s.ord, e.t AS reason, CAST(e.give AS VARCHAR) AS new_etag
 FROM s JOIN e ON e.key = s.key AND e.n = s.n WHERE s.status = 'saved' ORDER BY s.ord DESC, s.key LIMIT 60"""
 
+def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customers as they were edited and as they are: some renamed, some gone, some new."""
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    record = lambda name: F.struct(name.alias("name"), F.col("c_mktsegment").alias("segment"), F.when(k % 2 == 0, F.lit("gen")).alias("src"))
+    was = c.where(k % 97 != 5).select(k.alias("key"), record(F.col("c_name")).alias("record"))
+    now = c.where(k % 101 != 9).select(k.alias("key"), record(F.when(k % 89 == 3, F.lit("renamed")).otherwise(F.col("c_name"))).alias("record"))
+    return was, now
+
+
+def _submitted(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as submitted records: one of three names, in the customer's segment or another, each expecting one of four versions."""
+    e = table(spark, sf, "events").join(table(spark, sf, "customer"), F.col("user_id") % 1000 + 1 == F.col("c_custkey"))
+    k, even = F.get_json_object("props", "$.k").cast("int"), F.col("c_custkey") % 2 == 0
+    def version(v: Column) -> Column:
+        # what the saved record will be: the generated flag survives where the segment stays
+        return C.etag(F.struct(
+            F.when(v == 3, F.col("c_name")).otherwise(F.concat(F.lit("v"), v.cast("string"))).alias("name"), F.when(v == 1, F.lit("OTHER")).otherwise(F.col("c_mktsegment")).alias("segment"),
+            F.when(even & (v != 1), F.lit("gen")).alias("src")))
+    v = k % 3
+    return e.select(
+        F.col("c_custkey").alias("key"), F.col("event_id").alias("ord"), F.col("event_id").alias("at"), F.when(F.col("event_type") == "signup", "").otherwise(F.concat(F.lit(" "), "event_type")).alias("reason"),
+        version(F.floor(k / 5) % 4).alias("expected_etag"), (F.col("event_type") != "error").alias("valid"),
+        F.struct(F.concat(F.lit("v"), v.cast("string")).alias("name"), F.when(v == 1, F.lit("OTHER")).otherwise(F.col("c_mktsegment")).alias("segment"), F.lit("any").alias("src")).alias("record"))
+
+
+def edit_overlay(spark: SparkSession, sf: str) -> DataFrame:
+    """The overlay that events leave on customers: last record, revision, reasons, provenance; edits of moved records refused."""
+    was, now = _versions(spark, sf)
+    overlay, log = C.apply_edits(now, _submitted(spark, sf), ("src", "segment", "gen"), C.moved_keys(was, now))
+    reasons = C.edit_reasons(log).groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("reason")), ",").alias("reasons"))
+    states = log.groupBy("key").agg(F.count(F.lit(1)).alias("edits"), F.count_if(F.col("status") == "moved").alias("moved"), F.count_if(F.col("status") == "conflict").alias("conflicts"))
+    out = states.join(overlay, "key", "left").join(reasons, "key", "left")
+    return out.select("key", "edits", "moved", "conflicts", "revision", "updated_at", F.col("human.name").alias("name"), F.col("human.segment").alias("segment"), F.col("human.src").alias("src"), "reasons")
+
+
+OVERLAY_EDITS_ORACLE = """WITH RECURSIVE c AS (SELECT c_custkey AS key, c_mktsegment AS segment, c_custkey % 2 = 0 AS even,
+    c_custkey % 101 <> 9 AND c_custkey % 97 <> 5 AND c_custkey % 89 <> 3 AS steady, c_custkey % 101 = 9 AS gone, c_custkey % 97 = 5 AS fresh, c_custkey % 89 = 3 AS renamed FROM customer),
+e AS (SELECT c.*, event_id AS ord, event_type AS t, (CAST(json_extract_string(props, '$.k') AS INTEGER) // 5) % 4 AS want, CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS give,
+  row_number() OVER (PARTITION BY key ORDER BY event_id) AS n FROM events JOIN c ON user_id % 1000 + 1 = key),
+s AS (SELECT key, 0 AS n, 3 AS cur, 0::BIGINT AS ord, '' AS status FROM (SELECT DISTINCT key FROM e WHERE steady)
+  UNION ALL
+  SELECT e.key, e.n, CASE WHEN e.t NOT IN ('signup', 'error') AND e.want = s.cur THEN e.give ELSE s.cur END, e.ord,
+    CASE WHEN e.t = 'signup' THEN 'reason' WHEN e.want <> s.cur THEN 'conflict' WHEN e.t = 'error' THEN 'invalid' WHEN e.give = s.cur THEN 'unchanged' ELSE 'saved' END
+  FROM s JOIN e ON e.key = s.key AND e.n = s.n + 1),
+j AS (SELECT e.key, e.segment, e.even, e.ord, e.give, e.t, coalesce(s.status, CASE WHEN e.gone AND e.fresh THEN 'unknown' ELSE 'moved' END) AS status FROM e LEFT JOIN s ON s.key = e.key AND s.n = e.n),
+l AS (SELECT key, segment, even, count(*) AS edits, count(*) FILTER (status = 'moved') AS moved, count(*) FILTER (status = 'conflict') AS conflicts,
+  count(*) FILTER (status = 'saved') AS revision, max(ord) FILTER (status = 'saved') AS updated_at, arg_max(give, ord) FILTER (status = 'saved') AS last,
+  string_agg(DISTINCT t, ',' ORDER BY t) FILTER (status = 'saved') AS reasons FROM j GROUP BY ALL)
+SELECT key, edits, moved, conflicts, nullif(revision, 0) AS revision, updated_at, 'v' || last AS name, CASE WHEN last = 1 THEN 'OTHER' WHEN last IS NOT NULL THEN segment END AS segment,
+  CASE WHEN even AND last <> 1 THEN 'gen' END AS src, reasons FROM l"""
+
+
+def base_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys whose record moved between two versions of the customers, found through their fingerprint trees."""
+    was, now = _versions(spark, sf)
+    return C.moved_keys(was, now)
+
+
+DRIFT_ORACLE = """WITH c AS (SELECT c_custkey AS key, c_custkey % 97 <> 5 AS was, c_custkey % 101 <> 9 AS now, c_custkey % 89 = 3 AS renamed FROM customer)
+SELECT key, CASE WHEN was AND now THEN 'changed' WHEN now THEN 'added' ELSE 'removed' END AS change FROM c WHERE (was AND now AND renamed) OR was <> now"""
+
 QUERIES = {
+    "edit_overlay": edit_overlay, "base_drift": base_drift,
     "ledger_lookup": ledger_lookup, "missing_fallback": missing_fallback, "reuse_unique": reuse_unique, "resolve_rounds": resolve_rounds,
     "layered_final": layered_final, "request_cycle": request_cycle, "group_batches": group_batches, "template_gate": template_gate,
     "apply_edits": apply_edits, "record_diff": record_diff, "overlay_materialize": overlay_materialize, "bulk_update": bulk_update,
     "rename_keys": rename_keys, "edit_history": edit_history,
 }
 ORACLES = {
+    "edit_overlay": OVERLAY_EDITS_ORACLE, "base_drift": DRIFT_ORACLE,
     "ledger_lookup": LOOKUP_ORACLE, "missing_fallback": MISSING_ORACLE, "reuse_unique": REUSE_ORACLE, "resolve_rounds": ROUNDS_ORACLE,
     "layered_final": LAYERED_ORACLE, "request_cycle": CYCLE_ORACLE, "group_batches": GROUPS_ORACLE, "template_gate": TEMPLATE_ORACLE,
     "apply_edits": EDITS_ORACLE, "record_diff": DIFF_ORACLE, "overlay_materialize": OVERLAY_ORACLE, "bulk_update": BULK_ORACLE,

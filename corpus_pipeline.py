@@ -5,11 +5,13 @@ Each stage works on all that its predecessor kept. All but the last return the c
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexframe.llm import mixing, near_dedup, packing, quality_model, quality_rules
-from lexframe.llm.common import table
+from lexframe.llm.common import named, packed_row, shared_folder, table, unpacked
 
 #: the stages fit a model, link near-duplicates and plan over histograms, which SQL cannot express
 ORACLE_SQL = None
@@ -27,10 +29,18 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, and one row where rows of an id repeat; rows without id stay."""
-    kept = near_dedup.near_duplicates(spark, docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id IS NULL"))
+    """One document of each component, and one row where rows of an id repeat; rows without id stay.
+
+    Of the rows of an id the one with the least hash of its text, then of the whole row, is taken.
+    """
+    kept = near_dedup.near_duplicates(spark, docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    order = F.struct(F.xxhash64("text").alias("t"), F.xxhash64(*map(named, docs.columns)).alias("r"))
+    with_id = docs.where("doc_id IS NOT NULL")
+    first = with_id.select(F.col("doc_id").alias("i"), order.alias("o")).groupBy("i").agg(F.min("o").alias("o")).join(kept, F.col("i") == F.col("id"), "left_semi")
+    rows = with_id.select(packed_row(docs.columns).alias("row"), F.col("doc_id").alias("key"), order.alias("h"))
+    # rows that agree in both hashes are copies of one row
+    single = rows.join(first, (rows["key"] == first["i"]) & (rows["h"] == first["o"])).dropDuplicates(["key", "h"])
+    return single.select(*unpacked("row", docs.columns)).union(docs.where("doc_id IS NULL"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +68,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    """The rows of the last stage; what each stage before it keeps is written to the shared folder and read again."""
+    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{number}-{name}")
+            docs = spark.read.parquet(f"{folder}/{number}-{name}")
     return docs

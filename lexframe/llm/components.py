@@ -1,22 +1,79 @@
-"""Connected components by alternating stars, as joins and aggregates over the edges only."""
+"""Connected components: blocks of edges are contracted inside tasks, what is left by alternating stars."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from lexframe.llm.common import checkpointed
 
+#: edges that are contracted at once: what a task holds
+BLOCK_EDGES = 2**20
+
+
+def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges that are not the smallest of their component, and that smallest node."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    left, right = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        # each label takes the least label that an edge of its members sees, then labels are followed to the end
+        least = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, label[left], least)
+        np.minimum.at(new, label[right], least)
+        while (new[new] != new).any():
+            new = new[new]
+        new = new[label]
+        if (new == label).all():
+            break
+        label = new
+    hung = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[hung], nodes[label[hung]]
+
+
+def contracted(edges: DataFrame, block: int = BLOCK_EDGES) -> tuple[DataFrame, bool]:
+    """Edges (a, b), a > b, that connect the same nodes, and whether all of them were seen at once.
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): for every node of ``edges`` (a, b) the smallest node it is connected with.
+    Each task puts blocks of up to ``block`` edges together as they come, and keeps a spanning star of
+    each component of a block; memory is bounded by the block.
+    """
+    edges = checkpointed(edges)
+    parts = -(-edges.count() // block)
+
+    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if held and sum(map(len, held)) + len(batch) > block:
+                yield star(held)
+                held = []
+            held.append(batch)
+        if held:
+            yield star(held)
+
+    def star(held: list[pd.DataFrame]) -> pd.DataFrame:
+        together = pd.concat(held)
+        a, b = contract(together["a"].to_numpy(), together["b"].to_numpy())
+        return pd.DataFrame({"a": a, "b": b})
+
+    return checkpointed(edges.coalesce(max(1, parts)).mapInPandas(shrink, "a long, b long")), parts <= 1
 
-    Each round hangs the larger neighbours of a node on its smallest one, then the smaller ones; it
-    ends when every node hangs on its component's smallest node. Rounds grow with the logarithm of
-    the nodes; a node of many edges is only ever aggregated and joined. Loops are passed over.
+
+def components(edges: DataFrame, block: int = BLOCK_EDGES) -> DataFrame:
+    """(node, component): for every node of ``edges`` (a, b, of type long) the smallest node it is connected with.
+
+    Blocks of edges are first contracted inside tasks; a table of one block is then finished. On what
+    is left each round hangs the larger neighbours of a node on its smallest one, then the smaller
+    ones; it ends when every node hangs on its component's smallest node. Rounds grow with the
+    logarithm of the nodes; a node of many edges is only ever aggregated and joined. Loops are
+    passed over; edges with a null end as well.
     """
-    stars = checkpointed(_oriented(edges.select("a", "b")))
+    stars, done = contracted(_oriented(edges.select("a", "b")), block)
     known = None
-    while True:
+    while not done:
         count, mark = stars.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
         if (count, mark) == known:
             break

@@ -140,10 +140,11 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Dat
     )
     real = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
     digest = ["n", "d1", "d2"]
-    classes = checkpointed(real.groupBy(*digest).agg(F.min("id").alias("rep")))
+    # a class has a number of its own: neither half of the digest nor the smallest id names it alone
+    classes = checkpointed(real.groupBy(*digest).agg(F.min("id").alias("rep")).withColumn("cls", F.monotonically_increasing_id()))
     members = real.select("id", *digest).join(classes, digest)
-    # a class is named by its digest; a row of its smallest id carries its sketch
-    sketches = real.join(classes.withColumnRenamed("rep", "id"), [*digest, "id"]).select(F.col("d1").alias("cls"), F.col("id").alias("rep"), "n", "sketch").dropDuplicates(["cls"])
+    # a row of the smallest id carries the sketch of its class
+    sketches = real.join(classes.withColumnRenamed("rep", "id"), [*digest, "id"]).select("cls", F.col("id").alias("rep"), *digest, "sketch").dropDuplicates(["cls"])
     sketches = checkpointed(sketches)
 
     values = sketches.select("cls", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("v"))
@@ -169,10 +170,11 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Dat
     clusters = checkpointed(clusters.select(F.col("node").alias("cls"), F.col("component").alias("cluster")))
 
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(clusters.select("cls")).distinct()
-    ids = sketches.join(wanted, "cls", "left_semi").select("cls", "rep", "n")
+    ids = sketches.join(wanted, "cls", "left_semi").select("cls", "rep", *digest)
     found = docs.select(named(key).cast("long").alias("rep"), named(text).alias("t")).join(ids, "rep")
     # cut here: as part of the join the comparison would hash every document before the shuffle
-    sets = checkpointed(found.select("cls", "rep", "n", shingles(F.col("t")).alias("shingles"))).where(F.xxhash64("shingles") == F.col("cls"))
+    sets = checkpointed(found.select("cls", "rep", *digest, shingles(F.col("t")).alias("shingles")))
+    sets = sets.where((F.xxhash64("shingles") == F.col("d1")) & (F.xxhash64("shingles", F.lit(1)) == F.col("d2"))).drop("d1", "d2")
 
     full = sets.select("cls", "rep", "shingles")
     both = pairs.join(full.toDF("a", "rep_a", "f_a"), "a").join(full.toDF("b", "rep_b", "f_b"), "b")

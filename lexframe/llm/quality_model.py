@@ -82,6 +82,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS,
 
     for _ in range(epochs):
         for at, share, label in rows:
+            share = share.astype(np.float64)  # kept compact between the rounds
             zs, ns = z[at], n[at]
             w = weight(zs, ns)
             bias = -bias_z / ((beta + bias_n**0.5) / 0.5)
@@ -126,7 +127,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str = "d
     sample = single.select(F.col("k").cast("string").alias("k"), "y", "t")
     found = sample.mapInPandas(features, "k string, y int, at binary, share binary").collect()  # max_rows rows, at most ``buckets`` numbers each
     found.sort(key=lambda r: (zlib.crc32(r.k.encode()), r.k, r.at))
-    return fit([(np.frombuffer(r.at, "<u4").astype(np.int64), np.frombuffer(r.share, "<f4").astype(np.float64), r.y) for r in found], buckets)
+    return fit([(np.frombuffer(r.at, "<u4"), np.frombuffer(r.share, "<f4"), r.y) for r in found], buckets)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

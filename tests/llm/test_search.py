@@ -103,9 +103,10 @@ def test_sketch_slack():
         assert missed / ways < 1e-6
 
 
-def test_components(spark):
-    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (95, 100)]
-    out = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+@pytest.mark.parametrize("block", [2**20, 4])
+def test_components(spark, block):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (95, 100), (None, 3), (3, None)]
+    out = components.components(spark.createDataFrame(edges, "a long, b long"), block).collect()
     assert {r.node: r.component for r in out} == {**{i: 1 for i in range(1, 41)}, 90: 90, 95: 90, 100: 90}
     assert len(out) == len({r.node for r in out})
 
@@ -132,3 +133,14 @@ def test_classifier_cases(spark):
     none = quality_model.train(spark, docs.limit(0), labels)
     assert {r.score for r in quality_model.score(spark, docs, none).collect()} == {0.5}
     assert quality_model.score(spark, docs.limit(0), model).count() == 0
+
+
+def test_contract():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        a, b = rng.integers(0, 60, 40), rng.integers(0, 60, 40)
+        root = {int(x): int(x) for x in np.concatenate((a, b))}
+        for _ in root:
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root[x] = root[y] = min(root[x], root[y])
+        assert dict(zip(*(x.tolist() for x in components.contract(a, b)), strict=True)) == {k: v for k, v in root.items() if k != v}

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import branches, compare_form, drop_brackets, first_sense, has_boundary_semicolon, has_digit, let, senses
 from lexframe.operators.order import top_k
-from lexframe.operators.similar import char_set, jaccard, similar_sets
+from lexframe.operators.similar import char_set, first_similar, jaccard
+from lexframe.session import checkpointed
 
 SIMILAR = 0.8
 MANY_COMMAS = 2
@@ -21,7 +22,8 @@ def compare_pairs(df: DataFrame, group: list[str]) -> DataFrame:
     beyond sets sharing rare characters.
     """
     norm = compare_form(F.col("meaning"))
-    rows = df.withColumn("norm", norm).withColumn("first", first_sense(F.col("meaning"))).withColumn("chars", char_set(norm))
+    # read by every branch below
+    rows = checkpointed(df.withColumn("norm", norm).withColumn("first", first_sense(F.col("meaning"))).withColumn("chars", char_set(norm)))
 
     def two_first(keys: list[str]) -> DataFrame:
         two = top_k(rows.select(*group, *keys, "ord"), [*group, *keys], [F.col("ord")], 2, "_k")
@@ -29,7 +31,7 @@ def compare_pairs(df: DataFrame, group: list[str]) -> DataFrame:
         return pair.where("a < b").select(*group, "a", "b")
 
     heads = rows.groupBy(*group, "chars").agg(F.min("ord").alias("ord"))
-    near = similar_sets(heads.where(F.size("chars") > 0), group, "ord", "chars", SIMILAR).select(*group, "a", "b")
+    near = first_similar(heads.where(F.size("chars") > 0), group, "ord", "chars", SIMILAR)
     found = two_first(["chars"]).unionByName(two_first(["first"])).unionByName(near)
     best = found.groupBy(*group).agg(F.min(F.struct("a", "b")).alias("p")).select(*group, "p.a", "p.b")
 

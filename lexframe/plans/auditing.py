@@ -196,15 +196,29 @@ UNION ALL SELECT 'counts', count(*) FROM (SELECT DISTINCT s FROM o WHERE s = 'F'
 
 
 def pair_compare(spark: SparkSession, sf: str) -> DataFrame:
-    """Per language and three-letter stem, the first two words that do not differ enough."""
-    rows = B.words(spark, sf).select("lang", F.left("word", F.lit(3)).alias("stem"), F.col("word").alias("ord"), F.col("word").alias("meaning"), F.right("word", F.lit(2)).alias("why")).distinct()
-    return A.compare_pairs(rows, ["lang", "stem"])
-
-
-PAIR_ORACLE = f"""WITH {B.WORDS_SQL}, r AS (SELECT DISTINCT lang, left(word, 3) AS stem, word, right(word, 2) AS why, list_distinct(string_split(word, '')) AS c FROM words),
-p AS (SELECT a.lang, a.stem, a.word AS a, b.word AS b FROM r a JOIN r b ON a.lang = b.lang AND a.stem = b.stem AND a.word < b.word
-  AND len(list_intersect(a.c, b.c)) >= 0.8 * (len(a.c) + len(b.c) - len(list_intersect(a.c, b.c))) - 1e-9)
-SELECT lang, stem, min((a, b))[1] AS a, min((a, b))[2] AS b, 'WARN' AS severity, 'nearly the same meaning' AS reason FROM p GROUP BY lang, stem"""
+    """Per language and five-letter stem, the first two entries that do not differ enough.
+
+    Some words stand twice: with no reason, with another reason, or with one more sense.
+    """
+    word, n = F.col("word"), F.length("word")
+    words = B.words(spark, sf).select("lang", "word").distinct()
+    own = words.select("lang", F.left("word", F.lit(5)).alias("stem"), word.alias("ord"), word.alias("meaning"), F.right("word", F.lit(2)).alias("why"))
+    second = words.where(n % 4 != 0).select(
+        "lang", F.left("word", F.lit(5)).alias("stem"), F.concat("word", F.lit("~")).alias("ord"),
+        F.when(n % 4 == 3, F.concat("word", F.lit("\n0123"))).otherwise(word).alias("meaning"), F.when(n % 4 == 1, F.lit("other")).otherwise(F.lit(" ")).alias("why"))
+    return A.compare_pairs(own.unionByName(second), ["lang", "stem"])
+
+
+PAIR_ORACLE = f"""WITH {B.WORDS_SQL}, w AS (SELECT DISTINCT lang, word FROM words),
+r AS (SELECT lang, left(word, 5) AS stem, word AS ord, word AS first, word AS norm, right(word, 2) AS why FROM w
+  UNION ALL SELECT lang, left(word, 5), word || '~', word, word || CASE WHEN length(word) % 4 = 3 THEN '0123' ELSE '' END, CASE WHEN length(word) % 4 = 1 THEN 'other' ELSE '' END FROM w WHERE length(word) % 4 <> 0),
+s AS (SELECT *, list_distinct(string_split(norm, '')) AS c FROM r),
+p AS (SELECT a.lang, a.stem, a.ord AS a, b.ord AS b, a.norm = b.norm AS same, a.first = b.first AS head, a.why <> '' AND b.why <> '' AND a.why <> b.why AS other
+  FROM s a JOIN s b ON a.lang = b.lang AND a.stem = b.stem AND a.ord < b.ord
+  AND (a.norm = b.norm OR a.first = b.first OR len(list_intersect(a.c, b.c)) >= 0.8 * (len(a.c) + len(b.c) - len(list_intersect(a.c, b.c))) - 1e-9)),
+q AS (SELECT lang, stem, arg_min(struct_pack(a := a, b := b, same := same, head := head, other := other), (a, b)) AS p FROM p GROUP BY lang, stem)
+SELECT lang, stem, p.a AS a, p.b AS b, CASE WHEN p.same AND NOT p.other THEN 'FAIL' ELSE 'WARN' END AS severity,
+  CASE WHEN p.same AND p.other THEN 'same meaning, distinct reasons' WHEN p.same THEN 'same meaning, no reason' WHEN p.head THEN 'same first sense' ELSE 'nearly the same meaning' END AS reason FROM q"""
 
 
 def audit_texts(spark: SparkSession, sf: str) -> DataFrame:

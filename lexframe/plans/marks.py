@@ -36,16 +36,16 @@ wri AS (SELECT {B.surface_sql('word')} AS w FROM x WHERE length(word) BETWEEN 2
 k AS (SELECT *, CASE WHEN length(reading) < 4 THEN [reading] WHEN length(word) % 3 = 0 THEN [substr(reading, 2, 2)]
   WHEN length(word) % 3 = 1 THEN [reading[1], right(reading, 2)] ELSE [right(reading, 3)] END AS seg FROM kana),
 t AS (SELECT word, seg, 0 AS pl, surface AS s FROM k UNION ALL SELECT word, seg, 1, reading FROM k),
-pat AS (SELECT DISTINCT g, CASE WHEN length(g) < 2 THEN '^' || g ELSE '^[' || g[1] || translate(g[1], 'かきくけこさしすせそたちつてとはひふへほ', 'がぎぐげござじずぜぞだぢづでどばびぶべぼ') || translate(g[1], 'はひふへほ', 'ぱぴぷぺぽ') || ']' || g[2:] END AS re FROM (SELECT unnest(seg) AS g FROM k)),
-h AS (SELECT word, pl, s, j, len(seg) AS n, p - 1 AS a, p - 1 + length(seg[j]) AS b FROM t, unnest(range(1, len(seg) + 1)) AS u(j), unnest(range(1, length(s) + 1)) AS v(p)
-  JOIN pat ON pat.g = seg[j] WHERE regexp_matches(substr(s, p), pat.re)),
+c AS (SELECT word, pl, s, j, len(seg) AS n, p, seg[j] AS g FROM t, unnest(range(1, len(seg) + 1)) AS u(j), unnest(range(1, length(s) + 1)) AS v(p) WHERE substr(s, p + 1, length(seg[j]) - 1) = substr(seg[j], 2)),
+h AS MATERIALIZED (SELECT word, pl, s, j, n, p - 1 AS a, p - 1 + length(g) AS b FROM c WHERE CASE WHEN length(g) < 2 THEN s[p] = g
+  ELSE contains(g[1] || translate(g[1], 'かきくけこさしすせそたちつてとはひふへほ', 'がぎぐげござじずぜぞだぢづでどばびぶべぼ') || translate(g[1], 'はひふへほ', 'ぱぴぷぺぽ'), s[p]) AND s[p] <> '' END),
 g AS (SELECT word, pl, a AS s1, b AS e1, NULL AS s2, NULL AS e2, 0 AS gap, s FROM h WHERE n = 1
   UNION ALL SELECT f.word, f.pl, f.a, f.b, l.a, l.b, l.a - f.b, f.s FROM h f JOIN h l ON f.word = l.word AND f.pl = l.pl AND f.n = 2 AND f.j = 1 AND l.j = 2 AND l.a BETWEEN f.b AND f.b + 14),
-first AS (SELECT word, min(pl) AS pl FROM g GROUP BY word), gg AS (SELECT g.* FROM g JOIN first USING (word, pl)),
+first AS (SELECT word, min(pl) AS pl FROM g GROUP BY word), gg AS MATERIALIZED (SELECT DISTINCT g.* FROM g JOIN first USING (word, pl)),
 occ AS (SELECT DISTINCT word, pl, s FROM gg), grams AS (SELECT word, pl, a, a + n AS b, substr(s, CAST(a AS INTEGER) + 1, CAST(n AS INTEGER)) AS w FROM occ, unnest(range(0, length(s))) AS u(a), unnest(range(2, 13)) AS v(n) WHERE a + n <= length(s)),
-spot AS (SELECT word, a, b FROM grams WHERE pl = 0 AND w IN (SELECT w FROM wri) UNION SELECT word, a, b FROM grams WHERE pl = 1 AND w IN (SELECT w FROM spo)),
-sc AS (SELECT gg.*, CASE WHEN EXISTS (SELECT 1 FROM spot WHERE spot.word = gg.word AND spot.a <= s1 AND e1 <= spot.b AND spot.b - spot.a > e1 - s1) THEN 1 ELSE 0 END
-  + CASE WHEN s2 IS NOT NULL AND EXISTS (SELECT 1 FROM spot WHERE spot.word = gg.word AND spot.a <= s2 AND e2 <= spot.b AND spot.b - spot.a > e2 - s2) THEN 1 ELSE 0 END AS cut FROM gg),
+spot AS MATERIALIZED (SELECT word, a, b FROM grams WHERE pl = 0 AND w IN (SELECT w FROM wri) UNION SELECT word, a, b FROM grams WHERE pl = 1 AND w IN (SELECT w FROM spo)),
+sc AS (SELECT gg.word, pl, s1, e1, s2, e2, gap, coalesce(max(CASE WHEN a <= s1 AND e1 <= b AND b - a > e1 - s1 THEN 1 ELSE 0 END), 0)
+  + coalesce(max(CASE WHEN s2 IS NOT NULL AND a <= s2 AND e2 <= b AND b - a > e2 - s2 THEN 1 ELSE 0 END), 0) AS cut FROM gg LEFT JOIN spot ON spot.word = gg.word GROUP BY gg.word, pl, s1, e1, s2, e2, gap),
 best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY cut, gap, s1, s2) AS rn FROM sc)
 SELECT k.word, CASE WHEN length(k.word) % 3 = 2 AND length(k.reading) >= 4 THEN 'ない・' || seg[1] ELSE array_to_string(seg, '～') END AS head,
   CASE b.pl WHEN 0 THEN 'exact/plain' WHEN 1 THEN 'exact/reading' END AS mark_method,

@@ -26,13 +26,13 @@ def wordlist_band(spark: SparkSession, sf: str) -> DataFrame:
 
 
 WORDLIST_ORACLE = f"""WITH {B.VOCABULARY_SQL}, {B.BENCHMARK_SQL},
-a AS (SELECT word, 'ngsl' AS list, CAST(freq AS INTEGER) AS rank, CASE WHEN freq % 2 = 1 THEN freq + 0.5 END AS sfi FROM vocabulary WHERE length(word) % 9 <> 0),
-b AS (SELECT lower('x' || word) AS word, 'tsl' AS list, 7 AS rank, 1.5 AS sfi FROM benchmark_words),
-u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+a AS MATERIALIZED (SELECT word, 'ngsl' AS list, CAST(freq AS INTEGER) AS rank, CASE WHEN freq % 2 = 1 THEN freq + 0.5 END AS sfi FROM vocabulary WHERE length(word) % 9 <> 0),
+b AS MATERIALIZED (SELECT lower('x' || word) AS word, 'tsl' AS list, 7 AS rank, 1.5 AS sfi FROM benchmark_words),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b), both_lists AS MATERIALIZED (SELECT DISTINCT a.word FROM a JOIN b ON a.word = b.word)
 SELECT u.word, list, rank, CAST(sfi AS DOUBLE) AS sfi, CASE WHEN list = 'tsl' THEN 'TSL' WHEN rank <= 10 THEN '1-10' WHEN rank <= 100 THEN '11-100' ELSE 'rest' END AS band,
   CASE WHEN v.word IS NOT NULL THEN u.word || '/' || u.word || 's' WHEN list = 'tsl' THEN u.word ELSE {B.capitalised_sql('u.word')} END AS family,
-  u.word IN (SELECT word FROM a) AND u.word IN (SELECT word FROM b) AS clash
-FROM u LEFT JOIN vocabulary v ON v.word = u.word"""
+  both_lists.word IS NOT NULL AS clash
+FROM u LEFT JOIN vocabulary v ON v.word = u.word LEFT JOIN both_lists ON both_lists.word = u.word"""
 
 
 def dictionary_scan(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexframe.functions.text import (
     H_HEADS, P_HEADS, PLAIN_HEADS, VOICED_HEADS, chunk_edges, chunks, let, mark_offsets, mark_spans, plain_surface, plane, strip,
 )
-from lexframe.operators.verify import longest_word
+from lexframe.operators.verify import HEAD, head_index
 
 # --- fixed values: gaps, slack, inflections, connection shapes ---
 MAX_GAP = 14
@@ -244,17 +244,13 @@ def with_spots(df: DataFrame, keys: list[str], annotated: str, lexicon: DataFram
 
     ``lexicon``: word, plane (written or spoken).  The surface plane knows both kinds.
     """
-    def grams(text: Column, sound: bool) -> Column:
-        n = F.length(text)
-        cut = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda p: F.transform(
-            F.sequence(F.lit(2), F.least(F.col("_longest"), n - p)), lambda k: F.struct(
-                F.lit(sound).alias("sound"), p.alias("s"), (p + k).alias("e"), F.substring(text, p + 1, k).alias("w")))))
-        return F.when(n >= 2, cut).otherwise(F.expr("cast(array() as array<struct<sound:boolean,s:int,e:int,w:string>>)"))
-
-    every = let(lambda a, b: F.concat(grams(a, False), grams(b, True)), plane(F.col(annotated), "surface"), plane(F.col(annotated), "sound"))
-    opened = df.withColumn("_longest", F.greatest(longest_word(lexicon), F.lit(2))).select(*keys, F.explode(every).alias("_g"))
+    planes = F.array(*[F.struct(F.lit(sound).alias("sound"), plane(F.col(annotated), name).alias("text")) for sound, name in ((False, "surface"), (True, "sound"))])
     words = lexicon.groupBy(F.col("word").alias("_w")).agg(F.max(F.col("plane") == "spoken").alias("_spoken"))
-    met = opened.select(*keys, "_g.sound", "_g.s", "_g.e", F.col("_g.w").alias("_w")).join(words, "_w")
+    n, s = F.length("text"), F.col("s")
+    starts = df.select(*keys, F.inline(planes)).where(n >= HEAD).select(*keys, "sound", "text", F.explode(F.sequence(F.lit(0), n - HEAD)).alias("s"))
+    heads = starts.withColumn("_head", F.substring("text", s + 1, F.lit(HEAD))).join(head_index(lexicon), "_head")
+    opened = heads.select(*keys, "sound", "s", "text", F.explode(F.filter("_sizes", lambda k: k <= n - s)).alias("_n"))
+    met = opened.select(*keys, "sound", "s", (s + F.col("_n")).alias("e"), F.substring("text", s + 1, F.col("_n")).alias("_w")).join(words, "_w")
     spot = F.struct("s", "e")
     spots = met.groupBy(*keys).agg(
         F.collect_list(F.when(~F.col("sound"), spot)).alias("spots_surface"), F.collect_list(F.when(F.col("sound") & F.col("_spoken"), spot)).alias("spots_sound"))

@@ -214,30 +214,41 @@ def longest_word(lexicon: DataFrame) -> Column:
     return F.coalesce(lexicon.agg(F.max(F.length("word"))).scalar(), F.lit(0))
 
 
-def lexicon_spots(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, shortest: int = 2) -> DataFrame:
-    """(keys, start, stop): places where a lexicon word stands; 0-based, end exclusive."""
-    df = df.withColumn("_longest", F.greatest(longest_word(lexicon), F.lit(shortest)))
-    places = df.where(F.length(text) >= shortest).select(*keys, "_longest", F.col(text).alias("_text"), F.explode(
-        F.sequence(F.lit(0), F.length(text) - shortest)).alias("start"))
-    sizes = places.select(*keys, "_text", "start", F.explode(F.sequence(
-        F.lit(shortest), F.least("_longest", F.length("_text") - F.col("start")))).alias("_size"))
-    grams = sizes.select(*keys, "start", (F.col("start") + F.col("_size")).alias("stop"),
-                         F.substring("_text", F.col("start") + 1, F.col("_size")).alias("_word"))
+#: characters of the head by which a lexicon's words are looked up
+HEAD = 2
+
+
+def head_index(lexicon: DataFrame, shortest: int = HEAD) -> DataFrame:
+    """(head, sizes): per beginning of HEAD characters the lengths of the lexicon's words; a row per head."""
+    words = lexicon.where(F.length("word") >= shortest)
+    return words.groupBy(F.left("word", F.lit(HEAD)).alias("_head")).agg(F.sort_array(F.collect_set(F.length("word"))).alias("_sizes"))
+
+
+def lexicon_spots(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, shortest: int = HEAD) -> DataFrame:
+    """(keys, start, stop): places where a lexicon word stands; 0-based, end exclusive.
+
+    Places where no word begins go at the head index; only lengths that its words have are cut out.
+    ``shortest`` is HEAD or more.
+    """
+    n, start = F.length("_text"), F.col("start")
+    places = df.where(F.length(text) >= shortest).select(*keys, F.col(text).alias("_text"), F.explode(F.sequence(F.lit(0), F.length(text) - shortest)).alias("start"))
+    opened = places.withColumn("_head", F.substring("_text", start + 1, F.lit(HEAD))).join(head_index(lexicon, shortest), "_head")
+    sizes = opened.select(*keys, "_text", "start", F.explode(F.filter("_sizes", lambda k: k <= n - start)).alias("_size"))
+    grams = sizes.select(*keys, "start", (start + F.col("_size")).alias("stop"), F.substring("_text", start + 1, F.col("_size")).alias("_word"))
     return grams.join(lexicon.select(F.col("word").alias("_word")), "_word", "left_semi").select(*keys, "start", "stop")
 
 
 def cut_by_word(spans: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
     """Adds ``cut``: a strictly larger lexicon word contains the span [start, stop) of ``text``.
 
-    Only the windows around a span are looked up, so the join is on the word itself.
+    Only the windows around a span that begin as some word does and are as long are looked up.
     """
     row = [*keys, "start", "stop"]
-    n, longest = F.length("_text"), F.col("_longest")
+    n, begin, longest = F.length("_text"), F.col("_from"), F.col("_longest")
     left = F.sequence(F.greatest(F.lit(0), F.col("stop") - longest), F.col("start"))
-    opened = spans.withColumn("_longest", longest_word(lexicon)).where(F.col("stop") - F.col("start") <= longest).select(*row, "_longest", F.col(text).alias("_text"), F.explode(left).alias("_from"))
-    right = F.sequence(F.col("stop"), F.least(n, F.col("_from") + longest))
-    windows = opened.where(F.least(n, F.col("_from") + longest) >= F.col("stop")).select(*row, "_text", "_from", F.explode(right).alias("_to"))
-    larger = windows.where((F.col("_from") < F.col("start")) | (F.col("_to") > F.col("stop")))
-    words = larger.select(*row, F.substring("_text", F.col("_from") + 1, F.col("_to") - F.col("_from")).alias("_word"))
+    opened = spans.withColumn("_longest", longest_word(lexicon)).where(F.col("stop") - F.col("start") <= longest).select(*row, F.col(text).alias("_text"), F.explode(left).alias("_from"))
+    met = opened.withColumn("_head", F.substring("_text", begin + 1, F.lit(HEAD))).join(head_index(lexicon), "_head")
+    larger = F.filter("_sizes", lambda k: (begin + k >= F.col("stop")) & (begin + k <= n) & (k > F.col("stop") - F.col("start")))
+    words = met.select(*row, "_text", "_from", F.explode(larger).alias("_size")).select(*row, F.substring("_text", begin + 1, F.col("_size")).alias("_word"))
     hit = words.join(lexicon.select(F.col("word").alias("_word")), "_word", "left_semi").select(*row).distinct().withColumn("cut", F.lit(True))
     return spans.join(hit, row, "left").fillna(False, ["cut"])

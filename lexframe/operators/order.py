@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexframe.session import checkpointed
+
 Cols = list[str]
 #: buckets that share one row of the upper level of a running sum
 SUMMARY = 1024
@@ -45,6 +47,20 @@ def position(df: DataFrame, keys: Cols, order: Cols, bucket: Column, name: str =
     return running_sum(df, keys, order, bucket, F.lit(1), name)
 
 
+def ranged(df: DataFrame, keys: Cols, order: Cols, name: str = "_range") -> DataFrame:
+    """``df`` with a bucket column cut from the data: ranges of (keys, order) of about equal size.
+
+    Spark samples the rows for the cuts, so the ranges are even whatever values a column has, and a
+    key with many rows spans many of them. Materialised, since another sample would cut elsewhere.
+    """
+    return checkpointed(df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id()))
+
+
+def ranged_position(df: DataFrame, keys: Cols, order: Cols, name: str = "pos") -> DataFrame:
+    """1-based position per key in ``order`` (a total order), by ranges of the data itself."""
+    return position(ranged(df, keys, order), keys, order, F.col("_range"), name).drop("_range")
+
+
 def carried_value(df: DataFrame, keys: Cols, order: Cols, bucket: Column, value: Column, name: str, forward: bool = True) -> DataFrame:
     """Last non-null ``value`` up to and including the row (or the next one when not ``forward``)."""
     rows = _names(df, keys, bucket).withColumn("_value", value)

@@ -119,7 +119,7 @@ def all_sound_forms(readings: DataFrame) -> DataFrame:
 
 
 def select_examples(freq: DataFrame, dictionary: DataFrame, readings: DataFrame, targets: DataFrame, official: DataFrame,
-                    cap: int = CANDIDATE_CAP, keep: int = EXAMPLES_PER_READING) -> DataFrame:
+                    cap: int | None = CANDIDATE_CAP, keep: int = EXAMPLES_PER_READING) -> DataFrame:
     """(ch, reading, best, place, rank, lemma, freq): frequency-based examples per character.
 
     ``freq``: lemma, form, freq.  ``dictionary``: surface, reading, reading_ord.  ``readings``: ch,
@@ -129,7 +129,8 @@ def select_examples(freq: DataFrame, dictionary: DataFrame, readings: DataFrame,
     """
     lemmas = explode_targets(freq.where("lemma <> ''"), targets)
     order = [F.desc("freq"), F.desc("lemma"), F.desc("form")]
-    cand = top_k(lemmas, ["ch"], order, cap, "_n").where(~F.col("lemma").contains("・")).select("ch", "lemma", "form", "freq")
+    # without a cap every lemma is a candidate, and no character's lemmas need an order
+    cand = (lemmas if cap is None else top_k(lemmas, ["ch"], order, cap, "_n")).where(~F.col("lemma").contains("・")).select("ch", "lemma", "form", "freq")
     known = dictionary.select(F.col("surface").alias("lemma"), F.col("reading").alias("_r"), "reading_ord")
     wanted = official.select("ch", F.col("key").alias("_key"), kana_fold(F.col("key")).alias("_hira"))
     asked = cand.join(known, "lemma", "left").join(wanted, "ch", "left").withColumn(

@@ -317,7 +317,7 @@ def sort_examples(spark: SparkSession, sf: str) -> DataFrame:
     kana = B.kana_words(spark, sf).select(F.left("word", F.lit(2)).alias("stem"), "word", "annotated")
     order = [X.word_length(F.col("annotated")).alias("a"), F.length(X.first_sense(F.col("word"))).alias("b"), X.reading_length(F.col("annotated")).alias("c"), X.first_sense(F.col("word")).alias("d")]
     keyed = kana.select("stem", "word", *order)
-    return O.position(keyed, ["stem"], ["a", "b", "c", "d", "word"], F.col("a"), "place").select("stem", "word", "place")
+    return O.ranged_position(keyed, ["stem"], ["a", "b", "c", "d", "word"], "place").select("stem", "word", "place")
 
 
 SORT_ORACLE = f"""WITH {B.KANA_SQL} SELECT left(word, 2) AS stem, word, row_number() OVER (PARTITION BY left(word, 2) ORDER BY length(surface), length(word), length(reading), word) AS place FROM kana"""
@@ -328,7 +328,7 @@ def top_examples(spark: SparkSession, sf: str) -> DataFrame:
     freq = B.words(spark, sf).groupBy("lang", F.left("word", F.lit(2)).alias("stem"), "word").agg(F.count(F.lit(1)).alias("freq"))
     best = O.top_k(freq, ["lang", "stem"], [F.desc("freq"), F.desc("word")], 3)
     sizes = freq.groupBy("lang", "stem").agg((-F.max("freq")).alias("neg"))
-    placed = O.position(sizes, ["lang"], ["neg", "stem"], F.col("neg"), "place").select("lang", "stem", "place")
+    placed = O.ranged_position(sizes, ["lang"], ["neg", "stem"], "place").select("lang", "stem", "place")
     return best.join(placed, ["lang", "stem"]).select("lang", "stem", "word", "freq", "rank", "place")
 
 

@@ -51,7 +51,7 @@ def select_examples(spark: SparkSession, sf: str) -> DataFrame:
     freq = B.kana_words(spark, sf).select(F.col("surface").alias("lemma"), F.col("reading").alias("form"), "freq")
     empty = B.dictionary(spark, sf).where("reading_ord = 0")
     official = spark.createDataFrame(list(OFFICIAL), "ch string, key string")
-    out = S.select_examples(freq, empty, _readings(spark, sf), _targets(spark), official, cap=1 << 30)
+    out = S.select_examples(freq, empty, _readings(spark, sf), _targets(spark), official, cap=None)
     return out.select("ch", "reading", "place", "rank", "lemma", "freq")
 
 

@@ -10,6 +10,9 @@ from lexframe.plans import base as B
 from lexframe.session import table
 from lexframe.sources import payload as P, readers as R
 
+#: order keys that share a block of a payload
+BLOCK = 4096
+
 
 def wordlist_band(spark: SparkSession, sf: str) -> DataFrame:
     """Two lists printed from word counts and benchmark words, parsed back, banded, with families."""
@@ -115,15 +118,16 @@ SELECT key, p_partkey AS "first", i, gloss FROM f QUALIFY row_number() OVER (PAR
 
 
 def payload_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders of a customer as one JSON payload: flattened, nested again, compared; repeated keys refused."""
+    """Orders of a customer as JSON payloads in blocks of order keys: flattened, nested again, compared; repeated keys refused."""
     items = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").cast("string").alias("w"), F.col("l_partkey").cast("string").alias("ko")))).alias("e"))
     maps = items.groupBy("l_orderkey").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("l_returnflag", "e")))).alias("readings"))
     o = table(spark, sf, "orders").join(maps, F.col("o_orderkey") == F.col("l_orderkey"))
     key = F.when((F.col("o_custkey") % 13 == 0), F.lit("same")).otherwise(F.col("o_orderkey").cast("string"))
     entry = F.concat(F.lit('"'), key, F.lit('":'), F.to_json(F.struct(F.col("o_orderpriority").alias("tag"), "readings")))
-    raw = o.groupBy(F.col("o_custkey").alias("payload")).agg(F.sort_array(F.collect_list(F.struct("o_orderkey", entry.alias("j")))).alias("l")).select(
-        "payload", F.concat(F.lit("{"), F.array_join(F.transform("l", lambda x: x["j"]), ","), F.lit("}")).alias("raw"))
-    records, refused = P.flatten_payload(raw, "raw", "struct<tag:string,readings:map<string,array<struct<w:string,ko:string>>>>")
+    # at most BLOCK orders of a customer in a row
+    raw = o.groupBy(F.col("o_custkey").alias("payload"), F.floor(F.col("o_orderkey") / BLOCK).alias("block")).agg(F.sort_array(F.collect_list(F.struct("o_orderkey", entry.alias("j")))).alias("l")).select(
+        "payload", "block", F.concat(F.lit("{"), F.array_join(F.transform("l", lambda x: x["j"]), ","), F.lit("}")).alias("raw"))
+    records, refused = P.flatten_blocks(raw, "raw", "struct<tag:string,readings:map<string,array<struct<w:string,ko:string>>>>")
     flat = P.flatten_examples(records, "readings")
     back = P.nest_examples(flat)
     joined = records.join(back, ["payload", "key"])

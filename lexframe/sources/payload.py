@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from lexframe.operators.order import position
+
 
 def flatten_payload(df: DataFrame, raw: str, record_schema: str) -> tuple[DataFrame, DataFrame]:
     """(records: payload, ord, key, record) and the payloads refused for broken JSON or repeated keys.
@@ -18,6 +20,21 @@ def flatten_payload(df: DataFrame, raw: str, record_schema: str) -> tuple[DataFr
     return rows, df.where(~F.coalesce(good, F.lit(False))).select("payload")
 
 
+def flatten_blocks(df: DataFrame, raw: str, record_schema: str) -> tuple[DataFrame, DataFrame]:
+    """The same for payloads that come in blocks: ``df`` holds payload, block (ascending) and the raw text of each.
+
+    A large payload is many rows, so none of it has to fit into one; keys are compared over all of
+    its blocks by an aggregate, and ``ord`` runs on from block to block.
+    """
+    pieces, broken = flatten_payload(df.select(F.struct("payload", "block").alias("payload"), raw), raw, record_schema)
+    rows = pieces.select("payload.payload", F.col("payload.block").cast("long").alias("block"), "ord", "key", "record")
+    twice = rows.groupBy("payload", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("payload")
+    refused = broken.select("payload.payload").union(twice).distinct()
+    kept = rows.join(refused, "payload", "left_anti")
+    placed = position(kept, ["payload"], ["block", "ord"], F.col("block"), "n")
+    return placed.select("payload", (F.col("n") - 1).cast("int").alias("ord"), "key", "record"), refused
+
+
 def flatten_examples(records: DataFrame, bucket: str) -> DataFrame:
     """(payload, key, reading_ord, reading, ex_ord, example) of a map from reading to an example array."""
     readings = records.select("payload", "key", F.posexplode(F.col(f"record.{bucket}")).alias("reading_ord", "reading", "examples"))

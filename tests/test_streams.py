@@ -74,6 +74,28 @@ def test_ledger_stream_is_idempotent(spark):
     assert len(rows) == 2 and slots[("q", "a")] == "x" and slots[("p", "a")] in ("new", "later")
 
 
+def test_ledger_stream_restarts_from_its_state(spark):
+    """Two restarts; the seed fills slots, and the ledger's own files may be gone after the first batch."""
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    schema = "model string, purpose string, key string, value string, ts long"
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    spark.createDataFrame([("m", "p", "a", "seeded", 0), ("m", "p", "z", "seeded", 0)], schema).write.parquet(f"{folder}/seed")
+    found = []
+    for number, rows in enumerate(([("m", "p", "a", "x", 1), ("m", "p", "b", "one", 2), ("m", "p", "b", "two", 3)], [("m", "p", "b", "late", 4), ("m", "p", "c", "", 5)], [("m", "p", "c", "good", 6), ("m", "p", "z", "y", 7), ("m", "q", "a", "other", 8)])):
+        add(*rows)
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        target = f"{folder}/ledger{number}"  # a new folder each time: nothing written before can be read
+        query = ledger_stream(stream, target, F.col("value") != "", f"{folder}/cp", f"{folder}/seed")
+        query.awaitTermination()
+        found += [(r.purpose, r.key, r.value) for r in spark.read.parquet(target).collect()]
+        if number:
+            assert sum(p["numInputRows"] for p in query.recentProgress) == len(rows)
+    assert sorted(found) == [("p", "b", "two"), ("p", "c", "good"), ("q", "a", "other")]
+
+
 def test_late_edits_come_out(spark):
     rows = [("a", 5, "r", "0", "1", True), ("a", 2, "r", "0", "2", True), ("a", 6, "r", "1", "3", True)]
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")

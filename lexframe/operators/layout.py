@@ -92,22 +92,27 @@ def classify_roles(df: DataFrame, rules: list[tuple[str, str, float, float]], fo
     return df.withColumn(name, role)
 
 
-def attach_ruby(base: DataFrame, ruby: DataFrame, line: list[str]) -> DataFrame:
+def attach_ruby(base: DataFrame, ruby: DataFrame, line: list[str], largest: float | None = None) -> DataFrame:
     """Annotated text per line: a run whose characters centre under one ruby becomes ``run(text)``.
 
     ``base``: line keys, y, x, x1, c.  ``ruby``: page keys (line keys without the last), y, x0, x1, text.
     Rubies reach a line when they lie at most RUBY_RISE above it; the join carries page and a y band.
-    Each ruby is used once, in x order, by one contiguous run.
+    Each ruby is used once, in x order, by one contiguous run. Where both sides have a ``font``, a ruby
+    only reaches lines set in its own weight; ``largest`` bounds the ``size`` of a ruby.
     """
-    page = line[:-1]
+    page, weighed = line[:-1], "font" in base.columns and "font" in ruby.columns
+    fonts = F.collect_set("font") if weighed else F.array()
     lines = base.groupBy(*line).agg(
-        F.first("y").alias("y"), F.sort_array(F.collect_list(F.struct("x", "x1", "c"))).alias("chars"))
+        F.first("y").alias("y"), F.sort_array(F.collect_list(F.struct("x", "x1", "c"))).alias("chars"), fonts.alias("_fonts"))
+    if largest is not None:
+        ruby = ruby.where(F.col("size") <= largest)
     bands = F.array(F.floor(F.col("y") / RUBY_RISE), F.floor(F.col("y") / RUBY_RISE) + 1)
-    spread = ruby.select(*page, F.col("y").alias("_ry"), "x0", F.col("x1").alias("rx1"), "text", F.explode(bands).alias("_band"))
+    spread = ruby.select(*page, F.col("y").alias("_ry"), "x0", F.col("x1").alias("rx1"), "text", (F.col("font") if weighed else F.lit("")).alias("_font"), F.explode(bands).alias("_band"))
+    own_weight = F.exists("_fonts", lambda f: F.col("_font").startswith(f)) if weighed else F.lit(True)
     near = (
-        lines.select(*line, "y", F.floor(F.col("y") / RUBY_RISE).alias("_band"))
+        lines.select(*line, "y", "_fonts", F.floor(F.col("y") / RUBY_RISE).alias("_band"))
         .join(spread, [*page, "_band"])
-        .where((F.col("y") - F.col("_ry") > 0) & (F.col("y") - F.col("_ry") <= RUBY_RISE))
+        .where((F.col("y") - F.col("_ry") > 0) & (F.col("y") - F.col("_ry") <= RUBY_RISE) & own_weight)
     )
     hats = near.groupBy(*line).agg(F.sort_array(F.collect_list(F.struct("x0", "rx1", "text"))).alias("rubies"))
     empty = F.expr("cast(array() as array<struct<x0:double,rx1:double,text:string>>)")

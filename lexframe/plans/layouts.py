@@ -98,22 +98,25 @@ SELECT lang, CASE WHEN f = 'G' AND s BETWEEN 9 AND 10 THEN 'head' WHEN f = 'G' A
 
 
 def layout_ruby(spark: SparkSession, sf: str) -> DataFrame:
-    """Every word typeset one character per cell with rubies above its runs, then annotated again."""
+    """Every word typeset one character per cell with rubies above its runs, then annotated again.
+
+    Runs of three letters have a ruby of another weight, runs of two under words of seven one that is too large.
+    """
     kana = B.kana_words(spark, sf)
     chars = kana.select("word", F.lit(0).alias("line"), F.posexplode(F.split("surface", "")).alias("i", "c")).where("c <> ''")
-    base = chars.select("word", "line", F.lit(100.0).alias("y"), (F.col("i") * 10.0).alias("x"), (F.col("i") * 10.0 + 8).alias("x1"), "c")
+    base = chars.select("word", "line", F.lit(100.0).alias("y"), (F.col("i") * 10.0).alias("x"), (F.col("i") * 10.0 + 8).alias("x1"), "c", F.lit("Mincho").alias("font"))
     runs = F.regexp_extract_all("word", F.lit("[aeiou]+|[^aeiou]+"), F.lit(0))
     pieces = kana.select("word", F.posexplode(runs).alias("k", "run"), runs.alias("runs")).select(
         "word", "run", F.length(F.array_join(F.slice("runs", F.lit(1), F.col("k")), "")).alias("at"))
-    ruby = pieces.where(~F.col("run").rlike("^[aeiou]") & (F.length("run") != 3)).select(
-        "word", F.lit(93.0).alias("y"), (F.col("at") * 10.0).alias("x0"),
+    ruby = pieces.where(~F.col("run").rlike("^[aeiou]")).select(
+        "word", F.when(F.length("run") == 3, F.lit("Gothic-M")).otherwise("Mincho-M").alias("font"), F.when((F.length("run") == 2) & (F.length("word") == 7), 5.0).otherwise(4.5).alias("size"), F.lit(93.0).alias("y"), (F.col("at") * 10.0).alias("x0"),
         ((F.col("at") + F.length("run")) * 10.0 - 2).alias("x1"), B.reading_of(F.col("run")).alias("text"))
-    return L.attach_ruby(base, ruby, ["word", "line"]).select("word", "annotated")
+    return L.attach_ruby(base, ruby, ["word", "line"], 4.5).select("word", "annotated")
 
 
 RUBY_ORACLE = f"""WITH {B.VOCABULARY_SQL}
 SELECT word, array_to_string(list_transform(regexp_extract_all(word, '[aeiou]+|[^aeiou]+'), lambda r:
-  CASE WHEN regexp_matches(r, '^[aeiou]') OR length(r) = 3 THEN {B.surface_sql('r')} ELSE {B.surface_sql('r')} || '(' || {B.reading_sql('r')} || ')' END), '') AS annotated
+  CASE WHEN regexp_matches(r, '^[aeiou]') OR length(r) = 3 OR (length(r) = 2 AND length(word) = 7) THEN {B.surface_sql('r')} ELSE {B.surface_sql('r')} || '(' || {B.reading_sql('r')} || ')' END), '') AS annotated
 FROM vocabulary"""
 
 
@@ -133,6 +136,60 @@ SELECT l.l_orderkey, l.id, string_agg(r.text, '' ORDER BY r.x, r.y, r.text) AS t
 FROM l JOIN r ON r.l_orderkey = l.l_orderkey AND r.y - l.y BETWEEN -6 AND 2 AND r.x >= 152 AND r.x < 162 GROUP BY l.l_orderkey, l.id"""
 
 
+def variant_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Variant tokens of every word in round, square, no and broken brackets."""
+    s, n = F.col("surface"), F.length("word") % 4
+    first, last = F.left("surface", F.lit(1)), F.right("surface", F.lit(1))
+    inner = F.concat(first, F.when(F.length("word") % 2 == 0, F.lit("・")).otherwise(F.lit("、 ")), last)
+    token = F.when(n == 0, F.concat(F.lit(" （"), inner, F.lit("）"))).when(n == 1, F.concat(F.lit("［"), inner, F.lit("］"))).when(n == 2, inner).otherwise(F.concat(F.lit("（"), s))
+    return L.extract_variants(B.kana_words(spark, sf).select("word", token.alias("token")), ["word"], "token")
+
+
+VARIANT_ORACLE = f"""WITH {B.KANA_SQL}, t AS (SELECT word, length(word) % 4 AS n, unnest([surface[1], right(surface, 1)]) AS variant FROM kana WHERE length(word) % 4 < 3)
+SELECT word, variant, CASE n WHEN 1 THEN '許容字体' ELSE '康熙字典体' END AS label FROM t WHERE regexp_full_match(variant, '[\\x{{3005}}\\x{{4E00}}-\\x{{9FFF}}]')"""
+
+
+def _page_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, line, tok, text, x, x1): words of the paragraphs of every page, set side by side; some stand in the margin."""
+    lines = table(spark, sf, "pages").select("page_id", F.posexplode(F.split("html", "<p>", -1)).alias("line", "t"))
+    tokens = lines.select("page_id", "line", F.posexplode(F.regexp_extract_all("t", F.lit(B.WORD), F.lit(0))).alias("tok", "word"))
+    w, far = F.col("word"), F.when(F.col("tok") > 0, F.col("line") % 3 * 5.0).otherwise(0.0)
+    text = F.when(w.rlike("^[aeAE]"), F.lit("→")).when(w.rlike("^[tT]"), F.lit("参")).otherwise(w)
+    return tokens.select("page_id", "line", "tok", text.alias("text"), (F.col("tok") * 10.0 + far).alias("x"), (F.col("tok") * 10.0 + far + 8).alias("x1"))
+
+
+def margin_arrows(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every paragraph without the arrows of its margin."""
+    kept = L.drop_margin_arrows(_page_tokens(spark, sf), ["page_id", "line"], "tok", 8.0)
+    return kept.groupBy("page_id", "line").agg(
+        F.count(F.lit(1)).alias("tokens"), F.count_if(F.col("text") == "→").alias("arrows"),
+        F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tok", "text"))), lambda t: t["text"]), " ")).alias("text"))
+
+
+ARROWS_ORACLE = f"""WITH l AS (SELECT page_id, i - 1 AS line, p[i] AS t FROM (SELECT page_id, string_split(html, '<p>') AS p FROM pages) q, unnest(range(1, len(p) + 1)) AS u(i)),
+w AS (SELECT page_id, line, i - 1 AS tok, x[i] AS word FROM (SELECT page_id, line, regexp_extract_all(t, '{B.WORD}') AS x FROM l) q, unnest(range(1, len(x) + 1)) AS u(i)),
+k AS (SELECT page_id, line, tok, CASE WHEN regexp_matches(word, '^[aeAE]') THEN '→' WHEN regexp_matches(word, '^[tT]') THEN '参' ELSE word END AS text, tok * 10.0 + CASE WHEN tok > 0 THEN line % 3 * 5.0 ELSE 0 END AS x FROM w),
+n AS (SELECT *, lead(text) OVER v AS after, lead(x) OVER v AS far FROM k WINDOW v AS (PARTITION BY page_id, line ORDER BY tok))
+SELECT page_id, line, count(*) AS tokens, count(*) FILTER (text = '→') AS arrows, md5(string_agg(text, ' ' ORDER BY tok)) AS text
+FROM n WHERE NOT (text = '→' AND (coalesce(after = '参', false) OR coalesce(tok = 0 AND far - (x + 8) > 8, false))) GROUP BY page_id, line"""
+
+
+def circled_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentences opening with a vowel carry a circled number and start an item; the others continue it."""
+    t = F.col("text")
+    number = F.substring(F.lit(L.CIRCLED), F.col("sent") % 20 + 1, F.lit(1))
+    rows = B.sentences(spark, sf).withColumn("text", F.when(t.rlike("^[AEIOUaeiou]"), F.concat(number, t)).otherwise(t))
+    return L.circled_items(rows, ["doc_id"], "sent", "text").select("doc_id", "item", "no", F.md5("text").alias("text"))
+
+
+CIRCLED_ORACLE = f"""WITH {B.SENTENCES_SQL},
+o AS (SELECT *, regexp_matches(text, '^[AEIOUaeiou]') AS opens FROM sentences),
+g AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY sent) AS item FROM o)
+SELECT doc_id, CAST(item AS BIGINT) AS item, max(CASE WHEN opens THEN substr('{L.CIRCLED}', CAST(sent % 20 AS INTEGER) + 1, 1) END) AS no,
+  md5(regexp_replace(string_agg(text, '' ORDER BY sent), '^[\\s\\x{{A0}}\\x{{3000}}]+|[\\s\\x{{A0}}\\x{{3000}}]+$', '', 'g')) AS text
+FROM g WHERE item > 0 GROUP BY doc_id, item"""
+
+
 def layout_carry(spark: SparkSession, sf: str) -> DataFrame:
     """Turns as lines, conversations as entries: tokens without a language follow the next one."""
     found = F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0))
@@ -211,11 +268,13 @@ SELECT doc_id, line, {_marks("CASE WHEN len(l) >= 3 THEN l[1] ELSE " + _strip('s
 
 
 QUERIES = {
+    "variant_tokens": variant_tokens, "margin_arrows": margin_arrows, "circled_items": circled_items,
     "layout_lines": layout_lines, "layout_assemble": layout_assemble, "numbered_items": numbered_items,
     "layout_roles": layout_roles, "layout_ruby": layout_ruby, "layout_boxes": layout_boxes,
     "layout_carry": layout_carry, "layout_tail": layout_tail, "gloss_lines": gloss_lines,
 }
 ORACLES = {
+    "variant_tokens": VARIANT_ORACLE, "margin_arrows": ARROWS_ORACLE, "circled_items": CIRCLED_ORACLE,
     "layout_lines": LINES_ORACLE, "layout_assemble": ASSEMBLE_ORACLE, "numbered_items": NUMBERED_ORACLE,
     "layout_roles": ROLES_ORACLE, "layout_ruby": RUBY_ORACLE, "layout_boxes": BOXES_ORACLE,
     "layout_carry": CARRY_ORACLE, "layout_tail": TAIL_ORACLE, "gloss_lines": GLOSS_ORACLE,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import (
-    BASE, after, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
+    BASE, after, annotation_ok, contains_family, drop_printed, full_reading, kana_fold, let, plain_surface, reading_norm, search_stem, segments, voiced_forms,
 )
 from lexframe.operators.align import alignments
 
@@ -179,7 +179,8 @@ def boundary_evidence(dictionary: DataFrame, needs: DataFrame) -> DataFrame:
 def dictionary_ok(df: DataFrame, dictionary: DataFrame, records: DataFrame) -> DataFrame:
     """Adds ``ok``: table readings bind single characters of listed records, the dictionary binds the rest.
 
-    ``df``: w, annotated, key.  ``records``: ch, tag.  Unknown surfaces pass.
+    ``df``: w, annotated, key.  ``records``: ch, tag.  Unknown surfaces pass; for known ones an
+    annotation that cannot be parsed is refused.
     """
     listed = records.where("tag <> 'h'").select(F.col("ch").alias("w"), F.lit(True).alias("_listed"))
     bare = df.withColumn("_bare", drop_printed(F.col("w"))).withColumn("_all", full_reading(F.col("annotated")))
@@ -188,7 +189,8 @@ def dictionary_ok(df: DataFrame, dictionary: DataFrame, records: DataFrame) -> D
         F.max(F.col("_known") == kana_fold(F.col("_all"))).alias("_hit"))
     joined = bare.join(listed, "w", "left").join(asked, ["_bare", "_all"], "left")
     by_table = reading_norm(F.col("_all")) == reading_norm(F.col("key"))
-    ok = F.when(F.col("_hit").isNull(), F.lit(True)).when(F.col("_listed") & F.col("key").isNotNull(), by_table).otherwise(F.col("_hit"))
+    parsed = F.coalesce(annotation_ok(F.col("annotated")), F.lit(False))
+    ok = F.when(F.col("_hit").isNull(), F.lit(True)).when(~parsed, F.lit(False)).when(F.col("_listed") & F.col("key").isNotNull(), by_table).otherwise(F.col("_hit"))
     return joined.select(*df.columns, ok.alias("ok"))
 
 

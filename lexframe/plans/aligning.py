@@ -223,7 +223,7 @@ def dictionary_gate(spark: SparkSession, sf: str) -> DataFrame:
     kana = B.kana_words(spark, sf)
     rows = kana.select(
         F.when(n % 4 == 0, F.concat("surface", F.lit("（わ）"))).otherwise(F.col("surface")).alias("w"),
-        F.when(n % 6 == 0, F.translate("annotated", "た", "だ")).otherwise(F.col("annotated")).alias("annotated"),
+        F.when(n % 6 == 0, F.translate("annotated", "た", "だ")).when(n % 10 == 7, F.concat("annotated", F.lit("部"))).otherwise(F.col("annotated")).alias("annotated"),
         F.when(n % 2 == 1, F.col("reading")).otherwise(F.lit("か")).alias("key"))
     records = _single_readings(spark, sf).select("ch", F.when(F.col("key") > "な", F.lit("h")).otherwise(F.lit("j")).alias("tag"))
     return V.dictionary_ok(rows, B.dictionary(spark, sf), records)
@@ -231,11 +231,11 @@ def dictionary_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 GATE_ORACLE = f"""WITH {B.KANA_SQL}, {B.DICTIONARY_SQL}, {SINGLE_SQL},
 r AS (SELECT word, surface, length(word) AS n, CASE WHEN length(word) % 4 = 0 THEN surface || '（わ）' ELSE surface END AS w,
-  CASE WHEN length(word) % 6 = 0 THEN translate(annotated, 'た', 'だ') ELSE annotated END AS annotated,
+  CASE WHEN length(word) % 6 = 0 THEN translate(annotated, 'た', 'だ') WHEN length(word) % 10 = 7 THEN annotated || '部' ELSE annotated END AS annotated,
   CASE WHEN length(word) % 2 = 1 THEN reading ELSE 'か' END AS key,
   CASE WHEN length(word) % 6 = 0 THEN translate(reading, 'た', 'だ') ELSE reading END AS got FROM kana),
 d AS (SELECT surface, list(reading) AS known FROM dict GROUP BY surface)
-SELECT r.w, r.annotated, r.key, CASE WHEN d.known IS NULL THEN true
+SELECT r.w, r.annotated, r.key, CASE WHEN d.known IS NULL THEN true WHEN r.n % 10 = 7 AND r.n % 6 <> 0 THEN false
   WHEN s.ch IS NOT NULL THEN replace(replace(r.got, 'っ', 'つ'), 'ー', '') = replace(replace(r.key, 'っ', 'つ'), 'ー', '')
   ELSE list_contains(d.known, r.got) END AS ok
 FROM r LEFT JOIN d ON d.surface = r.surface LEFT JOIN (SELECT DISTINCT ch FROM single WHERE key <= 'な') s ON s.ch = r.w"""

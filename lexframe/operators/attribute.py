@@ -24,28 +24,25 @@ def regular_readings(readings: DataFrame) -> DataFrame:
     return readings.select("ch", F.explode(phonetic_variants(stem)).alias("form")).where("form <> ''").distinct()
 
 
+def form_lists(forms: DataFrame) -> DataFrame:
+    """(ch, forms): the forms of each character as one list.  ``forms``: ch, form."""
+    return forms.where("form <> ''").groupBy(F.col("ch").alias("_ch")).agg(F.collect_set("form").alias("_forms"))
+
+
 def with_pieces(words: DataFrame, cols: list[str], surface: str, reading: str, forms: DataFrame) -> DataFrame:
     """(cols, pieces): every distinct row with the ``ch|piece`` pairs the form table (ch, form) confirms.
 
-    Each character is asked with every piece of the reading no longer than the longest form, in one
-    pass and without joining back.  A word of n kana has at most n(n+1)/2 distinct pieces, which
-    bounds the collected set.
+    A word is a row per character, which meets the character's list of forms and keeps those that
+    stand in the reading; so the work of a word grows with its characters and their forms, not with
+    all pieces of its reading.
     """
-    def asked(chars: Column, r: Column, longest: Column) -> Column:
-        n = F.length(r)
-        cut = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(
-            F.sequence(F.lit(1), F.least(n - a + 1, longest)), lambda k: F.substring(r, a, k))))
-        pieces = F.when(n > 0, F.array_distinct(cut)).otherwise(F.expr("cast(array() as array<string>)"))
-        return let(lambda ps: F.flatten(F.transform(chars, lambda c: F.transform(ps, lambda p: F.struct(c.alias("c"), p.alias("p"))))), pieces)
-
     chars = F.array_distinct(F.regexp_extract_all(surface, F.lit(f"[{CJK}]"), F.lit(0)))
-    longest = F.coalesce(forms.agg(F.max(F.length("form"))).scalar(), F.lit(1))
-    rows = words.withColumn("_longest", longest).select(*cols, F.posexplode_outer(let(asked, chars, F.col(reading), F.col("_longest"))).alias("_i", "_a"))
-    table = forms.select(F.col("ch").alias("_ch"), F.col("form").alias("_form"), F.lit(True).alias("_hit")).distinct()
-    met = rows.select(*cols, "_i", F.col("_a.c").alias("_ch"), F.col("_a.p").alias("_form")).join(table, ["_ch", "_form"], "left")
-    # only confirmed pieces go on, and one row per word so that none is lost
-    met = met.where(F.col("_hit") | (F.coalesce("_i", F.lit(0)) == 0))
-    return met.groupBy(*cols).agg(F.collect_set(F.when(F.col("_hit"), F.concat_ws("|", "_ch", "_form"))).alias("pieces"))
+    rows = words.select(*cols, F.explode_outer(chars).alias("_ch"))
+    met = rows.join(form_lists(forms), "_ch", "left")
+    found = F.transform(F.filter("_forms", lambda f: F.contains(F.col(reading), f)), lambda f: F.concat(F.col("_ch"), F.lit("|"), f))
+    per = met.select(*cols, found.alias("_found")).groupBy(*cols)
+    # a list per character of the word
+    return per.agg(F.array_distinct(F.flatten(F.collect_list(F.coalesce("_found", F.expr("cast(array() as array<string>)"))))).alias("pieces"))
 
 
 def anchored_runs(surface: Column, reading: Column) -> Column:

@@ -149,10 +149,10 @@ def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: i
     only the first ``limit`` of each query and partition move on. Blank queries match nothing.
     """
     q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("q", case_fold(F.col("query")))
-    terms = checkpointed(terms.withColumn("folded", case_fold(F.col("text"))).repartition("key"))
-    own = terms.select("key", "ord", "kind", "weight", F.col("folded").alias("text"))
+    # what is searched lies by key; texts as written and their contexts are only joined to what is shown
+    own = checkpointed(terms.select("key", "ord", "kind", "weight", case_fold(F.col("text")).alias("text")).repartition("key"))
     asked = q.select("q").distinct()
-    probe = checkpointed(probes(asked, gram_counts(own.select("text"))))
+    probe = checkpointed(probes(asked, checkpointed(gram_counts(own.select("text")))))
     number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
     # a probe row is a query and a gram: broadcast up to the bound, dealt by gram beyond it
     sought = F.broadcast(probe) if number <= BROADCAST_ROWS else probe

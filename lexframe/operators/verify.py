@@ -75,12 +75,14 @@ def base_runs(surface: Column) -> Column:
 def attach_known(df: DataFrame, cols: list[str], surface: str, fits: DataFrame, longest: int | None = None) -> DataFrame:
     """(cols, known): distinct rows with (surface, tail, allowed) of the runs the dictionary knows.
 
-    Every growing prefix of a run's tail is tried as part of a headword, in one pass over the rows;
-    ``longest`` bounds the prefixes by the longest dictionary surface.
+    Every growing prefix of a run's tail is tried as part of a headword, in one pass over the rows, up
+    to the length of the longest head in ``fits`` (or ``longest``, where it is known).
     """
+    head = F.coalesce(fits.agg(F.max(F.length("head"))).scalar(), F.lit(0)) if longest is None else F.lit(longest)
+    df = df.withColumn("_longest", head)
+
     def asked(r: Column) -> Column:
-        size = F.length(r["tail"])
-        n = size if longest is None else F.least(size, F.greatest(F.lit(0), F.lit(longest) - F.length(r["surface"])))
+        n = F.least(F.length(r["tail"]), F.greatest(F.lit(0), F.col("_longest") - F.length(r["surface"])))
 
         def item(kind: str, head: Column, more: Column) -> Column:
             return F.struct(r["surface"].alias("surface"), r["tail"].alias("tail"), F.lit(kind).alias("kind"), head.alias("head"), more.alias("more"))

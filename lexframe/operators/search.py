@@ -149,13 +149,15 @@ def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: i
     only the first ``limit`` of each query and partition move on. Blank queries match nothing.
     """
     q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("q", case_fold(F.col("query")))
-    # what is searched lies by key; texts as written and their contexts are only joined to what is shown
-    own = checkpointed(terms.select("key", "ord", "kind", "weight", case_fold(F.col("text")).alias("text")).repartition("key"))
+    # what is searched; texts as written and their contexts are only joined to what is shown
+    own = checkpointed(terms.select("key", "ord", "kind", "weight", case_fold(F.col("text")).alias("text")))
     asked = q.select("q").distinct()
     probe = checkpointed(probes(asked, checkpointed(gram_counts(own.select("text")))))
     number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
     # a probe row is a query and a gram: broadcast up to the bound, dealt by gram beyond it
     sought = F.broadcast(probe) if number <= BROADCAST_ROWS else probe
+    # dealt by key once, before texts are opened: the matches of a key then need no exchange of their own
+    own = own.repartition("key")
     # whole texts would be copied for each of their grams; a block is as long as some pieces
     parts = own.select("key", "ord", "kind", "weight", F.length("text").alias("n"), F.explode(blocks(F.col("text"), max(256, 4 * longest), longest)).alias("block"))
     seen = parts.select("key", "ord", "kind", "weight", "n", "block", F.explode(_grams(F.col("block"))).alias("gram"))

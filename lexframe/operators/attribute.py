@@ -145,18 +145,20 @@ def attribute_irregular(entries: DataFrame, regular: DataFrame, adjudicated: Dat
     return out if adjudicated is None else out.unionByName(fixed)
 
 
-def sound_combinations(words: DataFrame, keys: list[str], surface: str, sounds: DataFrame, max_combos: int = 128) -> DataFrame:
+def sound_combinations(words: DataFrame, keys: list[str], surface: str, sounds: DataFrame, max_combos: int | None = 128) -> DataFrame:
     """(keys, sound): every reading of an all-character word from per-character sounds.
 
     Words with an unknown character, or more than ``max_combos`` combinations, give no rows: the
-    bound is a rule of the operator, checked by counting before anything is combined.
+    bound is a rule of the operator, checked by counting before anything is combined. With None
+    there is none, for words that were chosen by another rule.
     """
     chars = words.where(F.col(surface).rlike(r"^[\x{2E80}-\x{2EFF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]+$"))
     placed = chars.select(*keys, F.length(surface).alias("_n"), F.posexplode(F.regexp_extract_all(surface, F.lit("(?s:.)"), F.lit(0))).alias("at", "ch"))
     sizes = sounds.select("ch", "sound").distinct().groupBy("ch").agg(F.count(F.lit(1)).alias("k"))
     logs = placed.join(sizes, "ch").groupBy(*keys, "_n").agg(
         F.count(F.lit(1)).alias("m"), F.sum(F.log2(F.col("k").cast("double"))).alias("bits"))
-    few = logs.where((F.col("m") == F.col("_n")) & (F.col("bits") <= math.log2(max_combos) + 1e-9)).select(*keys)
+    bound = F.lit(True) if max_combos is None else F.col("bits") <= math.log2(max_combos) + 1e-9
+    few = logs.where((F.col("m") == F.col("_n")) & bound).select(*keys)
     kept = placed.join(few, keys, "left_semi").join(sounds.select("ch", "sound").distinct(), "ch")
     per = kept.groupBy(*keys, "at").agg(F.sort_array(F.collect_set("sound")).alias("s"))
     grid = per.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "s"))).alias("g"))

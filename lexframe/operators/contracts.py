@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexframe.functions.text import (
-    MAX_SENSES, PARTS_OF_SPEECH, annotation_ok, chunk_edges, full_reading, has_boundary_semicolon, let, mark_offsets, reading_kind, reading_matches, senses, strip,
+    MAX_SENSES, PARTS_OF_SPEECH, annotation_ok, full_reading, has_boundary_semicolon, let, mark_in_chunk, reading_kind, reading_matches, senses, strip,
 )
 from lexframe.operators.stats import BANDS, CHECKS, TAGS
 
@@ -124,10 +124,9 @@ def validate_grammar(df: DataFrame) -> DataFrame:
         spot, marked, ja = _path("examples[", i, "]"), F.coalesce(x["marked"], F.lit("")), F.coalesce(x["ja"], F.lit(""))
         marks = F.length(F.regexp_replace(marked, "[^*]", ""))
         whole = F.regexp_replace(marked, r"\*", "") == ja
-        inside = let(lambda edges: F.exists(mark_offsets(marked), lambda o: ~F.array_contains(edges, o)), chunk_edges(ja))
         return _gather(
             _fail(ja == "", "empty example", spot), _fail(marks % 2 == 1, "unpaired marks", spot), _fail((marked != "") & ~whole, "text changes without marks", spot),
-            _fail((marked != "") & whole & (marks >= 2) & inside, "mark inside a chunk", spot))
+            _fail((marked != "") & whole & (marks >= 2) & mark_in_chunk(marked), "mark inside a chunk", spot))
 
     missing = _gather(*[_fail(F.col(c).isNull(), f"missing field: {c}", F.lit(c)) for c in ("head", "level", "gloss_ko", "examples")])
     return _emit(df, F.concat(missing, F.coalesce(F.flatten(F.transform("examples", example)), F.expr("cast(array() as array<struct<rule:string,path:string>>)"))))

@@ -2,8 +2,12 @@
 
 import os
 import shutil
+import time
+
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lexframe.functions import text as X
 from tests.compare import TABLES, compare, connect
 
 SMALL = os.environ.get("LEXFRAME_SF_DIR", "/root/testdata/sf0.001")
@@ -23,3 +27,33 @@ def same_as_sql(spark, folder, name, texts):
 def test_accented_letters_of_two_sounds(spark, tmp_path):
     """Seven plain letters of two sounds and an accented one: 256 combinations, which the SQL has."""
     same_as_sql(spark, tmp_path, "sound_combinations", ["fürchpfchst bdfhjln bdfhjlnp", "üèà tür"])
+
+
+def test_marks_in_chunks(one):
+    """The pattern says what the edges of the chunks say."""
+    texts = ["*夏(なつ)*の", "夏(な*つ)の*", "漢*字(かんじ)*", "*漢字*(かんじ)", "漢*字*かな", "漢字*(*かん", "*(か)*", "漢(字(か)*)*", "漢(か)*字(じ)*", "々*漢漢*漢(か", "a*b*", "**", ""]
+    plain = [t.replace("*", "") for t in texts]
+    edges = one(X.chunk_edges, *plain)
+    offsets = one(X.mark_offsets, *texts)
+    assert one(X.mark_in_chunk, *texts) == [any(o not in e for o in at) for e, at in zip(edges, offsets)]
+
+
+def test_running_sums(spark):
+    df = spark.range(1).select(*[X.running_sums(F.array_repeat(F.lit(2), n))[n - 1].alias(f"n{n}") for n in (1, 255, 256, 257, 70_000)])
+    assert list(df.first()) == [2, 510, 512, 514, 140_000]
+    assert spark.sql("select cast(array() as array<int>) v, cast(null as array<int>) w").select(X.running_sums(F.col("v")), X.running_sums(F.col("w"))).first()[:] == ([], None)
+
+
+def test_long_sentence_in_chunks(one):
+    """Four times the sentence takes about four times as long, not sixteen times."""
+    def seconds(n):
+        start = time.time()
+        assert one(lambda c: F.size(X.chunk_edges(F.repeat(c, F.lit(n)))), "a") == [n + 1]
+        return time.time() - start
+
+    seconds(1_000)
+    assert seconds(400_000) < 20
+
+
+def test_grammar_of_a_long_sentence(spark, tmp_path):
+    same_as_sql(spark, tmp_path, "grammar_dataset", ["one. two. " + "three " * 3_000 + ". four. five. six", "a*b. c(d)e. f(g. h)i*", None, ""])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexframe.functions import text as X
 from lexframe.operators import curate as C, guards as G
@@ -71,10 +71,12 @@ SELECT ch, 'kJapaneseOn' AS prop, count(*) AS n, min(v) AS low, max(v) AS high F
 
 def sectioned_list(spark: SparkSession, sf: str) -> DataFrame:
     """Documents printed as sectioned lists, one section per sentence, some with a wrong count."""
-    rows = B.sentences(spark, sf).withColumn("w", F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0))).where(F.size("w") > 0)
-    n = F.size("w")
-    three = F.array(F.concat((F.col("sent") % 10).cast("string"), F.lit("학년")), F.concat(F.lit("합계 ("), (n + F.when(n % 7 == 0, 1).otherwise(0)).cast("string"), F.lit("자)")), F.array_join("w", " "))
-    printed = rows.select("doc_id", "sent", F.posexplode(three).alias("part", "text"))
+    def three(w: Column) -> Column:
+        n = F.size(w)
+        return F.when(n > 0, F.array(
+            F.concat((F.col("sent") % 10).cast("string"), F.lit("학년")), F.concat(F.lit("합계 ("), (n + F.when(n % 7 == 0, 1).otherwise(0)).cast("string"), F.lit("자)")), F.array_join(w, " ")))
+
+    printed = B.sentences(spark, sf).select("doc_id", "sent", F.posexplode(X.let(three, F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0)))).alias("part", "text"))
     items, wrong = R.parse_sections(printed, ["doc_id"], ["sent", "part"], F.floor(F.col("sent") / 1024), r"^(\d)학년$", r"\((\d+)자\)")
     sizes = items.groupBy("doc_id", "section_no").agg(F.first("section").alias("section"), F.count(F.lit(1)).alias("found"), F.min("value").alias("low"))
     return sizes.join(wrong.select("doc_id", "section_no", "declared"), ["doc_id", "section_no"], "left")

@@ -5,10 +5,10 @@ Every ``read_*`` adds only the file scan to a ``parse_*`` that works on any Data
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lexframe.functions.text import strip
-from lexframe.operators.order import carried_value, first_occurrence, running_sum
+from lexframe.functions.text import not_blank, strip
+from lexframe.operators.order import first_occurrence
 
 # --- fixed values: the bytes cp1252 maps differently from latin-1, dictionary word classes ---
 _C1 = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
@@ -145,11 +145,16 @@ def parse_sections(df: DataFrame, keys: list[str], order: list[str], bucket: Col
     A line matching ``header`` (one group: the name) opens a section, a line matching ``count`` (one
     group) declares its size, the other non-blank lines list its members.
     """
-    text = F.col("text")
-    rows = df.where(strip(text) != "")
+    text, at = F.col("text"), F.struct(*order)
     name = F.when(text.rlike(header), F.regexp_extract(text, header, 1))
-    numbered = running_sum(rows.withColumn("_name", name), keys, order, bucket, F.col("_name").isNotNull().cast("int"), "section_no")
-    named = carried_value(numbered, keys, order, bucket, F.col("_name"), "section")
+    rows = df.where(not_blank(text)).withColumn("_bucket", bucket.cast("long")).withColumn("_name", name)
+    # number and name from one window over the lines and one row per bucket
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy(*keys, "_bucket").agg(F.count("_name").alias("_part"), F.max_by("_name", F.when(F.col("_name").isNotNull(), at)).alias("_edge")).select(
+        *keys, "_bucket", F.coalesce(F.sum("_part").over(before), F.lit(0)).alias("_carry"), F.last("_edge", ignorenulls=True).over(before).alias("_above"))
+    named = rows.withColumn("_local", F.count("_name").over(inside)).withColumn("_own", F.last("_name", ignorenulls=True).over(inside)).join(carried, [*keys, "_bucket"]).select(
+        *[c for c in rows.columns if c != "_bucket"], (F.col("_local") + F.col("_carry")).alias("section_no"), F.coalesce("_own", "_above").alias("section"))
     declared = F.when(text.rlike(count), F.regexp_extract(text, count, 1).cast("int"))
     sizes = named.withColumn("_d", declared).where("section_no > 0").groupBy(*keys, "section_no", "section").agg(F.max("_d").alias("declared"))
     members = named.where((F.col("section_no") > 0) & F.col("_name").isNull() & ~text.rlike(count)).select(

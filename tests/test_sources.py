@@ -119,3 +119,13 @@ def test_long_words_are_found(spark):
     assert sorted((r.start, r.stop) for r in verify.lexicon_spots(rows, ["id"], "text", lexicon).collect()) == [(2, 15), (15, 17)]
     spans = spark.createDataFrame([(1, "xxthirteenchars", 4, 6)], "id int, text string, start int, stop int")
     assert [r.cut for r in verify.cut_by_word(spans, ["id"], "text", lexicon).collect()] == [True]
+
+
+def test_sections_sort_their_lines_once(spark):
+    """Number and name of a section come from one window over the lines; a section may span buckets."""
+    lines = ["x", "1학년", "(3자)", "a b", " \t", "c", "2학년", "(1자)", "d e"]
+    df = spark.createDataFrame([("f", i, t) for i, t in enumerate(lines)], "file string, n long, text string")
+    items, wrong = readers.parse_sections(df, ["file"], ["n"], F.floor(F.col("n") / 2), r"^(\d)학년$", r"\((\d+)자\)")
+    assert sorted((r.section_no, r.section, r.value) for r in items.collect()) == [(1, "1", "a"), (1, "1", "b"), (1, "1", "c"), (2, "2", "d"), (2, "2", "e")]
+    assert [(r.section_no, r.declared, r.found) for r in wrong.collect()] == [(2, 1, 2)]
+    assert items._jdf.queryExecution().optimizedPlan().toString().count("Window [") <= 2

@@ -185,8 +185,10 @@ def furigana_gate(items: DataFrame, attempts: DataFrame) -> DataFrame:
     empty; the stage fails on mismatch and empty rows.
     """
     key = ["word", "reading"]
-    valid = attempts.where(annotation_ok(F.col("annotated")) & (F.regexp_replace("annotated", r"\([^)]*\)", "") == F.col("word")))
-    best = valid.groupBy(*key).agg(F.min(F.struct("tier", "annotated")).alias("_b"))
+    # no filter: pushed down, it would work out what makes the annotation once for each use of it
+    fits = let(lambda a: F.when(annotation_ok(a) & (F.regexp_replace(a, r"\([^)]*\)", "") == F.col("word")), a), F.col("annotated"))
+    judged = attempts.select(*key, "tier", fits.alias("_a"))
+    best = judged.groupBy(*key).agg(F.min(F.when(F.col("_a").isNotNull(), F.struct("tier", F.col("_a").alias("annotated")))).alias("_b"))
     inside = reading_matches(full_reading(F.col("_b.annotated")), F.col("reading"))
     state = F.when(F.col("_b").isNull(), "empty").when(inside, "ok").when(F.col("exception"), "mismatch").otherwise("warning")
     return items.join(best, key, "left").select(*key, F.col("_b.annotated").alias("annotated"), F.col("_b.tier").alias("tier"), state.alias("state"))

@@ -57,3 +57,9 @@ def test_long_sentence_in_chunks(one):
 
 def test_grammar_of_a_long_sentence(spark, tmp_path):
     same_as_sql(spark, tmp_path, "grammar_dataset", ["one. two. " + "three " * 3_000 + ". four. five. six", "a*b. c(d)e. f(g. h)i*", None, ""])
+
+
+def test_gate_works_out_an_annotation_once(spark):
+    """The template of a word is built once in the plan of its attempt, not once for each check of it."""
+    plan = entry.queries()["template_gate"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(READ") <= 4, plan.count("(READ")

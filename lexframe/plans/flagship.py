@@ -17,11 +17,12 @@ def flagship_examples(spark: SparkSession, sf: str) -> DataFrame:
     banded = freq.withColumn("band", X.band(F.col("freq"), CUTS, "frequent"))
     best = top_k(banded, ["lang", "band"], [F.desc("freq"), F.asc("word")], 3)
     rows = B.sentences(spark, sf)
+    # three words of each language and band: sentences are never dealt by word, of which few hold them all
     # sentence order: number of words, length, then source position
     examples = rows.select(
         "lang", "doc_id", "sent", "text", F.size(F.regexp_extract_all("text", F.lit(B.WORD), F.lit(0))).alias("n_words"),
         F.explode(found).alias("word"),
-    ).join(best.select("lang", "word"), ["lang", "word"], "left_semi")
+    ).join(F.broadcast(best.select("lang", "word")), ["lang", "word"], "left_semi")
     shortest = examples.groupBy("lang", "word").agg(
         F.min(F.struct("n_words", F.length("text").alias("n"), "doc_id", "sent", "text")).alias("e"))
     text = F.col("e.text")

@@ -63,3 +63,16 @@ def test_gate_works_out_an_annotation_once(spark):
     """The template of a word is built once in the plan of its attempt, not once for each check of it."""
     plan = entry.queries()["template_gate"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(READ") <= 4, plan.count("(READ")
+
+
+def test_sentences_are_not_dealt_by_word(spark):
+    """The few best words go to the sentences, however large Spark takes them to be."""
+    names = [f"spark.sql.{a}autoBroadcastJoinThreshold" for a in ("", "adaptive.")]
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        plan = entry.queries()["flagship_examples"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert "LeftSemi" in plan and not any("SortMergeJoin" in row and "LeftSemi" in row for row in plan.splitlines())

@@ -76,3 +76,10 @@ def test_sentences_are_not_dealt_by_word(spark):
         for name in names:
             spark.conf.unset(name)
     assert "LeftSemi" in plan and not any("SortMergeJoin" in row and "LeftSemi" in row for row in plan.splitlines())
+
+
+def test_senses_are_described_once(spark, tmp_path):
+    """What a sense is compared by stands once in the plan, before the pairs."""
+    plan = entry.queries()["audit_redundancy"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct") + plan.count("[0-9") <= 2
+    same_as_sql(spark, tmp_path, "audit_redundancy", ["a, b, a(c), d. no, not, on. x1,x. abcd e, abcde. (a), (b), (). ab, c ab. , ,. one", None, "q, 1, 22, q"])

@@ -8,8 +8,9 @@ from lexframe.functions.text import after, kana_fold, let, strip
 
 # --- fixed values: patterns of the note language ---
 _K = r"㐀-鿿"
-_EDGE = r"[^，,、。「」⇔（）()\s]"
-REFERENCE = f"{_EDGE}*[{_K}]{_EDGE}*（[ぁ-ゟ]+）[ぁ-ゟァ-ヿ県府都]*"
+_OUTSIDE = r"，,、。「」⇔（）()\s"
+#: a run with a character and its reading; taken from its start (or the last match) and as a whole, so it is read once
+REFERENCE = f"(?:(?<![^{_OUTSIDE}])|\\G)[^{_OUTSIDE}{_K}]*+[{_K}][^{_OUTSIDE}]*+（[ぁ-ゟ]+）[ぁ-ゟァ-ヿ県府都]*"
 PREFECTURE = f"([{_K}]+)（([ぁ-ゟ]+)）[県府都]"
 GLYPH_NOTE = "＊?［[^］]*］(?:＝許容字体)?"
 NOT_EXAMPLE = "^⇔|^＊|^\\*|^［|^\\]|参照|とも。|とも言う|とも書く|などは|は，|は、|と言う|^○○|^……|。$"
@@ -66,19 +67,20 @@ def parse_references(df: DataFrame, page: list[str], line: str, text: str) -> Da
 
 def mined_examples(note: Column) -> Column:
     """Array of examples hidden in a note column."""
-    n = strip(strip_references(note))
-    quoted = F.regexp_extract_all(n, F.lit("「([^」]+)」"), F.lit(1))
-    pieces = F.split(n, f"(?<=）)(?=[{_ANY}「])(?=[^（]*（)", -1)
 
-    def clean(t: Column) -> Column:
-        s = strip(t)
+    def clean(s: Column) -> Column:
         bare = F.when(s.startswith("「"), F.regexp_replace(s, "^「+|「+$", "")).otherwise(s)
         both = F.when(s.startswith("「") & s.endswith("」"), F.regexp_replace(s, "^[「」]+|[「」]+$", "")).otherwise(bare)
         return strip(F.substring_index(both, "⇔", 1))
 
-    kept = F.filter(F.transform(pieces, clean), lambda t: t.rlike(f"[{_ANY}]") & ~t.rlike(NOT_EXAMPLE))
-    split = F.filter(F.transform(F.flatten(F.transform(kept, lambda t: F.split(t, "，", -1))), strip), lambda x: x != "")
-    return F.when(n == "", F.expr("cast(array() as array<string>)")).when(n.contains("などと使う"), quoted).otherwise(split)
+    def mined(n: Column) -> Column:
+        quoted = F.regexp_extract_all(n, F.lit("「([^」]+)」"), F.lit(1))
+        pieces = F.split(n, f"(?<=）)(?=[{_ANY}「])(?=[^（]*（)", -1)
+        kept = F.filter(F.transform(F.transform(pieces, strip), clean), lambda t: t.rlike(f"[{_ANY}]") & ~t.rlike(NOT_EXAMPLE))
+        split = F.filter(F.transform(F.flatten(F.transform(kept, lambda t: F.split(t, "，", -1))), strip), lambda x: x != "")
+        return F.when(n == "", F.expr("cast(array() as array<string>)")).when(n.contains("などと使う"), quoted).otherwise(split)
+
+    return let(mined, strip(strip_references(note)))
 
 
 def note_body(note: Column) -> Column:

@@ -169,7 +169,8 @@ SELECT word, ord, kind, "of", w AS w0, reading, written, words, body FROM e"""
 def notes_mined(spark: SparkSession, sf: str) -> DataFrame:
     """Examples mined from the same notes, and the name-reading pairs printed in them."""
     rows = _notes(spark, sf)
-    mined = rows.select("word", F.posexplode(N.mined_examples(F.col("note"))).alias("ord", "example"))
+    # outer, so that no filter on the array of examples is inferred, which would find them once more
+    mined = rows.select("word", F.posexplode_outer(N.mined_examples(F.col("note"))).alias("ord", "example")).where("ord is not null")
     pairs = N.prefecture_pairs(rows, "note").select(F.lit("").alias("word"), F.lit(-1).alias("ord"), F.concat_ws("=", "surface", "reading").alias("example"))
     return mined.unionByName(pairs)
 

@@ -53,9 +53,14 @@ def parse_references(df: DataFrame, page: list[str], line: str, text: str) -> Da
     """(page, entry, reading, ord, surface): a kana line opens an entry, lines with characters belong to it."""
     from pyspark.sql import Window
 
-    t = F.regexp_replace(F.replace(strip(F.col(text)), F.lit("　"), F.lit("")), "（[^）]*）", "")
-    rows = df.select(*page, line, F.col(text).alias("_raw"), t.alias("t")).where(
-        ~strip(F.col("_raw")).rlike("^(?:付表|※|例|「)") & (F.col("t") != ""))
+
+    def line_of(s: Column) -> Column:
+        t = F.regexp_replace(F.replace(s, F.lit("　"), F.lit("")), "（[^）]*）", "")
+        return F.struct(s.rlike("^(?:付表|※|例|「)").alias("_aside"), t.alias("t"))
+
+    # out of a generator, so that the filter is not pushed below it and the line not worked out once more
+    seen = df.select(*page, line, F.inline_outer(F.array(let(line_of, strip(F.col(text))))))
+    rows = seen.where(~F.col("_aside") & (F.col("t") != "")).drop("_aside")
     w = Window.partitionBy(*page).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
     kana = F.col("t").rlike("^[ぁ-ゟ]+$")
     opened = rows.withColumn("entry", F.sum(kana.cast("int")).over(w)).withColumn(

@@ -170,7 +170,8 @@ def read_sections(spark: SparkSession, path: str, header: str = r"^(\d)학년$",
 
 def parse_alternates(df: DataFrame, order: list[str], text: str, exclude: DataFrame | None = None) -> DataFrame:
     """(ord, name, alternate) of comma lists with ``X(Y)`` items: the first occurrence of a name wins."""
-    items = df.select(*order, F.posexplode(F.split(text, ",", -1)).alias("_i", "_t")).withColumn("_t", strip(F.col("_t"))).where("_t <> ''")
+    # stripped below the generator (outer: no filter is inferred): filters on the items do not strip them again
+    items = df.select(*order, F.posexplode_outer(F.transform(F.split(text, ",", -1), strip)).alias("_i", "_t")).where("_t <> ''")
     pattern = r"^([^(]+)(?:\((.+)\))?$"
     parsed = items.where(F.col("_t").rlike(pattern)).select(
         *order, "_i", strip(F.regexp_extract("_t", pattern, 1)).alias("name"), F.nullif(F.regexp_extract("_t", pattern, 2), F.lit("")).alias("alternate"))

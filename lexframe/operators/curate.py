@@ -256,7 +256,8 @@ def bulk_update(df: DataFrame, lines: DataFrame, keys: list[str], mode: str) ->
             plain_surface(F.col("line")) != plain_surface(F.col("value")), "surface changes")
     else:
         why = common.when(F.length(F.regexp_replace("line", r"[^*]", "")) % 2 == 1, "unpaired marks")
-    judged = joined.withColumn("failure", why)
+    # read three times: by the failures, by the keys they refuse and by what is kept
+    judged = checkpointed(joined.select(*keys, "pos", "line", why.alias("failure")))
     failures = judged.where("failure is not null").select(*keys, "pos", "failure")
     good = judged.join(failures.select(*keys).distinct(), keys, "left_anti")
     return good.select(*keys, "pos", F.col("line").alias("value")), failures

@@ -4,16 +4,21 @@ import time
 
 from pyspark.sql import functions as F
 
-from lexframe.operators import notes as N
+from lexframe.operators import curate as C, notes as N
 from lexframe.plans import base as B
+from lexframe.sources import readers as R
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
 def test_filters_on_words_stay_above_their_grouping(spark):
     """A condition on what is derived from a word is asked once per distinct word, not at each of its places."""
     kana = B.kana_words(spark, FOLDER).where(F.col("annotated").rlike("部") & (F.length("reading") > 3))
-    plan = kana._jdf.queryExecution().optimizedPlan().toString()
+    plan = "".join(plan_of(kana))
     assert "Generate" not in plan and "Aggregate" not in plan
     assert B.vocabulary(spark, FOLDER).agg(F.sum("freq")).first()[0] == B.words(spark, FOLDER).count()
 
@@ -26,3 +31,23 @@ def test_mined_examples_of_long_notes(one):
     assert got == [[long], [], ["木木", "木山県"], ["［木］"], [], ["木"], []]
     assert one(N.strip_references, "木（や）県x木（や）", "x木（や）木（や）x", "木。木（や）") == ["", "x", "木。"]
     assert time.time() - start < 20
+
+
+def test_lines_are_cleaned_once(spark):
+    """Filters on cleaned lines or items do not clean them again."""
+    lines = spark.createDataFrame([(1, 1, " ぶ "), (1, 2, "部（わ）"), (1, 3, "※ x"), (1, 4, "部　科"), (1, 5, None)], "doc int, n int, text string")
+    entries = N.parse_references(lines, ["doc"], "n", "text")
+    assert not any("Filter" in x and "regexp_replace" in x for x in plan_of(entries))
+    assert sorted(map(tuple, entries.collect())) == [(1, 1, "ぶ", 0, "部"), (1, 1, "ぶ", 1, "部科")]
+    lists = spark.createDataFrame([(1, " a , b(c),,a(x)"), (2, None), (3, "")], "n int, text string")
+    items = R.parse_alternates(lists, ["n"], "text")
+    assert not any("Filter" in x and "regexp_replace" in x for x in plan_of(items))
+    assert sorted(map(tuple, items.collect())) == [(1, 0, "a", None), (1, 1, "b", "c")]
+
+
+def test_bulk_update_judges_once(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, pos int, value string")
+    given = spark.createDataFrame([(1, 1, " *a* "), (1, 2, "*b"), (2, 1, "*c*")], "k int, pos int, line string")
+    good, bad = C.bulk_update(rows, given, ["k"], "marks")
+    assert not any("FullOuter" in x for x in plan_of(good) + plan_of(bad))
+    assert [tuple(r) for r in good.collect()] == [(2, 1, "*c*")] and [tuple(r) for r in bad.collect()] == [(1, 2, "unpaired marks")]

@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from lexframe.functions import text as X
 from lexframe.operators import curate as C, notes as N
 from lexframe.plans import base as B
 from lexframe.sources import readers as R
@@ -51,3 +52,11 @@ def test_bulk_update_judges_once(spark):
     good, bad = C.bulk_update(rows, given, ["k"], "marks")
     assert not any("FullOuter" in x for x in plan_of(good) + plan_of(bad))
     assert [tuple(r) for r in good.collect()] == [(2, 1, "*c*")] and [tuple(r) for r in bad.collect()] == [(1, 2, "unpaired marks")]
+
+
+def test_strip_reads_the_ends_only(spark, one):
+    odd = [" a\u3000", "\x1c\x85a b\u2028\n", "\u200ba\u200b", "", " \n\t", None, "a \r\n", "\ufeffa", "\x1ba\x0b", "日　本　"]
+    assert one(X.strip, *odd) == one(lambda c: F.regexp_replace(c, f"^{X._SPACE}+|{X._SPACE}+$", ""), *odd)
+    every = spark.range(0x3100).select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    assert every.where((X.strip(F.col("c")) == "") != F.col("c").rlike(f"^{X._SPACE}$")).count() == 0
+    assert "regexp" not in "".join(plan_of(spark.range(1).select(F.col("id").cast("string").alias("c")).select(X.strip(F.col("c")))))

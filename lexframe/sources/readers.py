@@ -198,8 +198,16 @@ def multi_gloss(cell: Column) -> Column:
 
 
 def parse_multi_gloss(df: DataFrame, order: list[str], key: str, cell: str) -> DataFrame:
-    """(key, ord, gloss): every character of the key cell takes the glosses, each once per character."""
+    """(key, ord, gloss): every character of the key cell takes the glosses, each once per character.
+
+    Equal cells are opened once, at their first place, and behind an exchange: the rows of one file
+    split would else be multiplied, and sorted for the first occurrence, in its task.
+    """
     rows = df.where((strip(F.col(key)) != "") & (strip(F.col(cell)) != ""))
-    opened = rows.select(*order, F.explode(F.array_distinct(F.regexp_extract_all(strip(F.col(key)), F.lit("(?s:.)"), F.lit(0)))).alias("_k"), F.posexplode(multi_gloss(F.col(cell))).alias("_i", "gloss"))
+    # one column is compared in a hash table, a struct needs a sort
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    cells = rows.select(F.struct(F.col(key).alias("key"), F.col(cell).alias("cell")).alias("_c"), place.alias("_at")).groupBy("_c").agg(F.min("_at").alias("_at"))
+    placed = [F.col("_at").alias(order[0])] if len(order) == 1 else [F.col(f"_at.{c}").alias(c) for c in order]
+    opened = cells.select(*placed, F.explode(F.array_distinct(F.regexp_extract_all(strip(F.col("_c.key")), F.lit("(?s:.)"), F.lit(0)))).alias("_k"), F.posexplode(multi_gloss(F.col("_c.cell"))).alias("_i", "gloss"))
     first = first_occurrence(opened, ["_k", "gloss"], [*order, "_i"])
     return first.select(F.col("_k").alias("key"), *order, "_i", "gloss")

@@ -60,3 +60,16 @@ def test_strip_reads_the_ends_only(spark, one):
     every = spark.range(0x3100).select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
     assert every.where((X.strip(F.col("c")) == "") != F.col("c").rlike(f"^{X._SPACE}$")).count() == 0
     assert "regexp" not in "".join(plan_of(spark.range(1).select(F.col("id").cast("string").alias("c")).select(X.strip(F.col("c")))))
+
+
+def test_cells_are_opened_behind_the_exchange(spark):
+    """Equal cells are opened once, at their first place; ties of the order go to the first gloss."""
+    rows = spark.createDataFrame([(2, "ab", "x|y"), (1, "ab", "x|y"), (1, "a", "y|z|x"), (3, "ab", "x|y"), (4, " ", "x"), (5, "a", None)], "n int, k string, c string")
+    out = R.parse_multi_gloss(rows, ["n"], "k", "c")
+    plan = plan_of(out)
+    opened = max(i for i, x in enumerate(plan) if "Generate" in x)
+    assert any("Aggregate" in x for x in plan[opened:])
+    wanted = [("a", 1, 0, "x"), ("a", 1, 0, "y"), ("a", 1, 1, "z"), ("b", 1, 0, "x"), ("b", 1, 1, "y")]
+    assert sorted(map(tuple, out.collect())) == wanted
+    two = R.parse_multi_gloss(rows.withColumn("m", -F.col("n")), ["m", "n"], "k", "c")
+    assert sorted(r[1:3] for r in two.where("key = 'b'").collect()) == [(-3, 3), (-3, 3)]

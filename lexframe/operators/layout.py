@@ -26,7 +26,8 @@ def cluster_lines(df: DataFrame, page: list[str], y: str, tolerance: float, name
     """Give every token the anchor y of its line: the first y more than ``tolerance`` below the last anchor.
 
     A gap above the tolerance always opens a line, so distinct y values are first cut at such gaps
-    and the anchor fold runs over each short chain between them.
+    and the anchor fold runs over each short chain between them. The anchors are put between the tokens
+    as rows of their own and carried on, so tokens are dealt once, by page, and not joined.
     """
     w = Window.partitionBy(*page).orderBy(y)
     ys = df.select(*page, y).distinct()
@@ -37,12 +38,18 @@ def cluster_lines(df: DataFrame, page: list[str], y: str, tolerance: float, name
     start = F.expr(f"named_struct('a', cast(null as {kind}), 'all', cast(array() as array<{kind}>))")
 
     def step(s: Column, v: Column) -> Column:
-        anchor = F.when(s["a"].isNull() | (v - s["a"] > tolerance), v).otherwise(s["a"])
-        return F.struct(anchor.alias("a"), F.array_append(s["all"], anchor).alias("all"))
+        opens = s["a"].isNull() | (v - s["a"] > tolerance)
+        return F.when(opens, F.struct(v.alias("a"), F.array_append(s["all"], v).alias("all"))).otherwise(s)
 
     anchors = F.aggregate("_ys", start, step, lambda s: s["all"])
-    mapping = grouped.select(*page, F.explode(F.arrays_zip(F.col("_ys").alias("y"), anchors.alias("a"))).alias("_m"))
-    return df.join(mapping.select(*page, F.col("_m.y").alias(y), F.col("_m.a").alias(name)), [*page, y])
+    marks = grouped.select(*page, F.explode(anchors).alias(name)).withColumn(y, F.col(name)).withColumn("_token", F.lit(False))
+    known = F.col(y).isNotNull()
+    for c in page:
+        known = known & F.col(c).isNotNull()
+    rows = df.where(known).withColumn("_token", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    upto = Window.partitionBy(*page).orderBy(y, "_token").rowsBetween(Window.unboundedPreceding, 0)
+    carried = rows.withColumn(name, F.last(name, ignorenulls=True).over(upto)).where("_token")
+    return carried.select(*df.columns, name)
 
 
 def assemble_rows(df: DataFrame, page: list[str], line: str) -> DataFrame:

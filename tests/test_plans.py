@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from lexframe.functions import text as X
-from lexframe.operators import curate as C, notes as N
+from lexframe.operators import curate as C, layout as L, notes as N
 from lexframe.plans import base as B
 from lexframe.sources import readers as R
 
@@ -73,3 +73,11 @@ def test_cells_are_opened_behind_the_exchange(spark):
     assert sorted(map(tuple, out.collect())) == wanted
     two = R.parse_multi_gloss(rows.withColumn("m", -F.col("n")), ["m", "n"], "k", "c")
     assert sorted(r[1:3] for r in two.where("key = 'b'").collect()) == [(-3, 3), (-3, 3)]
+
+
+def test_tokens_are_not_joined_to_their_lines(spark):
+    """Anchors are carried between the tokens of a page, which are dealt once."""
+    rows = [(p, y, w) for p, y, w in [(1, 1.0, "a"), (1, 1.0, "b"), (1, 6.0, "c"), (1, 6.5, "d"), (1, 30.0, "e"), (2, 3.0, "f"), (None, 1.0, "g"), (1, None, "h"), (1, float("nan"), "i")]]
+    placed = L.cluster_lines(spark.createDataFrame(rows, "page int, y double, w string"), ["page"], "y", 5)
+    assert not any("Join" in x for x in plan_of(placed))
+    assert {r.w: str(r.line_y) for r in placed.collect()} == {"a": "1.0", "b": "1.0", "c": "1.0", "d": "6.5", "e": "30.0", "f": "3.0", "i": "nan"}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from lexframe.operators.order import position
+from lexframe.operators.order import SUMMARY, running_sum
+from lexframe.session import checkpointed
 
 
 def flatten_payload(df: DataFrame, raw: str, record_schema: str) -> tuple[DataFrame, DataFrame]:
@@ -24,15 +25,18 @@ def flatten_blocks(df: DataFrame, raw: str, record_schema: str) -> tuple[DataFra
     """The same for payloads that come in blocks: ``df`` holds payload, block (ascending) and the raw text of each.
 
     A large payload is many rows, so none of it has to fit into one; keys are compared over all of
-    its blocks by an aggregate, and ``ord`` runs on from block to block.
+    its blocks by an aggregate, and ``ord`` runs on from block to block. The texts are materialised with
+    their keys, so that what is done before a text is known, and by keys and numbers alone, is done once.
     """
-    pieces, broken = flatten_payload(df.select(F.struct("payload", "block").alias("payload"), raw), raw, record_schema)
-    rows = pieces.select("payload.payload", F.col("payload.block").cast("long").alias("block"), "ord", "key", "record")
-    twice = rows.groupBy("payload", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("payload")
-    refused = broken.select("payload.payload").union(twice).distinct()
-    kept = rows.join(refused, "payload", "left_anti")
-    placed = position(kept, ["payload"], ["block", "ord"], F.col("block"), "n")
-    return placed.select("payload", (F.col("n") - 1).cast("int").alias("ord"), "key", "record"), refused
+    keys = F.map_keys(F.from_json(raw, f"map<string,{record_schema}>"))
+    blocks = checkpointed(df.select("payload", F.col("block").cast("long").alias("block"), F.col(raw).alias("raw"), F.when(F.try_parse_json(raw).isNotNull(), F.coalesce(keys, F.array())).alias("keys")))
+    twice = blocks.select("payload", F.explode("keys").alias("key")).groupBy("payload", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("payload")
+    refused = checkpointed(blocks.where("keys is null").select("payload").union(twice).distinct())
+    kept = blocks.where("keys is not null").join(refused, "payload", "left_anti")
+    ends = running_sum(kept.groupBy("payload", "block").agg(F.sum(F.size("keys")).alias("n")), ["payload"], ["block"], F.floor(F.col("block") / SUMMARY), F.col("n"), "end")
+    texts = kept.join(ends.select("payload", "block", (F.col("end") - F.col("n")).alias("before")), ["payload", "block"])
+    records = texts.select("payload", "before", F.posexplode(F.from_json("raw", f"map<string,{record_schema}>")).alias("at", "key", "record"))
+    return records.select("payload", (F.col("before") + F.col("at")).cast("int").alias("ord"), "key", "record"), refused
 
 
 def flatten_examples(records: DataFrame, bucket: str) -> DataFrame:
@@ -43,7 +47,8 @@ def flatten_examples(records: DataFrame, bucket: str) -> DataFrame:
 
 def nest_examples(flat: DataFrame) -> DataFrame:
     """(payload, key, bucket): the map rebuilt in its order.  A record holds a bounded list."""
-    per = flat.groupBy("payload", "key", "reading_ord", "reading").agg(F.transform(
+    # dealt once, by record; both groupings and a join by record follow where the rows then lie
+    per = flat.repartition("payload", "key").groupBy("payload", "key", "reading_ord", "reading").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("ex_ord", "example"))), lambda x: x["example"]).alias("examples"))
     entries = F.sort_array(F.collect_list(F.struct("reading_ord", "reading", "examples")))
     return per.groupBy("payload", "key").agg(F.map_from_entries(F.transform(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexframe.functions import text as X
 from lexframe.operators import curate as C, layout as L, notes as N
 from lexframe.plans import base as B
-from lexframe.sources import readers as R
+from lexframe.sources import payload as P, readers as R
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -81,3 +81,15 @@ def test_tokens_are_not_joined_to_their_lines(spark):
     placed = L.cluster_lines(spark.createDataFrame(rows, "page int, y double, w string"), ["page"], "y", 5)
     assert not any("Join" in x for x in plan_of(placed))
     assert {r.w: str(r.line_y) for r in placed.collect()} == {"a": "1.0", "b": "1.0", "c": "1.0", "d": "6.5", "e": "30.0", "f": "3.0", "i": "nan"}
+
+
+def test_blocks_of_payloads_are_read_once(spark):
+    """Numbers run on over the blocks without a window over the records; repeated keys over blocks are refused."""
+    texts = [(1, 0, '{"b":{"t":"x"},"a":{"t":"y"}}'), (1, 3000, '{"c":{"t":"z"}}'), (2, 0, '{"a":{}}'), (2, 1, '{"a":{}}'), (3, 0, "{"), (3, 1, '{"q":{}}'), (4, 0, "{}"), (4, 1, '{"a":{"t":"v"}}'), (5, 0, None)]
+    records, refused = P.flatten_blocks(spark.createDataFrame(texts, "payload int, block int, raw string"), "raw", "struct<t:string>")
+    assert sorted((r.payload, r.ord, r.key, r.record.t) for r in records.collect()) == [(1, 0, "b", "x"), (1, 1, "a", "y"), (1, 2, "c", "z"), (4, 0, "a", "v")]
+    assert sorted(r[0] for r in refused.collect()) == [2, 3, 5]
+    # the records come out of the last step: nothing is dealt or counted behind them
+    plan = plan_of(records)
+    opened = min(i for i, x in enumerate(plan) if "Generate" in x)
+    assert not any("Window" in x or "Join" in x or "Aggregate" in x for x in plan[:opened])

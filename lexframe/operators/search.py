@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexframe.functions.text import case_fold, kana_fold, let, mark_spans, plain_surface
 from lexframe.operators.order import top_k
@@ -20,7 +20,9 @@ GRAM = 3
 PAD = "\x00"
 #: of a longer query so much is compared on the spot, the rest with the whole text
 PIECE = 512
-#: probe rows (a query and a gram) that are broadcast
+#: leading bits of a weight that tell its matches apart when they are counted
+BAND_BITS = 11
+#: rows of queries (probes, shown places) that are broadcast
 BROADCAST_ROWS = 500_000
 
 
@@ -108,68 +110,105 @@ def _windows(chars: Column, made: Callable[[Column, Column], Column]) -> Column:
     return F.transform(heads, lambda x, i: made(F.concat(x, *[F.get(chars, i + k) for k in range(1, GRAM)]), i))
 
 
-def _grams(text: Column) -> Column:
-    """Distinct grams, one from every character on: the last ones are filled up with PAD."""
-    return let(lambda c: F.array_distinct(_windows(c, lambda gram, at: gram)), _chars(F.concat(text, F.lit(PAD * (GRAM - 1)))))
+def blocks(text: Column, size: int, lap: int) -> Column:
+    """``text`` in pieces of ``size`` characters, each holding the first ``lap`` of the next one."""
+    count = F.greatest(F.ceil((F.length(text) - lap) / (size - lap)), F.lit(1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.substring(text, b * (size - lap) + 1, F.lit(size)))
+
+
+def _opened(df: DataFrame, block: str) -> DataFrame:
+    """A row per character of ``block``: its place ``p`` from 1 and the GRAM characters from there on."""
+    return df.select("*", F.explode(F.sequence(F.lit(1), F.length(block))).alias("p")).withColumn("gram", F.substring(F.col(block), F.col("p"), F.lit(GRAM)))
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, n): in how many rows of ``texts`` (text) each gram stands."""
-    return texts.select(F.explode(_grams(F.col("text"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    """(gram, n): how often each gram stands in ``texts`` (text, ending in PAD); about, where blocks overlap."""
+    return _opened(texts.select(F.explode(blocks(F.col("text"), 256, GRAM - 1)).alias("block")), "block").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def probes(asked: DataFrame, counts: DataFrame, piece: int = PIECE) -> DataFrame:
-    """(q, gram, piece): where to look for each of the distinct folded queries ``asked`` (q).
+    """(q, gram, off, piece): where to look for each of the distinct folded queries ``asked`` (q).
 
     A query of GRAM characters or more is looked for by its rarest gram, a shorter one by every known
-    gram that starts with it. ``piece`` is the query itself, or so much of a long one around its gram.
+    gram that starts with it. ``piece`` is the query itself, or so much of a long one around its gram,
+    which stands ``off`` characters behind the start of the piece.
     """
     long, short = asked.where(F.length("q") >= GRAM), asked.where(F.length("q") < GRAM)
     places = let(lambda c: _windows(c, lambda gram, at: F.struct(gram.alias("gram"), at.alias("at"))), _chars(F.col("q")))
     spread = long.select("q", F.inline(places)).join(counts, "gram", "left")
     rarest = spread.groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")).alias("r"))
     first = F.least(F.greatest(F.col("r.at") + GRAM - piece, F.lit(0)), F.col("r.at"))
-    by_rarest = rarest.select("q", F.col("r.gram").alias("gram"), F.substring("q", first + 1, F.lit(piece)).alias("piece"))
-    heads = counts.select("gram", F.explode(F.array(*[F.struct(F.left("gram", F.lit(k)).alias("q")) for k in range(1, GRAM)])).alias("h")).select("gram", "h.q")
-    return by_rarest.union(short.join(heads, "q").select("q", "gram", F.col("q").alias("piece")))
+    by_rarest = rarest.select("q", F.col("r.gram").alias("gram"), (F.col("r.at") - first).alias("off"), F.substring("q", first + 1, F.lit(piece)).alias("piece"))
+    heads = counts.select("gram", F.explode(F.array(*[F.struct(F.left("gram", F.lit(k)).alias("q")) for k in range(1, GRAM)])).alias("h")).select("gram", "h.q").distinct()
+    return by_rarest.union(short.join(heads, "q").select("q", "gram", F.lit(0).alias("off"), F.col("q").alias("piece")))
 
 
-def blocks(text: Column, size: int, lap: int) -> Column:
-    """``text`` in pieces of ``size`` characters, each holding the first ``lap`` of the next one."""
-    count = F.greatest(F.ceil((F.length(text) - lap) / (size - lap)), F.lit(1)).cast("int")
-    return F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.substring(text, b * (size - lap) + 1, F.lit(size)))
+def band(weight: Column) -> Column:
+    """``weight`` rounded down to its leading bits: same order, few values; the least for null."""
+    bits = F.length(F.bin(weight.bitwiseXOR(F.shiftright(weight, 63))))
+    low = F.greatest(bits - BAND_BITS, F.lit(0))
+    return F.coalesce(F.call_function("shiftleft", F.call_function("shiftright", weight, low), low), F.lit(-(1 << 63)))
+
+
+def pairs(records: DataFrame, sought: DataFrame, longest: int, held: Column | None = None) -> DataFrame:
+    """(key, q, weight, band): the queries found in each record, every one once.
+
+    A query is taken where it stands first in a block; only records of several blocks can give it again.
+    ``held``: a condition on a record and a query that is judged before the texts are compared.
+    """
+    size, lap = max(256, 4 * longest), longest + GRAM
+    # whole texts would be copied for each of their grams; a block is as long as some pieces
+    parts = records.select("key", "weight", "band", (F.length("text") <= size).alias("alone"), F.explode(blocks(F.col("text"), size, lap)).alias("block"))
+    met = _opened(parts, "block").join(sought, "gram")
+    start = F.col("p") - F.col("off")
+    first = (F.substring(F.col("block"), start, F.length("piece")) == F.col("piece")) & (F.instr(F.col("block"), F.col("piece")) == start)
+    met = met.where(first if held is None else held & first).select("key", "q", "weight", "band", "alone")
+    if longest >= PIECE:
+        whole = records.select("key", "text")
+        met = met.join(whole, "key").where((F.length("q") <= PIECE) | F.contains("text", F.col("q"))).drop("text")
+    again = met.where(~F.col("alone")).groupBy("key", "q").agg(F.max("weight").alias("weight"), F.max("band").alias("band"))
+    return met.where("alone").drop("alone").unionByName(again)
 
 
 def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: int = 80) -> DataFrame:
     """(qid, query, place, key, match_kind, matched_text, match_context, exact, total) per query.
 
-    The terms lie by key and are read once for the counts of their grams and once for the search: every
-    distinct query sends one gram, its rarest, to the texts, and what it meets is verified on the
-    spot. So the matches of a record are found, and the best of them chosen, where the record lies;
-    only the first ``limit`` of each query and partition move on. Blank queries match nothing.
+    The texts of a record are joined to one and read three times: for the counts of their grams, for
+    the matches of every query by weight, and for the rows that can be among its first ``limit``: no
+    other match is dealt or sorted. Every distinct query sends one gram, its rarest, to the texts; what
+    it meets is verified on the spot. A record has one weight (the largest given for its key). Blank
+    queries match nothing.
     """
     q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("q", case_fold(F.col("query")))
+    table = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
+    kind_rank = F.coalesce(F.try_element_at(table, F.col("kind")), F.lit(OTHER_KIND))
     # what is searched; texts as written and their contexts are only joined to what is shown
-    own = checkpointed(terms.select("key", "ord", "kind", "weight", case_fold(F.col("text")).alias("text")))
+    heads = terms.select("key", "weight", F.struct(case_fold(F.col("text")).alias("text"), kind_rank.alias("rank")).alias("h")).groupBy("key").agg(
+        F.max("weight").alias("weight"), F.collect_set("h").alias("heads"))
+    records = checkpointed(heads.withColumn("band", band(F.col("weight"))))
+    joined = F.concat(F.array_join(F.array_distinct(F.col("heads.text")), PAD * (GRAM - 1)), F.lit(PAD * (GRAM - 1)))
+    texts = records.select("key", "weight", "band", joined.alias("text"))
     asked = q.select("q").distinct()
-    probe = checkpointed(probes(asked, checkpointed(gram_counts(own.select("text")))))
+    probe = checkpointed(probes(asked, checkpointed(gram_counts(texts))))
     number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
-    # a probe row is a query and a gram: broadcast up to the bound, dealt by gram beyond it
-    sought = F.broadcast(probe) if number <= BROADCAST_ROWS else probe
-    # dealt by key once, before texts are opened: the matches of a key then need no exchange of their own
-    own = own.repartition("key")
-    # whole texts would be copied for each of their grams; a block is as long as some pieces
-    parts = own.select("key", "ord", "kind", "weight", F.length("text").alias("n"), F.explode(blocks(F.col("text"), max(256, 4 * longest), longest)).alias("block"))
-    seen = parts.select("key", "ord", "kind", "weight", "n", "block", F.explode(_grams(F.col("block"))).alias("gram"))
-    met = seen.join(sought, "gram").where(F.contains("block", F.col("piece"))).drop("block")
-    if longest >= PIECE:
-        whole = own.select("key", "ord", "text")
-        met = met.join(whole, ["key", "ord"]).where((F.length("q") <= PIECE) | F.contains("text", F.col("q")))
-    table = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
-    rank = F.when(F.col("n") == F.length("q"), F.coalesce(F.try_element_at(table, F.col("kind")), F.lit(OTHER_KIND))).otherwise(F.lit(PARTIAL))
-    best = met.groupBy("key", "q").agg(F.min(F.struct(rank.alias("rank"), "ord")).alias("b"), F.max("weight").alias("weight"))
-    totals = best.groupBy("q").agg(F.count(F.lit(1)).alias("total"))
-    shown = top_k(best, ["q"], [F.col("b.rank"), F.desc("weight"), F.col("key")], limit, "place")
-    texts = terms.select("key", "ord", F.col("kind").alias("match_kind"), F.col("text").alias("matched_text"), F.col("context").alias("match_context"))
-    found = shown.select("q", "place", "key", "b.ord", (F.col("b.rank") < PARTIAL).alias("exact")).join(texts, ["key", "ord"]).join(totals, "q")
-    return q.join(found, "q").select("qid", "query", "place", "key", "match_kind", "matched_text", "match_context", "exact", "total")
+
+    def near(df: DataFrame, rows: int) -> DataFrame:
+        # queries and their grams: broadcast up to the bound, dealt beyond it
+        return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+    # rows per query and band; a match is shown only if fewer than ``limit`` have a higher band
+    tally = pairs(texts, near(probe, number), longest).groupBy("q", "band").agg(F.count(F.lit(1)).alias("n"))
+    above = F.coalesce(F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stats = checkpointed(tally.withColumn("above", above).groupBy("q").agg(F.min(F.when(F.col("above") < limit, F.col("band"))).alias("cut"), F.sum("n").alias("total")))
+    partial = pairs(texts, near(probe.join(stats.select("q", "cut"), "q"), number), longest, F.col("band") >= F.col("cut"))
+    # hits of a whole text come before all others, whatever their weight
+    exact = records.select("key", "weight", F.inline("heads")).join(near(asked, number), F.col("text") == F.col("q"))
+    best = partial.select("key", "q", "weight", F.lit(PARTIAL).alias("rank")).unionByName(exact.select("key", "q", "weight", "rank")).groupBy("key", "q").agg(
+        F.min("rank").alias("rank"), F.max("weight").alias("weight"))
+    shown = top_k(best, ["q"], [F.col("rank"), F.desc("weight"), F.col("key")], limit, "place").join(stats.select("q", "total"), "q")
+    shown = checkpointed(shown.select("q", "place", "key", F.col("rank").alias("_rank"), "total"))
+    folded = case_fold(F.col("text"))
+    rank = F.when(folded == F.col("q"), kind_rank).when(F.contains(folded, F.col("q")), F.lit(PARTIAL))
+    written = F.struct("ord", F.col("kind").alias("match_kind"), F.col("text").alias("matched_text"), F.col("context").alias("match_context"))
+    found = terms.drop("weight").join(near(shown, shown.count()), "key").where(rank == F.col("_rank")).groupBy("q", "place", "key", "_rank", "total").agg(F.min(written).alias("t"))
+    return q.join(found, "q").select("qid", "query", "place", "key", "t.match_kind", "t.matched_text", "t.match_context", (F.col("_rank") < PARTIAL).alias("exact"), "total")

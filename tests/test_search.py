@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexframe.operators import search as S
 
@@ -61,3 +62,25 @@ def test_long_queries_and_dealt_probes(spark, terms, monkeypatch):
     queries = [("a", long), ("b", long[:30]), ("c", long[:29] + "!"), ("d", "needle"), ("e", "ab"), ("f", "x" * 20 + "needle")]
     assert found(spark, terms, queries, 50) == plain(terms, queries, 50)
     assert found(spark, [], queries, 5) == [] and found(spark, terms, [("a", " ")], 5) == []
+
+
+def test_pairs_are_found_once(spark):
+    """A query that stands often in a record comes once, also where the record has several blocks; lower bands are left out."""
+    texts = spark.createDataFrame([("a", 5, "banana" + S.PAD * 2), ("b", 9, "an" * 900 + S.PAD * 2)], "key string, weight long, text string").withColumn("band", S.band(F.col("weight")))
+    probe = S.probes(spark.createDataFrame([("an",), ("nan",), ("n",), ("x",)], "q string"), S.gram_counts(texts))
+    assert sorted(tuple(r) for r in S.pairs(texts, probe, 3).select("key", "q").collect()) == [(k, q) for k in "ab" for q in ("an", "n", "nan")]
+    assert {r.key for r in S.pairs(texts, probe, 3, F.col("band") >= 9).collect()} == {"b"}
+
+
+def test_bands_keep_the_order(spark):
+    values = sorted({s * (2**k + d) for k in range(62) for d in (-1, 0, 1) for s in (-1, 1)} | {-(2**63), 2**63 - 1})
+    rows = spark.createDataFrame([(v,) for v in values], "w long").select("w", S.band(F.col("w")).alias("b")).orderBy("w").collect()
+    assert all(r.b <= r.w for r in rows) and [r.b for r in rows] == sorted(r.b for r in rows)
+    assert all(r.b == r.w for r in rows if abs(r.w) < 2**S.BAND_BITS)
+
+
+@pytest.mark.parametrize("scale", [1, -1000, 10**12])
+def test_first_by_weight(spark, scale):
+    """Only the matches that can be shown are sorted: the places are those of all, ties and exact hits included."""
+    terms = [(f"k{i:03}", 0, "abc" if i % 50 == 7 else f"xabc{i}", "key", "c", (i * 37 % 101) * scale) for i in range(300)]
+    assert found(spark, terms, [("q", "abc"), ("r", "c1")], 9) == plain(terms, [("q", "abc"), ("r", "c1")], 9)

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from lexframe.functions import text as X
 from lexframe.operators import marking as M
 
 LEXICON = [("冷たい", "written"), ("つめたい", "spoken")]
@@ -87,3 +88,28 @@ def test_waterfall_and_audit(spark):
     assert (1, "FAIL", "mark inside a chunk") in found and (2, "FAIL", "unpaired marks") in found
     assert (3, "FAIL", "text changes without marks") in found and (4, "WARN", "inside a word") in found
     assert (5, "WARN", "one piece of a split pattern") in found and (6, "WARN", "no letters shared with the head") in found
+
+
+def test_planes_are_the_chunks(spark):
+    """A plane is what its chunks say, and is made in one pass over the text."""
+    texts = ["部(ぶ)あ", "あ部科(ぶか)い", "部科(ぶか", "(ぶ)部()x", "部(ぶ(か)科(か)", "a(b)c", "々(の)", "", "𠮷(よし)野(の)𝒳", "部\n科(か\nう)", None, "部(a$1\\b)"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for which in ("surface", "sound"):
+        told = F.array_join(F.transform(X.chunks(F.col("t")), lambda g: g[which]), "")
+        assert rows.where(~told.eqNullSafe(X.plane(F.col("t"), which))).collect() == []
+        assert "lambda" not in rows.select(X.plane(F.col("t"), which))._jdf.queryExecution().toString()
+
+
+def test_spots_need_no_exchange(spark):
+    """The places looked up in a bounded lexicon are not dealt out: only what stands there, and the rows, by key."""
+    rows = spark.createDataFrame([("a", "部(ぶ)あ部(ぶ)")], "word string, ja string")
+    lexicon = spark.createDataFrame([("部あ", "written"), ("ぶあ", "spoken"), ("ぶあぶ", "spoken")], "word string, plane string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = M.with_spots(rows, ["word"], "ja", lexicon)
+        assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
+        found = out.select(F.sort_array("spots_surface"), F.sort_array("spots_sound")).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert [tuple(map(tuple, x)) for x in found] == [((0, 2),), ((0, 2), (0, 3))]

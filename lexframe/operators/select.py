@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexframe.functions.text import geminated, kana_fold, kana_unfold, romanize, sound_forms
+from lexframe.functions.text import geminated, kana_fold, kana_unfold, let, romanize, sound_forms
 from lexframe.operators.attribute import CJK, with_pieces
 from lexframe.operators.order import position, top_k
 from lexframe.operators.verify import explode_targets
+from lexframe.session import checkpointed
 
 # --- fixed values: inflection tables ---
 U_ROW = "うくぐすつぬぶむる"
@@ -20,6 +21,7 @@ EXAMPLES_PER_READING = 3
 TARGET_MARK = "\u0001"
 
 _INTS = "cast(array() as array<int>)"
+_STATES = "cast(array() as array<struct<p:int,o:int,n:int,res:string>>)"
 
 
 def _tokens(surface: Column) -> Column:
@@ -45,6 +47,8 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
     marks = targets.select("ch", F.lit(TARGET_MARK).alias("form"))
     asked = df.withColumn("_asked", F.concat(F.col(reading), F.lit(TARGET_MARK)))
     rows = with_pieces(asked, [*cols, "_asked"], surface, "_asked", forms.select("ch", "form").unionByName(marks))
+    # a piece is a character, a bar and a form
+    rows = rows.withColumn("_reach", F.coalesce(F.array_max(F.transform("pieces", F.length)) - 2, F.lit(0)))
     r, total = F.col(reading), F.length(reading)
     start = F.expr("named_struct('left', 0, 'states', array(named_struct('p', 0, 'o', 0, 'n', 0, 'res', '')))")
     need = F.length(surface)
@@ -56,20 +60,29 @@ def best_residual(df: DataFrame, keys: list[str], surface: str, reading: str, fo
         return F.struct(p.alias("p"), o.alias("o"), n.alias("n"), res.alias("res"))
 
     def step(s: Column, t: Column) -> Column:
-        base = t.rlike(f"^[{CJK}]")
-        left = s["left"] + F.length(t)
+        # bound once per token: else they are worked out for every state and end
+        return let(lambda base, target, left: walk(s, t, base, target, left), t.rlike(f"^[{CJK}]"),
+                   F.array_contains(F.col("pieces"), F.concat(t, F.lit(f"|{TARGET_MARK}"))), s["left"] + F.length(t))
+
+    def walk(s: Column, t: Column, base: Column, target: Column, left: Column) -> Column:
         rest = need - left
-        target = F.array_contains(F.col("pieces"), F.concat(t, F.lit(f"|{TARGET_MARK}")))
 
-        def grow(q: Column) -> Column:
-            ends = F.when(base, _ends(total, q["p"], rest)).when(cut(q["p"], F.length(t)) == t, F.array(q["p"] + F.length(t))).otherwise(F.expr(_INTS))
-            fits = F.filter(ends, lambda e: ~base | target | F.array_contains(F.col("pieces"), F.concat(t, F.lit("|"), cut(q["p"], e - q["p"]))))
-            return F.transform(fits, lambda e: F.when(base & target, state(e, q["o"], q["n"] + e - q["p"], F.concat(q["res"], cut(q["p"], e - q["p"])))).when(
-                base, state(e, q["o"] - e + q["p"], q["n"], q["res"])).otherwise(state(e, q["o"], q["n"], q["res"])))
-
-        grown = F.sort_array(F.flatten(F.transform(s["states"], grow)))
-        kept = F.aggregate(grown, F.expr("cast(array() as array<struct<p:int,o:int,n:int,res:string>>)"), lambda acc, q: F.when(
-            F.exists(acc, lambda a: a["p"] == q["p"]), acc).otherwise(F.array_append(acc, q)))
+        def known(q: Column) -> Column:
+            # only as far as the longest form of the word reaches
+            reach = F.least(total - rest, q["p"] + F.col("_reach"))
+            ends = F.when(reach > q["p"], F.sequence(q["p"] + 1, reach)).otherwise(F.expr(_INTS))
+            fits = F.filter(ends, lambda e: F.array_contains(F.col("pieces"), F.concat(t, F.lit("|"), cut(q["p"], e - q["p"]))))
+            return F.transform(fits, lambda e: state(e, q["o"] - e + q["p"], q["n"], q["res"]))
+
+        def free(q: Column) -> Column:
+            return F.transform(_ends(total, q["p"], rest), lambda e: state(e, q["o"], q["n"] + e - q["p"], F.concat(q["res"], cut(q["p"], e - q["p"]))))
+
+        def literal(q: Column) -> Column:
+            return F.when(cut(q["p"], F.length(t)) == t, F.array(state(q["p"] + F.length(t), q["o"], q["n"], q["res"]))).otherwise(F.expr(_STATES))
+
+        grown = F.sort_array(F.flatten(F.when(~base, F.transform(s["states"], literal)).when(target, F.transform(s["states"], free)).otherwise(F.transform(s["states"], known))))
+        # states come sorted by place: the first one of each is its best
+        kept = let(lambda g: F.filter(g, lambda q, i: (i == 0) | (F.get(g, i - 1)["p"] != q["p"])), grown)
         return F.struct(left.alias("left"), kept.alias("states"))
 
     ended = F.aggregate(_tokens(F.col(surface)), start, step, lambda s: F.transform(F.filter(s["states"], lambda q: q["p"] == total), lambda q: q["res"]))
@@ -137,7 +150,11 @@ def select_examples(freq: DataFrame, dictionary: DataFrame, readings: DataFrame,
         "reading", kana_fold(F.coalesce("_r", F.when(F.col("form") != "", F.col("form"))))).where("reading is not null")
     asked = asked.withColumn("reading_ord", F.coalesce("reading_ord", F.lit(0).cast("long")))
     own = ["ch", "lemma", "form", "freq", "_key", "_hira"]
-    found = best_residual(asked, [*own, "reading_ord"], "lemma", "reading", geminated_forms(readings), targets)
+    # a residual is that of the word: worked out once, however many targets and forms it has
+    pair = ["lemma", "reading"]
+    asked = checkpointed(asked)
+    solved = best_residual(asked.select(*pair).distinct(), pair, *pair, geminated_forms(readings), targets)
+    found = asked.select(*own, "reading", "reading_ord").join(solved, pair).select(*own, "reading_ord", "residual")
     per = found.groupBy(*own).agg(
         F.max(F.col("residual") == F.col("_hira")).alias("_hit"), F.min(F.struct("reading_ord", "residual"))["residual"].alias("_free"))
     bucket = F.when(F.col("_key").isNull(), F.col("_free")).when(F.col("_hit"), F.col("_key"))

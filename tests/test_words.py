@@ -139,3 +139,16 @@ def test_failing_enrichment_says_so(spark):
 
     got = {r.batch: (r.response, r.error) for r in ledger.enrich(asked, answer).collect()}
     assert got == {1: ("", None), 2: (None, "ValueError: no answer")}
+
+
+def test_residual_is_worked_out_once_per_word(spark, monkeypatch):
+    """A word with several targets and forms has one residual per reading, which all of them share."""
+    asked, plain = [], S.best_residual
+    monkeypatch.setattr(S, "best_residual", lambda df, *a: asked.append(df.count()) or plain(df, *a))
+    freq = spark.createDataFrame([("部科木", "ぶかき", 9), ("部科木", "ぶかぎ", 4), ("木あ", "きあ", 2)], "lemma string, form string, freq long")
+    dictionary = spark.createDataFrame([("部科木", "ぶかき", 0)], "surface string, reading string, reading_ord long")
+    readings = spark.createDataFrame([("科", "か")], "ch string, reading string")
+    targets, official = spark.createDataFrame([("部",), ("木",), ("科",)], "ch string"), spark.createDataFrame([("科", "カ")], "ch string, key string")
+    rows = sorted(tuple(r) for r in S.select_examples(freq, dictionary, readings, targets, official).select("ch", "reading", "place", "lemma", "freq").collect())
+    assert asked == [2]
+    assert rows == [("木", "き", 2, "木あ", 2), ("木", "ぶかき", 1, "部科木", 9), ("科", "カ", 1, None, None), ("部", "ぶかき", 1, "部科木", 9)]

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexframe.functions.scan import TALLY, Trie, build_trie, found_in, tallied
 from lexframe.functions.text import case_fold, kana_fold, let, mark_spans, plain_surface
 from lexframe.operators.order import top_k
 from lexframe.session import checkpointed
@@ -24,6 +26,8 @@ PIECE = 512
 BAND_BITS = 11
 #: rows of queries (probes, shown places) that are broadcast
 BROADCAST_ROWS = 500_000
+#: distinct queries of so many bytes in all, with a table of so many cells of 4 bytes, are looked for all at once
+QUERY_BYTES, TRIE_CELLS = 1 << 22, 1 << 24
 
 
 def term(text: Column, kind: str, context: Column) -> Column:
@@ -170,14 +174,59 @@ def pairs(records: DataFrame, sought: DataFrame, longest: int, held: Column | No
     return met.where("alone").drop("alone").unionByName(again)
 
 
+def _near(df: DataFrame, rows: int) -> DataFrame:
+    # queries and their grams: broadcast up to the bound, dealt beyond it
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _cuts(tally: DataFrame, limit: int) -> DataFrame:
+    """(q, cut, total) from the matches ``n`` per query and band: one is shown only if fewer than ``limit`` have a higher band."""
+    above = F.coalesce(F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return checkpointed(tally.withColumn("above", above).groupBy("q").agg(F.min(F.when(F.col("above") < limit, F.col("band"))).alias("cut"), F.sum("n").alias("total")))
+
+
+def _trie(asked: DataFrame, number: int) -> tuple[Trie, DataFrame] | None:
+    """A trie of all queries and their numbers in it (number, q); None if they are too many or too long for one."""
+    octets = asked.agg(F.sum(F.octet_length("q"))).first()[0]
+    if not 0 < number <= BROADCAST_ROWS or octets > QUERY_BYTES:
+        return None
+    numbered = asked.select((F.row_number().over(Window.orderBy("q")) - 1).alias("number"), "q")
+    trie = build_trie([bytes(r.q) for r in numbered.select("number", F.col("q").cast("binary").alias("q")).orderBy("number").collect()], TRIE_CELLS)
+    return trie and (trie, numbered)
+
+
+def by_trie(records: DataFrame, trie: Trie, numbered: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(q, total) and (key, q, weight), the latter with all matches that can be shown: every text is walked once for each."""
+    context, texts = records.sparkSession.sparkContext, F.col("heads.text")
+    shared, names = context.broadcast(tuple(trie)), F.broadcast(numbered)
+    tally = records.select(F.col("band").alias("level"), texts.alias("texts")).mapInArrow(tallied(shared), TALLY)
+    stats = _cuts(tally.groupBy(F.col("number").alias("q"), F.col("level").alias("band")).agg(F.sum("n").alias("n")), limit)
+    # a query without a match has no cut and stands nowhere
+    lowest = np.full(len(trie.ends), np.iinfo(np.int64).max)
+    for r in stats.select("q", "cut").collect():
+        lowest[r.q] = r.cut
+    shown = records.select("key", "weight", F.explode(found_in(shared, context.broadcast(lowest))(texts, F.col("band"))).alias("number"))
+    return stats.select(F.col("q").alias("number"), "total").join(names, "number").select("q", "total"), shown.join(names, "number").select("key", "q", "weight")
+
+
+def by_grams(records: DataFrame, asked: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The same for queries too many or too long for one trie: each sends one gram, its rarest, to the texts; what it meets is verified on the spot."""
+    joined = F.concat(F.array_join(F.array_distinct(F.col("heads.text")), PAD * (GRAM - 1)), F.lit(PAD * (GRAM - 1)))
+    texts = records.select("key", "weight", "band", joined.alias("text"))
+    probe = checkpointed(probes(asked, checkpointed(gram_counts(texts))))
+    number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
+    stats = _cuts(pairs(texts, _near(probe, number), longest).groupBy("q", "band").agg(F.count(F.lit(1)).alias("n")), limit)
+    shown = pairs(texts, _near(probe.join(stats.select("q", "cut"), "q"), number), longest, F.col("band") >= F.col("cut"))
+    return stats.select("q", "total"), shown.select("key", "q", "weight")
+
+
 def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: int = 80) -> DataFrame:
     """(qid, query, place, key, match_kind, matched_text, match_context, exact, total) per query.
 
-    The texts of a record are joined to one and read three times: for the counts of their grams, for
-    the matches of every query by weight, and for the rows that can be among its first ``limit``: no
-    other match is dealt or sorted. Every distinct query sends one gram, its rarest, to the texts; what
-    it meets is verified on the spot. A record has one weight (the largest given for its key). Blank
-    queries match nothing.
+    The texts of a record are looked through twice: for the matches of every query by weight, and for
+    those that can be among its first ``limit``: no other match is dealt or sorted. Queries are looked
+    for all at once by a trie, those beyond its bounds by their grams. A record has one weight (the
+    largest given for its key). Blank queries match nothing.
     """
     q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("q", case_fold(F.col("query")))
     table = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
@@ -186,29 +235,18 @@ def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: i
     heads = terms.select("key", "weight", F.struct(case_fold(F.col("text")).alias("text"), kind_rank.alias("rank")).alias("h")).groupBy("key").agg(
         F.max("weight").alias("weight"), F.collect_set("h").alias("heads"))
     records = checkpointed(heads.withColumn("band", band(F.col("weight"))))
-    joined = F.concat(F.array_join(F.array_distinct(F.col("heads.text")), PAD * (GRAM - 1)), F.lit(PAD * (GRAM - 1)))
-    texts = records.select("key", "weight", "band", joined.alias("text"))
-    asked = q.select("q").distinct()
-    probe = checkpointed(probes(asked, checkpointed(gram_counts(texts))))
-    number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
-
-    def near(df: DataFrame, rows: int) -> DataFrame:
-        # queries and their grams: broadcast up to the bound, dealt beyond it
-        return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-    # rows per query and band; a match is shown only if fewer than ``limit`` have a higher band
-    tally = pairs(texts, near(probe, number), longest).groupBy("q", "band").agg(F.count(F.lit(1)).alias("n"))
-    above = F.coalesce(F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    stats = checkpointed(tally.withColumn("above", above).groupBy("q").agg(F.min(F.when(F.col("above") < limit, F.col("band"))).alias("cut"), F.sum("n").alias("total")))
-    partial = pairs(texts, near(probe.join(stats.select("q", "cut"), "q"), number), longest, F.col("band") >= F.col("cut"))
+    asked = checkpointed(q.select("q").distinct())
+    number = asked.count()
+    trie = _trie(asked, number)
+    stats, partial = by_grams(records, asked, limit) if trie is None else by_trie(records, *trie, limit)
     # hits of a whole text come before all others, whatever their weight
-    exact = records.select("key", "weight", F.inline("heads")).join(near(asked, number), F.col("text") == F.col("q"))
+    exact = records.select("key", "weight", F.inline("heads")).join(_near(asked, number), F.col("text") == F.col("q"))
     best = partial.select("key", "q", "weight", F.lit(PARTIAL).alias("rank")).unionByName(exact.select("key", "q", "weight", "rank")).groupBy("key", "q").agg(
         F.min("rank").alias("rank"), F.max("weight").alias("weight"))
-    shown = top_k(best, ["q"], [F.col("rank"), F.desc("weight"), F.col("key")], limit, "place").join(stats.select("q", "total"), "q")
+    shown = top_k(best, ["q"], [F.col("rank"), F.desc("weight"), F.col("key")], limit, "place").join(stats, "q")
     shown = checkpointed(shown.select("q", "place", "key", F.col("rank").alias("_rank"), "total"))
     folded = case_fold(F.col("text"))
     rank = F.when(folded == F.col("q"), kind_rank).when(F.contains(folded, F.col("q")), F.lit(PARTIAL))
     written = F.struct("ord", F.col("kind").alias("match_kind"), F.col("text").alias("matched_text"), F.col("context").alias("match_context"))
-    found = terms.drop("weight").join(near(shown, shown.count()), "key").where(rank == F.col("_rank")).groupBy("q", "place", "key", "_rank", "total").agg(F.min(written).alias("t"))
+    found = terms.drop("weight").join(_near(shown, shown.count()), "key").where(rank == F.col("_rank")).groupBy("q", "place", "key", "_rank", "total").agg(F.min(written).alias("t"))
     return q.join(found, "q").select("qid", "query", "place", "key", "t.match_kind", "t.matched_text", "t.match_context", (F.col("_rank") < PARTIAL).alias("exact"), "total")

@@ -87,7 +87,8 @@ def _walker() -> Callable[..., tuple[np.ndarray, np.ndarray]]:
                 whole = low + place + length <= starts[row + 1]
                 of, which = owner[row[whole]], which[whole]
                 if lowest is not None:
-                    kept = lowest[which] <= floor[of]
+                    begins, row = low + place[whole], row[whole]
+                    kept = (lowest[which] <= floor[of]) | ((starts[row] == begins) & (starts[row + 1] == begins + length))
                     of, which = of[kept], which[kept]
                 here.append(of * len(ends) + which)
                 node = step[node * width + code[at + length]]
@@ -102,7 +103,7 @@ def _walker() -> Callable[..., tuple[np.ndarray, np.ndarray]]:
 
 
 def found_in(trie: Broadcast, lowest: Broadcast) -> Callable[[Column, Column], Column]:
-    """A function of an array of texts and a level: the numbers of the trie's strings that stand in a text and are ``lowest`` at most at that level."""
+    """A function of an array of texts and a level: the numbers of the trie's strings that are a whole text, or stand in one and have a ``lowest`` level not above."""
     walk = _walker()
 
     @F.arrow_udf("array<int>")

@@ -17,6 +17,7 @@ KANJI_RANKS = {"key": 0, "variant": 1, "word": 2, "korean": 3, "reading": 3, "ex
 GRAMMAR_RANKS = {"key": 0, "head": 0, "meaning": 2, "span": 2, "connect": 3, "level": 3}
 VOCAB_RANKS = {"key": 0, "family": 1, "sense": 2, "annotation": 2, "gloss": 3, "en": 3, "band": 4}
 OTHER_KIND, PARTIAL = 5, 10
+TERM = ("ord", "text", "kind", "context")
 GRAM = 3
 #: fills up the last grams of a text; no character of a text
 PAD = "\x00"
@@ -38,10 +39,15 @@ def _none() -> Column:
     return F.expr("cast(array() as array<struct<text:string,kind:string,context:string>>)")
 
 
+def gather_terms(df: DataFrame, terms: Column, weight: Column) -> DataFrame:
+    """(key, weight, terms): what ``build_terms`` gives, as an array (ord, text, kind, context) per record."""
+    kept = F.filter(terms, lambda t: t["text"].isNotNull() & (t["text"] != ""))
+    return df.select("key", weight.cast("long").alias("weight"), F.transform(kept, lambda t, i: F.struct(i.alias("ord"), *[t[c].alias(c) for c in TERM[1:]])).alias("terms"))
+
+
 def build_terms(df: DataFrame, terms: Column, weight: Column) -> DataFrame:
     """(key, ord, text, kind, context, weight) from an array of terms per record, in the array's order."""
-    return df.select("key", weight.cast("long").alias("weight"), F.posexplode(F.filter(terms, lambda t: t["text"].isNotNull() & (t["text"] != ""))).alias("ord", "t")).select(
-        "key", "ord", "t.text", "t.kind", "t.context", "weight")
+    return gather_terms(df, terms, weight).select("key", "weight", F.inline("terms")).select("key", *TERM, "weight")
 
 
 def _examples(bucket: Column, own: str, alias: str | None) -> Column:
@@ -195,58 +201,95 @@ def _trie(asked: DataFrame, number: int) -> tuple[Trie, DataFrame] | None:
     return trie and (trie, numbered)
 
 
-def by_trie(records: DataFrame, trie: Trie, numbered: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(q, total) and (key, q, weight), the latter with all matches that can be shown: every text is walked once for each."""
-    context, texts = records.sparkSession.sparkContext, F.col("heads.text")
-    shared, names = context.broadcast(tuple(trie)), F.broadcast(numbered)
-    tally = records.select(F.col("band").alias("level"), texts.alias("texts")).mapInArrow(tallied(shared), TALLY)
+def _rows_by_key(terms: DataFrame) -> DataFrame:
+    """(key, weight, terms) with one row per key, its largest weight and all its terms.
+
+    Only rows whose key (by its hash) stands again are brought together, so that texts are not dealt for nothing.
+    """
+    def joined(rows: DataFrame, every: Column) -> DataFrame:
+        return checkpointed(rows.groupBy("key").agg(F.max("weight").alias("weight"), every.alias("terms")))
+
+    if "terms" not in terms.columns:
+        return joined(terms.select("key", "weight", F.struct(*TERM).alias("term")), F.collect_set("term"))
+    every = F.array_distinct(F.flatten(F.collect_set("terms")))
+    again = checkpointed(terms.groupBy(F.xxhash64("key").alias("hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
+    number = again.count()
+    if number > BROADCAST_ROWS:
+        return joined(terms, every)
+    if not number:
+        return terms
+    hashed = terms.withColumn("hash", F.xxhash64("key"))
+    several = joined(hashed.join(F.broadcast(again), "hash", "left_semi"), every)
+    return hashed.join(F.broadcast(again), "hash", "left_anti").drop("hash").unionByName(several)
+
+
+def _kind_rank(kind: Column, ranks: dict[str, int]) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, kind), F.lit(OTHER_KIND))
+
+
+def by_trie(records: DataFrame, trie: Trie, numbered: DataFrame, ranks: dict[str, int], limit: int) -> DataFrame:
+    """(q, place, key, total, best): every text is walked twice, to count the matches and for those that can be shown."""
+    context, names = records.sparkSession.sparkContext, F.broadcast(numbered)
+    shared = context.broadcast(tuple(trie))
+    folded = records.select("*", band(F.col("weight")).alias("level"), F.transform("terms", lambda t: case_fold(t["text"])).alias("texts"))
+    tally = folded.select("level", "texts").mapInArrow(tallied(shared), TALLY)
     stats = _cuts(tally.groupBy(F.col("number").alias("q"), F.col("level").alias("band")).agg(F.sum("n").alias("n")), limit)
     # a query without a match has no cut and stands nowhere
     lowest = np.full(len(trie.ends), np.iinfo(np.int64).max)
     for r in stats.select("q", "cut").collect():
         lowest[r.q] = r.cut
-    shown = records.select("key", "weight", F.explode(found_in(shared, context.broadcast(lowest))(texts, F.col("band"))).alias("number"))
-    return stats.select(F.col("q").alias("number"), "total").join(names, "number").select("q", "total"), shown.join(names, "number").select("key", "q", "weight")
+    found = found_in(shared, context.broadcast(lowest))(F.col("texts"), F.col("level"))
+
+    def match(t: Column, i: Column) -> Column:
+        # hits of a whole text come before all others, whatever their weight
+        kept = [t[c].alias(c) for c in TERM]
+        return F.when(F.get("texts", i) == F.col("q"), F.struct(_kind_rank(t["kind"], ranks).alias("rank"), *kept)).when(
+            F.contains(F.get("texts", i), F.col("q")), F.struct(F.lit(PARTIAL).alias("rank"), *kept))
+
+    met = folded.select("key", "weight", "terms", "texts", F.explode(found).alias("number")).join(names, "number")
+    met = met.select("number", "q", "key", "weight", F.array_min(F.transform("terms", match)).alias("best"))
+    shown = top_k(met, ["number"], [F.col("best.rank"), F.desc("weight"), F.col("key")], limit, "place")
+    return shown.join(stats.select(F.col("q").alias("number"), "total"), "number").select("q", "place", "key", "total", "best")
 
 
-def by_grams(records: DataFrame, asked: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+def by_grams(records: DataFrame, asked: DataFrame, number: int, ranks: dict[str, int], limit: int) -> DataFrame:
     """The same for queries too many or too long for one trie: each sends one gram, its rarest, to the texts; what it meets is verified on the spot."""
-    joined = F.concat(F.array_join(F.array_distinct(F.col("heads.text")), PAD * (GRAM - 1)), F.lit(PAD * (GRAM - 1)))
-    texts = records.select("key", "weight", "band", joined.alias("text"))
+    # what is searched; texts as written and their contexts are only joined to what is shown
+    head = F.transform("terms", lambda t: F.struct(case_fold(t["text"]).alias("text"), _kind_rank(t["kind"], ranks).alias("rank")))
+    heads = checkpointed(records.select("key", "weight", band(F.col("weight")).alias("band"), F.array_distinct(head).alias("heads")))
+    whole = F.concat(F.array_join(F.array_distinct(F.col("heads.text")), PAD * (GRAM - 1)), F.lit(PAD * (GRAM - 1)))
+    texts = heads.select("key", "weight", "band", whole.alias("text"))
     probe = checkpointed(probes(asked, checkpointed(gram_counts(texts))))
-    number, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
-    stats = _cuts(pairs(texts, _near(probe, number), longest).groupBy("q", "band").agg(F.count(F.lit(1)).alias("n")), limit)
-    shown = pairs(texts, _near(probe.join(stats.select("q", "cut"), "q"), number), longest, F.col("band") >= F.col("cut"))
-    return stats.select("q", "total"), shown.select("key", "q", "weight")
+    probed, longest = probe.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
+    stats = _cuts(pairs(texts, _near(probe, probed), longest).groupBy("q", "band").agg(F.count(F.lit(1)).alias("n")), limit)
+    partial = pairs(texts, _near(probe.join(stats.select("q", "cut"), "q"), probed), longest, F.col("band") >= F.col("cut"))
+    # hits of a whole text come before all others, whatever their weight
+    exact = heads.select("key", "weight", F.inline("heads")).join(_near(asked, number), F.col("text") == F.col("q"))
+    best = partial.select("key", "q", "weight", F.lit(PARTIAL).alias("rank")).unionByName(exact.select("key", "q", "weight", "rank")).groupBy("key", "q").agg(
+        F.min("rank").alias("rank"), F.max("weight").alias("weight"))
+    shown = top_k(best, ["q"], [F.col("rank"), F.desc("weight"), F.col("key")], limit, "place").join(stats.select("q", "total"), "q")
+    shown = checkpointed(shown.select("q", "place", "key", F.col("rank").alias("_rank"), "total"))
+    folded = case_fold(F.col("text"))
+    rank = F.when(folded == F.col("q"), _kind_rank(F.col("kind"), ranks)).when(F.contains(folded, F.col("q")), F.lit(PARTIAL))
+    written = records.select("key", F.inline("terms")).join(_near(shown, shown.count()), "key").where(rank == F.col("_rank"))
+    return written.groupBy("q", "place", "key", "total").agg(F.min(F.struct(F.col("_rank").alias("rank"), *TERM)).alias("best"))
 
 
 def search(terms: DataFrame, queries: DataFrame, ranks: dict[str, int], limit: int = 80) -> DataFrame:
     """(qid, query, place, key, match_kind, matched_text, match_context, exact, total) per query.
 
-    The texts of a record are looked through twice: for the matches of every query by weight, and for
-    those that can be among its first ``limit``: no other match is dealt or sorted. Queries are looked
-    for all at once by a trie, those beyond its bounds by their grams. A record has one weight (the
-    largest given for its key). Blank queries match nothing.
+    ``terms``: as ``gather_terms`` gives them, or as ``build_terms`` does. The texts of a record are
+    looked through for the matches of every query by weight, and again for those that can be among its
+    first ``limit``: no other match is dealt or sorted. Queries are looked for all at once by a trie,
+    those beyond its bounds by their grams. A record has one weight (the largest given for its key).
+    Blank queries match nothing.
     """
     q = queries.select("qid", F.trim("query").alias("query")).where("query <> ''").withColumn("q", case_fold(F.col("query")))
-    table = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
-    kind_rank = F.coalesce(F.try_element_at(table, F.col("kind")), F.lit(OTHER_KIND))
-    # what is searched; texts as written and their contexts are only joined to what is shown
-    heads = terms.select("key", "weight", F.struct(case_fold(F.col("text")).alias("text"), kind_rank.alias("rank")).alias("h")).groupBy("key").agg(
-        F.max("weight").alias("weight"), F.collect_set("h").alias("heads"))
-    records = checkpointed(heads.withColumn("band", band(F.col("weight"))))
-    asked = checkpointed(q.select("q").distinct())
+    records, asked = _rows_by_key(terms), checkpointed(q.select("q").distinct())
     number = asked.count()
     trie = _trie(asked, number)
-    stats, partial = by_grams(records, asked, limit) if trie is None else by_trie(records, *trie, limit)
-    # hits of a whole text come before all others, whatever their weight
-    exact = records.select("key", "weight", F.inline("heads")).join(_near(asked, number), F.col("text") == F.col("q"))
-    best = partial.select("key", "q", "weight", F.lit(PARTIAL).alias("rank")).unionByName(exact.select("key", "q", "weight", "rank")).groupBy("key", "q").agg(
-        F.min("rank").alias("rank"), F.max("weight").alias("weight"))
-    shown = top_k(best, ["q"], [F.col("rank"), F.desc("weight"), F.col("key")], limit, "place").join(stats, "q")
-    shown = checkpointed(shown.select("q", "place", "key", F.col("rank").alias("_rank"), "total"))
-    folded = case_fold(F.col("text"))
-    rank = F.when(folded == F.col("q"), kind_rank).when(F.contains(folded, F.col("q")), F.lit(PARTIAL))
-    written = F.struct("ord", F.col("kind").alias("match_kind"), F.col("text").alias("matched_text"), F.col("context").alias("match_context"))
-    found = terms.drop("weight").join(_near(shown, shown.count()), "key").where(rank == F.col("_rank")).groupBy("q", "place", "key", "_rank", "total").agg(F.min(written).alias("t"))
-    return q.join(found, "q").select("qid", "query", "place", "key", "t.match_kind", "t.matched_text", "t.match_context", (F.col("_rank") < PARTIAL).alias("exact"), "total")
+    shown = by_grams(records, asked, number, ranks, limit) if trie is None else by_trie(records, *trie, ranks, limit)
+    return q.join(shown, "q").select(
+        "qid", "query", "place", "key", F.col("best.kind").alias("match_kind"), F.col("best.text").alias("matched_text"), F.col("best.context").alias("match_context"),
+        (F.col("best.rank") < PARTIAL).alias("exact"), "total")

@@ -18,7 +18,7 @@ def _terms(spark: SparkSession, sf: str) -> DataFrame:
     docs = B.sentences(spark, sf).select(F.concat(F.lit("d"), "doc_id", F.lit("-"), "sent").alias("key"), F.col("sent").alias("w"), F.array(
         S.term(F.col("text"), "example", F.col("lang"))).alias("t"))
     rows = part.unionByName(people.withColumn("w", F.col("w").cast("int"))).unionByName(docs)
-    return S.build_terms(rows, F.col("t"), F.col("w"))
+    return S.gather_terms(rows, F.col("t"), F.col("w"))
 
 
 def search_ranked(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,7 +16,7 @@ def chunk(request, monkeypatch):
 
 
 def test_every_string_once(spark, chunk, monkeypatch):
-    """Strings of one to many bytes, inside characters never, over the ends of texts or pieces never or always; null and empty rows have none."""
+    """Strings of one to many bytes, never inside a character or over the end of a text, always over those of pieces; whole texts at every level."""
     monkeypatch.setattr(C, "LOT", 5)
     rng = random.Random(7)
     rows = [(i, i % 3, ["".join(rng.choice("abé日😀 ") for _ in range(rng.choice([1, 2, 5, 30]))) for _ in range(rng.randint(1, 3))]) for i in range(60)]
@@ -28,7 +28,8 @@ def test_every_string_once(spark, chunk, monkeypatch):
     plain = {(i, n): level for i, level, texts in rows for n, s in enumerate(strings) if any(s in t for t in texts or [])}
     df = spark.createDataFrame(rows, "id int, level long, texts array<string>").coalesce(2)
     found = C.found_in(shared, spark.sparkContext.broadcast(np.array(levels)))(F.col("texts"), F.col("level"))
-    assert sorted(tuple(r) for r in df.select("id", F.explode(found)).collect()) == sorted(k for k, level in plain.items() if levels[k[1]] <= level)
+    assert sorted(tuple(r) for r in df.select("id", F.explode(found)).collect()) == sorted(
+        k for k, level in plain.items() if levels[k[1]] <= level or strings[k[1]] in (rows[k[0]][2] or []))
     counts = {}
     for (_, n), level in plain.items():
         counts[n, level] = counts.get((n, level), 0) + 1
@@ -58,3 +59,17 @@ def test_searched_by_trie(spark, monkeypatch):
     monkeypatch.setattr(S, "gram_counts", opened)
     monkeypatch.setattr(S, "pairs", opened)
     assert rows() == by_grams and len(by_grams) == 25
+
+
+@pytest.mark.parametrize("bound", [0, 2, 500_000])
+def test_rows_of_a_key(spark, monkeypatch, bound):
+    """Records of one key in several rows are one record, whether those keys are few or many; all others are not dealt."""
+    monkeypatch.setattr(S, "BROADCAST_ROWS", bound)
+    rows = [("a", 1, ["x"]), ("b", 2, ["y", "xy"]), ("a", 5, ["xz"]), ("c", None, ["x"]), ("d", 3, []), ("e", 1, ["x"]), ("e", 1, ["x"]), ("f", 4, ["zx"])]
+    df = spark.createDataFrame(rows, "key string, w int, t array<string>")
+    terms = F.transform("t", lambda t: S.term(t, "key", F.lit("c")))
+    queries = spark.createDataFrame([("q", "X"), ("r", "xz")], "qid string, query string")
+    shown = [tuple(r) for r in S.search(S.gather_terms(df, terms, F.col("w")), queries, {"key": 0}, 4).select("qid", "place", "key", "matched_text", "exact", "total").orderBy("qid", "place").collect()]
+    assert shown == [("q", 1, "a", "x", True, 5), ("q", 2, "e", "x", True, 5), ("q", 3, "c", "x", True, 5), ("q", 4, "f", "zx", False, 5), ("r", 1, "a", "xz", True, 1)]
+    again = [tuple(r) for r in S.search(S.build_terms(df, terms, F.col("w")), queries, {"key": 0}, 4).select("qid", "place", "key", "matched_text", "exact", "total").orderBy("qid", "place").collect()]
+    assert again == shown

@@ -202,7 +202,7 @@ def _trie(asked: DataFrame, number: int) -> tuple[Trie, DataFrame] | None:
 
 
 def _rows_by_key(terms: DataFrame) -> DataFrame:
-    """(key, weight, terms) with one row per key, its largest weight and all its terms.
+    """(key, weight, terms) with one row per key, its largest weight and all its terms in order.
 
     Only rows whose key (by its hash) stands again are brought together, so that texts are not dealt for nothing.
     """
@@ -210,8 +210,8 @@ def _rows_by_key(terms: DataFrame) -> DataFrame:
         return checkpointed(rows.groupBy("key").agg(F.max("weight").alias("weight"), every.alias("terms")))
 
     if "terms" not in terms.columns:
-        return joined(terms.select("key", "weight", F.struct(*TERM).alias("term")), F.collect_set("term"))
-    every = F.array_distinct(F.flatten(F.collect_set("terms")))
+        return joined(terms.select("key", "weight", F.struct(*TERM).alias("term")), F.sort_array(F.collect_set("term")))
+    every = F.sort_array(F.flatten(F.collect_set("terms")))
     again = checkpointed(terms.groupBy(F.xxhash64("key").alias("hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
     number = again.count()
     if number > BROADCAST_ROWS:
@@ -243,13 +243,17 @@ def by_trie(records: DataFrame, trie: Trie, numbered: DataFrame, ranks: dict[str
 
     def match(t: Column, i: Column) -> Column:
         # hits of a whole text come before all others, whatever their weight
-        kept = [t[c].alias(c) for c in TERM]
-        return F.when(F.get("texts", i) == F.col("q"), F.struct(_kind_rank(t["kind"], ranks).alias("rank"), *kept)).when(
-            F.contains(F.get("texts", i), F.col("q")), F.struct(F.lit(PARTIAL).alias("rank"), *kept))
+        rank = F.when(F.get("texts", i) == F.col("q"), _kind_rank(t["kind"], ranks)).when(F.contains(F.get("texts", i), F.col("q")), F.lit(PARTIAL))
+        return F.when(rank.isNotNull(), ranked(rank, t))
 
+    def ranked(rank: Column, t: Column) -> Column:
+        return F.struct(rank.alias("rank"), *[t[c].alias(c) for c in TERM])
+
+    # terms lie in order, so the first one is the best where it holds the query and none is the query
+    plain = F.contains(F.get("texts", F.lit(0)), F.col("q")) & ~F.array_contains("texts", F.col("q"))
+    best = F.when(plain, ranked(F.lit(PARTIAL), F.get("terms", F.lit(0)))).otherwise(F.array_min(F.transform("terms", match)))
     met = folded.select("key", "weight", "terms", "texts", F.explode(found).alias("number")).join(names, "number")
-    met = met.select("number", "q", "key", "weight", F.array_min(F.transform("terms", match)).alias("best"))
-    shown = top_k(met, ["number"], [F.col("best.rank"), F.desc("weight"), F.col("key")], limit, "place")
+    shown = top_k(met.select("number", "q", "key", "weight", best.alias("best")), ["number"], [F.col("best.rank"), F.desc("weight"), F.col("key")], limit, "place")
     return shown.join(stats.select(F.col("q").alias("number"), "total"), "number").select("q", "place", "key", "total", "best")
 
 
